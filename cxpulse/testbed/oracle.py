@@ -12,6 +12,8 @@ too, so both agree on every value (``round(1.005, 2)`` is 1.01 in both).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from . import adapters as tb
 
 # The testbed adapter rules (FIXTURES.md §B), one SQL text per
@@ -131,8 +133,138 @@ r as (
   group by team)
 select * from r""")
 
+WEEK_SINCE = (tb.WEEKLY_AS_OF.replace(day=1) - dt.timedelta(weeks=4)).isoformat()
+
+SCORE_WEEKLY = _with(["survey"], f"""
+r as (
+  select strftime(date_trunc('week', response_date), '%Y-%m-%d') as week, team,
+    count(*) as enc, {rnd('avg(score)', 1)} as avg_score
+  from survey where {_base(WEEK_SINCE)}
+  group by 1, 2)
+select * from r""")
+
+_TNUM = ("case when isnan(try_cast(target_text as double)) then null "
+         "else try_cast(target_text as double) end")
+_NET = "(count_if(score > 0) - count_if(score < 0)) * 100e0 / count(*)"
+
+SCORE_BY_PROCESS = _with(["survey"], f"""
+g as (
+  select team, process, count(*) as enc, {rnd(_NET, 1)} as nps,
+    {rnd('avg(tnum) * 100e0', 1)} as target
+  from (select *, {_TNUM} as tnum from survey where {_base(MONTH)})
+  group by team, process)
+select team, process, enc, nps, target,
+  {rnd('enc * 100e0 / sum(enc) over (partition by team)', 1)} as pct
+from g""")
+
+DRIVER_DETAIL = _with(["survey"], f"""
+g as (
+  select team, process, driver, count(*) as enc, {rnd(_NET, 1)} as nps_score,
+    {rnd('avg(tnum) * 100e0', 1)} as target, count(distinct training_id) as cohorts
+  from (select *, {_TNUM} as tnum from survey
+        where {_base(MONTH)} and driver is not null and trim(driver) <> '')
+  group by team, process, driver
+  having count(*) >= 3)
+select team, process, driver, enc, nps_score, target, cohorts,
+  {rnd('enc * 100e0 / sum(enc) over (partition by team, process)', 1)} as pct_in_proc
+from g""")
+
+_QA_WHERE = (f"team in ({_teams()}) and reason = '{tb.QA.reason}' and metric_type = '{tb.QA.metric_type}' "
+             f"and assigned_date >= date '{MONTH}'")
+
+QA_BY_CHANNEL = _with(["qa_eval"], f"""
+r as (
+  select team,
+    case when channel in ('C2C', 'MULTICANAL C2C') then 'C2C'
+         when channel in ('CHAT', 'MULTICANAL CHAT') then 'CHAT' else channel end as channel,
+    count(*) as total, {rnd('avg(qa_total) * 100e0', 1)} as pct,
+    {rnd('avg(qa_total) * 2e0', 2)} as grade
+  from qa_eval where {_QA_WHERE}
+  group by 1, 2)
+select * from r""")
+
+BEHAVIOUR_COUNTS = _with(["qa_eval"], f"""
+r as (
+  select team, sentence,
+    case when moment in ('OPEN', 'OPENING') then '1-OPEN' when moment in ('EXPLORE') then '2-EXPLORE'
+         when moment in ('GUIDE') then '3-GUIDE' when moment in ('CLOSE') then '4-CLOSE'
+         when moment in ('HOW') then '5-HOW' else null end as moment,
+    count(*) as total_cases,
+    cast(count_if(sentence_value in ('Low', 'LOW', 'Mid-low', 'MID LOW')) as bigint) as low_count
+  from qa_eval where {_QA_WHERE} and sentence is not null
+  group by 1, 2, 3)
+select * from r""")
+
+FLAG_MATRIX = _with(["qa_flags"], f"""
+r as (
+  select team, flag_type, flag, count(*) as total
+  from qa_flags
+  where is_valid is true and not_dup is true and reason = 'QI'
+    and lower(cast(picklist_value as varchar)) = 'true' and inappropriate = 0
+    and reference_date >= date '{MONTH}' and team in ({_teams()})
+  group by 1, 2, 3)
+select * from r""")
+
+_BUCKETS = [c for c in (
+    "online_s online_lowp_s help_s shadow_s email_s post_contact_s break_s coaching_s event_s "
+    "training_ac_s training_km_s expert_trainer_s learning_s teaching_s nesting_s "
+    "operational_failure_s systematic_failure_s").split()]
+_LOGGED = " + ".join(f"sum(a.{c})" for c in _BUCKETS)
+NEXT_MONTH = "2024-02-01"
+
+TRAINING_SHARE_SQL = f"""
+r as (
+  select a.team, count(distinct a.agent) as agents,
+    {rnd(f'sum(a.training_ac_s) / nullif({_LOGGED}, 0) * 100e0', 2)} as pct,
+    {rnd('sum(a.training_ac_s) / 3600e0', 2)} as h_train,
+    {rnd(f'({_LOGGED}) / 3600e0', 2)} as h_logged
+  from agent_time a
+  left join training_status b on a.agent = b.agent and a.work_date = b.work_date
+  where a.work_date >= date '{MONTH}' and a.work_date < date '{NEXT_MONTH}'
+    and a.role in ('AGENT') and (b.status is null or b.status <> 'TRAINING')
+    and a.team in ({_teams()})
+    and a.agent in (select distinct agent from survey where team in ({_teams()})
+                    and segment = '{tb.SEGMENT}' and office = '{tb.OFFICE}')
+  group by a.team)"""
+
+TRAINING_SHARE = _with(["survey", "agent_time", "training_status"],
+                       TRAINING_SHARE_SQL + "\nselect * from r")
+
+TRAINING_SHARE_BY_KEY = _with(["survey", "agent_time", "training_status"],
+                              TRAINING_SHARE_SQL + """
+select team, pct, h_train, h_logged, agents from r""")
+
+AGENT_DETAIL = _with(["survey", "agent_time"], f"""
+n as (
+  select team, agent,
+    case when channel in ('C2C', 'MULTICANAL C2C') then 'C2C'
+         when channel in ('CHAT', 'MULTICANAL CHAT') then 'Chat' else channel end as channel,
+    count(*) as enc, {rnd(_NET, 1)} as nps, {rnd('avg(tnum) * 100e0', 1)} as target
+  from (select *, {_TNUM} as tnum from survey where {_base(MONTH)})
+  group by 1, 2, 3),
+t as (
+  select a.team, a.agent,
+    {rnd(f'sum(a.training_ac_s) / nullif({_LOGGED}, 0) * 100e0', 1)} as pct_train,
+    {rnd('sum(a.training_ac_s) / 3600e0', 1)} as h_train
+  from agent_time a
+  where a.work_date >= date '{MONTH}' and a.work_date < date '{NEXT_MONTH}'
+    and a.role = 'AGENT' and a.team in ({_teams()})
+  group by 1, 2)
+select n.team, n.agent, n.channel, n.enc, n.nps, coalesce(n.target, 69.5e0) as target,
+  coalesce(t.pct_train, 0e0) as pct_train, coalesce(t.h_train, 0e0) as h_train
+from n left join t on n.team = t.team and n.agent = t.agent""")
+
 
 def all_sql() -> dict[str, str]:
     return {
         "net_score_monthly": NET_SCORE_MONTHLY,
+        "score_weekly": SCORE_WEEKLY,
+        "score_by_process": SCORE_BY_PROCESS,
+        "qa_by_channel": QA_BY_CHANNEL,
+        "training_share": TRAINING_SHARE,
+        "training_share_by_key": TRAINING_SHARE_BY_KEY,
+        "behaviour_counts": BEHAVIOUR_COUNTS,
+        "flag_matrix": FLAG_MATRIX,
+        "driver_detail": DRIVER_DETAIL,
+        "agent_detail": AGENT_DETAIL,
     }

@@ -6,7 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..plans import agents as ag
+from ..plans import qa
 from ..plans import survey as sv
 from . import adapters as tb
 
@@ -17,7 +20,57 @@ def net_score_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sv.net_score_monthly(tb.survey(spark, sf_dir), tb.scope())
 
 
+def score_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sv.score_weekly(tb.survey(spark, sf_dir), tb.scope(tb.WEEKLY_AS_OF))
+
+
+def score_by_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sv.score_by_process(tb.survey(spark, sf_dir), tb.scope())
+
+
+def driver_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sv.driver_detail(tb.survey(spark, sf_dir), tb.scope())
+
+
+def qa_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.qa_by_channel(tb.qa_eval(spark, sf_dir), tb.scope(), tb.QA)
+
+
+def behaviour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.behaviour_counts(tb.qa_eval(spark, sf_dir), tb.scope(), tb.QA)
+
+
+def flag_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.flag_matrix(tb.qa_flags(spark, sf_dir), tb.scope(), tb.FLAGS)
+
+
+def training_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ag.training_share(tb.agent_time(spark, sf_dir), tb.training_status(spark, sf_dir),
+                             tb.survey(spark, sf_dir), tb.scope(), tb.AGENT_TIME)
+
+
+def training_share_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed map form, exploded back to rows for the oracle."""
+    m = ag.training_share_by_key(training_share(spark, sf_dir))
+    e = m.select(F.explode("by_team").alias("team", "v"))
+    return e.select("team", "v.pct", "v.h_train", "v.h_logged", "v.agents")
+
+
+def agent_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ag.agent_detail(tb.survey(spark, sf_dir), tb.agent_time(spark, sf_dir), tb.scope(),
+                           tb.AGENT_TIME, tb.AGENT_CHANNEL_MAP)
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "net_score_monthly": net_score_monthly,
+        "score_weekly": score_weekly,
+        "score_by_process": score_by_process,
+        "qa_by_channel": qa_by_channel,
+        "training_share": training_share,
+        "training_share_by_key": training_share_by_key,
+        "behaviour_counts": behaviour_counts,
+        "flag_matrix": flag_matrix,
+        "driver_detail": driver_detail,
+        "agent_detail": agent_detail,
     }
