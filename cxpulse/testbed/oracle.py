@@ -104,6 +104,11 @@ _INPUTS = {
 }
 
 
+def cif(cond: str) -> str:
+    """COUNTIF as BIGINT (DuckDB's count_if is HUGEINT)."""
+    return f"cast(count_if({cond}) as bigint)"
+
+
 def rnd(expr: str, digits: int) -> str:
     return f"round(cast(cast(({expr}) as varchar) as decimal(38,18)), {digits})::double"
 
@@ -126,8 +131,8 @@ MONTH = tb.AS_OF.replace(day=1).isoformat()
 
 NET_SCORE_MONTHLY = _with(["survey"], f"""
 r as (
-  select team, count(*) as enc, count_if(score > 0) as pro, count_if(score = 0) as neu,
-    count_if(score < 0) as det,
+  select team, count(*) as enc, {cif('score > 0')} as pro, {cif('score = 0')} as neu,
+    {cif('score < 0')} as det,
     {rnd('(count_if(score > 0) - count_if(score < 0)) * 100e0 / count(*)', 1)} as nps_score
   from survey where {_base(MONTH)}
   group by team)
@@ -190,7 +195,7 @@ r as (
          when moment in ('GUIDE') then '3-GUIDE' when moment in ('CLOSE') then '4-CLOSE'
          when moment in ('HOW') then '5-HOW' else null end as moment,
     count(*) as total_cases,
-    cast(count_if(sentence_value in ('Low', 'LOW', 'Mid-low', 'MID LOW')) as bigint) as low_count
+    {cif("sentence_value in ('Low', 'LOW', 'Mid-low', 'MID LOW')")} as low_count
   from qa_eval where {_QA_WHERE} and sentence is not null
   group by 1, 2, 3)
 select * from r""")
@@ -254,6 +259,131 @@ select n.team, n.agent, n.channel, n.enc, n.nps, coalesce(n.target, 69.5e0) as t
   coalesce(t.pct_train, 0e0) as pct_train, coalesce(t.h_train, 0e0) as h_train
 from n left join t on n.team = t.team and n.agent = t.agent""")
 
+# --- R10 stages -------------------------------------------------------------
+
+_BY_PROCESS = f"""
+p as (
+  select team, process, count(*) as enc, {rnd(_NET, 1)} as nps,
+    {rnd('avg(tnum) * 100e0', 1)} as target
+  from (select *, {_TNUM} as tnum from survey where {_base(MONTH)})
+  group by team, process),
+p3 as (
+  select *, {rnd('enc * 100e0 / sum(enc) over (partition by team)', 1)} as pct from p)"""
+
+_CRIT = _BY_PROCESS + f""",
+c0 as (select *, coalesce(nullif(target, 0e0), 69.5e0) as eff from p3),
+c1 as (
+  select *, row_number() over (partition by team
+    order by (nps < eff) desc, enc desc, nps asc, process asc nulls first) as rn
+  from c0),
+crit as (
+  select team, process, enc, nps, eff as target, pct, {rnd('nps - eff', 1)} as gap
+  from c1 where rn = 1)"""
+
+CRITICAL_PROCESS = _with(["survey"], _CRIT + """
+select team, process, enc, nps, target, pct, gap,
+  'Process with the largest negative impact for ' || team || '. Gap of '
+  || cast(abs(gap) as varchar) || ' p.p. vs target (' || cast(target as varchar) || '%) over '
+  || cast(enc as varchar) || ' surveys (' || cast(pct as varchar) || '% of the team''s incoming).'
+  as process_desc
+from crit""")
+
+_DRIVERS = f""",
+d0 as (
+  select team, process, driver, count(*) as enc, {rnd(_NET, 1)} as nps_score,
+    {rnd('avg(tnum) * 100e0', 1)} as target, count(distinct training_id) as cohorts
+  from (select *, {_TNUM} as tnum from survey
+        where {_base(MONTH)} and driver is not null and trim(driver) <> '')
+  group by team, process, driver
+  having count(*) >= 3),
+d1 as (
+  select d0.*, coalesce(d0.target, 69.5e0) as eff,
+    (d0.nps_score < coalesce(d0.target, 69.5e0) and d0.enc >= 3) as below
+  from d0 join crit on d0.team = crit.team and d0.process is not distinct from crit.process),
+d2 as (
+  select *, row_number() over (partition by team order by below desc, enc desc,
+    case when below then eff - nps_score end desc nulls last, driver asc) as rn
+  from d1),
+tops as (
+  select team, process, cast(rn as integer) as num, driver,
+    case rn when 1 then 'HIGH' when 2 then 'HIGH' else 'MEDIUM' end as priority,
+    'p' || cast(rn as varchar) as pclass, nps_score, eff as target,
+    cast(round_even({rnd('nps_score - eff', 1)}, 0) as integer) as gap,
+    {rnd('nps_score - eff', 1)} as gap_pp, cohorts, enc as incoming
+  from d2 where rn <= 3)"""
+
+TOP_DRIVERS = _with(["survey"], _CRIT + _DRIVERS + """
+select *,
+  case when num = 1 then
+    'Most frequent driver: ' || cast(cohorts as varchar) || ' cohort(s), ' || cast(incoming as varchar)
+    || ' surveys. Gap of ' || cast(abs(gap_pp) as varchar) || ' p.p. vs a ' || cast(target as varchar)
+    || '% target.'
+  else
+    'Gap of ' || cast(abs(gap_pp) as varchar) || ' p.p. vs a ' || cast(target as varchar)
+    || '% target across ' || cast(cohorts as varchar) || ' cohort(s) and ' || cast(incoming as varchar)
+    || ' surveys.'
+  end as why,
+  cast(sum(incoming) over (partition by team) as bigint) as incoming_total,
+  max(cohorts) over (partition by team) as cohorts_max
+from tops""")
+
+_BEHAVIOURS = f"""
+b0 as (
+  select team, sentence,
+    case when moment in ('OPEN', 'OPENING') then '1-OPEN' when moment in ('EXPLORE') then '2-EXPLORE'
+         when moment in ('GUIDE') then '3-GUIDE' when moment in ('CLOSE') then '4-CLOSE'
+         when moment in ('HOW') then '5-HOW' else null end as moment,
+    count(*) as total_cases,
+    {cif("sentence_value in ('Low', 'LOW', 'Mid-low', 'MID LOW')")} as low_count
+  from qa_eval where {_QA_WHERE} and sentence is not null
+  group by 1, 2, 3),
+b1 as (select *, max(total_cases) over (partition by team) as max_cases from b0),
+b2 as (
+  select *, row_number() over (partition by team
+    order by low_count desc, sentence asc, moment asc nulls first) as rn
+  from b1 where low_count > 0),
+tb as (
+  select b2.team, cast(b2.rn as integer) as rank, b2.sentence, b2.moment,
+    coalesce(c.label, b2.sentence) as label, b2.low_count, b2.max_cases,
+    c.error_text, c.a_title, c.a_duration, c.a_objective, c.a_how, c.a_materials, c.a_tags
+  from b2 left join catalog c on b2.sentence = c.sentence
+  where b2.rn <= 5),
+ti as (
+  select team, count(*) as n,
+    max(case when rank = 1 then label end) as l1, max(case when rank = 2 then label end) as l2,
+    max(case when rank = 1 then low_count end) as v1, max(case when rank = 2 then low_count end) as v2
+  from tb group by team)"""
+
+TOP_BEHAVIOURS = _with(["qa_eval", "catalog"], _BEHAVIOURS + """
+select tb.team, tb.rank, tb.sentence, tb.moment, tb.label, tb.low_count, tb.max_cases,
+  case when ti.n >= 2 then 'The two most flagged behaviours (' || ti.l1 || ' and ' || ti.l2
+         || ') add up to ' || cast(ti.v1 + ti.v2 as varchar) || ' records.'
+       when ti.n = 1 then 'Most flagged behaviour: ' || ti.l1 || ' with ' || cast(ti.v1 as varchar)
+         || ' records.'
+       else 'Not enough behaviour data for the period.' end as insight
+from tb join ti on tb.team = ti.team""")
+
+DRIVER_COACHING = _with(["survey", "qa_eval", "catalog"], _CRIT + _DRIVERS + "," + _BEHAVIOURS + """
+select d.team, d.num, d.driver,
+  coalesce(t1.error_text, 'Most critical behaviour found: ' || coalesce(t1.label, '') || '.') as error,
+  case when t1.sentence is not null
+       then 'Gap in ' || t1.label || ': the most critical behaviour seen in the period''s contacts.'
+       else '-' end as behaviour_gap,
+  d.num as activity_num,
+  case when ch.a_title is not null then ch.a_title else 'Priority found: activity being prepared' end
+    as activity_title,
+  case when ch.a_title is not null then ch.a_duration else '30 min' end as activity_duration,
+  case when ch.a_title is not null then ch.a_objective
+       else 'Improve performance on the identified driver.' end as activity_objective,
+  case when ch.a_title is not null then ch.a_how else '-' end as activity_how,
+  case when ch.a_title is not null then ch.a_materials else 'Real cases from the period.' end
+    as activity_materials,
+  case when ch.a_title is not null then array_to_string(ch.a_tags, '|') else '' end as activity_tags
+from tops d
+left join ti on ti.team = d.team
+left join tb t1 on t1.team = d.team and t1.rank = 1
+left join tb ch on ch.team = d.team and ch.rank = least(d.num, ti.n)""")
+
 
 def all_sql() -> dict[str, str]:
     return {
@@ -267,4 +397,8 @@ def all_sql() -> dict[str, str]:
         "flag_matrix": FLAG_MATRIX,
         "driver_detail": DRIVER_DETAIL,
         "agent_detail": AGENT_DETAIL,
+        "critical_process": CRITICAL_PROCESS,
+        "top_drivers": TOP_DRIVERS,
+        "top_behaviours": TOP_BEHAVIOURS,
+        "driver_coaching": DRIVER_COACHING,
     }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import agents as ag
+from ..plans import critical as cr
 from ..plans import qa
 from ..plans import survey as sv
 from . import adapters as tb
@@ -61,6 +62,45 @@ def agent_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
                            tb.AGENT_TIME, tb.AGENT_CHANNEL_MAP)
 
 
+def _r10_inputs(spark: SparkSession, sf_dir: str):
+    sc = tb.scope()
+    s = tb.survey(spark, sf_dir)
+    base = sv.base_survey(s, sc)
+    by_process = sv.score_by_process(s, sc, base=base)
+    drivers = sv.driver_detail(s, sc, base=base)
+    behaviours = qa.behaviour_counts(tb.qa_eval(spark, sf_dir), sc, tb.QA)
+    return by_process, drivers, behaviours
+
+
+def critical_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_process, _, _ = _r10_inputs(spark, sf_dir)
+    return cr.critical_process(by_process)
+
+
+def top_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_process, drivers, _ = _r10_inputs(spark, sf_dir)
+    return cr.top_drivers(drivers, cr.critical_process(by_process), len(tb.TEAMS))
+
+
+def top_behaviours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, behaviours = _r10_inputs(spark, sf_dir)
+    return cr.top_behaviours(behaviours, tb.catalog(spark)).drop("error_text", "activity")
+
+
+def driver_coaching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_process, drivers, behaviours = _r10_inputs(spark, sf_dir)
+    n = len(tb.TEAMS)
+    tops = cr.top_drivers(drivers, cr.critical_process(by_process), n)
+    behs = cr.top_behaviours(behaviours, tb.catalog(spark))
+    return cr.flat_coaching(cr.driver_coaching(tops, behs, n))
+
+
+def critical_process_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_process, drivers, behaviours = _r10_inputs(spark, sf_dir)
+    return cr.critical_process_report(by_process, drivers, behaviours, tb.catalog(spark),
+                                      len(tb.TEAMS))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "net_score_monthly": net_score_monthly,
@@ -73,4 +113,9 @@ def all_queries() -> dict[str, Query]:
         "flag_matrix": flag_matrix,
         "driver_detail": driver_detail,
         "agent_detail": agent_detail,
+        "critical_process": critical_process,
+        "top_drivers": top_drivers,
+        "top_behaviours": top_behaviours,
+        "driver_coaching": driver_coaching,
+        "critical_process_report": critical_process_report,
     }
