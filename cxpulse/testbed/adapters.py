@@ -190,3 +190,28 @@ def catalog(spark: SparkSession) -> DataFrame:
             }
         rows.append(row)
     return catalog_from_rows(spark, rows)
+
+
+# Fixed values of the testbed pages: stamp element ids and refresh time.
+STAMP_IDS = ("refreshStamp", "headerStamp")
+STAMP_STYLE_ID = "stampCss"
+REFRESHED_AT = dt.datetime(2024, 1, 17, 16, 5)
+
+
+def pages_with_slots(spark: SparkSession, sf_dir: str, slots) -> DataFrame:
+    """The driver's ``pages`` with injection points appended: a third of the
+    pages get marker blocks for every slot, a third an older base64
+    declaration for the first half of the slots, a third nothing. Pages
+    with slots also get the stamp elements."""
+    p = _table(spark, sf_dir, "pages")
+    blocks = "".join(f"<script>\n// __{s.marker}_START__\nconst {s.var} = [];\n"
+                     f"// __{s.marker}_END__\n</script>" for s in slots)
+    decls = "".join(f'<script>const {s.var} = JSON.parse(atob("b2xk"));</script>'
+                    for s in slots[: (len(slots) + 1) // 2])
+    stamp = ('<p>Updated <span class="badge" id="refreshStamp">never</span> '
+             '<strong id="headerStamp">-</strong></p>'
+             '<style id="stampCss">.badge::after { content: "old"; }</style>')
+    kind = F.col("page_id") % 3
+    slot = (F.when(kind == 0, F.lit(blocks + stamp))
+            .when(kind == 1, F.lit(decls + stamp)).otherwise(F.lit("")))
+    return p.select("page_id", "url", F.concat(F.col("html"), slot).alias("html"))

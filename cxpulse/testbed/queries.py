@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..plans import agents as ag
 from ..plans import critical as cr
 from ..plans import qa
+from ..plans import refresh as rf
 from ..plans import survey as sv
+from ..plans.publish import StampSpec, payloads, publish_pages
 from . import adapters as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +103,34 @@ def critical_process_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       len(tb.TEAMS))
 
 
+def _inputs(spark: SparkSession, sf_dir: str) -> rf.Inputs:
+    return rf.Inputs(tb.survey(spark, sf_dir), tb.qa_eval(spark, sf_dir),
+                     tb.qa_flags(spark, sf_dir), tb.agent_time(spark, sf_dir),
+                     tb.training_status(spark, sf_dir), tb.catalog(spark))
+
+
+def options() -> rf.Options:
+    return rf.Options(tb.scope(), tb.QA, tb.FLAGS, tb.AGENT_TIME, tb.AGENT_CHANNEL_MAP,
+                      weekly_as_of=tb.WEEKLY_AS_OF)
+
+
+def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six page payloads (name, var, n, json, b64, js)."""
+    reports = rf.build_reports(_inputs(spark, sf_dir), options())
+    return payloads(rf.payload_reports(reports), rf.DEFAULT_PAYLOADS)
+
+
+STAMP = StampSpec(element_ids=tb.STAMP_IDS, style_id=tb.STAMP_STYLE_ID, suffix=" 11:05h")
+
+
+def publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's pages with payloads injected and the stamp written."""
+    slots = [s.slot for s in rf.DEFAULT_PAYLOADS]
+    pages = tb.pages_with_slots(spark, sf_dir, slots)
+    return publish_pages(pages, report_payload(spark, sf_dir), rf.DEFAULT_PAYLOADS,
+                         tb.REFRESHED_AT, STAMP)
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "net_score_monthly": net_score_monthly,
@@ -118,4 +148,6 @@ def all_queries() -> dict[str, Query]:
         "top_behaviours": top_behaviours,
         "driver_coaching": driver_coaching,
         "critical_process_report": critical_process_report,
+        "report_payload": report_payload,
+        "publish_pages": publish,
     }
