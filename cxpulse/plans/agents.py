@@ -35,13 +35,15 @@ def _agent_month(agent_time: DataFrame, scope: Scope, opts: AgentTimeOptions) ->
 
 
 def newbie_agents(survey: DataFrame, scope: Scope) -> DataFrame:
-    """Agents of the scope's segment and office in the survey, any date or
-    channel. Used as the right side of a semi-join (no DISTINCT needed: a
-    semi-join emits each left row once)."""
+    """Distinct agents of the scope's segment and office in the survey, any
+    date or channel: the right side of a semi-join. The DISTINCT runs as a
+    partial aggregate before the shuffle, so only distinct agents per map
+    task cross the network (and can be broadcast when AQE sees they are
+    small)."""
     return survey.where(
         in_list(F.col("team"), scope.teams)
         & (F.col("segment") == F.lit(scope.segment))
-        & (F.col("office") == F.lit(scope.office))).select("agent")
+        & (F.col("office") == F.lit(scope.office))).select("agent").distinct()
 
 
 def training_share(agent_time: DataFrame, training_status: DataFrame, survey: DataFrame,
@@ -52,17 +54,25 @@ def training_share(agent_time: DataFrame, training_status: DataFrame, survey: Da
     Agent-days whose status is the excluded one are dropped; a day with no
     status row is kept. The status join is a LEFT join followed by a
     null-tolerant filter, so duplicate status rows fan out agent time
-    exactly as the SQL definition does. Only agents present in the survey's
-    segment (semi-join) count.
+    exactly as the SQL definition does (Catalyst infers the month range on
+    the status side from the join keys). Only agents present in the
+    survey's segment count (semi-join on a de-duplicated agent set; Catalyst
+    places it under the per-agent aggregate, where it is a hash filter once
+    AQE broadcasts the measured agent set). Summing per-(team, agent)
+    bucket sums keeps the sum-of-sums NULL rule, and the semi-join drops
+    NULL agents, so ``count(agent)`` after that grouping is the distinct
+    count without a second distinct aggregation.
     """
     facts = _agent_month(agent_time, scope, opts)
     status = training_status.select("agent", "work_date", "status")
     joined = (facts.join(status, ["agent", "work_date"], "left")
               .where(null_or_not(F.col("status"), opts.excluded_status)))
-    kept = joined.join(newbie_agents(survey, scope), "agent", "left_semi")
+    cols = _bucket_cols(opts)
+    per_agent = joined.groupBy("team", "agent").agg(*[F.sum(c).alias(c) for c in cols])
+    kept = per_agent.join(newbie_agents(survey, scope), "agent", "left_semi")
     logged, training = _logged(opts), _training(opts)
     return (kept.groupBy("team")
-            .agg(F.countDistinct("agent").alias("agents"),
+            .agg(F.count("agent").alias("agents"),
                  F.round(scores.safe_ratio(training, logged) * F.lit(100.0), 2).alias("pct"),
                  F.round(training / F.lit(3600.0), 2).alias("h_train"),
                  F.round(logged / F.lit(3600.0), 2).alias("h_logged")))
