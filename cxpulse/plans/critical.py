@@ -101,25 +101,19 @@ def _priority(num: Column, priorities: tuple[str, ...]) -> Column:
     return F.get(arr, F.least(num, F.lit(len(priorities))) - 1)
 
 
-def top_drivers(drivers: DataFrame, critical: DataFrame, n_teams: int,
-                default_target: float = DEFAULT_TARGET, k: int = 3, min_n: int = 3,
-                texts: CoachingTexts = TEXTS) -> DataFrame:
-    """Up to ``k`` drivers of each team's critical process.
-
-    ``critical`` has one row per team and the team list has ``n_teams``
-    entries, so it is broadcast under that proven bound.
-    """
-    crit = bounded(critical.select(F.col("team").alias("c_team"),
-                                   F.col("process").alias("c_process")),
-                   max_rows=n_teams, why="one critical process per team")
-    d = drivers.join(crit, (drivers["team"] == crit["c_team"])
-                     & drivers["process"].eqNullSafe(crit["c_process"]), "inner")
-    d = d.withColumn("eff_target", F.coalesce(F.col("target"), F.lit(float(default_target))))
+def ranked_drivers(drivers: DataFrame, default_target: float = DEFAULT_TARGET, k: int = 3,
+                   min_n: int = 3, texts: CoachingTexts = TEXTS) -> DataFrame:
+    """Top ``k`` drivers of *every* (team, process), with display columns.
+
+    Ranking per (team, process) reuses the partitioning of the driver
+    report's share window (no new shuffle); restricting to the critical
+    process afterwards gives the same rows as filtering first."""
+    d = drivers.withColumn("eff_target", F.coalesce(F.col("target"), F.lit(float(default_target))))
     below = (F.col("nps_score") < F.col("eff_target")) & (F.col("enc") >= min_n)
     gap_size = F.when(below, F.col("eff_target") - F.col("nps_score"))
     order = [below.desc(), F.col("enc").desc(), gap_size.desc_nulls_last(),
              F.col("driver").asc()]
-    ranked = top_k(d, ["team"], order, k, rank_col="num")
+    ranked = top_k(d, ["team", "process"], order, k, rank_col="num")
     gap_pp = F.round(F.col("nps_score") - F.col("eff_target"), 1)
     out = ranked.select(
         "team", "process", "num", "driver",
@@ -134,9 +128,27 @@ def top_drivers(drivers: DataFrame, critical: DataFrame, n_teams: int,
               "abs_gap": F.abs(F.col("gap_pp")), "target": F.col("target")}
     why = F.when(F.col("num") == 1, render(texts.why_first, values)).otherwise(
         render(texts.why_other, values))
+    return out.withColumn("why", why)
+
+
+def top_drivers(drivers: DataFrame, critical: DataFrame, n_teams: int,
+                default_target: float = DEFAULT_TARGET, k: int = 3, min_n: int = 3,
+                texts: CoachingTexts = TEXTS) -> DataFrame:
+    """Up to ``k`` drivers of each team's critical process (a NULL
+    process matches a NULL process), with the team totals over them.
+
+    ``critical`` has one row per team and the team list has ``n_teams``
+    entries, so it is broadcast under that proven bound.
+    """
+    crit = bounded(critical.select(F.col("team").alias("c_team"),
+                                   F.col("process").alias("c_process")),
+                   max_rows=n_teams, why="one critical process per team")
+    ranked = ranked_drivers(drivers, default_target, k, min_n, texts)
+    out = (ranked.join(crit, (ranked["team"] == crit["c_team"])
+                       & ranked["process"].eqNullSafe(crit["c_process"]), "inner")
+           .drop("c_team", "c_process"))
     team = Window.partitionBy("team")
-    return (out.withColumn("why", why)
-            .withColumn("incoming_total", F.sum("incoming").over(team))
+    return (out.withColumn("incoming_total", F.sum("incoming").over(team))
             .withColumn("cohorts_max", F.max("cohorts").over(team)))
 
 
@@ -170,27 +182,44 @@ def top_behaviours(behaviours: DataFrame, catalog: DataFrame, k: int = 5,
                     "error_text", "activity", insight.alias("insight"))
 
 
+def behaviour_lists(behaviours_top: DataFrame) -> DataFrame:
+    """One row per team: ``behs``, the team's top behaviours in rank order
+    (at most k per team, so the collected array is bounded)."""
+    return (behaviours_top.groupBy("team")
+            .agg(sorted_array([F.col("rank"), F.col("sentence"), F.col("label"),
+                               F.col("low_count"), F.col("max_cases"), F.col("error_text"),
+                               F.col("activity")]).alias("behs"),
+                 F.first("insight").alias("insight")))
+
+
+def coaching(num: Column, behs: Column, texts: CoachingTexts = TEXTS) -> dict[str, Column]:
+    """Per-driver coaching fields from the driver's rank ``num`` (1-based)
+    and the team's behaviour array: the error text and gap sentence of the
+    top behaviour, and the activity of behaviour ``min(num, n)``; defaults
+    when the team has no behaviour."""
+    arr = F.coalesce(behs, F.array())
+    has = F.size(arr) > 0
+    top = F.get(arr, 0)
+    top_label = F.coalesce(top["label"], F.lit(""))
+    chosen = pick_clamped(arr, num - 1)
+    return {
+        "error": F.coalesce(top["error_text"], render(texts.error_default, {"label": top_label})),
+        "behaviour_gap": F.when(has, render(texts.behaviour_gap, {"label": top_label}))
+        .otherwise(F.lit(texts.no_behaviour)),
+        "activity": F.coalesce(chosen["activity"], _default_activity(texts)),
+    }
+
+
 def driver_coaching(drivers_top: DataFrame, behaviours_top: DataFrame, n_teams: int,
                     texts: CoachingTexts = TEXTS) -> DataFrame:
-    """``drivers_top`` plus, per driver, the error text and gap sentence of
-    the team's top behaviour and the activity of behaviour ``min(num, n)``
-    (the last one when there are fewer behaviours than drivers), or the
-    defaults when the team has none."""
-    behs = (behaviours_top.groupBy("team")
-            .agg(sorted_array([F.col("rank"), F.col("sentence"), F.col("label"),
-                               F.col("error_text"), F.col("activity")]).alias("behs")))
-    behs = bounded(behs, max_rows=n_teams, why="one row per team")
+    """``drivers_top`` plus, per driver, the coaching fields (see
+    ``coaching``)."""
+    behs = bounded(behaviour_lists(behaviours_top).select("team", "behs"),
+                   max_rows=n_teams, why="one row per team")
     d = drivers_top.join(behs, "team", "left")
-    top = F.get(F.col("behs"), 0)
-    chosen = pick_clamped(F.col("behs"), F.col("num") - 1)
-    has = F.size(F.coalesce(F.col("behs"), F.array())) > 0
-    top_label = F.coalesce(top["label"], F.lit(""))
-    error = F.coalesce(top["error_text"], render(texts.error_default, {"label": top_label}))
-    gap_text = F.when(has, render(texts.behaviour_gap, {"label": top_label})).otherwise(
-        F.lit(texts.no_behaviour))
-    activity = F.coalesce(chosen["activity"], _default_activity(texts))
-    return (d.withColumn("error", error).withColumn("behaviour_gap", gap_text)
-            .withColumn("activity", activity).drop("behs"))
+    c = coaching(F.col("num"), F.col("behs"), texts)
+    return (d.withColumn("error", c["error"]).withColumn("behaviour_gap", c["behaviour_gap"])
+            .withColumn("activity", c["activity"]).drop("behs"))
 
 
 def flat_coaching(coaching: DataFrame) -> DataFrame:
@@ -218,36 +247,50 @@ def critical_process_report(by_process: DataFrame, drivers: DataFrame, behaviour
     objective, how, materials, tags>>>, behaviour_gaps:
     array<struct<label, val, max>>, behaviour_insight.
     Teams without drivers or behaviours get empty arrays and defaults.
+
+    Each input is used once: drivers are ranked and collected per (team,
+    process) and matched to the critical process by a null-safe join; the
+    behaviours are collected per team and the coaching fields are computed
+    with higher-order functions on the joined arrays (all bounded: k per
+    key).
     """
     crit = critical_process(by_process, default_target, texts)
-    tops = top_drivers(drivers, crit, n_teams, default_target, k_drivers, min_n, texts)
-    behs = top_behaviours(behaviours, catalog, k_behaviours, texts)
-    per_driver = driver_coaching(tops, behs, n_teams, texts)
-    act = F.col("activity")
-    driver_items = (per_driver.groupBy("team").agg(sorted_array([
+    ranked = ranked_drivers(drivers, default_target, k_drivers, min_n, texts)
+    driver_arr = (ranked.groupBy("team", "process").agg(sorted_array([
         F.col("num"), F.col("driver").alias("name"), F.col("priority"), F.col("pclass"),
-        F.col("gap"), F.col("cohorts"), F.col("incoming"), F.col("why"), F.col("error"),
-        F.col("behaviour_gap"),
-        F.struct(F.col("num"), act["title"].alias("title"), act["duration"].alias("duration"),
-                 act["objective"].alias("objective"), act["how"].alias("how"),
-                 act["materials"].alias("materials"), act["tags"].alias("tags")).alias("activity"),
-    ]).alias("drivers")))
-    gap_items = (behs.groupBy("team").agg(
-        sorted_array([F.col("rank"), F.col("label"), F.col("low_count").alias("val"),
-                      F.col("max_cases").alias("max")]).alias("gaps"),
-        F.first("insight").alias("behaviour_insight")))
-    rep = (crit.join(bounded(driver_items, n_teams, "one row per team"), "team", "left")
-           .join(bounded(gap_items, n_teams, "one row per team"), "team", "left"))
-    drivers_col = F.coalesce(F.col("drivers"), F.array().cast(driver_items.schema["drivers"].dataType))
-    gaps = F.transform(F.coalesce(F.col("gaps"), F.array().cast(gap_items.schema["gaps"].dataType)),
-                       lambda g: F.struct(g["label"].alias("label"), g["val"].alias("val"),
-                                          g["max"].alias("max")))
-    return rep.select(
+        F.col("gap"), F.col("cohorts"), F.col("incoming"), F.col("why")]).alias("drivers"))
+        .withColumnRenamed("team", "d_team").withColumnRenamed("process", "d_process"))
+    behs = bounded(behaviour_lists(top_behaviours(behaviours, catalog, k_behaviours, texts)),
+                   max_rows=n_teams, why="one row per team")
+    rep = (crit.join(driver_arr, (crit["team"] == driver_arr["d_team"])
+                     & crit["process"].eqNullSafe(driver_arr["d_process"]), "left")
+           .drop("d_team", "d_process")
+           .join(behs, "team", "left"))
+    empty_drivers = F.array().cast(driver_arr.schema["drivers"].dataType)
+
+    def full(x: Column) -> Column:
+        c = coaching(x["num"], F.col("behs"), texts)
+        act = c["activity"]
+        return F.struct(
+            x["num"].alias("num"), x["name"].alias("name"), x["priority"].alias("priority"),
+            x["pclass"].alias("pclass"), x["gap"].alias("gap"), x["cohorts"].alias("cohorts"),
+            x["incoming"].alias("incoming"), x["why"].alias("why"), c["error"].alias("error"),
+            c["behaviour_gap"].alias("behaviour_gap"),
+            F.struct(x["num"].alias("num"), act["title"].alias("title"),
+                     act["duration"].alias("duration"), act["objective"].alias("objective"),
+                     act["how"].alias("how"), act["materials"].alias("materials"),
+                     act["tags"].alias("tags")).alias("activity"))
+
+    drivers_col = F.transform(F.coalesce(F.col("drivers"), empty_drivers), full)
+    gaps = F.transform(F.coalesce(F.col("behs"), F.array()),
+                       lambda g: F.struct(g["label"].alias("label"), g["low_count"].alias("val"),
+                                          g["max_cases"].alias("max")))
+    return (rep.withColumn("drivers", drivers_col).select(
         "team", "process", "process_desc",
-        F.coalesce(F.aggregate(drivers_col, F.lit(0).cast("bigint"),
+        F.coalesce(F.aggregate(F.col("drivers"), F.lit(0).cast("bigint"),
                                lambda acc, x: acc + x["incoming"]), F.lit(0)).alias("incoming_total"),
-        F.coalesce(F.array_max(F.transform(drivers_col, lambda x: x["cohorts"])),
+        F.coalesce(F.array_max(F.transform(F.col("drivers"), lambda x: x["cohorts"])),
                    F.lit(0).cast("bigint")).alias("cohorts"),
         F.col("nps"), F.col("gap").alias("gap_total"),
-        drivers_col.alias("drivers"), gaps.alias("behaviour_gaps"),
-        F.coalesce(F.col("behaviour_insight"), F.lit(texts.insight_none)).alias("behaviour_insight"))
+        "drivers", gaps.alias("behaviour_gaps"),
+        F.coalesce(F.col("insight"), F.lit(texts.insight_none)).alias("behaviour_insight")))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import schemas
 
@@ -28,7 +29,10 @@ def catalog_from_rows(spark: SparkSession, rows: Iterable[Mapping]) -> DataFrame
                 act.get("how"), act.get("materials"), list(act.get("tags") or []),
             ),
         ))
-    return spark.createDataFrame(data, schemas.CATALOG)
+    # The rows are already in driver memory, so their count is a proven
+    # bound: mark the frame for broadcast (a frame built from local rows has
+    # no size statistics, so the optimizer would otherwise shuffle it).
+    return F.broadcast(spark.createDataFrame(data, schemas.CATALOG))
 
 
 def conform_catalog(df: DataFrame) -> DataFrame:

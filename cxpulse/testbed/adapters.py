@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import AgentTimeOptions, FlagOptions, QaOptions, Scope
@@ -51,95 +51,73 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _cycle(col: Column, labels: tuple[str, ...]) -> Column:
-    """labels[col % len(labels)]."""
-    m = col % len(labels)
-    expr = F.when(m == 0, F.lit(labels[0]))
-    for i, label in enumerate(labels[1:-1], start=1):
-        expr = expr.when(m == i, F.lit(label))
-    return expr.otherwise(F.lit(labels[-1]))
+def _cycle(expr: str, labels: tuple[str, ...]) -> str:
+    """SQL for labels[expr % len(labels)]."""
+    whens = " ".join(f"when {i} then '{label}'" for i, label in enumerate(labels[:-1]))
+    return f"case {expr} % {len(labels)} {whens} else '{labels[-1]}' end"
 
 
 _CHANNELS = ("C2C", "MULTICANAL C2C", "CHAT", "MULTICANAL CHAT", "MAIL")
 _TEAMS5 = ("click", "purchase", "signup", "view", "error")
 
+# The adapters are written as Spark SQL expressions (``selectExpr``): one
+# round trip per column to build the plan, the same plan as the Column API.
+
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _table(spark, sf_dir, "events")
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    ev = ev.withColumn("k", k)
-    k, eid, uid, value = F.col("k"), F.col("event_id"), F.col("user_id"), F.col("value")
-    process = (F.when(k % 12 == 11, F.lit(None).cast("string"))
-               .when(k % 6 == 3, F.lit("P4"))
-               .otherwise(F.concat(F.lit("P"), (k % 6).cast("string"))))
-    suffix = F.when(eid % 3 == 0, eid % 64).otherwise(eid % 2).cast("string")
-    driver = (F.when(k == 99, F.lit(None).cast("string"))
-              .when(k % 20 == 0, F.lit(" "))
-              .otherwise(F.concat(F.lit("C"), (k % 20).cast("string"), F.lit("_"), suffix)))
-    low = F.when(k % 6 == 3, 10).when(k % 6 == 4, 10).otherwise(20)
-    score = (F.when(eid % 50 == 1, F.lit(None).cast("double"))
-             .when(value < low, F.lit(-100.0))
-             .when(value < 60, F.lit(0.0))
-             .otherwise(F.lit(100.0)))
-    target = (F.when(eid % 7 == 0, F.lit("n/a"))
-              .when(k % 6 == 5, F.lit("n/a"))
-              .when((k % 6 == 3) | (k % 6 == 4), F.lit("0"))
-              .otherwise(F.lit("0.35")))
-    return ev.select(
-        F.col("event_type").alias("team"),
-        uid.alias("agent"),
-        F.to_date("ts").alias("response_date"),
-        _cycle(uid, _CHANNELS).alias("channel"),
-        process.alias("process"),
-        driver.alias("driver"),
-        score.alias("score"),
-        target.alias("target_text"),
-        F.when(uid % 3 == 0, F.lit("SENIOR")).otherwise(F.lit("NEWBIE")).alias("segment"),
-        (eid % 10 != 0).alias("on_target_channel"),
-        F.when(uid % 11 == 0, F.lit("OTHER")).otherwise(F.lit("HQ")).alias("office"),
-        (uid % 9).alias("training_id"),
+    ev = _table(spark, sf_dir, "events").selectExpr(
+        "*", "cast(regexp_extract(props, '([0-9]+)', 1) as int) as k")
+    return ev.selectExpr(
+        "event_type as team",
+        "user_id as agent",
+        "to_date(ts) as response_date",
+        f"{_cycle('user_id', _CHANNELS)} as channel",
+        "case when k % 12 = 11 then null when k % 6 = 3 then 'P4' "
+        "else concat('P', cast(k % 6 as string)) end as process",
+        "case when k = 99 then null when k % 20 = 0 then ' ' "
+        "else concat('C', cast(k % 20 as string), '_', "
+        "cast(case when event_id % 3 = 0 then event_id % 64 else event_id % 2 end as string)) end "
+        "as driver",
+        "case when event_id % 50 = 1 then null "
+        "when value < (case when k % 6 in (3, 4) then 10 else 20 end) then -100.0d "
+        "when value < 60 then 0.0d else 100.0d end as score",
+        "case when event_id % 7 = 0 then 'n/a' when k % 6 = 5 then 'n/a' "
+        "when k % 6 in (3, 4) then '0' else '0.35' end as target_text",
+        "case when user_id % 3 = 0 then 'SENIOR' else 'NEWBIE' end as segment",
+        "event_id % 10 <> 0 as on_target_channel",
+        "case when user_id % 11 = 0 then 'OTHER' else 'HQ' end as office",
+        "user_id % 9 as training_id",
     )
 
 
 def qa_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders")
-    ck, ok = F.col("o_custkey"), F.col("o_orderkey")
-    sentence = F.when(ck % 13 == 12, F.lit(None).cast("string")).otherwise(
-        F.concat(F.lit("S"), (ck % 13).cast("string")))
-    moment = _cycle(ck, ("OPEN", "OPENING", "EXPLORE", "GUIDE", "CLOSE", "zzz"))
-    value = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Low"))
-             .when(F.col("o_orderpriority") == "2-HIGH", F.lit("LOW"))
-             .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("Mid-low"))
-             .otherwise(F.lit("High")))
-    return o.select(
-        _cycle(ck, _TEAMS5).alias("team"),
-        _cycle(ok, _CHANNELS).alias("channel"),
-        F.when(F.col("o_orderstatus") == "P", F.lit("Other")).otherwise(F.lit("Official")).alias("reason"),
-        F.when(ok % 9 == 0, F.lit("Other")).otherwise(F.lit("Official")).alias("metric_type"),
-        F.date_add(F.to_date("o_orderdate"), QA_SHIFT).alias("assigned_date"),
-        ((ok % 101) / F.lit(100.0)).alias("qa_total"),
-        sentence.alias("sentence"),
-        moment.alias("moment"),
-        value.alias("sentence_value"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        f"{_cycle('o_custkey', _TEAMS5)} as team",
+        f"{_cycle('o_orderkey', _CHANNELS)} as channel",
+        "case when o_orderstatus = 'P' then 'Other' else 'Official' end as reason",
+        "case when o_orderkey % 9 = 0 then 'Other' else 'Official' end as metric_type",
+        f"date_add(to_date(o_orderdate), {QA_SHIFT}) as assigned_date",
+        "(o_orderkey % 101) / 100.0d as qa_total",
+        "case when o_custkey % 13 = 12 then null "
+        "else concat('S', cast(o_custkey % 13 as string)) end as sentence",
+        f"{_cycle('o_custkey', ('OPEN', 'OPENING', 'EXPLORE', 'GUIDE', 'CLOSE', 'zzz'))} as moment",
+        "case o_orderpriority when '1-URGENT' then 'Low' when '2-HIGH' then 'LOW' "
+        "when '3-MEDIUM' then 'Mid-low' else 'High' end as sentence_value",
     )
 
 
 def qa_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
-    pk = F.col("l_partkey")
-    valid = (F.when(F.col("l_linestatus") == "F", F.lit(True))
-             .when(F.col("l_quantity") < 10, F.lit(None).cast("boolean"))
-             .otherwise(F.lit(False)))
-    return li.select(
-        _cycle(F.col("l_suppkey"), _TEAMS5).alias("team"),
-        F.col("l_returnflag").alias("flag_type"),
-        F.concat(F.lit("F"), F.col("l_linenumber").cast("string")).alias("flag"),
-        valid.alias("is_valid"),
-        (F.col("l_tax") < 0.05).alias("not_dup"),
-        F.when(pk % 4 == 0, F.lit("Other")).otherwise(F.lit("QI")).alias("reason"),
-        _cycle(pk, ("TRUE", "true", "false")).alias("picklist_value"),
-        F.when(F.col("l_discount") > 0.08, F.lit(1)).otherwise(F.lit(0)).alias("inappropriate"),
-        F.date_add(F.to_date("l_shipdate"), FLAG_SHIFT).alias("reference_date"),
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        f"{_cycle('l_suppkey', _TEAMS5)} as team",
+        "l_returnflag as flag_type",
+        "concat('F', cast(l_linenumber as string)) as flag",
+        "case when l_linestatus = 'F' then true when l_quantity < 10 then null else false end "
+        "as is_valid",
+        "l_tax < 0.05 as not_dup",
+        "case when l_partkey % 4 = 0 then 'Other' else 'QI' end as reason",
+        f"{_cycle('l_partkey', ('TRUE', 'true', 'false'))} as picklist_value",
+        "case when l_discount > 0.08 then 1 else 0 end as inappropriate",
+        f"date_add(to_date(l_shipdate), {FLAG_SHIFT}) as reference_date",
     )
 
 
@@ -148,27 +126,23 @@ _BUCKET_FACTORS = (1, 8, 15, 22, 6, 13, 20, 4, 11, 18, 2, 9, 16, 23, 7, 14, 21)
 
 
 def agent_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
-    buckets = [(F.col("l_quantity") * f).cast("bigint").alias(f"{b}_s")
+    buckets = [f"cast(l_quantity * {f} as bigint) as {b}_s"
                for b, f in zip(TIME_BUCKETS, _BUCKET_FACTORS)]
-    return li.select(
-        F.col("l_suppkey").alias("agent"),
-        F.date_add(F.to_date("l_shipdate"), TIME_SHIFT).alias("work_date"),
-        F.when(F.col("l_linenumber") == 7, F.lit("LEAD")).otherwise(F.lit("AGENT")).alias("role"),
-        _cycle(F.col("l_suppkey"), _TEAMS5).alias("team"),
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey as agent",
+        f"date_add(to_date(l_shipdate), {TIME_SHIFT}) as work_date",
+        "case when l_linenumber = 7 then 'LEAD' else 'AGENT' end as role",
+        f"{_cycle('l_suppkey', _TEAMS5)} as team",
         *buckets,
     )
 
 
 def training_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders")
-    status = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("TRAINING"))
-              .when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("string"))
-              .otherwise(F.lit("DONE")))
-    return o.select(
-        (F.col("o_custkey") % 20).alias("agent"),
-        F.date_add(F.to_date("o_orderdate"), TIME_SHIFT).alias("work_date"),
-        status.alias("status"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey % 20 as agent",
+        f"date_add(to_date(o_orderdate), {TIME_SHIFT}) as work_date",
+        "case o_orderpriority when '1-URGENT' then 'TRAINING' when '5-LOW' then null "
+        "else 'DONE' end as status",
     )
 
 
