@@ -6,12 +6,12 @@ earlier declaration ``const NAME = JSON.parse(atob("..."));`` (replaced
 when there is no block). Pages without an injection point stay unchanged
 and report the payload as missing.
 
-Which payload text goes into which page is found with equi-joins: the
-injection points of each page are exploded to (page, key) rows, joined to
-the payload table on the key, and grouped back to one small map per page.
-The payload table has one row per configured payload, so it is broadcast
-under that bound; the pages themselves are never shuffled for it except
-for the final join with their (small) maps.
+Publishing is map-only over the pages: for each configured payload the
+page row gets a join key (the payload's name when a cheap substring test
+finds its marker or declaration, else NULL) and is equi-joined to that
+payload's row, which is broadcast (one row per payload: a proven bound).
+Neither the pages nor the payload texts are shuffled, and pages without an
+injection point skip all regular-expression work.
 """
 
 from __future__ import annotations
@@ -51,59 +51,56 @@ def literal_replacement(text: Column) -> Column:
 
 def injection_keys(pages: DataFrame) -> DataFrame:
     """(page_id, key): marker names with a START tag and declared variable
-    names found in each page."""
+    names found in each page (an inventory of injection points)."""
     keys = F.array_distinct(F.concat(F.regexp_extract_all(F.col("html"), F.lit(_START), 1),
                                      F.regexp_extract_all(F.col("html"), F.lit(_DECL), 1)))
     return pages.select("page_id", F.explode(keys).alias("key"))
 
 
 def inject(pages: DataFrame, payloads: DataFrame, slots: Sequence[Slot]) -> DataFrame:
-    """Replace each page's injection points with the payload lines.
+    """Replace each page's injection points with the payload lines, in slot
+    order (a later slot sees the text the earlier ones wrote).
 
-    ``payloads``: (name, js) with ``name`` the slot's marker. Adds
-    ``injected`` and ``missing`` (arrays of marker names) to ``pages``.
+    ``payloads``: (name, js) with ``name`` the slot's marker, at most one
+    row per name. Adds ``injected`` and ``missing`` (marker names).
     """
-    # one row per (key, payload): a payload is found by its marker or its
-    # variable name; a single pass over the payload table
-    var_of = F.create_map(*[x for sl in slots for x in (F.lit(sl.marker), F.lit(sl.var))])
-    key_rows = (payloads.select(
-        F.explode(F.array(F.col("name"), var_of[F.col("name")])).alias("key"), "name", "js")
-        .where(F.col("key").isNotNull()))
-    hits = injection_keys(pages).join(F.broadcast(key_rows), "key", "inner")
-    per_page = (hits.groupBy("page_id")
-                .agg(F.map_from_entries(F.array_distinct(
-                    F.collect_list(F.struct("name", "js")))).alias("inject")))
-    out = pages.join(per_page, "page_id", "left")
-    # One projection per slot, applied in order (a later slot sees the text
-    # the earlier ones wrote). Flags are separate columns so the text column
-    # is referenced, not copied, by the next step.
+    out = pages
     flags = []
+    tmp = []
     for i, s in enumerate(slots):
-        js = F.col("inject")[s.marker]
+        key, js, b, d = f"_k{i}", f"_js{i}", f"_b{i}", f"_d{i}"
+        tmp += [key, js, b, d]
+        html = F.col("html")
+        maybe = (html.contains(f"// __{s.marker}_START__")
+                 | html.contains(f"const {s.var} = JSON.parse(atob("))
+        side = F.broadcast(payloads.where(F.col("name") == F.lit(s.marker))
+                           .select(F.col("name").alias(key), F.col("js").alias(js)))
+        out = (out.withColumn(key, F.when(maybe, F.lit(s.marker)))
+               .join(side, key, "left"))
         block, decl = block_pattern(s.marker), decl_pattern(s.var)
-        b, d = f"_b{i}", f"_d{i}"
-        out = (out.withColumn(b, js.isNotNull() & F.col("html").rlike(block))
-               .withColumn(d, js.isNotNull() & ~F.col(b) & F.col("html").rlike(decl)))
-        framed = F.concat(F.lit(f"// __{s.marker}_START__\n"), js,
+        out = (out.withColumn(b, F.col(js).isNotNull() & html.rlike(block))
+               .withColumn(d, F.col(js).isNotNull() & ~F.col(b) & html.rlike(decl)))
+        framed = F.concat(F.lit(f"// __{s.marker}_START__\n"), F.col(js),
                           F.lit(f"\n// __{s.marker}_END__"))
         out = out.withColumn("html", F.when(F.col(b), F.regexp_replace(
-            F.col("html"), F.lit(block), literal_replacement(framed)))
-            .when(F.col(d), F.regexp_replace(F.col("html"), F.lit(decl), literal_replacement(js)))
-            .otherwise(F.col("html")))
+            html, F.lit(block), literal_replacement(framed)))
+            .when(F.col(d), F.regexp_replace(html, F.lit(decl), literal_replacement(F.col(js))))
+            .otherwise(html))
         flags.append(F.when(F.col(b) | F.col(d), F.lit(s.marker)))
     names = F.array(*[F.lit(s.marker) for s in slots])
     out = out.withColumn("injected", F.filter(F.array(*flags), lambda x: x.isNotNull()))
     out = out.withColumn("missing", F.array_except(names, F.col("injected")))
-    return out.drop("inject", *[f"_b{i}" for i in range(len(slots))],
-                    *[f"_d{i}" for i in range(len(slots))])
+    return out.drop(*tmp)
 
 
 def stamp_elements(html: Column, element_ids: Sequence[str], text: Column) -> Column:
-    """Set the text of ``<strong|span ... id="ID" ...>`` elements."""
+    """Set the text of ``<strong|span ... id="ID" ...>`` elements. The
+    regular expression only runs on pages that contain the id at all."""
     for eid in element_ids:
         pat = rf'(<(strong|span)[^>]*id="{re.escape(eid)}"[^>]*>)[^<]*(</(strong|span)>)'
-        html = F.regexp_replace(html, F.lit(pat), F.concat(F.lit("$1"), literal_replacement(text),
-                                                           F.lit("$3")))
+        new = F.regexp_replace(html, F.lit(pat), F.concat(F.lit("$1"), literal_replacement(text),
+                                                          F.lit("$3")))
+        html = F.when(html.contains(f'id="{eid}"'), new).otherwise(html)
     return html
 
 
@@ -113,4 +110,5 @@ def stamp_style(html: Column, style_id: str, text: Column) -> Column:
     old = F.regexp_extract(html, pat, 0)
     new = F.regexp_replace(old, r'(content:\s*")[^"]*(")',
                            F.concat(F.lit("$1"), literal_replacement(text), F.lit("$2")))
-    return F.when(old != F.lit(""), F.replace(html, old, new)).otherwise(html)
+    found = html.contains(f'id="{style_id}"') & (old != F.lit(""))
+    return F.when(found, F.replace(html, old, new)).otherwise(html)
