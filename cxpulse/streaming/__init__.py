@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reports are batch refreshes over a month of facts; nothing in their
+definition has an event-time window, watermark, state or late-data rule,
+so no streaming operator is built. A refresh on new data is a re-run of
+``plans.refresh.run_refresh`` (cheap: every report filters to one month
+first and the inputs are read with pushed-down date ranges).
+"""
