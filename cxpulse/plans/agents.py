@@ -86,7 +86,7 @@ def training_share_by_key(share: DataFrame) -> DataFrame:
 
 def agent_detail(survey: DataFrame, agent_time: DataFrame, scope: Scope,
                  opts: AgentTimeOptions, channel_map: dict,
-                 default_target: float = DEFAULT_TARGET) -> DataFrame:
+                 default_target: float = DEFAULT_TARGET, base: DataFrame | None = None) -> DataFrame:
     """Per team, agent and folded channel, answers, net score and target
     (default when missing), with the agent's training share (1 dp) and
     training hours (1 dp) of the month, 0 when the agent has no time rows.
@@ -94,7 +94,7 @@ def agent_detail(survey: DataFrame, agent_time: DataFrame, scope: Scope,
     Both sides are aggregated before the join (Catalyst does not push
     aggregates through joins), so the join is between two small tables
     keyed by (team, agent)."""
-    s = base_survey(survey, scope)
+    s = base if base is not None else base_survey(survey, scope)
     channel = fold(F.col("channel"), channel_map, keep_others=True)
     by_agent = (s.groupBy(F.col("team"), F.col("agent"), channel.alias("channel"))
                 .agg(scores.n_rows().alias("enc"),

@@ -13,6 +13,7 @@ import datetime as dt
 import os
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,11 +67,12 @@ class Options:
     include_agent_detail: bool = False
 
 
-def build_reports(inp: Inputs, opt: Options) -> dict[str, DataFrame]:
-    """Every report as a lazy DataFrame. R1, R3 and R8 share one filtered
-    survey plan; the caller may persist ``inp.survey`` upstream."""
+def build_reports(inp: Inputs, opt: Options, base: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every report as a lazy DataFrame. R1, R3, R8 and R9 start from one
+    filtered survey plan, ``base`` (pass a persisted one to scan the survey
+    facts once for all four)."""
     sc = opt.scope
-    base = sv.base_survey(inp.survey, sc)
+    base = sv.base_survey(inp.survey, sc) if base is None else base
     weekly_scope = sc.with_as_of(opt.weekly_as_of) if opt.weekly_as_of else sc
     reports = {
         "net_score_monthly": sv.net_score_monthly(inp.survey, sc, base=base),
@@ -85,7 +87,8 @@ def build_reports(inp: Inputs, opt: Options) -> dict[str, DataFrame]:
     }
     if opt.include_agent_detail:
         reports["agent_detail"] = ag.agent_detail(inp.survey, inp.agent_time, sc, opt.agent_time,
-                                                  opt.agent_channel_map, opt.default_target)
+                                                  opt.agent_channel_map, opt.default_target,
+                                                  base=base)
     reports["critical_process_report"] = critical_from(reports, inp.catalog, opt)
     return reports
 
@@ -116,9 +119,14 @@ def run_refresh(spark: SparkSession, inp: Inputs, opt: Options, pages: DataFrame
         counts[name] = int(obs.get["rows"])
         return spark.read.format(fmt).load(path)
 
-    lazy = build_reports(inp, opt)
+    # One month of one segment's surveys, shared by four reports: persisted
+    # for the duration of the refresh (recomputed from lineage if an
+    # executor holding blocks is lost).
+    base = sv.base_survey(inp.survey, opt.scope).persist(StorageLevel.MEMORY_AND_DISK)
+    lazy = build_reports(inp, opt, base=base)
     written = {name: write(df, f"reports/{name}")
                for name, df in lazy.items() if name != "critical_process_report"}
+    base.unpersist()
     written["critical_process_report"] = write(critical_from(written, inp.catalog, opt),
                                                "reports/critical_process_report")
     pay = write(payloads(payload_reports(written, specs), specs), "payloads")
