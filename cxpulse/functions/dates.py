@@ -36,7 +36,10 @@ def week_label(col: Column) -> Column:
 
 
 def stamp(ts: dt.datetime, offset_hours: float = -5.0, fmt: str = "dd/MM/yyyy") -> Column:
-    """Refresh stamp text at a fixed UTC offset, formatted by Spark."""
-    zone = f"{'+' if offset_hours >= 0 else '-'}{int(abs(offset_hours)):02d}:{int(abs(offset_hours) % 1 * 60):02d}"
-    local = F.from_utc_timestamp(F.lit(ts).cast("timestamp"), zone)
-    return F.date_format(local, fmt)
+    """Refresh stamp text: the wall time of ``ts`` at a fixed UTC offset,
+    formatted by Spark. A naive ``ts`` is taken as UTC; the literal is a
+    TIMESTAMP_NTZ, so the session time zone plays no part."""
+    if ts.tzinfo is None:
+        ts = ts.replace(tzinfo=dt.timezone.utc)
+    local = ts.astimezone(dt.timezone(dt.timedelta(hours=offset_hours))).replace(tzinfo=None)
+    return F.date_format(F.lit(local.isoformat(sep=" ")).cast("timestamp_ntz"), fmt)

@@ -47,6 +47,22 @@ def _rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+_DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                  "DATE": "date", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+
+
+def type_mismatches(spark_df, sql: str, con) -> list[str]:
+    """Columns whose Spark type differs from the oracle's DuckDB type."""
+    rel = con.sql(sql)
+    duck_types = {name: str(t) for name, t in zip(rel.columns, rel.types)}
+    out = []
+    for name, spark_type in spark_df.dtypes:
+        want = _DUCK_TO_SPARK.get(duck_types.get(name, "?"), duck_types.get(name, "?"))
+        if want != spark_type:
+            out.append(f"{name}: spark {spark_type} vs oracle {duck_types.get(name)}")
+    return out
+
+
 @dataclass
 class Result:
     name: str

@@ -155,3 +155,15 @@ def test_pick_clamped(spark):
                                "arr array<string>, i int")
     got = [r[0] for r in df.select(pick_clamped(F.col("arr"), F.col("i"))).collect()]
     assert got == ["a", "b", None, None]
+
+
+def test_stamp_ignores_session_time_zone(spark):
+    from cxpulse.functions import stamp
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = spark.range(1).select(stamp(dt.datetime(2024, 1, 17, 3, 30), -5.0,
+                                          "dd/MM/yyyy HH:mm")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == "16/01/2024 22:30"

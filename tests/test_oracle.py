@@ -4,7 +4,7 @@ driver's correctness gate), plus row counts for the rows-only queries."""
 import pytest
 
 import __spark_entry__ as entry
-from cxpulse.testbed.compare import compare, duck
+from cxpulse.testbed.compare import compare, duck, type_mismatches
 
 from .conftest import SF001, SF01
 
@@ -30,9 +30,11 @@ def test_every_query_is_covered():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle_sf01(spark, duck_sf01, name):
-    r = compare(name, QUERIES[name](spark, SF01), ORACLES[name], duck_sf01)
+    df = QUERIES[name](spark, SF01)
+    r = compare(name, df, ORACLES[name], duck_sf01)
     assert r.ok, r.detail
     assert r.rows_spark == EXPECTED_ROWS_SF01[name]
+    assert type_mismatches(df, ORACLES[name], duck_sf01) == []
 
 
 @pytest.mark.parametrize("name", ["driver_detail", "top_drivers", "training_share",
