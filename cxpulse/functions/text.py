@@ -10,7 +10,6 @@ plain digits.
 from __future__ import annotations
 
 import re
-import string
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -19,10 +18,6 @@ from pyspark.sql import functions as F
 _FIELD = re.compile(r"\{([A-Za-z_][A-Za-z0-9_]*)\}")
 
 
-def fields(template: str) -> list[str]:
-    return [name for _, name, _, _ in string.Formatter().parse(template) if name]
-
-
 def render(template: str, values: Mapping[str, Column]) -> Column:
     """Render ``template`` with the given columns (NULL stays NULL)."""
     parts: list[Column] = []

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,24 +25,9 @@ def bounded(df: DataFrame, max_rows: int, why: str) -> DataFrame:
     return F.broadcast(df)
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
-                   how: str = "inner") -> DataFrame:
-    """Equi-join where NULL keys match NULL keys (``<=>``). Spark still plans
-    it as a hash or sort-merge join on (coalesce(key), isnull(key))."""
-    cond = None
-    for lcol, rcol in pairs:
-        c = left[lcol].eqNullSafe(right[rcol])
-        cond = c if cond is None else cond & c
-    return left.join(right, cond, how)
-
-
 def pick_clamped(arr: Column, index0: Column) -> Column:
     """Element ``min(i, n-1)`` of ``arr`` (0-based), NULL when ``arr`` is
     empty or NULL."""
     n = F.size(F.coalesce(arr, F.array()))
     idx = F.least(index0, n - 1)
     return F.when(n > 0, F.get(arr, idx))
-
-
-def with_default(value: Column, default: Column) -> Column:
-    return F.coalesce(value, default)

@@ -23,10 +23,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_START = r"// __([A-Za-z0-9_]+)_START__"
-_DECL = r'const ([A-Za-z_$][A-Za-z0-9_$]*) = JSON\.parse\(atob\("[A-Za-z0-9+/=]*"\)\);'
-
-
 @dataclass(frozen=True)
 class Slot:
     """One payload's injection point: marker name and JS variable name."""
@@ -49,14 +45,6 @@ def literal_replacement(text: Column) -> Column:
     return F.regexp_replace(text, r"([\\$])", r"\\$1")
 
 
-def injection_keys(pages: DataFrame) -> DataFrame:
-    """(page_id, key): marker names with a START tag and declared variable
-    names found in each page (an inventory of injection points)."""
-    keys = F.array_distinct(F.concat(F.regexp_extract_all(F.col("html"), F.lit(_START), 1),
-                                     F.regexp_extract_all(F.col("html"), F.lit(_DECL), 1)))
-    return pages.select("page_id", F.explode(keys).alias("key"))
-
-
 def inject(pages: DataFrame, payloads: DataFrame, slots: Sequence[Slot]) -> DataFrame:
     """Replace each page's injection points with the payload lines, in slot
     order (a later slot sees the text the earlier ones wrote).

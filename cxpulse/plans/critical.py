@@ -147,7 +147,9 @@ def top_drivers(drivers: DataFrame, critical: DataFrame, n_teams: int,
     out = (ranked.join(crit, (ranked["team"] == crit["c_team"])
                        & ranked["process"].eqNullSafe(crit["c_process"]), "inner")
            .drop("c_team", "c_process"))
-    team = Window.partitionBy("team")
+    # One critical process per team, so (team, process) groups are the team
+    # groups; partitioning by both reuses the ranking's partitioning (no shuffle).
+    team = Window.partitionBy("team", "process")
     return (out.withColumn("incoming_total", F.sum("incoming").over(team))
             .withColumn("cohorts_max", F.max("cohorts").over(team)))
 

@@ -61,3 +61,22 @@ def test_no_python_in_plans(spark, name):
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                  "PythonUDF"):
         assert node not in plan
+
+
+@pytest.mark.parametrize("name", ["net_score_monthly", "score_weekly", "score_by_process",
+                                  "driver_detail", "qa_by_channel", "behaviour_counts",
+                                  "flag_matrix", "training_share", "agent_detail",
+                                  "critical_process", "top_drivers", "top_behaviours",
+                                  "critical_process_report"])
+def test_only_combined_rows_are_shuffled(spark, name):
+    """Every shuffle's input is a (partial) aggregate or a partial top-k:
+    raw fact rows never cross the network, so a hot key sends one combined
+    row (or k rows) per task."""
+    lines = physical(entry.queries()[name](spark, SF001)).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line or "Exchange SinglePartition" in line:
+            j = i + 1
+            while any(op in lines[j] for op in ("+- Project", "+- Filter")):
+                j += 1                       # look through projections and filters
+            assert any(op in lines[j] for op in ("HashAggregate", "ObjectHashAggregate",
+                                                 "WindowGroupLimit")), (line, lines[j])
