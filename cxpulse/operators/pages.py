@@ -6,12 +6,11 @@ earlier declaration ``const NAME = JSON.parse(atob("..."));`` (replaced
 when there is no block). Pages without an injection point stay unchanged
 and report the payload as missing.
 
-Publishing is map-only over the pages: for each configured payload the
-page row gets a join key (the payload's name when a cheap substring test
-finds its marker or declaration, else NULL) and is equi-joined to that
-payload's row, which is broadcast (one row per payload: a proven bound).
-Neither the pages nor the payload texts are shuffled, and pages without an
-injection point skip all regular-expression work.
+Publishing is map-only over the pages: each configured payload's text
+(one row per payload name) is a scalar subquery, which Spark computes once,
+in parallel with the others, and ships with the tasks like a broadcast
+value. Pages are never shuffled, and pages without an injection point (a
+cheap substring test) skip all regular-expression work.
 """
 
 from __future__ import annotations
@@ -56,15 +55,14 @@ def inject(pages: DataFrame, payloads: DataFrame, slots: Sequence[Slot]) -> Data
     flags = []
     tmp = []
     for i, s in enumerate(slots):
-        key, js, b, d = f"_k{i}", f"_js{i}", f"_b{i}", f"_d{i}"
-        tmp += [key, js, b, d]
+        js, b, d = f"_js{i}", f"_b{i}", f"_d{i}"
+        tmp += [js, b, d]
         html = F.col("html")
         maybe = (html.contains(f"// __{s.marker}_START__")
                  | html.contains(f"const {s.var} = JSON.parse(atob("))
-        side = F.broadcast(payloads.where(F.col("name") == F.lit(s.marker))
-                           .select(F.col("name").alias(key), F.col("js").alias(js)))
-        out = (out.withColumn(key, F.when(maybe, F.lit(s.marker)))
-               .join(side, key, "left"))
+        # exactly one row per payload name, else Spark raises
+        text = payloads.where(F.col("name") == F.lit(s.marker)).select("js").scalar()
+        out = out.withColumn(js, F.when(maybe, text))
         block, decl = block_pattern(s.marker), decl_pattern(s.var)
         out = (out.withColumn(b, F.col(js).isNotNull() & html.rlike(block))
                .withColumn(d, F.col(js).isNotNull() & ~F.col(b) & html.rlike(decl)))
