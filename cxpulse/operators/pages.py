@@ -44,57 +44,74 @@ def literal_replacement(text: Column) -> Column:
     return F.regexp_replace(text, r"([\\$])", r"\\$1")
 
 
+# A pattern that never matches: the rewrite of a slot that does not apply.
+_NO_MATCH = "(?!)"
+
+
 def inject(pages: DataFrame, payloads: DataFrame, slots: Sequence[Slot]) -> DataFrame:
-    """Replace each page's injection points with the payload lines, in slot
-    order (a later slot sees the text the earlier ones wrote).
+    """Replace each page's injection points with the payload lines.
 
     ``payloads``: (name, js) with ``name`` the slot's marker, at most one
     row per name. Adds ``injected`` and ``missing`` (marker names).
+
+    Which slots apply is decided on the page's original text (markers and
+    variable names of different slots are distinct, and an inserted line
+    creates no other slot's injection point), and the text is then rewritten
+    slot by slot with one ``regexp_replace`` each, whose pattern is chosen
+    per row. Every step refers to the previous text exactly once, so the
+    plan stays linear in the number of slots even when later filters are
+    pushed down through it.
     """
-    out = pages
-    flags = []
-    tmp = []
+    html = F.col("html")
+    texts, flags = {}, {}
     for i, s in enumerate(slots):
-        js, b, d = f"_js{i}", f"_b{i}", f"_d{i}"
-        tmp += [js, b, d]
-        html = F.col("html")
         maybe = (html.contains(f"// __{s.marker}_START__")
                  | html.contains(f"const {s.var} = JSON.parse(atob("))
         # exactly one row per payload name, else Spark raises
         text = payloads.where(F.col("name") == F.lit(s.marker)).select("js").scalar()
-        out = out.withColumn(js, F.when(maybe, text))
-        block, decl = block_pattern(s.marker), decl_pattern(s.var)
-        out = (out.withColumn(b, F.col(js).isNotNull() & html.rlike(block))
-               .withColumn(d, F.col(js).isNotNull() & ~F.col(b) & html.rlike(decl)))
-        framed = F.concat(F.lit(f"// __{s.marker}_START__\n"), F.col(js),
+        texts[f"_js{i}"] = F.when(maybe, text)
+    out = pages.withColumns(texts)
+    for i, s in enumerate(slots):
+        has = F.col(f"_js{i}").isNotNull()
+        block = html.rlike(block_pattern(s.marker))
+        flags[f"_b{i}"] = has & block
+        flags[f"_d{i}"] = has & ~block & html.rlike(decl_pattern(s.var))
+    out = out.withColumns(flags)
+    for i, s in enumerate(slots):
+        b, d, js = F.col(f"_b{i}"), F.col(f"_d{i}"), F.col(f"_js{i}")
+        framed = F.concat(F.lit(f"// __{s.marker}_START__\n"), js,
                           F.lit(f"\n// __{s.marker}_END__"))
-        out = out.withColumn("html", F.when(F.col(b), F.regexp_replace(
-            html, F.lit(block), literal_replacement(framed)))
-            .when(F.col(d), F.regexp_replace(html, F.lit(decl), literal_replacement(F.col(js))))
-            .otherwise(html))
-        flags.append(F.when(F.col(b) | F.col(d), F.lit(s.marker)))
+        pattern = (F.when(b, F.lit(block_pattern(s.marker)))
+                   .when(d, F.lit(decl_pattern(s.var))).otherwise(F.lit(_NO_MATCH)))
+        replacement = (F.when(b, literal_replacement(framed))
+                       .when(d, literal_replacement(js)).otherwise(F.lit("")))
+        out = out.withColumn("html", F.regexp_replace(F.col("html"), pattern, replacement))
     names = F.array(*[F.lit(s.marker) for s in slots])
-    out = out.withColumn("injected", F.filter(F.array(*flags), lambda x: x.isNotNull()))
+    done = F.array(*[F.when(F.col(f"_b{i}") | F.col(f"_d{i}"), F.lit(s.marker))
+                     for i, s in enumerate(slots)])
+    out = out.withColumn("injected", F.filter(done, lambda x: x.isNotNull()))
     out = out.withColumn("missing", F.array_except(names, F.col("injected")))
-    return out.drop(*tmp)
+    return out.drop(*texts, *flags)
 
 
 def stamp_elements(html: Column, element_ids: Sequence[str], text: Column) -> Column:
     """Set the text of ``<strong|span ... id="ID" ...>`` elements. The
-    regular expression only runs on pages that contain the id at all."""
+    regular expression only runs on pages that contain the id at all
+    (otherwise the pattern never matches); each id refers to the previous
+    text once."""
     for eid in element_ids:
         pat = rf'(<(strong|span)[^>]*id="{re.escape(eid)}"[^>]*>)[^<]*(</(strong|span)>)'
-        new = F.regexp_replace(html, F.lit(pat), F.concat(F.lit("$1"), literal_replacement(text),
-                                                          F.lit("$3")))
-        html = F.when(html.contains(f'id="{eid}"'), new).otherwise(html)
+        pattern = F.when(html.contains(f'id="{eid}"'), F.lit(pat)).otherwise(F.lit(_NO_MATCH))
+        html = F.regexp_replace(html, pattern, F.concat(F.lit("$1"), literal_replacement(text),
+                                                        F.lit("$3")))
     return html
 
 
 def stamp_style(html: Column, style_id: str, text: Column) -> Column:
-    """Set ``content:"..."`` inside ``<style id="ID">``."""
+    """Set ``content:"..."`` inside ``<style id="ID">`` (the block is cut out,
+    rewritten and put back with a literal replace; no block, no change)."""
     pat = rf'(?s)<style[^>]*id="{re.escape(style_id)}"[^>]*>.*?</style>'
     old = F.regexp_extract(html, pat, 0)
     new = F.regexp_replace(old, r'(content:\s*")[^"]*(")',
                            F.concat(F.lit("$1"), literal_replacement(text), F.lit("$2")))
-    found = html.contains(f'id="{style_id}"') & (old != F.lit(""))
-    return F.when(found, F.replace(html, old, new)).otherwise(html)
+    return F.replace(html, old, new)

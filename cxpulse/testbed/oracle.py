@@ -384,6 +384,25 @@ left join ti on ti.team = d.team
 left join tb t1 on t1.team = d.team and t1.rank = 1
 left join tb ch on ch.team = d.team and ch.rank = least(d.num, ti.n)""")
 
+# --- publishing round trips -------------------------------------------------
+
+PAYLOAD_MONTHLY_ROWS = NET_SCORE_MONTHLY
+
+_BY_PROCESS_ONLY = _with(["survey"], _BY_PROCESS + "\nselect * from p3")
+
+PUBLISHED_PAGES_CHECK = _with(["survey"], f"""
+r1 as (
+  select team, count(*) as enc from survey where {_base(MONTH)} group by team),
+r3 as (
+  select team, process, count(*) as enc from survey where {_base(MONTH)} group by team, process)
+select page_id,
+  (select count(*) from r1)::integer as monthly_rows,
+  (select cast(sum(enc) as bigint) from r1) as monthly_enc,
+  (select count(*) from r3)::integer as process_rows,
+  (select cast(sum(enc) as bigint) from r3) as process_enc
+from pages
+where page_id % 3 in (0, 1)""")
+
 
 def all_sql() -> dict[str, str]:
     return {
@@ -401,4 +420,6 @@ def all_sql() -> dict[str, str]:
         "top_drivers": TOP_DRIVERS,
         "top_behaviours": TOP_BEHAVIOURS,
         "driver_coaching": DRIVER_COACHING,
+        "payload_monthly_rows": PAYLOAD_MONTHLY_ROWS,
+        "published_pages_check": PUBLISHED_PAGES_CHECK,
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import agents as ag
@@ -131,6 +131,37 @@ def publish(spark: SparkSession, sf_dir: str) -> DataFrame:
                          tb.REFRESHED_AT, STAMP)
 
 
+_MONTHLY_ROWS = "array<struct<team:string,enc:bigint,pro:bigint,neu:bigint,det:bigint,nps_score:double>>"
+_PROCESS_ROWS = "array<struct<team:string,process:string,enc:bigint,nps:double,target:double,pct:double>>"
+
+
+def payload_monthly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R11 round trip: the monthly payload decoded back into R1's rows."""
+    p = report_payload(spark, sf_dir).where(F.col("name") == "NET_SCORE_MONTHLY")
+    text = F.decode(F.unbase64(F.col("b64")), "UTF-8")
+    rows = p.select(F.explode(F.from_json(text, _MONTHLY_ROWS)).alias("r"))
+    return rows.select("r.team", "r.enc", "r.pro", "r.neu", "r.det", "r.nps_score")
+
+
+def _embedded(var: str, schema: str) -> Column:
+    b64 = F.regexp_extract(F.col("html"), rf'const {var} = JSON\.parse\(atob\("([A-Za-z0-9+/=]*)"\)\);', 1)
+    return F.from_json(F.decode(F.unbase64(b64), "UTF-8"), schema)
+
+
+def published_pages_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R12 round trip: per page that received them, the monthly and
+    by-process payloads decoded from the published HTML and summarised."""
+    pages = publish(spark, sf_dir).where(F.array_contains("injected", "SCORE_BY_PROCESS"))
+    monthly = _embedded("monthly", _MONTHLY_ROWS)
+    by_process = _embedded("byProcess", _PROCESS_ROWS)
+    return pages.select(
+        "page_id",
+        F.size(monthly).alias("monthly_rows"),
+        F.aggregate(monthly, F.lit(0).cast("bigint"), lambda a, x: a + x["enc"]).alias("monthly_enc"),
+        F.size(by_process).alias("process_rows"),
+        F.aggregate(by_process, F.lit(0).cast("bigint"), lambda a, x: a + x["enc"]).alias("process_enc"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "net_score_monthly": net_score_monthly,
@@ -150,4 +181,6 @@ def all_queries() -> dict[str, Query]:
         "critical_process_report": critical_process_report,
         "report_payload": report_payload,
         "publish_pages": publish,
+        "payload_monthly_rows": payload_monthly_rows,
+        "published_pages_check": published_pages_check,
     }
