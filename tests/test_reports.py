@@ -3,8 +3,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from cxpulse.params import AgentTimeOptions, FlagOptions, QaOptions, Scope
 from cxpulse.plans import agents as ag
 from cxpulse.plans import qa
@@ -150,4 +148,3 @@ def test_flag_matrix_is_true_semantics(spark):
     ], "team string, flag_type string, flag string, is_valid boolean, not_dup boolean, "
        "reason string, picklist_value string, inappropriate int, reference_date date")
     assert rows(qa.flag_matrix(flags, SCOPE, FlagOptions(reason="QI"))) == [("A", "T", "F1", 2)]
-    assert F is not None
