@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from ..params import DEFAULT_TARGET, AgentTimeOptions, FlagOptions, QaOptions, Scope
 from . import agents as ag
 from . import critical as cr
@@ -106,10 +107,16 @@ def payload_reports(reports: dict[str, DataFrame],
 
 
 def run_refresh(spark: SparkSession, inp: Inputs, opt: Options, pages: DataFrame,
-                out_dir: str, refreshed_at: dt.datetime, stamp: StampSpec = StampSpec(),
+                out_dir: str | None, refreshed_at: dt.datetime, stamp: StampSpec = StampSpec(),
                 specs=DEFAULT_PAYLOADS) -> dict[str, int]:
     """Materialise reports, payloads and pages under ``out_dir``; return
-    row counts per output (from observed metrics)."""
+    row counts per output (from observed metrics).
+
+    ``out_dir=None`` writes under the shared folder the cluster names in
+    ``spark.checkpoint.dir`` (one sub-folder per refresh time)."""
+    if out_dir is None:
+        run = refreshed_at.strftime("%Y%m%dT%H%M%S")
+        out_dir = os.path.join(checkpoint_dir(spark), "cxpulse-refresh", run)
     counts: dict[str, int] = {}
 
     def write(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:

@@ -36,6 +36,15 @@ def test_run_refresh_writes_and_counts(spark):
     assert pages.where("size(injected) = 6").count() > 0
 
 
+def test_run_refresh_default_folder_is_under_checkpoint_dir(spark):
+    slots = [s.slot for s in rf.DEFAULT_PAYLOADS]
+    at = dt.datetime(2024, 1, 17, 16, 5, 42)
+    counts = rf.run_refresh(spark, q._inputs(spark, SF001), q.options(),
+                            tb.pages_with_slots(spark, SF001, slots), None, at)
+    out = os.path.join(checkpoint_dir(spark), "cxpulse-refresh", "20240117T160542")
+    assert spark.read.parquet(os.path.join(out, "payloads")).count() == counts["payloads"] == 6
+
+
 def test_presentation_order(spark):
     df = spark.createDataFrame([("b", 1, "x"), ("a", 1, "y"), ("a", 5, None)],
                                "team string, enc long, process string")
