@@ -1,0 +1,104 @@
+"""R10 ranking stages against brute force: plain Python written from the
+step definitions (SURVEY §2.11, R10 steps 2-4), on seeded random
+aggregated inputs with many ties, zero / NULL targets and NULL processes."""
+
+import random
+
+import pytest
+
+from cxpulse.plans import critical as cr
+from cxpulse.sources.catalog import catalog_from_rows
+
+from .test_critical import BEHAVIOURS, BY_PROCESS, DRIVERS
+
+DEF = 69.5
+
+
+def gen(seed):
+    rnd = random.Random(seed)
+    teams = ["A", "B", "C", "D"]
+    procs = ["P1", "P2", "P3", None]
+    by_process = []
+    for t in teams[:3]:
+        for p in rnd.sample(procs, rnd.randint(1, 4)):
+            by_process.append((t, p, rnd.choice([5, 10, 10, 20]), float(rnd.choice([-10, 0, 50, 60, 80])),
+                               rnd.choice([None, 0.0, 35.0, 60.0]), 25.0))
+    drivers = []
+    for t in teams:
+        for p in procs:
+            for d in range(rnd.randint(0, 6)):
+                drivers.append((t, p, f"d{d}", rnd.choice([3, 4, 4, 8]),
+                                float(rnd.choice([-20, 0, 40, 45, 90])),
+                                rnd.choice([None, 0.0, 60.0]), rnd.randint(0, 3), 10.0))
+    behaviours = []
+    for t in teams:
+        for s in rnd.sample([f"S{i}" for i in range(8)], rnd.randint(0, 7)):
+            behaviours.append((t, s, rnd.choice([None, "1-OPEN", "2-X"]), rnd.randint(1, 30),
+                               rnd.choice([0, 1, 2, 2, 5])))
+    return by_process, drivers, behaviours
+
+
+def _nk(v):
+    return (v is not None, v or "")            # NULL first, then text order
+
+
+def brute_critical(by_process):
+    out = {}
+    for t in sorted({r[0] for r in by_process}):
+        rows = [r for r in by_process if r[0] == t]
+        tgt = {id(r): (r[4] if r[4] else DEF) for r in rows}     # zero or NULL -> default
+        below = [r for r in rows if r[3] < tgt[id(r)]]
+        pool = below or rows
+        best = sorted(pool, key=lambda r: (-r[2], r[3], _nk(r[1])))[0]
+        out[t] = (best[1], tgt[id(best)])
+    return out
+
+
+def brute_top_drivers(drivers, crit, k=3):
+    out = {}
+    for t, (proc, _) in crit.items():
+        rows = [r for r in drivers if r[0] == t and r[1] == proc]
+        tg = {id(r): (r[5] if r[5] is not None else DEF) for r in rows}   # only NULL -> default
+        below = [r for r in rows if r[4] < tg[id(r)] and r[3] >= 3]
+        rest = [r for r in rows if r not in below]
+        ranked = (sorted(below, key=lambda r: (-r[3], -(tg[id(r)] - r[4]), r[2]))
+                  + sorted(rest, key=lambda r: (-r[3], r[2])))
+        out[t] = [r[2] for r in ranked[:k]]
+    return out
+
+
+def brute_top_behaviours(behaviours, k=5):
+    out = {}
+    for t in {r[0] for r in behaviours}:
+        rows = [r for r in behaviours if r[0] == t and r[4] > 0]
+        rows = sorted(rows, key=lambda r: (-r[4], r[1], _nk(r[2])))[:k]
+        if rows:
+            out[t] = [(r[1], r[2]) for r in rows]
+    return out
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13, 14])
+def test_ranking_stages_match_brute_force(spark, seed):
+    by_process, drivers, behaviours = gen(seed)
+    bp = spark.createDataFrame(by_process, BY_PROCESS)
+    dr = spark.createDataFrame(drivers, DRIVERS)
+    be = spark.createDataFrame(behaviours, BEHAVIOURS)
+    cat = catalog_from_rows(spark, [{"sentence": "S1", "label": "one"}])
+
+    crit = cr.critical_process(bp)
+    want_crit = brute_critical(by_process)
+    got_crit = {r.team: (r.process, r.target) for r in crit.collect()}
+    assert got_crit == want_crit
+
+    got_top = {}
+    for r in cr.top_drivers(dr, crit, 4).collect():
+        got_top.setdefault(r.team, []).append((r.num, r.driver))
+    got_top = {t: [d for _, d in sorted(v)] for t, v in got_top.items()}
+    want_top = {t: v for t, v in brute_top_drivers(drivers, want_crit).items() if v}
+    assert got_top == want_top
+
+    got_beh = {}
+    for r in cr.top_behaviours(be, cat).collect():
+        got_beh.setdefault(r.team, []).append((r.rank, r.sentence, r.moment))
+    got_beh = {t: [(s, m) for _, s, m in sorted(v)] for t, v in got_beh.items()}
+    assert got_beh == brute_top_behaviours(behaviours)
