@@ -62,6 +62,11 @@ def sort_key(cols: Sequence[tuple[str, bool]]) -> Column:
 
 def row_objects(df: DataFrame, order: Sequence[tuple[str, bool]]) -> Column:
     """Aggregate: all rows as an ordered array of structs (for ``agg``)."""
+    types = dict(df.dtypes)
+    for name, ascending in order:
+        if not ascending and types.get(name) not in ("tinyint", "smallint", "int", "bigint",
+                                                     "float", "double"):
+            raise ValueError(f"descending payload order needs a numeric column: {name}")
     row = F.struct(*[F.col(c) for c in df.columns])
     arr = F.array_sort(F.collect_list(F.struct(sort_key(order).alias("k"), row.alias("r"))))
     return F.transform(arr, lambda x: x["r"])

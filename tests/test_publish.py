@@ -40,6 +40,13 @@ def test_payload_descending_order(spark):
     assert [(r["team"], r["enc"]) for r in json.loads(p.json)] == [("a", 5), ("a", 1), ("b", 3)]
 
 
+def test_payload_descending_text_key_rejected(spark):
+    import pytest
+    df = spark.createDataFrame([("a", 1)], "team string, enc long")
+    with pytest.raises(ValueError):
+        as_payload(df, PayloadSpec("P", "p", (("team", False),)))
+
+
 def test_report_rows(spark):
     df = spark.createDataFrame([("a", None)], "team string, x double")
     r = report_rows(df, "R").first()
