@@ -384,6 +384,51 @@ left join ti on ti.team = d.team
 left join tb t1 on t1.team = d.team and t1.rank = 1
 left join tb ch on ch.team = d.team and ch.rank = least(d.num, ti.n)""")
 
+CRITICAL_REPORT_DRIVERS = _with(["survey", "qa_eval", "catalog"], _CRIT + _DRIVERS + "," + _BEHAVIOURS + """,
+team_tot as (
+  select team, cast(sum(incoming) as bigint) as incoming_total, max(cohorts) as cohorts
+  from tops group by team)
+select c.team, c.process,
+  'Process with the largest negative impact for ' || c.team || '. Gap of '
+  || cast(abs(c.gap) as varchar) || ' p.p. vs target (' || cast(c.target as varchar) || '%) over '
+  || cast(c.enc as varchar) || ' surveys (' || cast(c.pct as varchar) || '% of the team''s incoming).'
+  as process_desc,
+  coalesce(tt.incoming_total, 0) as incoming_total, coalesce(tt.cohorts, 0) as cohorts,
+  c.nps, c.gap as gap_total,
+  case when ti.n >= 2 then 'The two most flagged behaviours (' || ti.l1 || ' and ' || ti.l2
+         || ') add up to ' || cast(ti.v1 + ti.v2 as varchar) || ' records.'
+       when ti.n = 1 then 'Most flagged behaviour: ' || ti.l1 || ' with ' || cast(ti.v1 as varchar)
+         || ' records.'
+       else 'Not enough behaviour data for the period.' end as behaviour_insight,
+  cast(coalesce(ti.n, 0) as integer) as n_gaps,
+  d.num, d.driver, d.gap, d.incoming,
+  case when d.num is null then null when d.num = 1 then
+    'Most frequent driver: ' || cast(d.cohorts as varchar) || ' cohort(s), ' || cast(d.incoming as varchar)
+    || ' surveys. Gap of ' || cast(abs(d.gap_pp) as varchar) || ' p.p. vs a ' || cast(d.target as varchar)
+    || '% target.'
+  else
+    'Gap of ' || cast(abs(d.gap_pp) as varchar) || ' p.p. vs a ' || cast(d.target as varchar)
+    || '% target across ' || cast(d.cohorts as varchar) || ' cohort(s) and ' || cast(d.incoming as varchar)
+    || ' surveys.'
+  end as why,
+  case when d.num is null then null
+       else coalesce(t1.error_text, 'Most critical behaviour found: ' || coalesce(t1.label, '') || '.') end
+    as error,
+  case when d.num is null then null
+       when t1.sentence is not null
+       then 'Gap in ' || t1.label || ': the most critical behaviour seen in the period''s contacts.'
+       else '-' end as behaviour_gap,
+  case when d.num is null then null when ch.a_title is not null then ch.a_title
+       else 'Priority found: activity being prepared' end as activity_title,
+  case when d.num is null then null when ch.a_title is not null then array_to_string(ch.a_tags, '|')
+       else '' end as activity_tags
+from crit c
+left join tops d on d.team = c.team
+left join team_tot tt on tt.team = c.team
+left join ti on ti.team = c.team
+left join tb t1 on t1.team = c.team and t1.rank = 1
+left join tb ch on ch.team = c.team and ch.rank = least(d.num, ti.n)""")
+
 # --- publishing round trips -------------------------------------------------
 
 PAYLOAD_MONTHLY_ROWS = NET_SCORE_MONTHLY
@@ -422,6 +467,7 @@ def all_sql() -> dict[str, str]:
         "top_drivers": TOP_DRIVERS,
         "top_behaviours": TOP_BEHAVIOURS,
         "driver_coaching": DRIVER_COACHING,
+        "critical_report_drivers": CRITICAL_REPORT_DRIVERS,
         "payload_monthly_rows": PAYLOAD_MONTHLY_ROWS,
         "published_pages_check": PUBLISHED_PAGES_CHECK,
     }

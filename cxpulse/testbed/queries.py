@@ -131,6 +131,21 @@ def publish(spark: SparkSession, sf_dir: str) -> DataFrame:
                          tb.REFRESHED_AT, STAMP)
 
 
+def critical_report_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R10 nested report flattened for the oracle: one row per (team,
+    driver), team fields repeated; a team without drivers keeps one row."""
+    rep = critical_process_report(spark, sf_dir)
+    d = rep.select("*", F.explode_outer("drivers").alias("d"))
+    return d.select(
+        "team", "process", "process_desc", "incoming_total", "cohorts", "nps", "gap_total",
+        "behaviour_insight", F.size("behaviour_gaps").alias("n_gaps"),
+        F.col("d.num").alias("num"), F.col("d.name").alias("driver"), F.col("d.gap").alias("gap"),
+        F.col("d.incoming").alias("incoming"), F.col("d.why").alias("why"),
+        F.col("d.error").alias("error"), F.col("d.behaviour_gap").alias("behaviour_gap"),
+        F.col("d.activity.title").alias("activity_title"),
+        F.array_join(F.col("d.activity.tags"), "|").alias("activity_tags"))
+
+
 _MONTHLY_ROWS = "array<struct<team:string,enc:bigint,pro:bigint,neu:bigint,det:bigint,nps_score:double>>"
 _PROCESS_ROWS = "array<struct<team:string,process:string,enc:bigint,nps:double,target:double,pct:double>>"
 
@@ -187,6 +202,7 @@ def all_queries() -> dict[str, Query]:
         "critical_process_report": critical_process_report,
         "report_payload": report_payload,
         "publish_pages": publish,
+        "critical_report_drivers": critical_report_drivers,
         "payload_monthly_rows": payload_monthly_rows,
         "published_pages_check": published_pages_check,
     }

@@ -18,6 +18,7 @@ EXPECTED_ROWS_SF01 = {
     "driver_detail": 398, "agent_detail": 364, "critical_process": 4, "top_drivers": 12,
     "top_behaviours": 20, "driver_coaching": 12, "critical_process_report": 4,
     "report_payload": 6, "publish_pages": 250, "payload_monthly_rows": 4,
+    "critical_report_drivers": 12,
     "published_pages_check": 250,
 }
 
