@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from cxpulse.llm import exact_dedup, mixing
+from cxpulse.llm import exact_dedup, minhash, mixing, url_rules
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op4_url_rules": url_rules.op4_url_rules,
+    "op6_near_duplicates": minhash.op6_near_duplicates,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
