@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from cxpulse.llm import exact_dedup, minhash, mixing, toxicity, url_rules, vafile
+from cxpulse.llm import exact_dedup, minhash, mixing, packing, toxicity, url_rules, vafile
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
     "op4_url_rules": url_rules.op4_url_rules,
     "op6_near_duplicates": minhash.op6_near_duplicates,
+    "op7_pack": packing.op7_pack,
     "op8_vafile_topk": vafile.op8_vafile_topk,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
