@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cxpulse.llm import exact_dedup, minhash, mixing, packing, toxicity, url_rules, vafile
+from cxpulse.llm import exact_dedup, licenses, minhash, mixing, packing, toxicity, url_rules, vafile
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op4_url_rules": url_rules.op4_url_rules,
     "op6_near_duplicates": minhash.op6_near_duplicates,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_license_scan": licenses.SQL,
     "op2_mix_sources": mixing.SQL,
     "op8_vafile_topk": vafile.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
