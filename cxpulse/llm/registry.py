@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cxpulse.llm import exact_dedup, html_text, licenses, minhash, mixing, packing, toxicity, url_rules, vafile
+from cxpulse.llm import exact_dedup, html_text, licenses, minhash, mixing, packing, repeats, toxicity, url_rules, vafile
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_remove_repeats": repeats.op3_remove_repeats,
     "op4_url_rules": url_rules.op4_url_rules,
     "op5_html_text": html_text.op5_html_text,
     "op6_near_duplicates": minhash.op6_near_duplicates,
