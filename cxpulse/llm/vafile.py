@@ -83,9 +83,10 @@ def _blocks(k: int):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for r in part.itertuples():
-                v = np.frombuffer(r.vectors, np.float64).reshape(-1, r.dim)
-                q = np.frombuffer(r.q_vectors, np.float64).reshape(-1, r.dim)
-                found = search(np.frombuffer(r.ids, np.int64), v, np.frombuffer(r.q_ids, np.int64), q, k)
+                ids, q_ids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.q_ids, np.int64)
+                v = np.frombuffer(r.vectors, np.float64).reshape(len(ids), r.dim)
+                q = np.frombuffer(r.q_vectors, np.float64).reshape(len(q_ids), r.dim)
+                found = search(ids, v, q_ids, q, k)
                 found = [x for x in found if -(1 << 63) <= x[2] < 1 << 63]
                 yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
     return run
