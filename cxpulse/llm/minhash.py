@@ -12,9 +12,9 @@ documents are linked when 100 * intersection >= 80 * union.
   probability (1 - 0.8 ** ROWS) ** BANDS = 4e-7.
 * Documents of a bucket are verified against the bucket's centre, not against
   each other. What stays apart after that (documents of one bucket in different
-  components) is compared by signature, in blocks spread over tasks, and pairs
-  whose estimate reaches ``PRUNE`` (5 standard errors under the threshold) are
-  verified on full sets. No bucket is cut or dropped.
+  components) is compared by signature, in blocks spread over tasks, and where the
+  estimate reaches ``PRUNE`` (5 standard errors under the threshold) on full
+  sets, in the same task: only links leave it. No bucket is cut or dropped.
 * Centres with many members are split into blocks of ``BLOCK`` members.
 """
 
@@ -34,7 +34,7 @@ SHINGLE = 4
 BANDS, ROWS = 28, 4
 PERCENT = 80
 PRUNE = 0.61
-BLOCK = 1000
+BLOCK = 500
 _HASHES = BANDS * ROWS
 _rng = np.random.default_rng(20240117)
 _A = _rng.integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,52 +116,75 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return grouped.mapInArrow(_verify, "u long, v long").distinct()
 
 
+def _linked_across(left: list[tuple], right: list[tuple]) -> tuple[list[int], list[int]]:
+    """Linked pairs of different components between two lists of (doc_id, comp,
+    sig, set): signatures first, then the full sets."""
+    u: list[int] = []
+    v: list[int] = []
+    if not left or not right:
+        return u, v
+    sigs = np.frombuffer(b"".join(r[2] for r in left), np.uint32).reshape(-1, _HASHES)
+    ids, comps, sizes = (np.array(x) for x in zip(*((r[0], r[1], len(r[3])) for r in left)))
+    flat = np.concatenate([r[3] for r in left])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    names, flat = np.unique(flat, return_inverse=True)
+    for doc_id, comp, sig, own in right:
+        near = ((sigs == np.frombuffer(sig, np.uint32)).sum(axis=1) >= PRUNE * _HASHES) & (comps != comp)
+        if not near.any():
+            continue
+        at = np.minimum(np.searchsorted(names, own), len(names) - 1)
+        held = np.zeros(len(names), np.int64)
+        held[at[names[at] == own]] = 1
+        both = np.add.reduceat(held[flat], starts)
+        hit = ids[near & (100 * both >= PERCENT * (sizes + len(own) - both))].tolist()
+        u += [min(doc_id, x) for x in hit]
+        v += [max(doc_id, x) for x in hit]
+    return u, v
+
+
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components whose signatures agree enough, from rows
-    sorted by (key, i, j): side 0 is block i of a bucket, side 1 is block j of
-    those of its documents that are outside its largest component."""
-    def pairs(rows: list[tuple]) -> pa.RecordBatch:
-        left, right = ([r for r in rows if r[3] == side] for side in (0, 1))
-        u: list[int] = []
-        v: list[int] = []
-        if left and right:
-            sigs = np.frombuffer(b"".join(r[6] for r in left), np.uint32).reshape(-1, _HASHES)
-            ids, comps = np.array([r[4] for r in left]), np.array([r[5] for r in left])
-            for r in right:
-                near = ((sigs == np.frombuffer(r[6], np.uint32)).sum(axis=1) >= PRUNE * _HASHES) & (comps != r[5])
-                hit = ids[near].tolist()
-                u += [min(r[4], x) for x in hit]
-                v += [max(r[4], x) for x in hit]
+    """Links (u, v) between components, from rows sorted by (key, i, j): side 0 is
+    block i of a group, side 1 block j of its documents outside its largest
+    component. Only links come out, never pairs to be tested."""
+    def links(rows: list[tuple]) -> pa.RecordBatch:
+        u, v = _linked_across(*([r[4:] for r in rows if r[3] == side] for side in (0, 1)))
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     held: list[tuple] = []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "doc_id", "comp", "sig"))):
-            if held and held[0][:3] != row[:3]:
-                yield pairs(held)
-                held = []
-            held.append(row)
+        rows = list(zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "doc_id", "comp", "sig"))))
+        for lo, hi, hashes, bounds in T.words_of(batch.column("text"), T.NOT_SPACE):
+            for k in range(lo, hi):
+                if held and held[0][:3] != rows[k][:3]:
+                    yield links(held)
+                    held = []
+                held.append((*rows[k], T.shingle_set(hashes[bounds[k - lo]:bounds[k - lo + 1]], SHINGLE)))
     if held:
-        yield pairs(held)
+        yield links(held)
 
 
-def _still_apart(bands: DataFrame, sigs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Likely pairs of one bucket whose documents are in different components.
+def _links_across(docs: DataFrame, shared: DataFrame, sigs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Links between documents that share a bucket and are in different
+    components after the centres were verified.
 
-    Only documents outside the bucket's largest component are compared with the
-    bucket; both sides are dealt out in blocks of ``BLOCK``.
+    Buckets whose centres are in one component make one group, so that a document
+    comes once, not once per band. Only documents outside a group's largest
+    component are compared with the group; both sides are dealt out in blocks.
     """
-    named = bands.join(comps, bands["doc_id"] == comps["node"], "left").select("key", "doc_id", F.coalesce("root", "doc_id").alias("comp"))
-    named = materialise(named, "band-components")
-    per = named.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    named = lambda node: (F.coalesce(F.col(f"{node}_root"), F.col(node)))
+    root = lambda node: comps.select(F.col("node").alias(f"{node}_node"), F.col("root").alias(f"{node}_root"))
+    rows = shared.join(root("u"), F.col("u") == F.col("u_node"), "left").join(root("doc_id"), F.col("doc_id") == F.col("doc_id_node"), "left")
+    rows = materialise(rows.select(named("u").alias("key"), "doc_id", named("doc_id").alias("comp")).distinct(), "groups")
+    per = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = per.groupBy("key").agg(F.max_by("comp", "n").alias("main"), F.sum("n").alias("n"), F.max("n").alias("top"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = materialise(mixed.select("key", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("ni"), F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("nj")), "mixed-bands")
-    rows = named.join(mixed, "key")
+    mixed = materialise(mixed.select("key", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("ni"), F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("nj")), "mixed-groups")
+    rows = rows.join(mixed, "key")
     own = lambda n: F.expr(f"pmod(xxhash64(doc_id), {n})").cast("int")
     spread = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
     every = rows.select("key", own("ni").alias("i"), spread("nj").alias("j"), F.lit(0).alias("side"), "doc_id", "comp")
     outside = rows.filter("comp != main").select("key", spread("ni").alias("i"), own("nj").alias("j"), F.lit(1).alias("side"), "doc_id", "comp")
-    found = every.union(outside).join(sigs.select(F.col("doc_id").alias("s"), "sig"), F.col("doc_id") == F.col("s")).drop("s")
+    wanted = every.union(outside).join(sigs.select(F.col("doc_id").alias("want"), "sig"), F.col("doc_id") == F.col("want")).drop("doc_id")
+    found = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"] == wanted["want"]).select("key", "i", "j", "side", "doc_id", "comp", "sig", "text")
     grouped = found.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return grouped.mapInArrow(_apart, "u long, v long").distinct()
 
@@ -184,14 +207,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = materialise(reps, "class-signatures")
     bands = reps.mapInArrow(_bands, "key long, doc_id long")
     centres = bands.groupBy("key").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).filter("u != last").select("key", "u")
-    shared = materialise(bands.join(centres, "key"), "shared-bands")
-    first = shared.filter("doc_id != u").select("u", F.col("doc_id").alias("v")).distinct()
+    shared = materialise(bands.join(centres, "key").select("u", "doc_id").distinct(), "shared-bands")
+    first = shared.filter("doc_id != u").select("u", F.col("doc_id").alias("v"))
     links = materialise(verified(docs, materialise(first, "star-pairs")), "links")
     comps = materialise(components(links), "components")
-    rest = materialise(_still_apart(shared.select("key", "doc_id"), reps, comps).join(first, ["u", "v"], "left_anti"), "apart-pairs")
-    if not rest.isEmpty():
-        links = links.union(verified(docs, rest))
-        comps = materialise(components(links), "components")
+    across = materialise(_links_across(docs, shared, reps, comps), "links-across")
+    if not across.isEmpty():
+        comps = materialise(components(links.union(across)), "components")
     member = sigs.select("doc_id", *keys).join(classes, keys, "left")
     named = member.join(comps, member["rep"] == comps["node"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "rep", "doc_id")).otherwise(F.col("doc_id"))
