@@ -2,25 +2,12 @@
 
 from .dates import as_date, on_or_after, stamp, week_label, week_start, within
 from .folding import fold
-from .scores import (
-    detractors,
-    n_rows,
-    net_score,
-    passives,
-    pct,
-    promoters,
-    safe_ratio,
-    share_of,
-    sum_of_sums,
-    target_or_default,
-    target_pct,
-    to_number,
-)
+from .scores import combined, exact, mean, measures, n_rows, net_score, safe_ratio, share_of, sum_of_sums, target_or_default, target_pct, to_number
 from .text import render
 
 __all__ = [
     "as_date", "on_or_after", "stamp", "week_label", "week_start", "within",
-    "fold", "detractors", "n_rows", "net_score", "passives", "pct", "promoters",
+    "fold", "combined", "exact", "mean", "measures", "n_rows", "net_score",
     "safe_ratio", "share_of", "sum_of_sums", "target_or_default", "target_pct",
     "to_number", "render",
 ]

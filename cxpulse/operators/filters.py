@@ -38,8 +38,8 @@ def null_or_not(col: Column, value: str) -> Column:
 
 
 def non_blank(col: Column) -> Column:
-    """``col IS NOT NULL AND TRIM(col) != ''``."""
-    return col.isNotNull() & (F.trim(col) != F.lit(""))
+    """Holds a character that is not Unicode white space (NULL does not)."""
+    return F.coalesce(col.rlike(r"(?U)\S"), F.lit(False))
 
 
 def text_is(col: Column, text: str) -> Column:
@@ -47,17 +47,13 @@ def text_is(col: Column, text: str) -> Column:
     return F.lower(col.cast("string")) == F.lit(text.lower())
 
 
-def survey_rows(survey: DataFrame, scope: Scope, since: dt.date | None = None,
-                on_target_only: bool = True, segment_only: bool = True) -> DataFrame:
+def survey_rows(survey: DataFrame, scope: Scope, since: dt.date | None = None) -> DataFrame:
     """The base survey filter: teams, segment, target channel, office and
     ``DATE(response_date) >= since`` (default: the month of ``as_of``, with an
     open upper bound)."""
     since = scope.month_start if since is None else since
-    cond = in_list(F.col("team"), scope.teams)
-    if segment_only:
-        cond = cond & (F.col("segment") == F.lit(scope.segment))
-    if on_target_only:
-        cond = cond & equals_true(F.col("on_target_channel"))
+    cond = in_list(F.col("team"), scope.teams) & (F.col("segment") == F.lit(scope.segment))
+    cond = cond & equals_true(F.col("on_target_channel"))
     cond = cond & (F.col("office") == F.lit(scope.office))
     cond = cond & on_or_after(F.col("response_date"), since)
     return survey.where(cond)

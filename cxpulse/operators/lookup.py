@@ -1,30 +1,11 @@
-"""Joins against small, bounded sides and positional picks in short arrays."""
+"""Positional picks in short arrays."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Above this proven row bound a broadcast is not worth forcing; the
-# optimizer (AQE, by measured size) decides instead.
-MAX_FORCED_BROADCAST_ROWS = 100_000
-
-
-def bounded(df: DataFrame, max_rows: int, why: str) -> DataFrame:
-    """Broadcast a side whose row count is bounded by construction.
-
-    Only call this where the bound is proven from the plan (``why`` states
-    it, e.g. "one row per team" of a literal team list). ``max_rows`` is
-    never used to cut rows. Sides without such a proof are left to the
-    optimizer, which broadcasts by measured size (AQE) and uses a shuffled
-    join beyond it.
-    """
-    if not why or max_rows > MAX_FORCED_BROADCAST_ROWS:
-        return df
-    return F.broadcast(df)
-
-
 def pick_clamped(arr: Column, index0: Column) -> Column:
     """Element ``min(i, n-1)`` of ``arr`` (0-based), NULL when ``arr`` is
     empty or NULL."""

@@ -6,11 +6,12 @@ earlier declaration ``const NAME = JSON.parse(atob("..."));`` (replaced
 when there is no block). Pages without an injection point stay unchanged
 and report the payload as missing.
 
-Publishing is map-only over the pages: each configured payload's text
-(one row per payload name) is a scalar subquery, which Spark computes once,
-in parallel with the others, and ships with the tasks like a broadcast
-value. Pages are never shuffled, and pages without an injection point (a
-cheap substring test) skip all regular-expression work.
+Slots are handled one after the other, and each looks at the text that the one
+before it left: a slot that an earlier one has overwritten is missing. Payload
+texts are one row, broadcast under a size rule (``MAX_PAYLOAD_BYTES`` per slot; a
+longer one fails the job, it is never cut); pages are not shuffled. Every step
+is a ``transform`` over the text, so it refers to the previous text once and
+the plan stays linear in the number of slots.
 """
 
 from __future__ import annotations
@@ -22,6 +23,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
+MAX_PAYLOAD_BYTES = 8 * 1024 * 1024
+
+
+def limited(text: Column, what: str, limit: int = MAX_PAYLOAD_BYTES) -> Column:
+    """``text``, or an error if it has more than ``limit`` bytes."""
+    return F.when(F.octet_length(text) <= limit, text).when(text.isNotNull(), F.raise_error(F.lit(f"{what} is over {limit} bytes")))
+
+
 @dataclass(frozen=True)
 class Slot:
     """One payload's injection point: marker name and JS variable name."""
@@ -30,6 +40,7 @@ class Slot:
     var: str
 
 
+# The page format of marker blocks and of earlier declarations.
 def block_pattern(marker: str) -> str:
     m = re.escape(marker)
     return rf"(?s)// __{m}_START__.*?// __{m}_END__"
@@ -44,74 +55,74 @@ def literal_replacement(text: Column) -> Column:
     return F.regexp_replace(text, r"([\\$])", r"\\$1")
 
 
-# A pattern that never matches: the rewrite of a slot that does not apply.
-_NO_MATCH = "(?!)"
+def _step(state: Column, slot: Slot, js: Column) -> Column:
+    """struct(html, injected) after one slot."""
+    html, done = state["html"], state["injected"]
+    maybe = html.contains(f"// __{slot.marker}_START__") | html.contains(f"const {slot.var} = JSON.parse(atob(")
+    framed = F.concat(F.lit(f"// __{slot.marker}_START__\n"), js, F.lit(f"\n// __{slot.marker}_END__"))
+    struct = lambda text: F.struct(text.alias("html"), F.concat(done, F.array(F.lit(slot.marker))).alias("injected"))
+    return (F.when(js.isNull() | ~maybe, state)
+            .when(html.rlike(block_pattern(slot.marker)), struct(F.regexp_replace(html, block_pattern(slot.marker), literal_replacement(framed))))
+            .when(html.rlike(decl_pattern(slot.var)), struct(F.regexp_replace(html, decl_pattern(slot.var), literal_replacement(js))))
+            .otherwise(state))
+
+
+def _slot_step(slot: Slot, js: Column):
+    return lambda state: _step(state, slot, js)
+
+
+def _then(value: Column, step) -> Column:
+    """``step`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), step), 0)
 
 
 def inject(pages: DataFrame, payloads: DataFrame, slots: Sequence[Slot]) -> DataFrame:
     """Replace each page's injection points with the payload lines.
 
-    ``payloads``: (name, js) with ``name`` the slot's marker, at most one
-    row per name. Adds ``injected`` and ``missing`` (marker names).
-
-    Which slots apply is decided on the page's original text (markers and
-    variable names of different slots are distinct, and an inserted line
-    creates no other slot's injection point), and the text is then rewritten
-    slot by slot with one ``regexp_replace`` each, whose pattern is chosen
-    per row. Every step refers to the previous text exactly once, so the
-    plan stays linear in the number of slots even when later filters are
-    pushed down through it.
+    ``payloads``: (name, js) with ``name`` the slot's marker; of several rows of
+    a name the smallest text is taken, other names are ignored. Adds ``injected``
+    and ``missing`` (marker names).
     """
-    html = F.col("html")
-    texts, flags = {}, {}
+    texts = payloads.where(F.col("name").isin([s.marker for s in slots])).groupBy("name").agg(F.min("js").alias("js"))
+    line = texts.agg(*[F.max(F.when(F.col("name") == s.marker, limited(F.col("js"), f"payload {s.marker}"))).alias(f"_js{i}") for i, s in enumerate(slots)])
+    line = F.broadcast(line.withColumn("_one", F.lit(1)))  # one row, bounded by ``limited``
+    out = pages.withColumn("_one", F.lit(1)).join(line, "_one").drop("_one")
+    state = F.struct(F.col("html").alias("html"), F.array().cast("array<string>").alias("injected"))
     for i, s in enumerate(slots):
-        maybe = (html.contains(f"// __{s.marker}_START__")
-                 | html.contains(f"const {s.var} = JSON.parse(atob("))
-        # exactly one row per payload name, else Spark raises
-        text = payloads.where(F.col("name") == F.lit(s.marker)).select("js").scalar()
-        texts[f"_js{i}"] = F.when(maybe, text)
-    out = pages.withColumns(texts)
-    for i, s in enumerate(slots):
-        has = F.col(f"_js{i}").isNotNull()
-        block = html.rlike(block_pattern(s.marker))
-        flags[f"_b{i}"] = has & block
-        flags[f"_d{i}"] = has & ~block & html.rlike(decl_pattern(s.var))
-    out = out.withColumns(flags)
-    for i, s in enumerate(slots):
-        b, d, js = F.col(f"_b{i}"), F.col(f"_d{i}"), F.col(f"_js{i}")
-        framed = F.concat(F.lit(f"// __{s.marker}_START__\n"), js,
-                          F.lit(f"\n// __{s.marker}_END__"))
-        pattern = (F.when(b, F.lit(block_pattern(s.marker)))
-                   .when(d, F.lit(decl_pattern(s.var))).otherwise(F.lit(_NO_MATCH)))
-        replacement = (F.when(b, literal_replacement(framed))
-                       .when(d, literal_replacement(js)).otherwise(F.lit("")))
-        out = out.withColumn("html", F.regexp_replace(F.col("html"), pattern, replacement))
+        state = _then(state, _slot_step(s, F.col(f"_js{i}")))
+    out = out.withColumn("_state", state)
     names = F.array(*[F.lit(s.marker) for s in slots])
-    done = F.array(*[F.when(F.col(f"_b{i}") | F.col(f"_d{i}"), F.lit(s.marker))
-                     for i, s in enumerate(slots)])
-    out = out.withColumn("injected", F.filter(done, lambda x: x.isNotNull()))
-    out = out.withColumn("missing", F.array_except(names, F.col("injected")))
-    return out.drop(*texts, *flags)
-
-
-def stamp_elements(html: Column, element_ids: Sequence[str], text: Column) -> Column:
-    """Set the text of ``<strong|span ... id="ID" ...>`` elements. The
-    regular expression only runs on pages that contain the id at all
-    (otherwise the pattern never matches); each id refers to the previous
-    text once."""
+    out = out.withColumns({"html": F.col("_state.html"), "injected": F.col("_state.injected"),
+                           "missing": F.array_except(names, F.col("_state.injected"))})
+    return out.drop("_state", *[f"_js{i}" for i in range(len(slots))])
+
+
+def _element(tag: str, element_id: str) -> str:
+    """Opening tag (group 1) of an element with this id."""
+    return rf'(<{tag}\b[^>]*\bid="{re.escape(element_id)}"[^>]*>)'
+
+
+def stamp_elements(html: Column, element_ids: Sequence[str], text: Column, tags: Sequence[str] = ("strong", "span")) -> Column:
+    """Set the text of the elements with the given ids: for each tag that may
+    carry the stamp, from its opening tag to the same tag's end."""
+    fill = F.concat(F.lit("$1"), literal_replacement(text), F.lit("$2"))
     for eid in element_ids:
-        pat = rf'(<(strong|span)[^>]*id="{re.escape(eid)}"[^>]*>)[^<]*(</(strong|span)>)'
-        pattern = F.when(html.contains(f'id="{eid}"'), F.lit(pat)).otherwise(F.lit(_NO_MATCH))
-        html = F.regexp_replace(html, pattern, F.concat(F.lit("$1"), literal_replacement(text),
-                                                        F.lit("$3")))
+        for tag in tags:
+            html = F.regexp_replace(html, F.lit(rf"{_element(tag, eid)}[^<]*(</{tag}>)"), fill)
     return html
 
 
 def stamp_style(html: Column, style_id: str, text: Column) -> Column:
-    """Set ``content:"..."`` inside ``<style id="ID">`` (the block is cut out,
-    rewritten and put back with a literal replace; no block, no change)."""
-    pat = rf'(?s)<style[^>]*id="{re.escape(style_id)}"[^>]*>.*?</style>'
-    old = F.regexp_extract(html, pat, 0)
-    new = F.regexp_replace(old, r'(content:\s*")[^"]*(")',
-                           F.concat(F.lit("$1"), literal_replacement(text), F.lit("$2")))
-    return F.replace(html, old, new)
+    """Set every quoted ``content`` value in every style block with the id.
+
+    The page is split before each ``<style``; the pieces that begin with a block
+    of that id are rewritten up to the block's end and put together again."""
+    head = rf"(?s)^{_element('style', style_id)}(.*?)(</style>.*)$"
+    value = F.concat(F.lit("$1"), literal_replacement(text), F.lit("$2"))
+
+    def rewrite(piece: Column) -> Column:
+        body = F.regexp_replace(F.regexp_extract(piece, head, 2), F.lit(r'(content\s*:\s*")[^"]*(")'), value)
+        return F.when(piece.rlike(rf"(?s)^{_element('style', style_id)}.*?</style>"),
+                      F.concat(F.regexp_extract(piece, head, 1), body, F.regexp_extract(piece, head, 3))).otherwise(piece)
+
+    return _then(html, lambda h: F.when(h.contains(f'id="{style_id}"'), F.array_join(F.transform(F.split(h, "(?=<style)"), rewrite), "")).otherwise(h))

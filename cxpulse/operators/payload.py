@@ -45,11 +45,6 @@ def js_const(var_name: str, b64: Column) -> Column:
     return F.concat(F.lit(f'const {var_name} = JSON.parse(atob("'), b64, F.lit('"));'))
 
 
-def decode_payload(b64: Column) -> Column:
-    """Inverse of ``base64_text`` (for checks)."""
-    return F.decode(F.unbase64(b64), "UTF-8")
-
-
 def sort_key(cols: Sequence[tuple[str, bool]]) -> Column:
     """A struct usable with ``array_sort``: numeric descending keys are
     negated; text keys must be ascending."""

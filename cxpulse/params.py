@@ -91,7 +91,10 @@ class AgentTimeOptions:
     role: str
     buckets: tuple[str, ...]
     training_bucket: str
-    excluded_status: str = "TRAINING"
+    # agent-days with this status do not count
+    excluded_status: str
+    # several status rows of one agent-day count once instead of once each
+    dedupe_status: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "buckets", tuple(self.buckets))

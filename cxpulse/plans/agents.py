@@ -1,7 +1,8 @@
 """Agent-time reports: training share per team (R5) and per-agent detail.
 
 Agent time is filtered to the closed calendar month of ``as_of`` (a range
-pushed to the scan), the agent role and the teams, before any join.
+pushed to the scan), the agent role and the teams, before any join; both sides
+of every join are aggregated first, so no raw row is shuffled.
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scores
+from ..functions.dates import as_date
 from ..functions.folding import fold
 from ..operators.filters import in_list, month_rows, null_or_not
 from ..operators.keyed import keyed_map
 from ..params import DEFAULT_TARGET, AgentTimeOptions, Scope
-from .survey import base_survey
+from .survey import measured
 
 
 def _bucket_cols(opts: AgentTimeOptions) -> list[str]:
@@ -34,12 +36,10 @@ def _agent_month(agent_time: DataFrame, scope: Scope, opts: AgentTimeOptions) ->
     return rows.where((F.col("role") == F.lit(opts.role)) & in_list(F.col("team"), scope.teams))
 
 
-def newbie_agents(survey: DataFrame, scope: Scope) -> DataFrame:
+def segment_agents(survey: DataFrame, scope: Scope) -> DataFrame:
     """Distinct agents of the scope's segment and office in the survey, any
-    date or channel: the right side of a semi-join. The DISTINCT runs as a
-    partial aggregate before the shuffle, so only distinct agents per map
-    task cross the network (and can be broadcast when AQE sees they are
-    small)."""
+    date or channel: the right side of a semi-join (partial DISTINCT before
+    the shuffle)."""
     return survey.where(
         in_list(F.col("team"), scope.teams)
         & (F.col("segment") == F.lit(scope.segment))
@@ -51,28 +51,26 @@ def training_share(agent_time: DataFrame, training_status: DataFrame, survey: Da
     """Per team, distinct agents, training share of logged time (2 dp),
     training hours and logged hours (2 dp).
 
-    Agent-days whose status is the excluded one are dropped; a day with no
-    status row is kept. The status join is a LEFT join followed by a
-    null-tolerant filter, so duplicate status rows fan out agent time
-    exactly as the SQL definition does (Catalyst infers the month range on
-    the status side from the join keys). Only agents present in the
-    survey's segment count (semi-join on a de-duplicated agent set; Catalyst
-    places it under the per-agent aggregate, where it is a hash filter once
-    AQE broadcasts the measured agent set). Summing per-(team, agent)
-    bucket sums keeps the sum-of-sums NULL rule, and the semi-join drops
-    NULL agents, so ``count(agent)`` after that grouping is the distinct
-    count without a second distinct aggregation.
+    A day of agent time counts once per status row of that day that is not the
+    excluded one, and once if the day has no status row; with
+    ``opts.dedupe_status`` once if any status row is kept. So status is reduced to
+    one row per agent and day holding that factor, time to one row per team,
+    agent and day, and the join multiplies. Only agents of the survey's segment
+    count. A bucket that is NULL throughout a team makes its logged time NULL.
     """
-    facts = _agent_month(agent_time, scope, opts)
-    status = training_status.select("agent", "work_date", "status")
-    joined = (facts.join(status, ["agent", "work_date"], "left")
-              .where(null_or_not(F.col("status"), opts.excluded_status)))
     cols = _bucket_cols(opts)
-    per_agent = joined.groupBy("team", "agent").agg(*[F.sum(c).alias(c) for c in cols])
-    kept = per_agent.join(newbie_agents(survey, scope), "agent", "left_semi")
-    logged, training = _logged(opts), _training(opts)
-    return (kept.groupBy("team")
-            .agg(F.count("agent").alias("agents"),
+    day = as_date(F.col("work_date"))
+    time = (_agent_month(agent_time, scope, opts).groupBy("team", "agent", day.alias("day"))
+            .agg(*[F.sum(c).alias(c) for c in cols]))
+    time = time.join(segment_agents(survey, scope), "agent", "left_semi")
+    kept = F.count_if(null_or_not(F.col("status"), opts.excluded_status))
+    factor = F.least(kept, F.lit(1)) if opts.dedupe_status else kept
+    status = (month_rows(training_status, "work_date", scope).where(F.col("agent").isNotNull())
+              .groupBy("agent", day.alias("day")).agg(factor.alias("factor")))
+    joined = time.join(status, ["agent", "day"], "left").withColumn("factor", F.coalesce("factor", F.lit(1))).where("factor > 0")
+    logged, training = scores.sum_of_sums([F.col(c) * F.col("factor") for c in cols]), F.sum(F.col(f"{opts.training_bucket}_s") * F.col("factor"))
+    return (joined.groupBy("team")
+            .agg(F.countDistinct("agent").alias("agents"),
                  F.round(scores.safe_ratio(training, logged) * F.lit(100.0), 2).alias("pct"),
                  F.round(training / F.lit(3600.0), 2).alias("h_train"),
                  F.round(logged / F.lit(3600.0), 2).alias("h_logged")))
@@ -86,22 +84,20 @@ def training_share_by_key(share: DataFrame) -> DataFrame:
 
 def agent_detail(survey: DataFrame, agent_time: DataFrame, scope: Scope,
                  opts: AgentTimeOptions, channel_map: dict,
-                 default_target: float = DEFAULT_TARGET, base: DataFrame | None = None) -> DataFrame:
+                 default_target: float = DEFAULT_TARGET, time_scope: Scope | None = None) -> DataFrame:
     """Per team, agent and folded channel, answers, net score and target
     (default when missing), with the agent's training share (1 dp) and
-    training hours (1 dp) of the month, 0 when the agent has no time rows.
+    training hours (1 dp) of the month (``time_scope``'s, by default the same), 0
+    when the agent has no time rows.
 
     Both sides are aggregated before the join (Catalyst does not push
     aggregates through joins), so the join is between two small tables
     keyed by (team, agent)."""
-    s = base if base is not None else base_survey(survey, scope)
     channel = fold(F.col("channel"), channel_map, keep_others=True)
-    by_agent = (s.groupBy(F.col("team"), F.col("agent"), channel.alias("channel"))
-                .agg(scores.n_rows().alias("enc"),
-                     scores.net_score(F.col("score")).alias("nps"),
-                     scores.target_pct(F.col("target_text")).alias("target")))
+    by_agent = (measured(survey, scope).groupBy(F.col("team"), F.col("agent"), channel.alias("channel"))
+                .agg(scores.n_rows().alias("enc"), scores.net_score().alias("nps"), scores.target_pct().alias("target")))
     logged, training = _logged(opts), _training(opts)
-    time = (_agent_month(agent_time, scope, opts)
+    time = (_agent_month(agent_time, time_scope or scope, opts)
             .groupBy("team", "agent")
             .agg(F.round(scores.safe_ratio(training, logged) * F.lit(100.0), 1).alias("pct_train"),
                  F.round(training / F.lit(3600.0), 1).alias("h_train")))

@@ -22,7 +22,7 @@ broken by the name columns so results do not depend on partitioning.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.scores import target_or_default
 from ..functions.text import render
 from ..operators.keyed import sorted_array
-from ..operators.lookup import bounded, pick_clamped
+from ..operators.lookup import pick_clamped
 from ..operators.topk import first_per_key, top_k
 from ..params import DEFAULT_TARGET
 from ..sources.catalog import conform_catalog
@@ -38,34 +38,31 @@ from ..sources.catalog import conform_catalog
 
 @dataclass(frozen=True)
 class CoachingTexts:
-    """Sentence templates (own wording); ``{name}`` fields are filled per row."""
-
-    process_desc: str = ("Process with the largest negative impact for {team}. "
-                         "Gap of {abs_gap} p.p. vs target ({target}%) over {enc} surveys "
-                         "({pct}% of the team's incoming).")
-    why_first: str = ("Most frequent driver: {cohorts} cohort(s), {enc} surveys. "
-                      "Gap of {abs_gap} p.p. vs a {target}% target.")
-    why_other: str = ("Gap of {abs_gap} p.p. vs a {target}% target "
-                      "across {cohorts} cohort(s) and {enc} surveys.")
-    error_default: str = "Most critical behaviour found: {label}."
-    behaviour_gap: str = "Gap in {label}: the most critical behaviour seen in the period's contacts."
-    no_behaviour: str = "-"
-    insight_two: str = ("The two most flagged behaviours ({label1} and {label2}) "
-                        "add up to {total} records.")
-    insight_one: str = "Most flagged behaviour: {label1} with {val1} records."
-    insight_none: str = "Not enough behaviour data for the period."
-    priorities: tuple[str, ...] = ("HIGH", "HIGH", "MEDIUM")
-    default_activity: dict = field(default_factory=lambda: {
-        "title": "Priority found: activity being prepared",
-        "duration": "30 min",
-        "objective": "Improve performance on the identified driver.",
-        "how": "-",
-        "materials": "Real cases from the period.",
-        "tags": [],
-    })
-
-
-TEXTS = CoachingTexts()
+    """Sentence templates of the caller; ``{name}`` fields are filled per row.
+
+    ``process`` has team, process, enc, nps, target, pct, gap; ``drivers`` (by
+    rank, the last for all further ranks) num, driver, cohorts, enc, nps, target,
+    gap; ``error`` and ``behaviour`` label; ``insights`` (by the number of listed
+    behaviours, the last for all further numbers) label1, label2, count1, count2.
+    ``priorities`` go by rank like ``drivers``. The library has no texts of its own.
+    """
+
+    process: str
+    drivers: tuple[str, ...]
+    error: str
+    behaviour: str
+    no_behaviour: str
+    insights: tuple[str, ...]
+    priorities: tuple[str, ...]
+    default_activity: dict
+
+
+def _by_number(number: Column, values: list[Column]) -> Column:
+    """``values[number]``, the last one for larger numbers."""
+    out = values[-1]
+    for k in range(len(values) - 2, -1, -1):
+        out = F.when(number <= k, values[k]).otherwise(out)
+    return out
 
 
 def _default_activity(texts: CoachingTexts) -> Column:
@@ -77,8 +74,8 @@ def _default_activity(texts: CoachingTexts) -> Column:
         F.array(*[F.lit(t) for t in a["tags"]]).cast("array<string>").alias("tags"))
 
 
-def critical_process(by_process: DataFrame, default_target: float = DEFAULT_TARGET,
-                     texts: CoachingTexts = TEXTS) -> DataFrame:
+def critical_process(by_process: DataFrame, texts: CoachingTexts,
+                     default_target: float = DEFAULT_TARGET) -> DataFrame:
     """One row per team of ``by_process``: team, process, enc, nps,
     target (effective), pct, gap, process_desc."""
     tgt = target_or_default(F.col("target"), default_target, zero_is_missing=True)
@@ -90,19 +87,13 @@ def critical_process(by_process: DataFrame, default_target: float = DEFAULT_TARG
     gap = F.round(F.col("nps") - F.col("eff_target"), 1)
     out = picked.select("team", "process", "enc", "nps",
                         F.col("eff_target").alias("target"), "pct", gap.alias("gap"))
-    desc = render(texts.process_desc, {
-        "team": F.col("team"), "abs_gap": F.abs(F.col("gap")), "target": F.col("target"),
-        "enc": F.col("enc"), "pct": F.col("pct")})
+    fields = {c: F.col(c) for c in ("team", "enc", "nps", "target", "pct", "gap")}
+    desc = render(texts.process, {**fields, "process": F.coalesce("process", F.lit("-"))})
     return out.withColumn("process_desc", desc)
 
 
-def _priority(num: Column, priorities: tuple[str, ...]) -> Column:
-    arr = F.array(*[F.lit(p) for p in priorities])
-    return F.get(arr, F.least(num, F.lit(len(priorities))) - 1)
-
-
-def ranked_drivers(drivers: DataFrame, default_target: float = DEFAULT_TARGET, k: int = 3,
-                   min_n: int = 3, texts: CoachingTexts = TEXTS) -> DataFrame:
+def ranked_drivers(drivers: DataFrame, texts: CoachingTexts, default_target: float = DEFAULT_TARGET,
+                   k: int = 3, min_n: int = 3) -> DataFrame:
     """Top ``k`` drivers of *every* (team, process), with display columns.
 
     Ranking per (team, process) reuses the partitioning of the driver
@@ -117,33 +108,25 @@ def ranked_drivers(drivers: DataFrame, default_target: float = DEFAULT_TARGET, k
     gap_pp = F.round(F.col("nps_score") - F.col("eff_target"), 1)
     out = ranked.select(
         "team", "process", "num", "driver",
-        _priority(F.col("num"), texts.priorities).alias("priority"),
+        _by_number(F.col("num") - 1, [F.lit(x) for x in texts.priorities]).alias("priority"),
         F.concat(F.lit("p"), F.col("num").cast("string")).alias("pclass"),
         "nps_score", F.col("eff_target").alias("target"),
         F.bround(gap_pp, 0).cast("int").alias("gap"),
         gap_pp.alias("gap_pp"),
         F.coalesce(F.col("cohorts"), F.lit(0)).cast("bigint").alias("cohorts"),
         F.col("enc").alias("incoming"))
-    values = {"cohorts": F.col("cohorts"), "enc": F.col("incoming"),
-              "abs_gap": F.abs(F.col("gap_pp")), "target": F.col("target")}
-    why = F.when(F.col("num") == 1, render(texts.why_first, values)).otherwise(
-        render(texts.why_other, values))
-    return out.withColumn("why", why)
+    values = {"num": F.col("num"), "driver": F.col("driver"), "cohorts": F.col("cohorts"), "enc": F.col("incoming"),
+              "nps": F.col("nps_score"), "target": F.col("target"), "gap": F.col("gap_pp")}
+    return out.withColumn("why", _by_number(F.col("num") - 1, [render(t, values) for t in texts.drivers]))
 
 
-def top_drivers(drivers: DataFrame, critical: DataFrame, n_teams: int,
-                default_target: float = DEFAULT_TARGET, k: int = 3, min_n: int = 3,
-                texts: CoachingTexts = TEXTS) -> DataFrame:
+def top_drivers(drivers: DataFrame, critical: DataFrame, texts: CoachingTexts,
+                default_target: float = DEFAULT_TARGET, k: int = 3, min_n: int = 3) -> DataFrame:
     """Up to ``k`` drivers of each team's critical process (a NULL
     process matches a NULL process), with the team totals over them.
-
-    ``critical`` has one row per team and the team list has ``n_teams``
-    entries, so it is broadcast under that proven bound.
     """
-    crit = bounded(critical.select(F.col("team").alias("c_team"),
-                                   F.col("process").alias("c_process")),
-                   max_rows=n_teams, why="one critical process per team")
-    ranked = ranked_drivers(drivers, default_target, k, min_n, texts)
+    crit = critical.select(F.col("team").alias("c_team"), F.col("process").alias("c_process"))
+    ranked = ranked_drivers(drivers, texts, default_target, k, min_n)
     out = (ranked.join(crit, (ranked["team"] == crit["c_team"])
                        & ranked["process"].eqNullSafe(crit["c_process"]), "inner")
            .drop("c_team", "c_process"))
@@ -154,15 +137,8 @@ def top_drivers(drivers: DataFrame, critical: DataFrame, n_teams: int,
             .withColumn("cohorts_max", F.max("cohorts").over(team)))
 
 
-def _insight(n: Column, label1: Column, label2: Column, val1: Column, val2: Column,
-             texts: CoachingTexts) -> Column:
-    two = render(texts.insight_two, {"label1": label1, "label2": label2, "total": val1 + val2})
-    one = render(texts.insight_one, {"label1": label1, "val1": val1})
-    return (F.when(n >= 2, two).when(n == 1, one).otherwise(F.lit(texts.insight_none)))
-
-
-def top_behaviours(behaviours: DataFrame, catalog: DataFrame, k: int = 5,
-                   texts: CoachingTexts = TEXTS) -> DataFrame:
+def top_behaviours(behaviours: DataFrame, catalog: DataFrame, texts: CoachingTexts,
+                   k: int = 5) -> DataFrame:
     """Per team, up to ``k`` behaviours with low ratings, by count.
 
     ``max_cases`` is the largest case count over *all* the team's rows
@@ -178,8 +154,8 @@ def top_behaviours(behaviours: DataFrame, catalog: DataFrame, k: int = 5,
     j = j.withColumn("label", F.coalesce(F.col("label"), F.col("sentence")))
     n = F.count(F.lit(1)).over(team)
     pick = lambda c, r: F.max(F.when(F.col("rank") == r, F.col(c))).over(team)
-    insight = _insight(n, pick("label", 1), pick("label", 2), pick("low_count", 1),
-                       pick("low_count", 2), texts)
+    fields = {"label1": pick("label", 1), "label2": pick("label", 2), "count1": pick("low_count", 1), "count2": pick("low_count", 2)}
+    insight = _by_number(n, [render(t, fields) for t in texts.insights])
     return j.select("team", "rank", "sentence", "moment", "label", "low_count", "max_cases",
                     "error_text", "activity", insight.alias("insight"))
 
@@ -194,30 +170,29 @@ def behaviour_lists(behaviours_top: DataFrame) -> DataFrame:
                  F.first("insight").alias("insight")))
 
 
-def coaching(num: Column, behs: Column, texts: CoachingTexts = TEXTS) -> dict[str, Column]:
+def coaching(num: Column, behs: Column, texts: CoachingTexts) -> dict[str, Column]:
     """Per-driver coaching fields from the driver's rank ``num`` (1-based)
     and the team's behaviour array: the error text and gap sentence of the
     top behaviour, and the activity of behaviour ``min(num, n)``; defaults
-    when the team has no behaviour."""
+    when the team has no behaviour. An empty sentence names no behaviour."""
     arr = F.coalesce(behs, F.array())
-    has = F.size(arr) > 0
     top = F.get(arr, 0)
+    has = F.coalesce(top["sentence"], F.lit("")) != ""
     top_label = F.coalesce(top["label"], F.lit(""))
     chosen = pick_clamped(arr, num - 1)
     return {
-        "error": F.coalesce(top["error_text"], render(texts.error_default, {"label": top_label})),
-        "behaviour_gap": F.when(has, render(texts.behaviour_gap, {"label": top_label}))
+        "error": F.coalesce(top["error_text"], render(texts.error, {"label": top_label})),
+        "behaviour_gap": F.when(has, render(texts.behaviour, {"label": top_label}))
         .otherwise(F.lit(texts.no_behaviour)),
         "activity": F.coalesce(chosen["activity"], _default_activity(texts)),
     }
 
 
-def driver_coaching(drivers_top: DataFrame, behaviours_top: DataFrame, n_teams: int,
-                    texts: CoachingTexts = TEXTS) -> DataFrame:
+def driver_coaching(drivers_top: DataFrame, behaviours_top: DataFrame,
+                    texts: CoachingTexts) -> DataFrame:
     """``drivers_top`` plus, per driver, the coaching fields (see
     ``coaching``)."""
-    behs = bounded(behaviour_lists(behaviours_top).select("team", "behs"),
-                   max_rows=n_teams, why="one row per team")
+    behs = behaviour_lists(behaviours_top).select("team", "behs")
     d = drivers_top.join(behs, "team", "left")
     c = coaching(F.col("num"), F.col("behs"), texts)
     return (d.withColumn("error", c["error"]).withColumn("behaviour_gap", c["behaviour_gap"])
@@ -237,10 +212,9 @@ def flat_coaching(coaching: DataFrame) -> DataFrame:
 
 
 def critical_process_report(by_process: DataFrame, drivers: DataFrame, behaviours: DataFrame,
-                            catalog: DataFrame, n_teams: int,
+                            catalog: DataFrame, texts: CoachingTexts,
                             default_target: float = DEFAULT_TARGET, k_drivers: int = 3,
-                            k_behaviours: int = 5, min_n: int = 3,
-                            texts: CoachingTexts = TEXTS) -> DataFrame:
+                            k_behaviours: int = 5, min_n: int = 3) -> DataFrame:
     """One nested row per team present in ``by_process``.
 
     team, process, process_desc, incoming_total, cohorts, nps, gap_total,
@@ -256,14 +230,13 @@ def critical_process_report(by_process: DataFrame, drivers: DataFrame, behaviour
     with higher-order functions on the joined arrays (all bounded: k per
     key).
     """
-    crit = critical_process(by_process, default_target, texts)
-    ranked = ranked_drivers(drivers, default_target, k_drivers, min_n, texts)
+    crit = critical_process(by_process, texts, default_target)
+    ranked = ranked_drivers(drivers, texts, default_target, k_drivers, min_n)
     driver_arr = (ranked.groupBy("team", "process").agg(sorted_array([
         F.col("num"), F.col("driver").alias("name"), F.col("priority"), F.col("pclass"),
         F.col("gap"), F.col("cohorts"), F.col("incoming"), F.col("why")]).alias("drivers"))
         .withColumnRenamed("team", "d_team").withColumnRenamed("process", "d_process"))
-    behs = bounded(behaviour_lists(top_behaviours(behaviours, catalog, k_behaviours, texts)),
-                   max_rows=n_teams, why="one row per team")
+    behs = behaviour_lists(top_behaviours(behaviours, catalog, texts, k_behaviours))
     rep = (crit.join(driver_arr, (crit["team"] == driver_arr["d_team"])
                      & crit["process"].eqNullSafe(driver_arr["d_process"]), "left")
            .drop("d_team", "d_process")
@@ -295,4 +268,4 @@ def critical_process_report(by_process: DataFrame, drivers: DataFrame, behaviour
                    F.lit(0).cast("bigint")).alias("cohorts"),
         F.col("nps"), F.col("gap").alias("gap_total"),
         "drivers", gaps.alias("behaviour_gaps"),
-        F.coalesce(F.col("insight"), F.lit(texts.insight_none)).alias("behaviour_insight")))
+        F.coalesce(F.col("insight"), F.lit(texts.insights[0])).alias("behaviour_insight")))

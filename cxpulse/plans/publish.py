@@ -36,8 +36,9 @@ class PayloadSpec:
         return pg.Slot(self.name, self.var)
 
 
-def as_payload(df: DataFrame, spec: PayloadSpec) -> DataFrame:
-    """One row: name, var, n (rows or keys), json, b64, js."""
+def as_payload(df: DataFrame, spec: PayloadSpec, max_bytes: int = pg.MAX_PAYLOAD_BYTES // 2) -> DataFrame:
+    """One row: name, var, n (rows or keys), json, b64, js. A JSON text of more
+    than ``max_bytes`` fails the job (a page cannot carry it); use ``report_rows``."""
     rows = pl.jsonable(df)
     if spec.key is None:
         doc = pl.row_objects(rows, spec.order)
@@ -46,7 +47,7 @@ def as_payload(df: DataFrame, spec: PayloadSpec) -> DataFrame:
         entry = F.struct(F.col(spec.key).alias("key"),
                          F.struct(*[F.col(c) for c in value_cols]).alias("value"))
         doc = F.map_from_entries(F.array_sort(F.collect_list(entry)))
-    agg = rows.agg(F.count(F.lit(1)).alias("n"), pl.to_json(doc).alias("json"))
+    agg = rows.agg(F.count(F.lit(1)).alias("n"), pg.limited(pl.to_json(doc), f"payload {spec.name}", max_bytes).alias("json"))
     b64 = pl.base64_text(F.col("json"))
     return agg.select(F.lit(spec.name).alias("name"), F.lit(spec.var).alias("var"), "n", "json",
                       b64.alias("b64"), pl.js_const(spec.var, b64).alias("js"))

@@ -1,5 +1,5 @@
 """Quality-evaluation reports: score by channel (R4), behaviour counts
-and the flag matrix (R7)."""
+and the flag matrix (R7). ``summary`` groups the evaluations once for R4 and R6."""
 
 from __future__ import annotations
 
@@ -12,35 +12,45 @@ from ..functions.folding import fold
 from ..operators.filters import in_list, is_true, text_is
 from ..params import FlagOptions, QaOptions, Scope
 
+MEASURES = ("n", "qa_sum", "qa_n", "low")
 
-def _official(qa_eval: DataFrame, scope: Scope, opts: QaOptions) -> DataFrame:
-    return qa_eval.where(
+
+def measured(qa_eval: DataFrame, scope: Scope, opts: QaOptions) -> DataFrame:
+    """The month's evaluations as folded keys and measures."""
+    rows = qa_eval.where(
         in_list(F.col("team"), scope.teams)
         & (F.col("reason") == F.lit(opts.reason))
         & (F.col("metric_type") == F.lit(opts.metric_type))
         & on_or_after(F.col("assigned_date"), scope.month_start))
+    one = lambda cond: F.when(cond, 1).otherwise(0).cast("long")
+    return rows.select(
+        "team", fold(F.col("channel"), opts.channel_map, keep_others=True).alias("channel"), "sentence",
+        fold(F.col("moment"), opts.moment_map, keep_others=False).alias("moment"),
+        F.lit(1).cast("long").alias("n"), scores.exact(F.col("qa_total")).alias("qa_sum"),
+        one(F.col("qa_total").isNotNull()).alias("qa_n"), one(F.col("sentence_value").isin(list(opts.low_values))).alias("low"))
+
+
+def summary(qa_eval: DataFrame, scope: Scope, opts: QaOptions) -> DataFrame:
+    return measured(qa_eval, scope, opts).groupBy("team", "channel", "sentence", "moment").agg(*scores.combined(MEASURES))
 
 
-def qa_by_channel(qa_eval: DataFrame, scope: Scope, opts: QaOptions) -> DataFrame:
+def qa_by_channel(qa_eval: DataFrame | None, scope: Scope, opts: QaOptions, rows: DataFrame | None = None) -> DataFrame:
     """Per team and folded channel, evaluations, average QA score in
     percent (1 dp) and on a 0-2 scale (2 dp), month to date."""
-    rows = _official(qa_eval, scope, opts)
-    channel = fold(F.col("channel"), opts.channel_map, keep_others=True)
-    return (rows.groupBy(F.col("team"), channel.alias("channel"))
+    rows = measured(qa_eval, scope, opts) if rows is None else rows
+    average = scores.mean("qa_sum", "qa_n")
+    return (rows.groupBy("team", "channel")
             .agg(scores.n_rows().alias("total"),
-                 F.round(F.avg("qa_total") * F.lit(100.0), 1).alias("pct"),
-                 F.round(F.avg("qa_total") * F.lit(2.0), 2).alias("grade")))
+                 F.round(average * F.lit(100.0), 1).alias("pct"),
+                 F.round(average * F.lit(2.0), 2).alias("grade")))
 
 
-def behaviour_counts(qa_eval: DataFrame, scope: Scope, opts: QaOptions) -> DataFrame:
+def behaviour_counts(qa_eval: DataFrame | None, scope: Scope, opts: QaOptions, rows: DataFrame | None = None) -> DataFrame:
     """Per team, behaviour sentence and folded moment (unlisted moments
     are NULL), evaluations and how many were rated low."""
-    rows = _official(qa_eval, scope, opts).where(F.col("sentence").isNotNull())
-    moment = fold(F.col("moment"), opts.moment_map, keep_others=False)
-    low = F.col("sentence_value").isin(list(opts.low_values))
-    return (rows.groupBy(F.col("team"), F.col("sentence"), moment.alias("moment"))
-            .agg(scores.n_rows().alias("total_cases"),
-                 F.count_if(low).alias("low_count")))
+    rows = measured(qa_eval, scope, opts) if rows is None else rows
+    return (rows.where(F.col("sentence").isNotNull()).groupBy("team", "sentence", "moment")
+            .agg(scores.n_rows().alias("total_cases"), F.sum("low").alias("low_count")))
 
 
 def flag_matrix(qa_flags: DataFrame, scope: Scope, opts: FlagOptions) -> DataFrame:
@@ -54,4 +64,4 @@ def flag_matrix(qa_flags: DataFrame, scope: Scope, opts: FlagOptions) -> DataFra
         & (F.col("inappropriate") == F.lit(0))
         & on_or_after(F.col("reference_date"), scope.month_start)
         & in_list(F.col("team"), scope.teams))
-    return rows.groupBy("team", "flag_type", "flag").agg(scores.n_rows().alias("total"))
+    return rows.groupBy("team", "flag_type", "flag").agg(F.count(F.lit(1)).alias("total"))

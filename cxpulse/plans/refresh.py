@@ -1,10 +1,12 @@
 """The refresh job: all reports, their payloads, and the published pages.
 
-``build_reports`` is lazy. ``run_refresh`` materialises each report once
-into ``out_dir`` (a shared folder: written tables cut the lineage and
-survive executor loss), builds the critical-process report and the
-payloads from the written tables, and publishes the pages. Row counts are
-collected as observed metrics, not extra jobs.
+Every fact table is scanned once: the survey and the evaluations are grouped
+once into summaries (``survey.summary``, ``qa.summary``), which are written to a
+shared folder, and the reports roll up from those. Only the training share reads
+the survey once more, for its agents of all dates. ``run_refresh`` writes each
+report in presentation order, builds the critical-process report and the payloads
+from the written tables, and publishes the pages. Row counts are observed
+metrics, not extra jobs.
 """
 
 from __future__ import annotations
@@ -13,24 +15,26 @@ import datetime as dt
 import os
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
 from ..params import DEFAULT_TARGET, AgentTimeOptions, FlagOptions, QaOptions, Scope
+from ..session import checkpoint_dir, written
+from ..sources import schemas
+from ..sources.schemas import conform
 from . import agents as ag
 from . import critical as cr
 from . import qa
 from . import survey as sv
+from .order import ORDER, presented
 from .publish import PayloadSpec, StampSpec, payloads, publish_pages
 
 # The six payloads a page embeds, in the order they are injected.
 DEFAULT_PAYLOADS = (
-    PayloadSpec("NET_SCORE_MONTHLY", "monthly", (("team", True),)),
-    PayloadSpec("SCORE_WEEKLY", "weekly", (("week", True), ("team", True))),
-    PayloadSpec("SCORE_BY_PROCESS", "byProcess", (("team", True), ("enc", False), ("process", True))),
-    PayloadSpec("QA_BY_CHANNEL", "qaByChannel", (("team", True), ("channel", True))),
+    PayloadSpec("NET_SCORE_MONTHLY", "monthly", ORDER["net_score_monthly"]),
+    PayloadSpec("SCORE_WEEKLY", "weekly", ORDER["score_weekly"]),
+    PayloadSpec("SCORE_BY_PROCESS", "byProcess", ORDER["score_by_process"]),
+    PayloadSpec("QA_BY_CHANNEL", "qaByChannel", ORDER["qa_by_channel"]),
     PayloadSpec("TRAINING_SHARE", "trainingShare", key="team"),
     PayloadSpec("CRITICAL_PROCESS", "criticalProcess", key="team"),
 )
@@ -55,6 +59,13 @@ class Inputs:
     training_status: DataFrame
     catalog: DataFrame
 
+    def conformed(self, buckets: tuple[str, ...]) -> "Inputs":
+        """The inputs with their columns and types checked (``sources.schemas``)."""
+        return Inputs(
+            conform(self.survey, schemas.SURVEY, name="survey"), conform(self.qa_eval, schemas.QA_EVAL, name="qa_eval"),
+            conform(self.qa_flags, schemas.QA_FLAGS, name="qa_flags"), conform(self.agent_time, schemas.agent_time(buckets), name="agent_time"),
+            conform(self.training_status, schemas.TRAINING_STATUS, name="training_status"), self.catalog)
+
 
 @dataclass(frozen=True)
 class Options:
@@ -63,41 +74,42 @@ class Options:
     flags: FlagOptions
     agent_time: AgentTimeOptions
     agent_channel_map: dict
-    weekly_as_of: dt.date | None = None
+    texts: cr.CoachingTexts
     default_target: float = DEFAULT_TARGET
     include_agent_detail: bool = False
 
 
-def build_reports(inp: Inputs, opt: Options, base: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every report as a lazy DataFrame. R1, R3, R8 and R9 start from one
-    filtered survey plan, ``base`` (pass a persisted one to scan the survey
-    facts once for all four)."""
+def summaries(inp: Inputs, opt: Options) -> tuple[DataFrame, DataFrame]:
+    """The survey and evaluation summaries, written once."""
+    return written(sv.summary(inp.survey, opt.scope), "survey-summary"), written(qa.summary(inp.qa_eval, opt.scope, opt.qa), "qa-summary")
+
+
+def build_reports(inp: Inputs, opt: Options, survey_rows: DataFrame | None = None, qa_rows: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every report as a lazy DataFrame; R1, R2, R3, R8 roll up from
+    ``survey_rows``, R4 and R6 from ``qa_rows`` (see ``summaries``) if given."""
     sc = opt.scope
-    base = sv.base_survey(inp.survey, sc) if base is None else base
-    weekly_scope = sc.with_as_of(opt.weekly_as_of) if opt.weekly_as_of else sc
+    inp = inp.conformed(opt.agent_time.buckets)
     reports = {
-        "net_score_monthly": sv.net_score_monthly(inp.survey, sc, base=base),
-        "score_weekly": sv.score_weekly(inp.survey, weekly_scope),
-        "score_by_process": sv.score_by_process(inp.survey, sc, base=base),
-        "qa_by_channel": qa.qa_by_channel(inp.qa_eval, sc, opt.qa),
+        "net_score_monthly": sv.net_score_monthly(inp.survey, sc, rows=survey_rows),
+        "score_weekly": sv.score_weekly(inp.survey, sc, rows=survey_rows),
+        "score_by_process": sv.score_by_process(inp.survey, sc, rows=survey_rows),
+        "qa_by_channel": qa.qa_by_channel(inp.qa_eval, sc, opt.qa, rows=qa_rows),
         "training_share": ag.training_share(inp.agent_time, inp.training_status, inp.survey,
                                             sc, opt.agent_time),
-        "driver_detail": sv.driver_detail(inp.survey, sc, base=base),
-        "behaviour_counts": qa.behaviour_counts(inp.qa_eval, sc, opt.qa),
+        "driver_detail": sv.driver_detail(inp.survey, sc, rows=survey_rows),
+        "behaviour_counts": qa.behaviour_counts(inp.qa_eval, sc, opt.qa, rows=qa_rows),
         "flag_matrix": qa.flag_matrix(inp.qa_flags, sc, opt.flags),
     }
     if opt.include_agent_detail:
         reports["agent_detail"] = ag.agent_detail(inp.survey, inp.agent_time, sc, opt.agent_time,
-                                                  opt.agent_channel_map, opt.default_target,
-                                                  base=base)
+                                                  opt.agent_channel_map, opt.default_target)
     reports["critical_process_report"] = critical_from(reports, inp.catalog, opt)
     return reports
 
 
 def critical_from(reports: dict[str, DataFrame], catalog: DataFrame, opt: Options) -> DataFrame:
     return cr.critical_process_report(reports["score_by_process"], reports["driver_detail"],
-                                      reports["behaviour_counts"], catalog,
-                                      len(opt.scope.teams), opt.default_target)
+                                      reports["behaviour_counts"], catalog, opt.texts, opt.default_target)
 
 
 def payload_reports(reports: dict[str, DataFrame],
@@ -126,16 +138,10 @@ def run_refresh(spark: SparkSession, inp: Inputs, opt: Options, pages: DataFrame
         counts[name] = int(obs.get["rows"])
         return spark.read.format(fmt).load(path)
 
-    # One month of one segment's surveys, shared by four reports: persisted
-    # for the duration of the refresh (recomputed from lineage if an
-    # executor holding blocks is lost).
-    base = sv.base_survey(inp.survey, opt.scope).persist(StorageLevel.MEMORY_AND_DISK)
-    lazy = build_reports(inp, opt, base=base)
-    written = {name: write(df, f"reports/{name}")
-               for name, df in lazy.items() if name != "critical_process_report"}
-    base.unpersist()
-    written["critical_process_report"] = write(critical_from(written, inp.catalog, opt),
-                                               "reports/critical_process_report")
-    pay = write(payloads(payload_reports(written, specs), specs), "payloads")
+    lazy = build_reports(inp, opt, *summaries(inp.conformed(opt.agent_time.buckets), opt))
+    done = {name: write(presented(df, name), f"reports/{name}")
+            for name, df in lazy.items() if name != "critical_process_report"}
+    done["critical_process_report"] = write(critical_from(done, inp.catalog, opt), "reports/critical_process_report")
+    pay = write(payloads(payload_reports(done, specs), specs), "payloads")
     write(publish_pages(pages, pay, specs, refreshed_at, stamp), "pages")
     return counts

@@ -1,11 +1,9 @@
-"""Survey reports: net score by team (R1), by week (R2), by process
-and by contact driver (R8).
-
-Every report filters first (pushed into the scan), aggregates by its keys
-(partial aggregation before the shuffle, so a hot team costs one partial
-row per map task), and only then applies windows, on the small aggregate.
-Pass ``base`` (the filtered survey, e.g. persisted once per refresh) to
-share one scan between R1, R3 and R8.
+"""Survey reports: net score by month (R1), score by week (R2), score by process
+(R3) and driver detail (R8).
+
+All four roll up from the same measures. ``summary`` groups the filtered survey
+once by every key they need; pass it as ``rows`` and each report reads that small
+table. Without it a report reads the filtered survey rows itself.
 """
 
 from __future__ import annotations
@@ -16,67 +14,76 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scores
-from ..functions.dates import week_label
+from ..functions.dates import on_or_after, week_label
 from ..operators.filters import non_blank, survey_rows
 from ..params import Scope
 
-_SURVEY_COLS = ("team", "agent", "response_date", "channel", "process", "driver",
-                "score", "target_text", "segment", "on_target_channel", "office",
-                "training_id")
+SUMMARY_KEYS = ("team", "week", "in_month", "process", "driver", "training_id")
+
+
+def _weekly_since(scope: Scope, weeks_back: int) -> dt.date:
+    return scope.month_start - dt.timedelta(weeks=weeks_back)
+
 
+def measured(survey: DataFrame, scope: Scope, since: dt.date | None = None) -> DataFrame:
+    """The filtered survey rows (from ``since``; default: the month) as keys and
+    measures. Columns that a report does not use are pruned from the scan."""
+    day = F.col("response_date")
+    return survey_rows(survey, scope, since=since).select(
+        "team", week_label(day).alias("week"), on_or_after(day, scope.month_start).alias("in_month"),
+        "process", "driver", "training_id", "agent", "channel",
+        *scores.measures(F.col("score"), F.col("target_text")))
 
-def base_survey(survey: DataFrame, scope: Scope, since: dt.date | None = None) -> DataFrame:
-    """The filtered survey rows most reports start from."""
-    return survey_rows(survey, scope, since=since)
 
+def summary(survey: DataFrame, scope: Scope, weeks_back: int = 4) -> DataFrame:
+    """One pre-aggregate for R1, R2, R3, R8: one row per ``SUMMARY_KEYS``."""
+    rows = measured(survey, scope, _weekly_since(scope, weeks_back))
+    return rows.groupBy(*SUMMARY_KEYS).agg(*scores.combined())
 
-def net_score_monthly(survey: DataFrame, scope: Scope, base: DataFrame | None = None) -> DataFrame:
+
+def _of_month(survey: DataFrame | None, scope: Scope, rows: DataFrame | None) -> DataFrame:
+    return measured(survey, scope) if rows is None else rows.where("in_month")
+
+
+def net_score_monthly(survey: DataFrame | None, scope: Scope, rows: DataFrame | None = None) -> DataFrame:
     """Per team, answers, promoters / passives / detractors and the net
     score, month to date."""
-    rows = base if base is not None else base_survey(survey, scope)
-    s = F.col("score")
-    return (rows.groupBy("team")
-            .agg(scores.n_rows().alias("enc"),
-                 scores.promoters(s).alias("pro"),
-                 scores.passives(s).alias("neu"),
-                 scores.detractors(s).alias("det"),
-                 scores.net_score(s).alias("nps_score")))
+    return (_of_month(survey, scope, rows).groupBy("team")
+            .agg(scores.n_rows().alias("enc"), F.sum("pro").alias("pro"), F.sum("neu").alias("neu"),
+                 F.sum("det").alias("det"), scores.net_score().alias("nps_score")))
 
 
-def score_weekly(survey: DataFrame, scope: Scope, weeks_back: int = 4) -> DataFrame:
+def score_weekly(survey: DataFrame | None, scope: Scope, weeks_back: int = 4, rows: DataFrame | None = None) -> DataFrame:
     """R2: per Monday-week and team, answers and the plain average score
     (not the net score), from ``weeks_back`` weeks before the month start.
     The first week may be partial: the bound is not week-aligned."""
-    since = scope.month_start - dt.timedelta(weeks=weeks_back)
-    rows = base_survey(survey, scope, since=since)
-    return (rows.groupBy(week_label(F.col("response_date")).alias("week"), F.col("team"))
+    rows = measured(survey, scope, _weekly_since(scope, weeks_back)) if rows is None else rows
+    return (rows.groupBy("week", "team")
             .agg(scores.n_rows().alias("enc"),
-                 F.round(F.avg("score"), 1).alias("avg_score")))
+                 F.round(scores.mean("score_sum", "score_n"), 1).alias("avg_score")))
 
 
-def score_by_process(survey: DataFrame, scope: Scope, base: DataFrame | None = None) -> DataFrame:
+def score_by_process(survey: DataFrame | None, scope: Scope, rows: DataFrame | None = None) -> DataFrame:
     """Per team and process (NULL is a process), answers, net score,
     average target in percent, and the process's share of the team."""
-    rows = base if base is not None else base_survey(survey, scope)
-    agg = (rows.groupBy("team", "process")
-           .agg(scores.n_rows().alias("enc"),
-                scores.net_score(F.col("score")).alias("nps"),
-                scores.target_pct(F.col("target_text")).alias("target")))
+    agg = (_of_month(survey, scope, rows).groupBy("team", "process")
+           .agg(scores.n_rows().alias("enc"), scores.net_score().alias("nps"), scores.target_pct().alias("target")))
     return agg.withColumn("pct", scores.share_of(F.col("enc"), ["team"]))
 
 
-def driver_detail(survey: DataFrame, scope: Scope, min_n: int = 3,
-                  base: DataFrame | None = None) -> DataFrame:
+def driver_detail(survey: DataFrame | None, scope: Scope, min_n: int = 3, rows: DataFrame | None = None,
+                  approximate: float | None = None) -> DataFrame:
     """Per team, process and driver (non-blank), answers, net score,
     average target, distinct cohorts, and the driver's share of its process.
     Groups with fewer than ``min_n`` answers are dropped *before* the share
-    is computed, so the share's denominator excludes them."""
-    rows = base if base is not None else base_survey(survey, scope)
-    rows = rows.where(non_blank(F.col("driver")))
-    agg = (rows.groupBy("team", "process", "driver")
-           .agg(scores.n_rows().alias("enc"),
-                scores.net_score(F.col("score")).alias("nps_score"),
-                scores.target_pct(F.col("target_text")).alias("target"),
-                F.countDistinct("training_id").alias("cohorts"))
+    is computed, so the share's denominator excludes them.
+
+    ``approximate``: relative error allowed for the distinct cohorts (a
+    sketch instead of an exact count)."""
+    cohorts = F.countDistinct("training_id") if approximate is None else F.approx_count_distinct("training_id", approximate)
+    agg = (_of_month(survey, scope, rows).where(non_blank(F.col("driver")))
+           .groupBy("team", "process", "driver")
+           .agg(scores.n_rows().alias("enc"), scores.net_score().alias("nps_score"),
+                scores.target_pct().alias("target"), cohorts.alias("cohorts"))
            .where(F.col("enc") >= min_n))
     return agg.withColumn("pct_in_proc", scores.share_of(F.col("enc"), ["team", "process"]))

@@ -8,8 +8,10 @@ DataFrames and returns a DataFrame. These helpers are for entry points
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every entry point wants. AQE re-plans joins from runtime sizes
 # (a small aggregated side becomes a broadcast, skewed partitions are split)
@@ -75,3 +77,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         )
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: cuts the
+    lineage and survives lost executors. Only a local master may go without
+    ``spark.checkpoint.dir`` (it then gets a temporary folder)."""
+    spark = df.sparkSession
+    local = spark.sparkContext.master.startswith("local")
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = checkpoint_dir(spark, fallback=None if known or not local else tempfile.mkdtemp(prefix="cxpulse-"))
+    path = os.path.join(folder, f"cxpulse-{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

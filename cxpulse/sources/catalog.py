@@ -29,15 +29,16 @@ def catalog_from_rows(spark: SparkSession, rows: Iterable[Mapping]) -> DataFrame
                 act.get("how"), act.get("materials"), list(act.get("tags") or []),
             ),
         ))
-    # The rows are already in driver memory, so their count is a proven
-    # bound: mark the frame for broadcast (a frame built from local rows has
-    # no size statistics, so the optimizer would otherwise shuffle it).
-    return F.broadcast(spark.createDataFrame(data, schemas.CATALOG))
+    return spark.createDataFrame(data, schemas.CATALOG)
 
 
 def conform_catalog(df: DataFrame) -> DataFrame:
+    """The catalogue with one row per sentence: of several the smallest by label,
+    error text and activity stays, so that a lookup never multiplies rows."""
     names = [f.name for f in schemas.CATALOG.fields]
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise schemas.SchemaError(f"catalog: missing columns {missing}")
-    return df.select(*names)
+    rest = [n for n in names if n != "sentence"]
+    one = df.where(F.col("sentence").isNotNull()).groupBy("sentence").agg(F.min(F.struct(*rest)).alias("row"))
+    return one.select("sentence", *[F.col(f"row.{n}").alias(n) for n in rest])

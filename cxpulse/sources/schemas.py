@@ -13,15 +13,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-TIME_BUCKETS = (
-    # The 17 agent-time buckets, in this order, summed into
-    # logged time (seconds); training time is the training_ac bucket.
-    "online", "online_lowp", "help", "shadow", "email", "post_contact",
-    "break", "coaching", "event", "training_ac", "training_km",
-    "expert_trainer", "learning", "teaching", "nesting",
-    "operational_failure", "systematic_failure",
-)
-
 _DATE_LIKE = (T.DateType, T.TimestampType, T.TimestampNTZType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -71,9 +62,14 @@ AGENT_TIME = {
     "team": (T.StringType,),
     "role": (T.StringType,),
     "work_date": _DATE_LIKE,
-    **{f"{b}_s": _NUMERIC for b in TIME_BUCKETS},
 }
 
+
+def agent_time(buckets: Iterable[str]) -> dict:
+    """Contract of agent time with the given buckets (seconds in ``<bucket>_s``)."""
+    return {**AGENT_TIME, **{f"{b}_s": _NUMERIC for b in buckets}}
+
+
 TRAINING_STATUS = {
     "agent": _ANY,
     "work_date": _DATE_LIKE,
@@ -96,12 +92,6 @@ CATALOG = T.StructType([
     T.StructField("activity", ACTIVITY),
 ])
 
-PAGES = {
-    "page_id": _ANY,
-    "html": (T.StringType,),
-}
-
-
 class SchemaError(ValueError):
     pass
 

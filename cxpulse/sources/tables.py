@@ -7,6 +7,8 @@ reports are pushed into it by Catalyst.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from . import schemas
@@ -30,8 +32,8 @@ def read_qa_flags(spark: SparkSession, source: str) -> DataFrame:
     return schemas.conform(read(spark, source), schemas.QA_FLAGS, name="qa_flags")
 
 
-def read_agent_time(spark: SparkSession, source: str) -> DataFrame:
-    return schemas.conform(read(spark, source), schemas.AGENT_TIME, name="agent_time")
+def read_agent_time(spark: SparkSession, source: str, buckets: Iterable[str]) -> DataFrame:
+    return schemas.conform(read(spark, source), schemas.agent_time(buckets), name="agent_time")
 
 
 def read_training_status(spark: SparkSession, source: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame
-built from the driver's tables through the testbed adapters."""
+built from the driver's tables through the testbed adapters. Nested and text
+outputs are flattened to rows, so that every value has an oracle."""
 
 from __future__ import annotations
 
@@ -13,7 +14,7 @@ from ..plans import critical as cr
 from ..plans import qa
 from ..plans import refresh as rf
 from ..plans import survey as sv
-from ..plans.publish import StampSpec, payloads, publish_pages
+from ..plans.publish import PayloadSpec, StampSpec, as_payload, payloads, publish_pages
 from . import adapters as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,20 +37,20 @@ def driver_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qa.qa_by_channel(tb.qa_eval(spark, sf_dir), tb.scope(), tb.QA)
+    return qa.qa_by_channel(tb.qa_eval(spark, sf_dir), tb.scope(tb.QA_AS_OF), tb.QA)
 
 
 def behaviour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qa.behaviour_counts(tb.qa_eval(spark, sf_dir), tb.scope(), tb.QA)
+    return qa.behaviour_counts(tb.qa_eval(spark, sf_dir), tb.scope(tb.QA_AS_OF), tb.QA)
 
 
 def flag_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qa.flag_matrix(tb.qa_flags(spark, sf_dir), tb.scope(), tb.FLAGS)
+    return qa.flag_matrix(tb.qa_flags(spark, sf_dir), tb.scope(tb.TIME_AS_OF), tb.FLAGS)
 
 
 def training_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.training_share(tb.agent_time(spark, sf_dir), tb.training_status(spark, sf_dir),
-                             tb.survey(spark, sf_dir), tb.scope(), tb.AGENT_TIME)
+                             tb.survey(spark, sf_dir), tb.scope(tb.TIME_AS_OF), tb.AGENT_TIME)
 
 
 def training_share_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,89 +62,154 @@ def training_share_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def agent_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.agent_detail(tb.survey(spark, sf_dir), tb.agent_time(spark, sf_dir), tb.scope(),
-                           tb.AGENT_TIME, tb.AGENT_CHANNEL_MAP)
+                           tb.AGENT_TIME, tb.AGENT_CHANNEL_MAP, time_scope=tb.scope(tb.TIME_AS_OF))
 
 
 def _r10_inputs(spark: SparkSession, sf_dir: str):
+    """R3 and R8 from one survey summary (one scan), and R6."""
     sc = tb.scope()
-    s = tb.survey(spark, sf_dir)
-    base = sv.base_survey(s, sc)
-    by_process = sv.score_by_process(s, sc, base=base)
-    drivers = sv.driver_detail(s, sc, base=base)
-    behaviours = qa.behaviour_counts(tb.qa_eval(spark, sf_dir), sc, tb.QA)
-    return by_process, drivers, behaviours
+    rows = sv.measured(tb.survey(spark, sf_dir), sc).groupBy(*sv.SUMMARY_KEYS).agg(*sv.scores.combined())
+    behaviours = qa.behaviour_counts(tb.qa_eval(spark, sf_dir), tb.scope(tb.QA_AS_OF), tb.QA)
+    return sv.score_by_process(None, sc, rows=rows), sv.driver_detail(None, sc, rows=rows), behaviours
 
 
 def critical_process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_process, _, _ = _r10_inputs(spark, sf_dir)
-    return cr.critical_process(by_process)
+    return cr.critical_process(score_by_process(spark, sf_dir), tb.TEXTS)
 
 
 def top_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_process, drivers, _ = _r10_inputs(spark, sf_dir)
-    return cr.top_drivers(drivers, cr.critical_process(by_process), len(tb.TEAMS))
+    return cr.top_drivers(drivers, cr.critical_process(by_process, tb.TEXTS), tb.TEXTS)
 
 
 def top_behaviours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, behaviours = _r10_inputs(spark, sf_dir)
-    return cr.top_behaviours(behaviours, tb.catalog(spark)).drop("error_text", "activity")
+    return cr.top_behaviours(behaviour_counts(spark, sf_dir), tb.catalog(spark), tb.TEXTS).drop("error_text", "activity")
 
 
 def driver_coaching(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_process, drivers, behaviours = _r10_inputs(spark, sf_dir)
-    n = len(tb.TEAMS)
-    tops = cr.top_drivers(drivers, cr.critical_process(by_process), n)
-    behs = cr.top_behaviours(behaviours, tb.catalog(spark))
-    return cr.flat_coaching(cr.driver_coaching(tops, behs, n))
+    tops = cr.top_drivers(drivers, cr.critical_process(by_process, tb.TEXTS), tb.TEXTS)
+    behs = cr.top_behaviours(behaviours, tb.catalog(spark), tb.TEXTS)
+    return cr.flat_coaching(cr.driver_coaching(tops, behs, tb.TEXTS))
 
 
-def critical_process_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nested_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_process, drivers, behaviours = _r10_inputs(spark, sf_dir)
-    return cr.critical_process_report(by_process, drivers, behaviours, tb.catalog(spark),
-                                      len(tb.TEAMS))
+    return cr.critical_process_report(by_process, drivers, behaviours, tb.catalog(spark), tb.TEXTS)
+
+
+def _gaps(gaps: Column) -> Column:
+    return F.array_join(F.transform(gaps, lambda g: F.concat_ws(":", g["label"], g["val"], g["max"])), "|")
+
+
+def _driver_fields(d: str) -> list[Column]:
+    a = f"{d}.activity"
+    return [F.col(f"{d}.num").alias("num"), F.col(f"{d}.name").alias("driver"), F.col(f"{d}.priority").alias("priority"),
+            F.col(f"{d}.pclass").alias("pclass"), F.col(f"{d}.gap").alias("gap"), F.col(f"{d}.cohorts").alias("driver_cohorts"),
+            F.col(f"{d}.incoming").alias("incoming"), F.col(f"{d}.why").alias("why"), F.col(f"{d}.error").alias("error"),
+            F.col(f"{d}.behaviour_gap").alias("behaviour_gap"), F.col(f"{a}.num").alias("activity_num"),
+            *[F.col(f"{a}.{x}").alias(f"activity_{x}") for x in ("title", "duration", "objective", "how", "materials")],
+            F.array_join(F.col(f"{a}.tags"), "|").alias("activity_tags")]
+
+
+def critical_process_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R10, every leaf: one row per (team, driver) with the team's fields and
+    its behaviour gaps as text; a team without drivers keeps one row."""
+    d = nested_report(spark, sf_dir).select("*", F.explode_outer("drivers").alias("d"))
+    return d.select("team", "process", "process_desc", "incoming_total", "cohorts", "nps", "gap_total",
+                    "behaviour_insight", _gaps(F.col("behaviour_gaps")).alias("behaviour_gaps"), *_driver_fields("d"))
+
+
+def critical_report_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R10 without the activity's own fields: what a driver list shows."""
+    d = nested_report(spark, sf_dir).select("*", F.explode_outer("drivers").alias("d"))
+    return d.select("team", "process", "incoming_total", "nps", F.size("behaviour_gaps").alias("n_gaps"),
+                    F.col("d.num").alias("num"), F.col("d.name").alias("driver"), F.col("d.gap").alias("gap"),
+                    F.col("d.incoming").alias("incoming"))
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> rf.Inputs:
-    return rf.Inputs(tb.survey(spark, sf_dir), tb.qa_eval(spark, sf_dir),
-                     tb.qa_flags(spark, sf_dir), tb.agent_time(spark, sf_dir),
-                     tb.training_status(spark, sf_dir), tb.catalog(spark))
+def inputs(spark: SparkSession, sf_dir: str) -> rf.Inputs:
+    """All sources on the survey's month."""
+    return rf.Inputs(tb.survey(spark, sf_dir), tb.qa_eval(spark, sf_dir, True), tb.qa_flags(spark, sf_dir, True),
+                     tb.agent_time(spark, sf_dir, True), tb.training_status(spark, sf_dir, True), tb.catalog(spark))
 
 
 def options() -> rf.Options:
-    return rf.Options(tb.scope(), tb.QA, tb.FLAGS, tb.AGENT_TIME, tb.AGENT_CHANNEL_MAP,
-                      weekly_as_of=tb.WEEKLY_AS_OF)
+    return rf.Options(tb.scope(), tb.QA, tb.FLAGS, tb.AGENT_TIME, tb.AGENT_CHANNEL_MAP, tb.TEXTS)
 
 
-def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six page payloads (name, var, n, json, b64, js)."""
-    reports = rf.build_reports(_inputs(spark, sf_dir), options())
+    inp, opt = inputs(spark, sf_dir), options()
+    reports = rf.build_reports(inp, opt, *rf.summaries(inp, opt))
     return payloads(rf.payload_reports(reports), rf.DEFAULT_PAYLOADS)
 
 
+_ROWS = "array<map<string,string>>"
+_KEYED = "map<string,map<string,string>>"
+_CRITICAL = ("map<string,struct<process:string,process_desc:string,incoming_total:bigint,cohorts:bigint,nps:double,gap_total:double,"
+             "drivers:array<struct<num:int,name:string,priority:string,pclass:string,gap:int,cohorts:bigint,incoming:bigint,why:string,error:string,"
+             "behaviour_gap:string,activity:struct<num:int,title:string,duration:string,objective:string,how:string,materials:string,tags:array<string>>>>,"
+             "behaviour_gaps:array<struct<label:string,val:bigint,max:bigint>>,behaviour_insight:string>>")
+
+
+def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R11 decoded: every payload's base64 text read back into cells (name, item,
+    field, value); ``item`` is the row's place, or its key."""
+    p = payload_rows(spark, sf_dir).select("name", F.decode(F.unbase64("b64"), "UTF-8").alias("text"))
+    keyed = F.col("name").isin("TRAINING_SHARE", "CRITICAL_PROCESS")
+    listed = p.where(~keyed).select("name", F.posexplode(F.from_json("text", _ROWS)).alias("item", "row"))
+    shares = p.where("name = 'TRAINING_SHARE'").select("name", F.explode(F.from_json("text", _KEYED)).alias("item", "row"))
+    cells = [df.select("name", F.col("item").cast("string").alias("item"), F.explode("row").alias("field", "value")) for df in (listed, shares)]
+    c = p.where("name = 'CRITICAL_PROCESS'").select("name", F.explode(F.from_json("text", _CRITICAL)).alias("item", "r"))
+    team = {x: F.col(f"r.{x}").cast("string") for x in ("process", "process_desc", "incoming_total", "cohorts", "nps", "gap_total", "behaviour_insight")}
+    team["behaviour_gaps"] = _gaps(F.col("r.behaviour_gaps"))
+    cells.append(c.select("name", "item", F.explode(F.create_map(*[y for k, v in team.items() for y in (F.lit(k), v)])).alias("field", "value")))
+    d = c.select("name", "item", F.explode("r.drivers").alias("d")).select("name", "item", *_driver_fields("d"))
+    rest = [x for x in d.columns if x not in ("name", "item", "num")]
+    cells.append(d.select("name", "item", F.concat(F.lit("driver "), F.col("num").cast("string")).alias("field"),
+                          F.concat_ws("~", *[F.col(x).cast("string") for x in rest]).alias("value")))
+    out = cells[0]
+    for df in cells[1:]:
+        out = out.unionByName(df)
+    return out
+
+
 STAMP = StampSpec(element_ids=tb.STAMP_IDS, style_id=tb.STAMP_STYLE_ID, suffix=" 11:05h")
 
 
-def publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's pages with payloads injected and the stamp written."""
     slots = [s.slot for s in rf.DEFAULT_PAYLOADS]
-    pages = tb.pages_with_slots(spark, sf_dir, slots)
-    return publish_pages(pages, report_payload(spark, sf_dir), rf.DEFAULT_PAYLOADS,
-                         tb.REFRESHED_AT, STAMP)
+    return publish_pages(tb.pages_with_slots(spark, sf_dir, slots), payload_rows(spark, sf_dir),
+                         rf.DEFAULT_PAYLOADS, tb.REFRESHED_AT, STAMP)
 
 
-def critical_report_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R10 nested report flattened for the oracle: one row per (team,
-    driver), team fields repeated; a team without drivers keeps one row."""
-    rep = critical_process_report(spark, sf_dir)
-    d = rep.select("*", F.explode_outer("drivers").alias("d"))
-    return d.select(
-        "team", "process", "process_desc", "incoming_total", "cohorts", "nps", "gap_total",
-        "behaviour_insight", F.size("behaviour_gaps").alias("n_gaps"),
-        F.col("d.num").alias("num"), F.col("d.name").alias("driver"), F.col("d.gap").alias("gap"),
-        F.col("d.incoming").alias("incoming"), F.col("d.why").alias("why"),
-        F.col("d.error").alias("error"), F.col("d.behaviour_gap").alias("behaviour_gap"),
-        F.col("d.activity.title").alias("activity_title"),
-        F.array_join(F.col("d.activity.tags"), "|").alias("activity_tags"))
+def _embedded(var: str, schema: str) -> Column:
+    b64 = F.regexp_extract(F.col("html"), rf'const {var} = JSON\.parse\(atob\("([A-Za-z0-9+/=]*)"\)\);', 1)
+    return F.from_json(F.decode(F.unbase64(b64), "UTF-8"), schema)
+
+
+_LINE = r'const (\w+) = JSON\.parse\(atob\("[A-Za-z0-9+/=]*"\)\);'
+
+
+def publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page what was injected and what is missing, the entries in each
+    slot's embedded payload, and a hash of the page with each payload line
+    reduced to its variable (all the rest, stamps included, must be as before)."""
+    pages = published(spark, sf_dir)
+    sizes = [F.coalesce(F.size(_embedded(s.var, _KEYED if s.key else _ROWS) if s.name != "CRITICAL_PROCESS" else _embedded(s.var, _CRITICAL)), F.lit(0)).alias(f"n_{s.var}")
+             for s in rf.DEFAULT_PAYLOADS]
+    return pages.select("page_id", F.array_join("injected", ",").alias("injected"), F.array_join("missing", ",").alias("missing"), "refreshed_at",
+                        *sizes, F.md5(F.regexp_replace("html", _LINE, "<$1>")).alias("rest"))
+
+
+def page_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stamp's places in each page: element texts and style contents."""
+    pages = published(spark, sf_dir)
+    every = lambda pattern: F.array_join(F.regexp_extract_all("html", F.lit(pattern), F.lit(1)), "|")
+    return pages.select("page_id", every(r'id="refreshStamp">([^<]*)<').alias("badge"), every(r'<strong id="headerStamp">([^<]*)<').alias("header"),
+                        every(r'::after \{ content: "([^"]*)"').alias("styles"), every(r'\.[ab] \{ content: ?"([^"]*)"').alias("second"))
 
 
 _MONTHLY_ROWS = "array<struct<team:string,enc:bigint,pro:bigint,neu:bigint,det:bigint,nps_score:double>>"
@@ -152,34 +218,29 @@ _PROCESS_ROWS = "array<struct<team:string,process:string,enc:bigint,nps:double,t
 
 def payload_monthly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R11 round trip: the monthly payload decoded back into R1's rows."""
-    p = report_payload(spark, sf_dir).where(F.col("name") == "NET_SCORE_MONTHLY")
-    text = F.decode(F.unbase64(F.col("b64")), "UTF-8")
-    rows = p.select(F.explode(F.from_json(text, _MONTHLY_ROWS)).alias("r"))
+    p = as_payload(net_score_monthly(spark, sf_dir), rf.DEFAULT_PAYLOADS[0])
+    rows = p.select(F.explode(F.from_json(F.decode(F.unbase64("b64"), "UTF-8"), _MONTHLY_ROWS)).alias("r"))
     return rows.select("r.team", "r.enc", "r.pro", "r.neu", "r.det", "r.nps_score")
 
 
-def _embedded(var: str, schema: str) -> Column:
-    b64 = F.regexp_extract(F.col("html"), rf'const {var} = JSON\.parse\(atob\("([A-Za-z0-9+/=]*)"\)\);', 1)
-    return F.from_json(F.decode(F.unbase64(b64), "UTF-8"), schema)
+def payload_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DECIMAL and DATE columns in a payload: totals and last days by status."""
+    rows = tb._table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"), F.max(F.to_date("o_orderdate")).alias("last"))
+    p = as_payload(rows, PayloadSpec("TYPES", "types", (("status", True),)))
+    decoded = F.from_json(F.decode(F.unbase64("b64"), "UTF-8"), "array<struct<status:string,total:double,last:string>>")
+    return p.select(F.explode(decoded).alias("r")).select("r.status", "r.total", "r.last")
 
 
 def published_pages_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R12 round trip: per page, the monthly and by-process payloads decoded
     from the published HTML and summarised (0 where nothing was published).
     No filter follows the publishing step, so nothing is pushed through it."""
-    pages = publish(spark, sf_dir)
-    monthly = _embedded("monthly", _MONTHLY_ROWS)
-    by_process = _embedded("byProcess", _PROCESS_ROWS)
-
-    def rows(arr: Column) -> Column:
-        return F.coalesce(F.size(arr), F.lit(0))
-
-    def enc(arr: Column) -> Column:
-        return F.coalesce(F.aggregate(arr, F.lit(0).cast("bigint"), lambda a, x: a + x["enc"]),
-                          F.lit(0).cast("bigint"))
-
-    return pages.select("page_id",
-                        rows(monthly).alias("monthly_rows"), enc(monthly).alias("monthly_enc"),
+    pages = published(spark, sf_dir)
+    monthly, by_process = _embedded("monthly", _MONTHLY_ROWS), _embedded("byProcess", _PROCESS_ROWS)
+    enc = lambda arr: F.coalesce(F.aggregate(arr, F.lit(0).cast("bigint"), lambda a, x: a + x["enc"]), F.lit(0).cast("bigint"))
+    rows = lambda arr: F.coalesce(F.size(arr), F.lit(0))
+    return pages.select("page_id", rows(monthly).alias("monthly_rows"), enc(monthly).alias("monthly_enc"),
                         rows(by_process).alias("process_rows"), enc(by_process).alias("process_enc"))
 
 
@@ -202,7 +263,9 @@ def all_queries() -> dict[str, Query]:
         "critical_process_report": critical_process_report,
         "report_payload": report_payload,
         "publish_pages": publish,
+        "page_stamps": page_stamps,
         "critical_report_drivers": critical_report_drivers,
         "payload_monthly_rows": payload_monthly_rows,
+        "payload_types": payload_types,
         "published_pages_check": published_pages_check,
     }

@@ -8,6 +8,7 @@ import pytest
 
 from cxpulse.plans import critical as cr
 from cxpulse.sources.catalog import catalog_from_rows
+from cxpulse.testbed.adapters import TEXTS
 
 from .test_critical import BEHAVIOURS, BY_PROCESS, DRIVERS
 
@@ -33,7 +34,7 @@ def gen(seed):
     behaviours = []
     for t in teams:
         for s in rnd.sample([f"S{i}" for i in range(8)], rnd.randint(0, 7)):
-            behaviours.append((t, s, rnd.choice([None, "1-OPEN", "2-X"]), rnd.randint(1, 30),
+            behaviours.append((t, s, rnd.choice([None, "1-A", "2-X"]), rnd.randint(1, 30),
                                rnd.choice([0, 1, 2, 2, 5])))
     return by_process, drivers, behaviours
 
@@ -85,20 +86,20 @@ def test_ranking_stages_match_brute_force(spark, seed):
     be = spark.createDataFrame(behaviours, BEHAVIOURS)
     cat = catalog_from_rows(spark, [{"sentence": "S1", "label": "one"}])
 
-    crit = cr.critical_process(bp)
+    crit = cr.critical_process(bp, TEXTS)
     want_crit = brute_critical(by_process)
     got_crit = {r.team: (r.process, r.target) for r in crit.collect()}
     assert got_crit == want_crit
 
     got_top = {}
-    for r in cr.top_drivers(dr, crit, 4).collect():
+    for r in cr.top_drivers(dr, crit, TEXTS).collect():
         got_top.setdefault(r.team, []).append((r.num, r.driver))
     got_top = {t: [d for _, d in sorted(v)] for t, v in got_top.items()}
     want_top = {t: v for t, v in brute_top_drivers(drivers, want_crit).items() if v}
     assert got_top == want_top
 
     got_beh = {}
-    for r in cr.top_behaviours(be, cat).collect():
+    for r in cr.top_behaviours(be, cat, TEXTS).collect():
         got_beh.setdefault(r.team, []).append((r.rank, r.sentence, r.moment))
     got_beh = {t: [(s, m) for _, s, m in sorted(v)] for t, v in got_beh.items()}
     assert got_beh == brute_top_behaviours(behaviours)

@@ -12,6 +12,7 @@ Team D: only in drivers / behaviours, so it is absent.
 
 from cxpulse.plans import critical as cr
 from cxpulse.sources.catalog import catalog_from_rows
+from cxpulse.testbed.adapters import TEXTS
 
 BY_PROCESS = "team string, process string, enc long, nps double, target double, pct double"
 DRIVERS = ("team string, process string, driver string, enc long, nps_score double, target double, "
@@ -34,7 +35,7 @@ def frames(spark):
         ("D", "P1", "dd", 9, 0.0, None, 1, 0.0),
     ], DRIVERS)
     behaviours = spark.createDataFrame([
-        ("A", "S1", "1-OPEN", 10, 4), ("A", "S2", None, 12, 0),
+        ("A", "S1", "1-A", 10, 4), ("A", "S2", None, 12, 0),
         ("C", "S9", None, 5, 3), ("C", "S1", "2-X", 7, 3),
         ("D", "S1", None, 1, 1),
     ], BEHAVIOURS)
@@ -48,65 +49,69 @@ def frames(spark):
 
 
 def test_nested_report_golden(spark):
-    report = cr.critical_process_report(*frames(spark), n_teams=4)
+    report = cr.critical_process_report(*frames(spark), TEXTS)
     got = {r.team: r.asDict(recursive=True) for r in report.collect()}
     assert sorted(got) == ["A", "B", "C"]
 
-    t = cr.TEXTS
     a = got["A"]
     assert (a["process"], a["nps"], a["gap_total"]) == ("P1", 50.0, -10.0)
-    assert a["process_desc"] == ("Process with the largest negative impact for A. Gap of 10.0 p.p. "
-                                 "vs target (60.0%) over 10 surveys (33.3% of the team's incoming).")
+    assert a["process_desc"] == "P1 at 50.0 of 60.0 (-10.0), 10 answers = 33.3"
     assert [d["name"] for d in a["drivers"]] == ["d1", "d2", "d3"]
     assert [d["gap"] for d in a["drivers"]] == [-20, -20, 30]       # -19.5 -> -20 (half even)
-    assert [d["priority"] for d in a["drivers"]] == ["HIGH", "HIGH", "MEDIUM"]
+    assert [d["priority"] for d in a["drivers"]] == ["now", "soon", "later"]
     assert [d["pclass"] for d in a["drivers"]] == ["p1", "p2", "p3"]
-    assert a["drivers"][0]["why"] == ("Most frequent driver: 2 cohort(s), 5 surveys. "
-                                      "Gap of 20.0 p.p. vs a 60.0% target.")
-    assert a["drivers"][1]["why"] == ("Gap of 19.5 p.p. vs a 69.5% target across 1 cohort(s) "
-                                      "and 5 surveys.")
+    assert [d["why"] for d in a["drivers"]] == ["d1 40.0/60.0", "2 d2: -19.5, n=5, groups=1", "3 d3: 30.0, n=8, groups=4"]
     assert {d["error"] for d in a["drivers"]} == {"Interrupts the user."}
     assert {d["activity"]["title"] for d in a["drivers"]} == {"Listen"}   # clamped to the only one
     assert [d["activity"]["num"] for d in a["drivers"]] == [1, 2, 3]
-    assert a["drivers"][0]["behaviour_gap"].startswith("Gap in Listens:")
+    assert a["drivers"][0]["behaviour_gap"] == "[Listens]"
     assert (a["incoming_total"], a["cohorts"]) == (18, 4)
     assert a["behaviour_gaps"] == [{"label": "Listens", "val": 4, "max": 12}]
-    assert a["behaviour_insight"] == "Most flagged behaviour: Listens with 4 records."
+    assert a["behaviour_insight"] == "Listens x4"
 
     b = got["B"]
     assert (b["process"], b["nps"], b["gap_total"]) == ("P1", 80.0, 10.5)
     assert b["drivers"] == [] and b["behaviour_gaps"] == []
     assert (b["incoming_total"], b["cohorts"]) == (0, 0)
-    assert b["behaviour_insight"] == t.insight_none
+    assert b["behaviour_insight"] == "none"
 
     c = got["C"]
     assert (c["process"], c["gap_total"]) == (None, -24.5)
     assert [d["name"] for d in c["drivers"]] == ["dn1", "dn2"]
     assert [d["gap"] for d in c["drivers"]] == [-24, -10]            # -24.5 -> -24, -9.5 -> -10
     assert c["drivers"][0]["activity"]["title"] == "Listen"
-    assert c["drivers"][1]["activity"]["title"] == t.default_activity["title"]
+    assert c["drivers"][1]["activity"]["title"] == "open"
     assert c["drivers"][1]["activity"]["tags"] == []
     assert c["behaviour_gaps"] == [{"label": "Listens", "val": 3, "max": 7},
                                    {"label": "S9", "val": 3, "max": 7}]
-    assert c["behaviour_insight"] == ("The two most flagged behaviours (Listens and S9) "
-                                      "add up to 6 records.")
+    assert c["behaviour_insight"] == "Listens x3, S9 x3"
 
 
 def test_no_behaviours_defaults(spark):
     by_process, drivers, behaviours, catalog = frames(spark)
     empty = behaviours.where("false")
-    report = cr.critical_process_report(by_process, drivers, empty, catalog, n_teams=4)
+    report = cr.critical_process_report(by_process, drivers, empty, catalog, TEXTS)
     a = [r for r in report.collect() if r.team == "A"][0]
     d = a.drivers[0]
-    assert d.error == "Most critical behaviour found: ."
+    assert d.error == "see "
     assert d.behaviour_gap == "-"
-    assert d.activity.title == cr.TEXTS.default_activity["title"]
+    assert d.activity.title == "open"
 
 
 def test_top_behaviours_error_default_uses_label(spark):
     by_process, drivers, behaviours, catalog = frames(spark)
-    behs = cr.top_behaviours(behaviours, catalog)
-    tops = cr.top_drivers(drivers, cr.critical_process(by_process), 4)
-    coach = cr.driver_coaching(tops, behs.where("sentence = 'S9'"), 4)
+    behs = cr.top_behaviours(behaviours, catalog, TEXTS)
+    tops = cr.top_drivers(drivers, cr.critical_process(by_process, TEXTS), TEXTS)
+    coach = cr.driver_coaching(tops, behs.where("sentence = 'S9'"), TEXTS)
     c = [r for r in coach.collect() if r.team == "C"]
-    assert {r.error for r in c} == {"Most critical behaviour found: S9."}
+    assert {r.error for r in c} == {"see S9"}
+
+
+def test_unnamed_top_behaviour_and_repeated_catalogue_codes(spark):
+    by_process, drivers, _, catalog = frames(spark)
+    behaviours = spark.createDataFrame([("A", "", None, 5, 4), ("A", "S1", None, 5, 3)], BEHAVIOURS)
+    twice = catalog.unionByName(catalog)
+    tops = cr.top_behaviours(behaviours, twice, TEXTS)
+    assert sorted((r.rank, r.sentence) for r in tops.collect()) == [(1, ""), (2, "S1")]
+    coached = cr.driver_coaching(cr.top_drivers(drivers, cr.critical_process(by_process, TEXTS), TEXTS), tops, TEXTS)
+    assert {r.behaviour_gap for r in coached.collect()} == {"-"}

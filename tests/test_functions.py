@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cxpulse.functions import (
     fold,
+    measures,
     net_score,
     on_or_after,
     render,
@@ -36,16 +37,19 @@ def one(spark, df_expr, data, schema):
     return spark.createDataFrame(data, schema).select(df_expr.alias("x")).collect()
 
 
+def measured(spark, rows):
+    return spark.createDataFrame(rows, "score double, t string").select(*measures(F.col("score"), F.col("t")))
+
+
 def test_net_score_counts_null_scores_T12(spark):
-    df = spark.createDataFrame([(100.0,), (100.0,), (0.0,), (-100.0,), (None,)], "score double")
-    r = df.agg(net_score(F.col("score")).alias("n")).first()
+    df = measured(spark, [(100.0, None), (100.0, None), (0.0, None), (-100.0, None), (None, None)])
+    r = df.agg(net_score().alias("n")).first()
     # (2 - 1) * 100 / 5: the NULL answer counts in the denominator
     assert r.n == 20.0
 
 
 def test_net_score_is_double_T1(spark):
-    df = spark.createDataFrame([(1.0,)], "score double")
-    assert dict(df.agg(net_score(F.col("score")).alias("n")).dtypes)["n"] == "double"
+    assert dict(measured(spark, [(1.0, None)]).agg(net_score().alias("n")).dtypes)["n"] == "double"
 
 
 def test_round_half_up_on_decimal_text_T2(spark):
@@ -61,14 +65,14 @@ def test_bround_half_even_T3(spark):
 
 
 def test_to_number_junk_and_nan_T22_T15(spark):
-    df = spark.createDataFrame([("0.35",), ("n/a",), ("NaN",), (None,), ("1e-1",)], "t string")
+    texts = ["0.35", "n/a", "NaN", None, "1e-1", "0.35d", "1f", "0x1p3", "Infinity", "-inf", "1e999", " .5 ", "-3.", "", "1 2"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(to_number(F.col("t"))).collect()]
-    assert got == [0.35, None, None, None, 0.1]
+    assert got == [0.35, None, None, None, 0.1, None, None, None, None, None, None, 0.5, -3.0, None, None]
 
 
 def test_target_pct(spark):
-    df = spark.createDataFrame([("0.35",), ("0",), ("junk",)], "t string")
-    assert df.agg(target_pct(F.col("t"))).first()[0] == 17.5
+    assert measured(spark, [(None, "0.35"), (None, "0"), (None, "junk")]).agg(target_pct()).first()[0] == 17.5
 
 
 def test_target_or_default_two_rules_T5(spark):
@@ -100,12 +104,12 @@ def test_share_of_window(spark):
 
 
 def test_fold_pass_through_and_null(spark):
-    df = spark.createDataFrame([("C2C",), ("MULTICANAL C2C",), ("MAIL",), (None,)], "c string")
-    m = {"C2C": ("C2C", "MULTICANAL C2C")}
+    df = spark.createDataFrame([("a",), ("aa",), ("z",), (None,)], "c string")
+    m = {"a": ("a", "aa")}
     keep = [r[0] for r in df.select(fold(F.col("c"), m, keep_others=True)).collect()]
     drop = [r[0] for r in df.select(fold(F.col("c"), m, keep_others=False)).collect()]
-    assert keep == ["C2C", "C2C", "MAIL", None]
-    assert drop == ["C2C", "C2C", None, None]
+    assert keep == ["a", "a", "z", None]
+    assert drop == ["a", "a", None, None]
 
 
 def test_week_label_monday_T16(spark):
@@ -136,6 +140,12 @@ def test_predicates(spark):
     ]
 
 
+def test_non_blank_knows_all_white_space(spark):
+    texts = ["x", " \t\n", "\u00a0", "\u2003\u3000", "\u00a0x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(non_blank(F.col("t"))).collect()] == [True, False, False, False, True, False, False]
+
+
 def test_text_is_on_boolean_source(spark):
     df = spark.createDataFrame([(True,), (False,)], "p boolean")
     assert [r[0] for r in df.select(text_is(F.col("p"), "true")).collect()] == [True, False]

@@ -12,6 +12,7 @@ from cxpulse.plans import critical as cr
 from cxpulse.plans import qa
 from cxpulse.plans import survey as sv
 from cxpulse.sources.catalog import catalog_from_rows
+from cxpulse.testbed.adapters import TEXTS
 
 from .test_reports import SURVEY_SCHEMA
 
@@ -25,7 +26,7 @@ def gen_survey(seed, n=600):
     out = []
     for i in range(n):
         out.append((rnd.choice("ABCZ"), rnd.randrange(30), dt.date(2024, 3, rnd.randrange(1, 28)),
-                    rnd.choice(["CHAT", "MAIL"]), rnd.choice(["P1", "P2", "P3", None]),
+                    rnd.choice(["desk", "post"]), rnd.choice(["P1", "P2", "P3", None]),
                     rnd.choice(["d1", "d2", "d3", "d4", " ", None]),
                     rnd.choice([100.0, 0.0, -100.0, None]), rnd.choice(["0.5", "0", "x", None]),
                     rnd.choice(["N", "N", "S"]), rnd.choice([True, True, None]), "O", rnd.randrange(4)))
@@ -34,7 +35,7 @@ def gen_survey(seed, n=600):
 
 def gen_qa(seed, n=400):
     rnd = random.Random(seed + 1)
-    return [(rnd.choice("ABC"), "CHAT", "R", "M", dt.date(2024, 3, 3), rnd.random(),
+    return [(rnd.choice("ABC"), "desk", "R", "M", dt.date(2024, 3, 3), rnd.random(),
              rnd.choice(["S1", "S2", "S3", "S4", "S5", "S6", "S7"]), rnd.choice(["m1", "m2", "m3"]),
              rnd.choice(["low", "high"])) for _ in range(n)]
 
@@ -65,7 +66,7 @@ def nested(spark, survey_rows, qa_rows, parts, seed):
     q = spark.createDataFrame(qa_rows, QA_SCHEMA).repartition(parts)
     cat = catalog_from_rows(spark, [{"sentence": "S1", "label": "one"}])
     rep = cr.critical_process_report(sv.score_by_process(s, SCOPE), sv.driver_detail(s, SCOPE),
-                                     qa.behaviour_counts(q, SCOPE, QA), cat, 3)
+                                     qa.behaviour_counts(q, SCOPE, QA), cat, TEXTS)
     return sorted((r.asDict(recursive=True) for r in rep.collect()), key=lambda d: d["team"])
 
 

@@ -12,7 +12,7 @@ from cxpulse.params import today_in_zone
 from cxpulse.plans import refresh as rf
 from cxpulse.plans.order import ORDER, presented
 from cxpulse.session import checkpoint_dir
-from cxpulse.sources import SchemaError, conform, read_survey
+from cxpulse.sources import SchemaError, conform, read_agent_time, read_qa_eval, read_qa_flags, read_survey, read_training_status
 from cxpulse.sources import schemas
 from cxpulse.testbed import adapters as tb
 from cxpulse.testbed import queries as q
@@ -23,7 +23,7 @@ from .conftest import SF001
 def test_run_refresh_writes_and_counts(spark):
     out = tempfile.mkdtemp(prefix="refresh-", dir=checkpoint_dir(spark))
     slots = [s.slot for s in rf.DEFAULT_PAYLOADS]
-    counts = rf.run_refresh(spark, q._inputs(spark, SF001), q.options(),
+    counts = rf.run_refresh(spark, q.inputs(spark, SF001), q.options(),
                             tb.pages_with_slots(spark, SF001, slots), out, tb.REFRESHED_AT, q.STAMP)
     assert counts["payloads"] == 6
     assert counts["reports/net_score_monthly"] == 4
@@ -39,7 +39,7 @@ def test_run_refresh_writes_and_counts(spark):
 def test_run_refresh_default_folder_is_under_checkpoint_dir(spark):
     slots = [s.slot for s in rf.DEFAULT_PAYLOADS]
     at = dt.datetime(2024, 1, 17, 16, 5, 42)
-    counts = rf.run_refresh(spark, q._inputs(spark, SF001), q.options(),
+    counts = rf.run_refresh(spark, q.inputs(spark, SF001), q.options(),
                             tb.pages_with_slots(spark, SF001, slots), None, at)
     out = os.path.join(checkpoint_dir(spark), "cxpulse-refresh", "20240117T160542")
     assert spark.read.parquet(os.path.join(out, "payloads")).count() == counts["payloads"] == 6
@@ -68,7 +68,15 @@ def test_conform_checks_columns_and_types(spark):
         conform(s.withColumn("response_date", s["team"]), schemas.SURVEY)
 
 
-def test_read_survey_from_parquet(spark):
-    d = tempfile.mkdtemp(prefix="survey-", dir=checkpoint_dir(spark))
-    tb.survey(spark, SF001).write.parquet(os.path.join(d, "survey.parquet"))
-    assert read_survey(spark, os.path.join(d, "survey.parquet")).count() == tb.survey(spark, SF001).count()
+@pytest.mark.parametrize("name,reader", [
+    ("survey", read_survey), ("qa_eval", read_qa_eval), ("qa_flags", read_qa_flags),
+    ("agent_time", lambda spark, path: read_agent_time(spark, path, tb.BUCKETS)), ("training_status", read_training_status)])
+def test_readers(spark, name, reader):
+    path = os.path.join(tempfile.mkdtemp(prefix="reader-", dir=checkpoint_dir(spark)), f"{name}.parquet")
+    df = getattr(tb, name)(spark, SF001)
+    df.withColumn("more", df[df.columns[0]]).write.parquet(path)
+    got = reader(spark, path)
+    assert sorted(got.columns) == sorted(df.columns) and got.count() == df.count()
+    spark.read.parquet(path).drop(df.columns[-1]).write.parquet(path + "2")
+    with pytest.raises(SchemaError):
+        reader(spark, path + "2")

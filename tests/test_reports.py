@@ -1,13 +1,13 @@
 """Report tests on small literal frames with hand-computed results
 (traps T4, T6, T7, T13 and the join shapes J-1..J-4)."""
 
+import dataclasses
 import datetime as dt
 
 from cxpulse.params import AgentTimeOptions, FlagOptions, QaOptions, Scope
 from cxpulse.plans import agents as ag
 from cxpulse.plans import qa
 from cxpulse.plans import survey as sv
-from cxpulse.sources.schemas import TIME_BUCKETS
 
 from .conftest import rows
 
@@ -20,7 +20,7 @@ SURVEY_SCHEMA = ("team string, agent long, response_date date, channel string, p
 
 
 def srow(team="A", process="P", driver="X", score=100.0, target="0.5", d=D, agent=1,
-         channel="CHAT", segment="N", on_target=True, office="O", training_id=1):
+         channel="desk", segment="N", on_target=True, office="O", training_id=1):
     return (team, agent, d, channel, process, driver, score, target, segment, on_target, office,
             training_id)
 
@@ -69,27 +69,26 @@ def test_driver_detail_having_before_share_T4(spark):
     assert got == [("X", 3, 2, 100.0)]  # 60.0 if the share were taken before HAVING
 
 
+BUCKETS = ("work", "lesson", "rest")
 AT_SCHEMA = ("agent long, team string, role string, work_date date, "
-             + ", ".join(f"{b}_s long" for b in TIME_BUCKETS))
-OPTS = AgentTimeOptions(role="AGENT", buckets=TIME_BUCKETS, training_bucket="training_ac")
+             + ", ".join(f"{b}_s long" for b in BUCKETS))
+OPTS = AgentTimeOptions(role="agent", buckets=BUCKETS, training_bucket="lesson", excluded_status="away")
 
 
-def atrow(agent=1, team="A", role="AGENT", d=D, training=360, online=3240):
-    vals = {b: 0 for b in TIME_BUCKETS}
-    vals["training_ac"], vals["online"] = training, online
-    return (agent, team, role, d, *[vals[b] for b in TIME_BUCKETS])
+def atrow(agent=1, team="A", role="agent", d=D, training=360, online=3240):
+    return (agent, team, role, d, online, training, 0)
 
 
 def test_training_share_joins_T6(spark):
     facts = spark.createDataFrame([
         atrow(agent=1, d=D),                          # status DONE + NULL: fans out x2
-        atrow(agent=1, d=dt.date(2024, 3, 3)),        # status TRAINING: dropped
+        atrow(agent=1, d=dt.date(2024, 3, 3)),        # excluded status: dropped
         atrow(agent=2, d=D),                          # no status row: kept
         atrow(agent=3, d=D),                          # not in the survey segment: dropped
         atrow(agent=1, d=dt.date(2024, 4, 1)),        # next month: dropped (closed month)
-        atrow(agent=2, d=D, role="LEAD"),             # other role
+        atrow(agent=2, d=D, role="lead"),             # other role
     ], AT_SCHEMA)
-    status = spark.createDataFrame([(1, D, "DONE"), (1, D, None), (1, dt.date(2024, 3, 3), "TRAINING")],
+    status = spark.createDataFrame([(1, D, "DONE"), (1, D, None), (1, dt.date(2024, 3, 3), "away")],
                                    "agent long, work_date date, status string")
     surv = survey(spark, [srow(agent=1, d=dt.date(2023, 1, 1), on_target=False), srow(agent=2),
                           srow(agent=3, segment="S")])
@@ -100,6 +99,8 @@ def test_training_share_joins_T6(spark):
     assert r.h_train == round(3 * 360 / 3600, 2)
     assert r.h_logged == round(3 * 3600 / 3600, 2)
     assert r.pct == 10.0
+    once = ag.training_share(facts, status, surv, SCOPE, dataclasses.replace(OPTS, dedupe_status=True)).first()
+    assert (once.agents, once.h_logged) == (2, 2.0)
 
 
 def test_training_share_by_key(spark):
@@ -111,40 +112,51 @@ def test_training_share_by_key(spark):
 
 
 def test_agent_detail_defaults(spark):
-    surv = survey(spark, [srow(agent=1, channel="MULTICANAL CHAT", target=None),
-                          srow(agent=2, channel="MAIL", target="0.5")])
+    surv = survey(spark, [srow(agent=1, channel="desk old", target=None),
+                          srow(agent=2, channel="post", target="0.5")])
     facts = spark.createDataFrame([atrow(agent=2, training=0, online=0)], AT_SCHEMA)
-    got = rows(ag.agent_detail(surv, facts, SCOPE, OPTS, {"Chat": ("CHAT", "MULTICANAL CHAT")}),
+    got = rows(ag.agent_detail(surv, facts, SCOPE, OPTS, {"at desk": ("desk", "desk old")}),
                "agent", "channel", "target", "pct_train", "h_train")
     # agent 1: no time rows -> 0; agent 2: all-zero time -> safe ratio NULL -> 0
-    assert got == [(1, "Chat", 69.5, 0.0, 0.0), (2, "MAIL", 50.0, 0.0, 0.0)]
+    assert got == [(1, "at desk", 69.5, 0.0, 0.0), (2, "post", 50.0, 0.0, 0.0)]
 
 
 QA_SCHEMA = ("team string, channel string, reason string, metric_type string, assigned_date date, "
              "qa_total double, sentence string, moment string, sentence_value string")
-QA = QaOptions(reason="R", metric_type="M", channel_map={"CHAT": ("CHAT", "MULTICANAL CHAT")},
-               moment_map={"1-OPEN": ("OPEN", "OPENING")}, low_values=("Low",))
+QA = QaOptions(reason="R", metric_type="M", channel_map={"at desk": ("desk", "desk old")},
+               moment_map={"first": ("a", "b")}, low_values=("low",))
 
 
 def test_qa_reports(spark):
     qe = spark.createDataFrame([
-        ("A", "MULTICANAL CHAT", "R", "M", D, 0.5, "S1", "OPEN", "Low"),
-        ("A", "CHAT", "R", "M", D, 1.0, "S1", "OPENING", "High"),
-        ("A", "MAIL", "R", "M", D, 0.25, None, "zzz", "Low"),
-        ("A", "MAIL", "X", "M", D, 0.25, "S1", "OPEN", "Low"),
+        ("A", "desk old", "R", "M", D, 0.5, "S1", "a", "low"),
+        ("A", "desk", "R", "M", D, 1.0, "S1", "b", "high"),
+        ("A", "post", "R", "M", D, 0.25, None, "zzz", "low"),
+        ("A", "post", "X", "M", D, 0.25, "S1", "a", "low"),
     ], QA_SCHEMA)
-    assert rows(qa.qa_by_channel(qe, SCOPE, QA)) == [("A", "CHAT", 2, 75.0, 1.5),
-                                                      ("A", "MAIL", 1, 25.0, 0.5)]
-    assert rows(qa.behaviour_counts(qe, SCOPE, QA)) == [("A", "S1", "1-OPEN", 2, 1)]
+    assert rows(qa.qa_by_channel(qe, SCOPE, QA)) == [("A", "at desk", 2, 75.0, 1.5),
+                                                      ("A", "post", 1, 25.0, 0.5)]
+    assert rows(qa.behaviour_counts(qe, SCOPE, QA)) == [("A", "S1", "first", 2, 1)]
 
 
 def test_flag_matrix_is_true_semantics(spark):
     flags = spark.createDataFrame([
-        ("A", "T", "F1", True, True, "QI", "TRUE", 0, D),
-        ("A", "T", "F1", True, True, "QI", "true", 0, D),
-        ("A", "T", "F1", None, True, "QI", "true", 0, D),      # NULL valid flag: dropped
-        ("A", "T", "F1", True, True, "QI", "false", 0, D),
-        ("A", "T", "F1", True, True, "QI", "true", 1, D),
+        ("A", "T", "F1", True, True, "check", "TRUE", 0, D),
+        ("A", "T", "F1", True, True, "check", "true", 0, D),
+        ("A", "T", "F1", None, True, "check", "true", 0, D),      # NULL valid flag: dropped
+        ("A", "T", "F1", True, True, "check", "false", 0, D),
+        ("A", "T", "F1", True, True, "check", "true", 1, D),
     ], "team string, flag_type string, flag string, is_valid boolean, not_dup boolean, "
        "reason string, picklist_value string, inappropriate int, reference_date date")
-    assert rows(qa.flag_matrix(flags, SCOPE, FlagOptions(reason="QI"))) == [("A", "T", "F1", 2)]
+    assert rows(qa.flag_matrix(flags, SCOPE, FlagOptions(reason="check"))) == [("A", "T", "F1", 2)]
+
+
+def test_reports_of_a_summary_equal_those_of_rows(spark):
+    data = [srow(driver=d, process=p, score=s, target=t, training_id=k, d=dt.date(2024, m, 5))
+            for k in range(3) for m in (2, 3) for d, p, s, t in (("X", "P", 100.0, "0.5"), ("X", None, None, "x"), ("Y", "P", -100.0, None), (" ", "P", 0.0, "0.1"))]
+    df = survey(spark, data)
+    summary = sv.summary(df, SCOPE)
+    for report in (sv.net_score_monthly, sv.score_weekly, sv.score_by_process, sv.driver_detail):
+        assert rows(report(df, SCOPE)) == rows(report(None, SCOPE, rows=summary))
+    near = rows(sv.driver_detail(df, SCOPE, approximate=0.05))
+    assert near == rows(sv.driver_detail(df, SCOPE))           # few cohorts: the sketch is exact
