@@ -13,14 +13,16 @@ earlier (smaller doc_id, or same document and earlier start).
 * Buckets with several classes get a suffix array over the contexts of the
   classes' first occurrences, with longest common prefixes. A stack scan over
   them walks the common-prefix interval tree; an interval of ``LENGTH``
-  or more whose suffixes are preceded by different bytes is a maximal repeat
-  and is put out with all its occurrences. Intervals with one preceding byte are
-  the same repeat seen a byte later.
+  or more whose suffixes are preceded by different bytes is a maximal repeat;
+  its occurrences are a slice of the array. Intervals with one preceding byte
+  are the same repeat seen a byte later. For removal, an occurrence counts in the
+  innermost interval that holds an earlier one, so the scan is linear.
 * Anchors in ``HOT_SHARE`` of all documents or more (found by a pass over all
   documents; at most about 80 / (HOT_SHARE / 2) hashes), and buckets of over
-  ``MOST`` classes, would be long work for one task. Their windows are
-  compared one by one instead: hashed to 128 bits, the first start per window by a
-  partial aggregate, joined back. The result is the same; nothing is dropped.
+  ``MOST`` classes, would be long work for one task. The windows that select
+  them are compared one by one instead: hashed to 128 bits, settled within a batch
+  of documents first, then the first start per window by a partial aggregate,
+  joined back. The result is the same; nothing is dropped.
 
 Texts travel compressed. Contexts of one class are equal by 128 bits of hash,
 everything else is compared byte by byte.
@@ -58,28 +60,45 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return T.mix64(words[:n] * _C[0] + words[8:8 + n] * _C[1] + words[16:16 + n] * _C[2])
 
 
+def _selected(data: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place from ``lo`` that each window start in [lo, hi) selects, hash of the
+    GRAM bytes from each place)."""
+    h = _gram_hashes(data[lo:hi + LENGTH - 1])
+    v = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
+    span = 1
+    while 2 * span <= BEFORE + 1:
+        v = np.minimum(v[:-span], v[span:])
+        span *= 2
+    rest = BEFORE + 1 - span
+    v = np.minimum(v[:-rest], v[rest:]) if rest else v
+    return (v & _PLACE).astype(np.int64), h
+
+
 def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places, hashes) of the anchors of the adjoining texts data[at[k]:at[k + 1]]."""
     places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     row_end = at[1:]
     for lo in range(0, max(0, len(data) - LENGTH + 1), _SEGMENT):
         hi = min(lo + _SEGMENT, len(data) - LENGTH + 1)  # window starts [lo, hi)
-        h = _gram_hashes(data[lo:hi + LENGTH - 1])
-        v = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
-        span = 1
-        while 2 * span <= BEFORE + 1:
-            v = np.minimum(v[:-span], v[span:])
-            span *= 2
-        rest = BEFORE + 1 - span
-        v = np.minimum(v[:-rest], v[rest:]) if rest else v
+        place, h = _selected(data, lo, hi)
         end = row_end[np.searchsorted(row_end, np.arange(lo, hi), "right")]
-        chosen = np.unique(v[np.arange(lo, hi) + LENGTH <= end] & _PLACE).astype(np.int64)
+        chosen = np.unique(place[np.arange(lo, hi) + LENGTH <= end])
         places.append(chosen + lo)
         hashes.append(h[chosen])
     places, first = np.unique(np.concatenate(places), return_index=True)
     return places, np.concatenate(hashes)[first]
 
 
+def _windows_of(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Starts of the windows of one text that select one of ``places``."""
+    found = [np.zeros(0, np.int64)]
+    for lo in range(0, max(0, len(data) - LENGTH + 1), _SEGMENT):
+        hi = min(lo + _SEGMENT, len(data) - LENGTH + 1)
+        place, _ = _selected(data, lo, hi)
+        found.append(np.flatnonzero(np.isin(place + lo, places)) + lo)
+    return np.concatenate(found)
+
+
 def _anchor_rows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each chunk: (row in batch, start in text, hash, context hash) of its anchors."""
     data, offsets = T.text_buffers(column)
@@ -207,137 +226,249 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _FETCHED = "kind int, key long, key2 long, doc_id long, start int, before int, context binary"
+_HELD = 1_000_000  # windows settled at a time
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts (CONTEXT) and hashed windows (WINDOW) of the wanted places of each text."""
+    """Contexts (CONTEXT) and windows (WINDOW) of the wanted places of each text.
+
+    Of a window that several texts at hand hold only the first goes out; the
+    others are settled (SPAN; ``before`` has its length)."""
     z = zstandard.ZstdDecompressor()
     for batch in batches:
-        for doc_id, packed, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "wanted"))):
+        held: list[tuple] = []
+        size = 0
+        wanted = batch.column("wanted")
+        bounds = wanted.offsets.to_numpy()
+        kinds, keys, starts = (wanted.values.field(c).to_numpy() for c in ("kind", "key", "start"))
+        out: list[tuple] = []
+        for k, (doc_id, packed) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("packed").to_pylist())):
             text = z.decompress(packed)
-            contexts = sorted({(w["start"], w["key"]) for w in wanted if w["kind"] == CONTEXT})
-            if contexts:
-                starts, keys = zip(*contexts)
-                before = [min(s, BEFORE) for s in starts]
-                held = [text[s - b:s + LENGTH] for s, b in zip(starts, before)]
-                n = len(starts)
-                yield _fetched([CONTEXT] * n, keys, [0] * n, doc_id, starts, before, held)
-            hot = np.unique([w["start"] for w in wanted if w["kind"] == WINDOW]).astype(np.int64)
+            own = slice(bounds[k], bounds[k + 1])
+            kind, key, start = kinds[own], keys[own], starts[own]
+            place, which = np.unique(start[kind == CONTEXT], return_index=True)  # rows that repeat a doc_id bring a place twice
+            out += [(h, doc_id, s, min(s, BEFORE), text[s - min(s, BEFORE):s + LENGTH]) for s, h in zip(place.tolist(), key[kind == CONTEXT][which].tolist())]
+            if len(out) >= 20_000:
+                yield _contexts(out)
+                out = []
+            hot = np.unique(start[kind == WINDOW]).astype(np.int64)
             if len(hot):
-                s = np.unique(hot[:, None] - np.arange(BEFORE + 1)[None, :])
-                s = s[(s >= 0) & (s + LENGTH <= len(text))]
                 data = np.frombuffer(text, np.uint8)
-                k1 = T.span_hashes(data, s, s + LENGTH)
-                k2 = T.span_hashes(data ^ np.uint8(0x5A), s, s + LENGTH)
-                for lo in range(0, len(s), 50_000):
-                    p = slice(lo, lo + 50_000)
-                    m = len(s[p])
-                    yield _fetched([WINDOW] * m, k1[p].view(np.int64), k2[p].view(np.int64), doc_id, s[p], [0] * m, [None] * m)
+                s = _windows_of(data, hot)
+                held.append((T.span_hashes(data, s, s + LENGTH), T.span_hashes(data ^ np.uint8(0x5A), s, s + LENGTH), np.full(len(s), doc_id), s))
+                size += len(s)
+                if size >= _HELD:
+                    yield from _settle(held)
+                    held, size = [], 0
+        if out:
+            yield _contexts(out)
+        if held:
+            yield from _settle(held)
+
+
+def _contexts(rows: list[tuple]) -> pa.RecordBatch:
+    key, doc_id, start, before, context = zip(*rows)
+    return _fetched([CONTEXT] * len(rows), key, [0] * len(rows), doc_id, start, before, context)
+
+
+def _settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    k1, k2, doc, start = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((start, doc, k2, k1))
+    k1, k2, doc, start = k1[order], k2[order], doc[order], start[order]
+    again = np.zeros(len(k1), bool)
+    again[1:] = (k1[1:] == k1[:-1]) & (k2[1:] == k2[:-1])
+    n = int((~again).sum())
+    yield _fetched([WINDOW] * n, k1[~again].view(np.int64), k2[~again].view(np.int64), doc[~again], start[~again], [0] * n, [None] * n)
+    doc, start, length = _merged(doc[again], start[again], np.full(int(again.sum()), LENGTH))
+    n = len(doc)
+    yield _fetched([SPAN] * n, [0] * n, [0] * n, doc, start, length, [None] * n)
+
+
+def _merged(doc: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping and touching spans of a document as one."""
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], (start + length)[order]
+    if not len(doc):
+        return doc, start, end
+    group = np.concatenate([[0], np.cumsum(doc[1:] != doc[:-1])])
+    reach = int(end.max()) + 1
+    furthest = np.maximum.accumulate(end + group * reach) - group * reach  # furthest end so far in the document
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > furthest[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], start[first], furthest[last] - start[first]
 
 
 def _fetched(kind, key, key2, doc_id, start, before, context) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(kind, pa.int32()), pa.array(key, pa.int64()), pa.array(key2, pa.int64()), pa.array([doc_id] * len(kind), pa.int64()), pa.array(start, pa.int32()), pa.array(before, pa.int32()), pa.array(context, pa.binary())],
+        [pa.array(kind, pa.int32()), pa.array(key, pa.int64()), pa.array(key2, pa.int64()), pa.array(doc_id, pa.int64()), pa.array(start, pa.int32()), pa.array(before, pa.int32()), pa.array(context, pa.binary())],
         names=["kind", "key", "key2", "doc_id", "start", "before", "context"])
 
 
-def maximal_repeats(contexts: list[bytes], buckets: list[int], least: int = LENGTH) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """(length, [(context, offset), ...]) of the maximal repeats of ``least`` bytes
-    or more within each bucket (number per context), by an enhanced suffix array.
-
-    The start of a context counts as a preceding byte of its own: what stands
-    there belongs to another anchor's context.
+def _selecting(text: np.ndarray, size: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window start of each context (a row of ``text``) that
+    selects its anchor: no GRAM hash as small before it, none smaller after it."""
+    n = text.shape[1] // 2
+    words = np.ndarray((len(text), n), "<u8", np.ascontiguousarray(text), strides=(text.shape[1], 1))
+    m = n - 16
+    h = T.mix64(words[:, :m] * _C[0] + words[:, 8:8 + m] * _C[1] + words[:, 16:16 + m] * _C[2]) & ~_PLACE
+    at, own = np.arange(m)[None, :], np.take_along_axis(h, anchor[:, None], 1)
+    inside = at + GRAM <= size[:, None]
+    left = np.where((h <= own) & (at < anchor[:, None]), at, -1).max(axis=1)
+    right = np.where((h < own) & (at > anchor[:, None]) & inside, at, m + LENGTH).min(axis=1)
+    return np.maximum(left + 1, 0), np.minimum(np.minimum(right - BEFORE - 1, anchor), size - LENGTH)
+
+
+class SuffixArray:
+    """Enhanced suffix array over contexts: suffixes of ``least`` bytes or more in
+    order, within their bucket (a number per context), and what neighbours
+    have in common. ``origin``: (document, first byte) of each context; ``anchor``:
+    its anchor's place. With it only suffixes whose first window selects the anchor
+    are kept (a stretch of starts; equal windows select alike), else all.
     """
-    width = max(map(len, contexts), default=0)
-    if width < least:
-        return
-    size = np.array([len(c) for c in contexts])
-    text = np.zeros((len(contexts), width), np.uint8)
-    for k, c in enumerate(contexts):
-        text[k, :len(c)] = np.frombuffer(c, np.uint8)
-    owner = np.repeat(np.arange(len(contexts)), np.maximum(0, size - least + 1))
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(np.maximum(0, size - least + 1)) - np.maximum(0, size - least + 1), np.maximum(0, size - least + 1))
-    left = size[owner] - offset  # length of each suffix
-    padded = np.zeros((len(contexts), 4 + 2 * width), np.uint8)
-    padded[:, 4:4 + width] = text
-    suffix = np.zeros((len(owner), 4 + width), np.uint8)
-    suffix[:, :4] = np.asarray(buckets, ">u4")[owner].view(np.uint8).reshape(-1, 4)
-    suffix[:, 4:] = np.lib.stride_tricks.as_strided(padded[:, 4:], (len(contexts), width + 1, width), (padded.strides[0], 1, 1))[owner, offset]
-    array = np.argsort(suffix.view(f"S{4 + width}").ravel(), kind="stable")
-    a, b = suffix[array[:-1]], suffix[array[1:]]
-    differ = a != b
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), 4 + width) - 4
-    common = np.minimum(common, np.minimum(left[array[:-1]], left[array[1:]]))
-    # a code per preceding byte; a context's start has a code of its own
-    preceding = np.where(offset > 0, text[owner, np.maximum(offset - 1, 0)].astype(np.int64), 256 + owner)[array]
-    joined = common >= least
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], joined, [False]]).astype(np.int8)))
-    for lo, hi in zip(edges[::2], edges[1::2]):  # suffixes lo..hi, all sharing ``least`` bytes with their neighbours
-        codes = preceding[lo:hi + 1]
-        if (codes == codes[0]).all():
-            continue  # no interval in here is preceded by different bytes
-        changes = np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])])
-        stack: list[tuple[int, int]] = []  # (common prefix, first suffix) of the open intervals
-        for k in range(lo, hi + 1):
-            depth = int(common[k]) if k < hi else -1
-            first = k
-            while stack and stack[-1][0] > depth:
-                length, first = stack.pop()
-                if changes[k - lo] != changes[first - lo]:  # left-diverse: a maximal repeat
-                    yield length, [(int(owner[x]), int(offset[x])) for x in array[first:k + 1]]
-            if depth >= 0 and (not stack or stack[-1][0] < depth):
-                stack.append((depth, first))
-
-
-def _scan_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences (repeat, length, doc_id, start, first) of maximal repeats,
-    from CONTEXT rows sorted by key."""
-    def scan(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+
+    def __init__(self, contexts: list[bytes], buckets: list[int], origin: list[tuple[int, int]], anchor: list[int] | None = None, least: int = LENGTH):
+        self.least = least
+        size = np.array([len(c) for c in contexts])
+        width = int(size.max(initial=0))
+        padded = np.zeros((len(contexts), 4 + 2 * width), np.uint8)
+        padded[:, 4:4 + width] = np.frombuffer(b"".join(c.ljust(width, b"\0") for c in contexts), np.uint8).reshape(len(contexts), width)
+        lowest, highest = np.zeros(len(contexts), np.int64), size - least
+        if anchor is not None and width >= least:
+            lowest, highest = _selecting(padded[:, 4:], size, np.array(anchor))
+        count = np.maximum(0, highest - lowest + 1)
+        self.owner = np.repeat(np.arange(len(contexts)), count)
+        self.offset = np.arange(len(self.owner)) - np.repeat(np.cumsum(count) - count - lowest, count)
+        _, document = np.unique([d for d, _ in origin], return_inverse=True)
+        start = np.array([b for _, b in origin], np.int64)
+        self.place = (document * (int(start.max(initial=0)) + width + 1) + start)[self.owner] + self.offset  # order in the corpus
+        suffix = np.empty((len(self.owner), 4 + width), np.uint8)
+        suffix[:, :4] = np.asarray(buckets, ">u4")[self.owner].view(np.uint8).reshape(-1, 4)
+        suffix[:, 4:] = np.lib.stride_tricks.as_strided(padded[:, 4:], (len(contexts), width + 1, width), (padded.strides[0], 1, 1))[self.owner, self.offset]
+        self.array = np.argsort(suffix.view(f"S{4 + width}").ravel(), kind="stable")
+        left = (size[self.owner] - self.offset)[self.array]
+        ordered = suffix[self.array]
+        differ = ordered[1:] != ordered[:-1]
+        common = np.where(differ.any(axis=1), differ.argmax(axis=1), 4 + width) - 4
+        self.common = np.minimum(common, np.minimum(left[1:], left[:-1]))
+        # a code per preceding byte; the first suffix of a context has a code of its own,
+        # for the one before it is in another anchor's context
+        before = padded[self.owner, 4 + np.maximum(self.offset - 1, 0)].astype(np.int64)
+        self.preceding = np.where(self.offset > lowest[self.owner], before, 256 + self.owner)[self.array]
+
+    def maximal_repeats(self) -> Iterator[tuple[int, int, int, list[int]]]:
+        """(length, first, last, again): the repeat's occurrences are the suffixes
+        ``array[first:last + 1]``; ``again`` are those of them (as indices into
+        ``array``) that start earlier in this repeat but in none inside it."""
+        if not len(self.array):
+            return
+        joined = self.common >= self.least
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], joined, [False]]).astype(np.int8)))
+        # per stretch of suffixes that share ``least`` bytes: is any preceded by another byte?
+        change = np.concatenate([[0], np.cumsum(self.preceding[1:] != self.preceding[:-1])])
+        lows, highs = edges[::2], edges[1::2]
+        diverse = change[highs] != change[lows]
+        place = self.place[self.array]
+        for lo, hi in zip(lows[diverse].tolist(), highs[diverse].tolist()):
+            common, changes, places = self.common[lo:hi].tolist(), change[lo:hi + 1].tolist(), place[lo:hi + 1].tolist()
+            stack: list[tuple[int, int, list[int]]] = []  # (length, first suffix, suffixes not yet settled) of the open intervals
+            for k in range(hi - lo + 1):
+                depth = common[k] if k < hi - lo else -1
+                first, open_ = k, [k]
+                while stack and stack[-1][0] > depth:
+                    length, first, rest = stack.pop()
+                    rest += open_
+                    earliest = min(rest, key=places.__getitem__)
+                    if changes[k] != changes[first]:  # preceded by different bytes: maximal
+                        yield length, lo + first, lo + k, [lo + x for x in rest if places[x] != places[earliest]]
+                    open_ = [earliest]
+                if stack and stack[-1][0] == depth:
+                    stack[-1][2].extend(open_)
+                elif depth >= 0:
+                    stack.append((depth, first, open_))
+
+
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[SuffixArray, list[tuple]]]:
+    """Suffix arrays of whole buckets, from CONTEXT rows sorted by key."""
+    def build(rows: list[tuple]) -> tuple[SuffixArray, list[tuple]]:
         keys = {k: n for n, k in enumerate(dict.fromkeys(r[0] for r in rows))}
-        for length, members in maximal_repeats([r[4] for r in rows], [keys[r[0]] for r in rows]):
-            found = sorted({(rows[c][1], rows[c][2] - rows[c][3] + o) for c, o in members})
-            if len(found) > 1:
-                name = int.from_bytes(hashlib.blake2b(b"%d,%d,%d" % (*found[0], length), digest_size=8).digest(), "little", signed=True)
-                out += [(name, length, d, s, k == 0) for k, (d, s) in enumerate(found)]
-            if len(out) >= 50_000:
-                yield _occurrences(out)
-                out = []
-        if out:
-            yield _occurrences(out)
+        return SuffixArray([r[4] for r in rows], [keys[r[0]] for r in rows], [(r[1], r[2] - r[3]) for r in rows], [r[3] for r in rows]), rows
 
     held: list[tuple] = []
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "start", "before", "context"))):
             if held and held[-1][0] != row[0] and len(held) * BEFORE >= SUFFIXES:
-                yield from scan(held)
+                yield build(held)
                 held = []
             held.append(row)
     if held:
-        yield from scan(held)
-
+        yield build(held)
 
-def _occurrences(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["repeat", "length", "doc_id", "start", "first"])
 
-
-def repeated_spans(docs: DataFrame, packed: DataFrame) -> DataFrame:
-    """(doc_id, start, length) of repeats that start earlier elsewhere too; they
-    may overlap, and together they cover every byte to remove."""
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(repeat, length, doc_id, start) of all occurrences of all maximal repeats."""
+    for found, rows in _arrays(batches):
+        out: list[tuple] = []
+        for length, first, last, _ in found.maximal_repeats():
+            at = sorted({(rows[c][1], rows[c][2] - rows[c][3] + o) for c, o in zip(found.owner[found.array[first:last + 1]].tolist(), found.offset[found.array[first:last + 1]].tolist())})
+            if len(at) > 1:
+                name = int.from_bytes(hashlib.blake2b(b"%d,%d,%d" % (*at[0], length), digest_size=8).digest(), "little", signed=True)
+                out += [(name, length, d, s) for d, s in at]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int32()))], names=["repeat", "length", "doc_id", "start"])
+
+
+def _later_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, start, length) of the occurrences that start earlier elsewhere too."""
+    for found, rows in _arrays(batches):
+        at: list[int] = []
+        lengths: list[int] = []
+        for length, _, _, again in found.maximal_repeats():
+            at += again
+            lengths += [length] * len(again)
+        which = found.array[np.array(at, np.int64)]
+        doc, start, before = (np.array(x, np.int64) for x in zip(*((r[1], r[2], r[3]) for r in rows)))
+        owner = found.owner[which]
+        spans = _merged(doc[owner], start[owner] - before[owner] + found.offset[which], np.array(lengths, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(spans[0]), pa.array(spans[1].astype(np.int32)), pa.array(spans[2].astype(np.int32))], names=["doc_id", "start", "length"])
+
+
+def _found(docs: DataFrame, packed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(classes: SPAN rows of ``_classes``, fetched: rows of ``_fetch``)."""
     rows = docs.mapInArrow(_anchor_batches(hot_anchors(docs)), "key long, c long, doc_id long, start int, kind int")
     sorted_rows = rows.repartition("key").sortWithinPartitions("key", "kind", "c", "doc_id", "start")
     found = materialise(sorted_rows.mapInArrow(_classes, "kind int, key long, doc_id long, start int"), "repeat-classes")
     wanted = found.filter(F.col("kind") != SPAN).groupBy("doc_id").agg(F.collect_list(F.struct("kind", "key", "start")).alias("wanted"))
     fetched = packed.join(wanted.withColumnRenamed("doc_id", "w").hint("shuffle_hash"), F.col("doc_id") == F.col("w")).select("doc_id", "packed", "wanted")
-    fetched = materialise(fetched.mapInArrow(_fetch, _FETCHED), "repeat-contexts")
+    return found.filter(F.col("kind") == SPAN), materialise(fetched.mapInArrow(_fetch, _FETCHED), "repeat-contexts")
+
+
+def _buckets(fetched: DataFrame) -> DataFrame:
     contexts = fetched.filter(F.col("kind") == CONTEXT).select("key", "doc_id", "start", "before", "context")
-    repeats = contexts.repartition("key").sortWithinPartitions("key").mapInArrow(_scan_buckets, "repeat long, length int, doc_id long, start int, first boolean")
-    windows = fetched.filter(F.col("kind") == WINDOW).select("key", "key2", "doc_id", "start").distinct()
+    return contexts.repartition("key").sortWithinPartitions("key")
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """All occurrences (repeat, length, doc_id, start) of the maximal repeats of
+    ``LENGTH`` bytes or more, within the reach of a context (longer ones come as
+    overlapping parts), among the first occurrences of equal contexts."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
+    _, fetched = _found(docs, docs.mapInArrow(_compress, "doc_id long, packed binary"))
+    return _buckets(fetched).mapInArrow(_occurrences, "repeat long, length int, doc_id long, start int")
+
+
+def repeated_spans(docs: DataFrame, packed: DataFrame) -> DataFrame:
+    """(doc_id, start, length) of repeats that start earlier elsewhere too; they
+    may overlap, and together they cover every byte to remove."""
+    found, fetched = _found(docs, packed)
+    later = _buckets(fetched).mapInArrow(_later_spans, "doc_id long, start int, length int")
+    windows = fetched.filter(F.col("kind") == WINDOW).select("key", "key2", "doc_id", "start")
     firsts = windows.groupBy("key", "key2").agg(F.min(F.struct("doc_id", "start")).alias("f"), F.count("*").alias("n")).filter("n > 1").select("key", "key2", "f")
-    later = windows.join(firsts, ["key", "key2"]).filter((F.col("doc_id") != F.col("f.doc_id")) | (F.col("start") != F.col("f.start")))
-    classes = found.filter(F.col("kind") == SPAN).select("doc_id", F.greatest(F.col("start") - BEFORE, F.lit(0)).alias("start"), (F.least(F.col("start"), F.lit(BEFORE)) + LENGTH).alias("length"))
-    return classes.union(repeats.filter("NOT first").select("doc_id", "start", "length")).union(later.select("doc_id", "start", F.lit(LENGTH).alias("length")))
+    again = windows.join(firsts, ["key", "key2"]).filter((F.col("doc_id") != F.col("f.doc_id")) | (F.col("start") != F.col("f.start")))
+    classes = found.select("doc_id", F.greatest(F.col("start") - BEFORE, F.lit(0)).alias("start"), (F.least(F.col("start"), F.lit(BEFORE)) + LENGTH).alias("length"))
+    settled = fetched.filter(F.col("kind") == SPAN).select("doc_id", "start", F.col("before").alias("length"))
+    return classes.union(later).union(settled).union(again.select("doc_id", "start", F.lit(LENGTH).alias("length")))
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,10 +503,31 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     packed = docs.mapInArrow(_compress, "doc_id long, packed binary")
     spans = repeated_spans(docs.filter("doc_id IS NOT NULL"), packed)
-    per_doc = spans.distinct().groupBy(F.col("doc_id").alias("s")).agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
+    per_doc = spans.groupBy(F.col("doc_id").alias("s")).agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
     joined = packed.join(per_doc.hint("shuffle_hash"), F.col("doc_id") == F.col("s"), "left").select("doc_id", "packed", "starts", "lengths")
     return joined.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op3_remove_repeats(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+SQL = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, pos, md5(substr(h, 2 * pos + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS pos FROM b)),
+again AS (SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) AS n FROM w) WHERE n > 1),
+g AS (
+  SELECT doc_id, pos, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS run
+  FROM (SELECT *, CASE WHEN pos > lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 100 THEN 1 ELSE 0 END AS new FROM again)),
+spans AS (SELECT doc_id, run, min(pos) AS a, max(pos) + 100 AS z FROM g GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM spans
+  UNION ALL SELECT doc_id, max(z) AS f, NULL AS t FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT p.doc_id, string_agg(substr(h, 2 * f + 1, CASE WHEN t IS NULL THEN length(h) ELSE 2 * (t - f) END), '' ORDER BY f) AS h
+  FROM pieces p JOIN b ON b.doc_id = p.doc_id GROUP BY p.doc_id),
+counts AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT b.doc_id, length(b.h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept.h, b.h))) AS kept_sha256
+FROM b LEFT JOIN counts ON counts.doc_id = b.doc_id LEFT JOIN kept ON kept.doc_id = b.doc_id
+"""

@@ -62,9 +62,31 @@ def test_rows_repeating_an_id_or_without_one_keep_all(documents):
     assert R.remove_repeats(documents([])).count() == 0
 
 
+def found(contexts, buckets):
+    array = R.SuffixArray(contexts, buckets, [(k, 0) for k in range(len(contexts))])
+    at = lambda k: (int(array.owner[array.array[k]]), int(array.offset[array.array[k]]))
+    return [(n, sorted(at(k) for k in range(a, b + 1)), sorted(map(at, again))) for n, a, b, again in array.maximal_repeats()]
+
+
 def test_maximal_repeats_list_all_occurrences():
     core = bytes(range(65, 91)) * 5
     contexts = [b"1" + core + b"x", b"2" + core + b"y", b"3" + core[:110] + b"!"]
-    found = sorted((n, sorted(m)) for n, m in R.maximal_repeats(contexts, [0, 0, 0]) if all(o == 1 for _, o in m))
-    assert found == [(110, [(0, 1), (1, 1), (2, 1)]), (130, [(0, 1), (1, 1)])]
-    assert not [m for _, m in R.maximal_repeats(contexts[:2], [0, 1]) if len({c for c, _ in m}) > 1]
+    got = sorted(x for x in found(contexts, [0, 0, 0]) if all(o == 1 for _, o in x[1]))
+    assert got == [(110, [(0, 1), (1, 1), (2, 1)], [(2, 1)]), (130, [(0, 1), (1, 1)], [(1, 1)])]
+    assert not [m for _, m, _ in found(contexts[:2], [0, 1]) if len({c for c, _ in m}) > 1]
+
+
+def test_all_occurrences_of_a_passage(documents):
+    passage = " ".join("p%d" % k for k in range(60))
+    got = R.repeats(documents([(i, f"{'a' * i} {i} {passage} {i * 7} {'b' * i}") for i in range(1, 6)])).collect()
+    by_repeat = {}
+    for r in got:
+        by_repeat.setdefault((r["repeat"], r["length"]), set()).add(r["doc_id"])
+    assert {1, 2, 3, 4, 5} in by_repeat.values() and all(n >= R.LENGTH for _, n in by_repeat)
+
+
+def test_merged_spans():
+    import numpy as np
+
+    doc, start, length = R._merged(np.array([2, 1, 1, 1, 2]), np.array([5, 0, 150, 90, 300]), np.array([100] * 5))
+    assert list(zip(doc.tolist(), start.tolist(), length.tolist())) == [(1, 0, 250), (2, 5, 100), (2, 300, 100)]
