@@ -231,3 +231,20 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g FROM t),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+p AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT u, v FROM p UNION ALL SELECT v, u FROM p),
+r AS (SELECT doc_id AS node, doc_id AS root FROM s UNION SELECT l.v, r.root FROM r JOIN both_ways l ON r.node = l.u),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c ON s.doc_id = c.node
+"""

@@ -20,6 +20,8 @@ QUERIES = {
 ORACLES = {
     "op1_license_scan": licenses.SQL,
     "op2_mix_sources": mixing.SQL,
+    "op3_remove_repeats": repeats.SQL,
+    "op6_near_duplicates": minhash.SQL,
     "op8_vafile_topk": vafile.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
