@@ -132,11 +132,12 @@ def judge(pages: DataFrame) -> DataFrame:
     top = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").first()
     majority = top["label"] if top else "allow"
     kind = F.xxhash64(F.array_sort(tokens(F.col("url"))))
-    kinds = rows.filter("verdict IS NULL").select(kind.alias("items_id"), tokens(F.col("url")).alias("tokens")).dropDuplicates(["items_id"])
-    decided = match(kinds, rules).withColumnRenamed("items_id", "kind_id")
-    rows = rows.withColumn("items_id", F.when(F.col("verdict").isNull(), kind))
-    return rows.join(decided, F.col("items_id") == F.col("kind_id"), "left").select(
-        "page_id", "host", "path", "rule", F.coalesce("verdict", "label", F.lit(majority)).alias("verdict"))
+    open_rows = rows.filter("verdict IS NULL").withColumn("items_id", kind)
+    kinds = open_rows.select("items_id", tokens(F.col("url")).alias("tokens")).dropDuplicates(["items_id"])
+    decided = match(kinds, rules)
+    judged = open_rows.join(decided, "items_id", "left").withColumn("verdict", F.coalesce("label", F.lit(majority)))
+    out = ["page_id", "host", "path", "rule", "verdict"]
+    return rows.filter("verdict IS NOT NULL").select(*out).unionByName(judged.select(*out))
 
 
 def op4_url_rules(spark, sf_dir: str) -> DataFrame:
