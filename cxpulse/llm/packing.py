@@ -23,6 +23,7 @@ import os
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ LENGTH = 2048
 QUANTUM = 512
 PART_TOKENS = 32_000_000
 END_ID = 1
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000  # about 150 MB
 _SPACE = ~T.NOT_SPACE
 _DIGIT = T.lut([(0x30, 0x39)])
 _ALPHA = T.lut([(0x41, 0x5A), (0x61, 0x7A)])
@@ -63,16 +64,18 @@ class WordTokenizer:
         self.starts = np.zeros(1024, np.int64)
 
     def _add(self, hashes: list[int], words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        for h, enc in zip(hashes, found):
-            k, ids = len(self.known), enc.ids
-            if k == len(self.lengths):
-                self.lengths, self.starts = np.resize(self.lengths, 2 * k), np.resize(self.starts, 2 * k)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * len(self.ids))
-            self.known[h], self.lengths[k], self.starts[k] = k, len(ids), self.used
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
+        found = [enc.ids for enc in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        old, total = len(self.known), int(n.sum())
+        while old + len(found) > len(self.lengths):
+            self.lengths, self.starts = np.resize(self.lengths, 2 * len(self.lengths)), np.resize(self.starts, 2 * len(self.starts))
+        while self.used + total > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        self.known.update(zip(hashes, range(old, old + len(found))))
+        self.lengths[old:old + len(found)] = n
+        self.starts[old:old + len(found)] = self.used + np.cumsum(n) - n
+        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.used += total
 
     @staticmethod
     def _parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,10 +104,13 @@ class WordTokenizer:
         if len(self.known) > CACHE_WORDS:
             self.clear()
         keys = distinct.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.known]
-        raw = data.tobytes()
-        self._add([keys[k] for k in new], [raw[first[sample[k]]:past[sample[k]]] for k in new])
-        slot = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[inverse]
+        slot = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            raw, old = data.tobytes(), len(self.known)
+            self._add(distinct[new].tolist(), [raw[a:b] for a, b in zip(first[sample[new]].tolist(), past[sample[new]].tolist())])
+            slot[new] = np.arange(old, old + len(new))
+        slot = slot[inverse]
         n = self.lengths[slot].astype(np.int64)
         upto = np.zeros(len(n) + 1, np.int64)
         np.cumsum(n, out=upto[1:])
