@@ -19,7 +19,7 @@ from cxpulse.testbed.queries import all_queries  # noqa: E402
 
 
 def shape(df) -> dict[str, int]:
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     return {
         "exchanges": len(re.findall(r"\bExchange (hashpartitioning|SinglePartition|rangepartitioning)",
                                     plan)),
@@ -35,7 +35,7 @@ def _written(node) -> int:
     name = node.getClass().getSimpleName()
     if name == "AdaptiveSparkPlanExec":
         return _written(node.executedPlan())
-    if name == "ShuffleQueryStageExec":
+    if name.endswith("QueryStageExec"):
         return _written(node.plan())
     own = 0
     if name == "ShuffleExchangeExec":
