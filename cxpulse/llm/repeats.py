@@ -141,8 +141,8 @@ def hot_anchors(docs: DataFrame) -> np.ndarray:
 
 def _anchor_batches(hot: np.ndarray):
     """Rows (key, c, doc_id, start, kind) of a batch's anchors; kind 0 goes to its
-    bucket. What a batch can settle goes to a key of its own: a context seen
-    before in the batch (SPAN), an occurrence of a hot anchor (WINDOW)."""
+    bucket. A context seen before in the batch is settled (SPAN, on a key of its
+    own); the others of a hot anchor are keyed by their context too (WINDOW)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = list(_anchor_rows(batch.column("text")))
@@ -159,8 +159,9 @@ def _anchor_batches(hot: np.ndarray):
             again[1:] = same & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-                kind[hot[at] == h] = WINDOW
-            key = np.where(kind == 0, h, T.mix64(h + doc.astype(np.uint64) * _C[0] + start.astype(np.uint64) * _C[1]))
+                kind[(hot[at] == h) & (kind == 0)] = WINDOW
+            own = np.where(kind == WINDOW, c, doc.astype(np.uint64) * _C[0] + start.astype(np.uint64) * _C[1])
+            key = np.where(kind == 0, h, T.mix64(h + own * _C[2]))
             keep = ~again
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key[keep].view(np.int64)), pa.array(c[keep].view(np.int64)), pa.array(doc[keep]), pa.array(start[keep].astype(np.int32)), pa.array(kind[keep])],
@@ -171,12 +172,14 @@ def _anchor_batches(hot: np.ndarray):
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (kind, key, doc_id, start) from rows sorted by (key, kind, c, doc_id,
     start): SPAN for occurrences of a class after its first; the first ones of a
-    bucket with several classes as CONTEXT, and as WINDOW too beyond MOST."""
+    bucket with several classes as CONTEXT, and as WINDOW too beyond MOST. A hot
+    anchor's classes are apart already; their first ones stay WINDOW."""
     key = c = None
     last: tuple | None = None
     firsts: list[tuple] = []  # of the bucket; no more than MOST + 1 are held
     n = 0
     out: list[tuple] = []
+    before = (0, 0, -1, -1)  # key, c, doc_id, start of the last WINDOW row
 
     for batch in batches:
         keys, cs, docs, starts, kinds = (batch.column(x).to_numpy() for x in ("key", "c", "doc_id", "start", "kind"))
@@ -184,7 +187,15 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lone = np.zeros(len(keys), bool)
         if len(keys) > 2:
             lone[1:-1] = (keys[1:-1] != keys[:-2]) & (keys[1:-1] != keys[2:]) & (kinds[1:-1] == 0)
-        settled = np.flatnonzero(~lone & (kinds != 0))
+        hot = np.flatnonzero(kinds == WINDOW)
+        if len(hot):
+            k, cc, d, s = (np.concatenate([[before[i]], x[hot]]) for i, x in enumerate((keys, cs, docs, starts)))
+            before = (k[-1], cc[-1], d[-1], s[-1])
+            same = (k[1:] == k[:-1]) & (cc[1:] == cc[:-1])
+            kinds = kinds.copy()
+            kinds[hot[same]] = SPAN
+            kinds[hot[same & (d[1:] == d[:-1]) & (s[1:] == s[:-1])]] = -1  # the same place again
+        settled = np.flatnonzero(~lone & (kinds > 0))
         if len(settled):
             yield pa.RecordBatch.from_arrays([pa.array(kinds[settled]), pa.array(keys[settled]), pa.array(docs[settled]), pa.array(starts[settled])], names=["kind", "key", "doc_id", "start"])
         todo = np.flatnonzero(~lone & (kinds == 0))
