@@ -2,11 +2,12 @@
 
 A text's words are runs of characters other than ASCII ones that are no digit
 or letter, A-Z lower-cased. Base labels: places where a phrase's words stand
-consecutively. The method adds labels of its own: every text block (line) whose
+consecutively. The method adds labels of its own: every text block whose
 word set contains at least ``THRESHOLD`` of a template's word set gets the
-template's label. Tokens have one global order, rarest first, by the number of
-blocks of the whole corpus that hold them. With it the join is exact but looks
-at few pairs:
+template's label. Blocks are the lines and, as notices are usually wrapped, for
+each template all runs of as many words as it has, whatever line breaks they
+span. Tokens have one global order, rarest first, by the number of lines of the
+whole corpus that hold them. With it the join is exact but looks at few pairs:
 
 * prefix filter: a block that meets the threshold holds one of the template's
   ``|T| - ceil(t |T|) + 1`` rarest tokens; only those are indexed;
@@ -14,7 +15,9 @@ at few pairs:
 * positional filter: after the first shared prefix token, what both have left
   must still reach ``ceil(t |T|)``.
 
-Survivors are verified on the full sets. The templates are a parameter (a few
+Survivors are verified on the full sets. A text's word set holds that of each of
+its runs, so runs are looked at only for the templates that the text as one
+block meets. ``SQL`` has the lines only. The templates are a parameter (a few
 dozen), so their index travels with the function; the corpus is read map-only,
 once for the order and once for the join.
 """
@@ -69,6 +72,7 @@ class TemplateIndex:
         self.threshold = threshold
         order = lambda w: (frequency.get(w, 0), w)  # noqa: E731  rarest first, ties by text
         self.sets = [sorted(set(text.encode().split()), key=order) for text, _ in templates]
+        self.sizes = [len(text.split()) for text, _ in templates]
         self.labels = [label for _, label in templates]
         self.rank = {w: k for k, w in enumerate(sorted({w for s in self.sets for w in s}, key=order))}
         self.index: dict[bytes, list[tuple[int, int]]] = {}
@@ -97,6 +101,28 @@ class TemplateIndex:
                     found[t] = both / len(tokens)
         return found
 
+    def run_matches(self, words: list[bytes]) -> dict[int, float]:
+        """template -> best containment, for all templates that some run of as many
+        consecutive words as the template has meets."""
+        found: dict[int, float] = {}
+        for t in self.matches(set(words)):
+            tokens = set(self.sets[t])
+            held: dict[bytes, int] = {}
+            own = [k for k, w in enumerate(words) if w in tokens]
+            first = most = 0
+            for k in own:
+                held[words[k]] = held.get(words[k], 0) + 1
+                while own[first] <= k - self.sizes[t]:
+                    w = words[own[first]]
+                    held[w] -= 1
+                    if not held[w]:
+                        del held[w]
+                    first += 1
+                most = max(most, len(held))
+            if most >= needed(len(tokens), self.threshold):
+                found[t] = most / len(tokens)
+        return found
+
 
 def _lower(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For each chunk of rows: (lo, hi, lower-cased bytes, bounds of the texts)."""
@@ -158,6 +184,9 @@ def _scan(index: TemplateIndex, phrases: list[tuple[str, str]]):
                 if index.any_prefix.search(line):
                     for t, c in index.matches(set(_WORD_RE.findall(line))).items():
                         best[t] = max(c, best.get(t, 0.0))
+            if b"\n" in text:
+                for t, c in index.run_matches(_WORD_RE.findall(text)).items():
+                    best[t] = max(c, best.get(t, 0.0))
         return places, best
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

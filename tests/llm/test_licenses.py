@@ -43,3 +43,49 @@ def test_filters_lose_nothing():
         block = set(rng.choice(vocabulary, rng.integers(1, 20), replace=False).tolist())
         want = {t: len(block & set(s)) / len(s) for t, s in enumerate(index.sets) if len(block & set(s)) >= L.needed(len(s), 0.7)}
         assert index.matches(block) == want
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+
+
+def brute_with_runs(i, text):
+    """``brute``, and per template all runs of as many words as it has."""
+    *row, base, labels, score = brute(i, text)
+    w, best = words(text), {}
+    for template, label in L.TEMPLATES:
+        n, t = len(template.split()), set(template.split())
+        most = max((len(t & set(w[k:k + n])) for k in range(len(w))), default=0)
+        if most >= L.needed(len(t), L.THRESHOLD):
+            best[label] = most / len(t)
+    return (*row, base, ",".join(sorted({x for x in labels.split(",") if x} | set(best))), max(score, *best.values(), 0.0) if best else score)
+
+
+def test_wrapped_notices(documents):
+    comment = lambda text, lead: "\n".join(lead + line for line in text.split("\n"))
+    rows = [(1, MIT), (2, BSD), (3, comment(MIT, "# ") + "\r\n\r\n" + comment(BSD, " * ")), (4, MIT.replace(" ", "\n")), (5, "x\n" * 3000 + BSD + "\ny" * 3000),
+            (6, BSD.replace(" ", " far away from the next one\n")), (7, "released\nunder the\nmit"), (8, "released\nunder the\n\nmit \nmit a b c released"),
+            (9, "released under the mit\nlicence released under the a\nmit license"), (10, "no notice\nat all"), (11, "\n"), (12, MIT.replace("hereby ", "").replace("free ", ""))]
+    got = {r["doc_id"]: tuple(r) for r in L.scan_licenses(documents(rows)).collect()}
+    assert got == {i: brute_with_runs(i, text) for i, text in rows}
+    assert [got[k][6:] for k in (1, 2, 3, 4, 5)] == [("mit-notice", 1.0), ("bsd-notice", 1.0), ("bsd-notice,mit-notice", 1.0), ("mit-notice", 1.0), ("bsd-notice", 1.0)]
+    assert got[6][6:] == ("", 0.0)
+
+
+def test_runs_lose_nothing():
+    rng = np.random.default_rng(6)
+    vocabulary = [b"t%d" % k for k in range(12)]
+    templates = [(b" ".join(rng.choice(vocabulary, rng.integers(1, 9))).decode(), str(k)) for k in range(12)]
+    index = L.TemplateIndex(templates, 0.7, {w: int(rng.integers(100)) for w in vocabulary})
+    for _ in range(300):
+        text = rng.choice([*vocabulary, b"x", b"y", b"z"], rng.integers(1, 40)).tolist()
+        want = {}
+        for t, (template, _) in enumerate(templates):
+            n, tokens = len(template.split()), set(template.encode().split())
+            most = max(len(tokens & set(text[k:k + n])) for k in range(len(text)))
+            if most >= L.needed(len(tokens), 0.7):
+                want[t] = most / len(tokens)
+        assert index.run_matches(text) == want
