@@ -14,8 +14,10 @@ landmark, unless an element there names itself something else (``ASIDE_TAGS``,
 are counted. The lists also serve as prior counts, so that a kind of
 element that no labelled page has is judged by its name.
 
-Comments, scripts, styles and the like never become nodes. White space
-is ASCII's (``[\\x20\\x09-\\x0D]``).
+Comments, scripts, styles and other elements whose content is no markup
+(``RAW``) never become nodes; all else is judged. A ``RAW`` tag without an end tag
+is skipped alone (of a script or style also the code up to the next tag). White
+space is ASCII's (``[\\x20\\x09-\\x0D]``).
 """
 
 from __future__ import annotations
@@ -36,16 +38,20 @@ SMOOTH = 0.5
 PRIOR = 50.0
 MAX_WORDS = 2000  # attribute words with counts of their own
 
-RAW = {"script", "style", "template", "noscript", "iframe", "object", "svg", "math", "head", "textarea", "select", "option", "canvas", "video", "audio", "map"}
+RAW = {"script", "style", "template", "noscript", "iframe", "head", "textarea"}
+CODE = {"script", "style"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
 #: block tags that a following tag of the set closes
 CLOSED_BY = {
     "p": {"p", "div", "ul", "ol", "li", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "nav", "header", "footer", "aside", "form", "blockquote", "pre", "main", "figure", "hr", "dl", "address", "fieldset", "details"},
-    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
+    "li": {"li"}, "option": {"option", "optgroup"}, "optgroup": {"optgroup"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
 }
+#: form lists hold no blocks of text: without their end tags such a block closes them
+CLOSED_BY |= {tag: CLOSED_BY["p"] | CLOSED_BY.get(tag, set()) for tag in ("select", "datalist", "optgroup", "option")}
+SCOPES = {"table", "ul", "ol", "dl", "div", "article", "section", "td", "blockquote", "object", "svg", "math"}
 LANDMARKS = {"article", "main"}
-ASIDE_TAGS = {"nav", "aside", "footer", "header", "form", "button", "menu", "dialog", "address", "fieldset"}
+ASIDE_TAGS = {"nav", "aside", "footer", "header", "form", "button", "menu", "dialog", "address", "fieldset", "select", "datalist", "optgroup", "option"}
 ASIDE_WORDS = {
     "ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "form", "header", "login",
     "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pager", "pagination", "popup", "promo", "related", "reply", "replies", "respond", "search", "share",
@@ -75,6 +81,7 @@ def parse(page: str) -> list[Node]:
     buffer: list[str] = []
     linked = 0
     links = 0
+    unclosed: set[str] = set()  # raw tags that have no end tag any more
 
     def flush() -> None:
         nonlocal linked
@@ -106,9 +113,12 @@ def parse(page: str) -> list[Node]:
             continue
         if not m[1]:
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\s*>|<body[\s>]" if tag == "head" else rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                end = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>|<body[\s>]" if tag == "head" else rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 if end is None:
-                    at = len(page) if tag != "head" else at
+                    unclosed.add(tag)
+                    if tag in CODE:
+                        code = _TAG.search(page, at)
+                        at = code.start() if code else len(page)
                 else:
                     at = end.start() if end[0][:2] != "</" else end.end()
                 continue
@@ -126,7 +136,7 @@ def parse(page: str) -> list[Node]:
                 continue
             flush()
             closes = [k for k, (open_tag, _) in enumerate(stack) if tag in CLOSED_BY.get(open_tag, ())]
-            scope = max((k for k, (open_tag, _) in enumerate(stack) if open_tag in ("table", "ul", "ol", "dl", "div", "article", "section", "td", "blockquote")), default=0)
+            scope = max((k for k, (open_tag, _) in enumerate(stack) if open_tag in SCOPES), default=0)
             closes = [k for k in closes if k > scope]
             if closes:
                 del stack[closes[0]:]

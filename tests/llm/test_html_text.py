@@ -52,3 +52,31 @@ def test_marginals_equal_enumeration():
         for k, y in enumerate(ys):
             content[k] += p * y
     assert model.marginals(nodes) == pytest.approx([c / total for c in content])
+
+
+KEPT = [
+    ("<p>One <svg class='i'/> two.</p><p>Three.</p>", "One two. Three."),
+    ("<p>One <math/> two.</p><p>Three.</p>", "One two. Three."),
+    ("<svg class='i'/><p>One.</p><svg><path d='M0'/></svg><p>Two.</p>", "One. Two."),
+    ("<p>Let <math><mi>x</mi></math> be.</p>", "Let x be."),
+    ("<svg><text>Label.</text></svg><p>One.</p>", "Label. One."),
+    ("<p>One <object data='x'><p>Inside.</p></object> two.</p>", "One Inside. two."),
+    ("<map name='m'><p>Area.</p><area href='x'></map><canvas><p>Drawn.</p></canvas><video><p>Film.</p></video><audio>Sound.</audio>", "Area. Drawn. Film. Sound."),
+    ("<p>One.</p><input list='d'><datalist id='d'><option value='a'>A<option value='b'>B</datalist><p>Two.</p><p>Three.</p>", "One. Two. Three."),
+    ("<p>One.</p><select><option>A<option>B</select><p>Two.</p>", "One. Two."),
+    ("<p>One.</p><select><optgroup><option>A<p>Two.</p>", "One. Two."),
+    ("<p>One.</p><textarea>Two.<p>Three.</p>", "One. Two. Three."),
+    ("<p>One.</p><iframe src='x'><p>Two.</p><iframe src='y'><p>Three.</p>", "One. Two. Three."),
+    ("<p>One.</p><script>var a = 1;<p>Two.</p>", "One. Two."),
+    ("<p>One.</p><script>var a = '<p>No.</p>';</script><style>p{}</style><template><p>No.</p></template><textarea>No.</textarea><p>Two.</p>", "One. Two."),
+]
+
+
+def test_only_raw_text_elements_are_skipped(pages):
+    rows = [(i, "u", f"<html><body><nav>Menu</nav><article>{body}</article><footer>&copy; x</footer>") for i, (body, _) in enumerate(KEPT)]
+    rows += [(len(KEPT), "u", "<article><p>One.</p><script>var a = 1; cut off")]
+    got = {r["page_id"]: r["text"] for r in H.extract(pages(rows)).collect()}
+    assert [got[i] for i in range(len(KEPT))] == [want for _, want in KEPT]
+    assert got[len(KEPT)] == "One."
+    nodes = H.parse("<article>" + "<textarea><p>w</p>" * 20_000)  # the missing end tag is looked for once
+    assert [n.text for n in nodes if n.text is not None] == ["w"] * 20_000
