@@ -400,15 +400,16 @@ class SuffixArray:
                     stack.append((depth, first, open_))
 
 
-def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[SuffixArray, list[tuple]]]:
-    """Suffix arrays of whole buckets, from CONTEXT rows sorted by key."""
+def _arrays(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple[SuffixArray, list[tuple]]]:
+    """Suffix arrays of whole buckets, from CONTEXT rows sorted by key, and the
+    rows (key, doc_id, start, before, context, further columns)."""
     def build(rows: list[tuple]) -> tuple[SuffixArray, list[tuple]]:
         keys = {k: n for n, k in enumerate(dict.fromkeys(r[0] for r in rows))}
         return SuffixArray([r[4] for r in rows], [keys[r[0]] for r in rows], [(r[1], r[2] - r[3]) for r in rows], [r[3] for r in rows]), rows
 
     held: list[tuple] = []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "start", "before", "context"))):
+        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "start", "before", "context", *more))):
             if held and held[-1][0] != row[0] and len(held) * BEFORE >= SUFFIXES:
                 yield build(held)
                 held = []
@@ -417,17 +418,88 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[SuffixArray, li
         yield build(held)
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(repeat, length, doc_id, start) of all occurrences of all maximal repeats."""
-    for found, rows in _arrays(batches):
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, c, doc_id, start) of all anchors."""
+    for batch in batches:
+        for row, start, h, c in _anchor_rows(batch.column("text")):
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(batch.column("doc_id").to_numpy()[row]), pa.array(start.astype(np.int32))], names=["key", "c", "doc_id", "start"])
+
+
+_FIRSTS = "kind int, key long, c long, n long, doc_id long, start int, before int, context binary"
+
+
+def _first_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The wanted classes of each text with their context."""
+    z = zstandard.ZstdDecompressor()
+    for batch in batches:
+        out: list[tuple] = []
+        for doc_id, packed, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "packed", "wanted"))):
+            text = z.decompress(packed)
+            for w in wanted:
+                before = min(w["start"], BEFORE)
+                out.append((w["kind"], w["key"], w["c"], w["n"], doc_id, w["start"], before, text[w["start"] - before:w["start"] + LENGTH]))
+            if len(out) >= 20_000:
+                yield _first_rows(out)
+                out = []
+        if out:
+            yield _first_rows(out)
+
+
+def _first_rows(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["kind", "key", "c", "n", "doc_id", "start", "before", "context"])
+
+
+_GROUPS = "repeat long, length int, key long, c long, shift int"
+
+
+def _name(repeat: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(repeat, digest_size=8).digest(), "little", signed=True)
+
+
+def _group_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()))], names=["repeat", "length", "key", "c", "shift"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(repeat, length, key, c, shift) of the maximal repeats among the classes of
+    a bucket: each occurrence of class (key, c) has the repeat ``shift`` bytes from
+    its anchor."""
+    for found, rows in _arrays(batches, "c"):
         out: list[tuple] = []
         for length, first, last, _ in found.maximal_repeats():
-            at = sorted({(rows[c][1], rows[c][2] - rows[c][3] + o) for c, o in zip(found.owner[found.array[first:last + 1]].tolist(), found.offset[found.array[first:last + 1]].tolist())})
-            if len(at) > 1:
-                name = int.from_bytes(hashlib.blake2b(b"%d,%d,%d" % (*at[0], length), digest_size=8).digest(), "little", signed=True)
-                out += [(name, length, d, s) for d, s in at]
+            which = found.array[first:last + 1]
+            name = None
+            for k, o in zip(found.owner[which].tolist(), found.offset[which].tolist()):
+                key, _, _, before, context, c = rows[k]
+                name = _name(context[o:o + length]) if name is None else name
+                out.append((name, length, key, c, o - before))
+            if len(out) >= 20_000:
+                yield _group_rows(out)
+                out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int32()))], names=["repeat", "length", "doc_id", "start"])
+            yield _group_rows(out)
+
+
+def _own(windows: bool):
+    """What classes hold by themselves, as in ``_shared``: all from the first window
+    that selects the anchor on; or, for ``windows``, each window that selects it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 2000):
+                rows = list(zip(*(batch.column(c).slice(at, 2000).to_pylist() for c in ("key", "c", "before", "context"))))
+                size = np.array([len(r[3]) for r in rows])
+                width = int(size.max())
+                padded = np.frombuffer(b"".join(r[3].ljust(2 * width, b"\0") for r in rows), np.uint8).reshape(len(rows), 2 * width)
+                lowest, highest = _selecting(padded, size, np.array([r[2] for r in rows]))
+                out: list[tuple] = []
+                for (key, c, before, context), lo, hi in zip(rows, lowest.tolist(), highest.tolist()):
+                    for o in range(lo, hi + 1 if windows else lo + 1):
+                        repeat = context[o:o + LENGTH] if windows else context[o:]
+                        out.append((_name(repeat), len(repeat), key, c, o - before))
+                if out:
+                    yield _group_rows(out)
+    return run
 
 
 def _later_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -463,10 +535,30 @@ def _buckets(fetched: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """All occurrences (repeat, length, doc_id, start) of the maximal repeats of
     ``LENGTH`` bytes or more, within the reach of a context (longer ones come as
-    overlapping parts), among the first occurrences of equal contexts."""
+    overlapping parts). ``repeat`` is a hash of the repeated bytes.
+
+    Repeats are found among the classes of equal contexts and then carried over to
+    all occurrences of each class; what a class of several occurrences repeats by
+    itself is a group too. In buckets of over ``MOST`` classes the repeated windows
+    stand for the longer repeats that they make up. A doc_id names one document,
+    of which a place occurs once; rows without one take no part.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    _, fetched = _found(docs, docs.mapInArrow(_compress, "doc_id long, packed binary"))
-    return _buckets(fetched).mapInArrow(_occurrences, "repeat long, length int, doc_id long, start int")
+    places = materialise(docs.mapInArrow(_places, "key long, c long, doc_id long, start int").distinct(), "repeat-places")
+    classes = places.groupBy("key", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("f"))
+    buckets = classes.groupBy("key").agg(F.count("*").alias("classes"), F.sum("n").alias("places")).filter("places > 1").select("key", "classes")
+    kind = F.when(F.col("classes") == 1, SPAN).when(F.col("classes") <= MOST, CONTEXT).otherwise(WINDOW)
+    wanted = classes.join(buckets, "key").groupBy(F.col("f.doc_id").alias("w")).agg(F.collect_list(F.struct(kind.alias("kind"), "key", "c", "n", F.col("f.start").alias("start"))).alias("wanted"))
+    packed = docs.mapInArrow(_compress, "doc_id long, packed binary")
+    found = packed.join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("w")).select("doc_id", "packed", "wanted")
+    firsts = materialise(found.mapInArrow(_first_contexts, _FIRSTS).dropDuplicates(["key", "c"]), "repeat-firsts")
+
+    contexts = firsts.filter(F.col("kind") == CONTEXT).repartition("key").sortWithinPartitions("key")
+    windows = firsts.filter(F.col("kind") == WINDOW).select("key", "c", "before", "context").mapInArrow(_own(True), _GROUPS)
+    several = windows.join(firsts.select("key", "c", "n"), ["key", "c"]).groupBy("repeat").agg(F.sum("n").alias("places")).filter("places > 1").select("repeat")
+    alone = firsts.filter((F.col("kind") != WINDOW) & (F.col("n") > 1)).select("key", "c", "before", "context").mapInArrow(_own(False), _GROUPS)
+    groups = contexts.mapInArrow(_shared, _GROUPS).union(alone).distinct().union(windows.join(several, "repeat", "left_semi"))
+    return groups.join(places, ["key", "c"]).select("repeat", "length", "doc_id", (F.col("start") + F.col("shift")).alias("start"))
 
 
 def repeated_spans(docs: DataFrame, packed: DataFrame) -> DataFrame:

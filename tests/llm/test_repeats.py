@@ -90,3 +90,49 @@ def test_merged_spans():
 
     doc, start, length = R._merged(np.array([2, 1, 1, 1, 2]), np.array([5, 0, 150, 90, 300]), np.array([100] * 5))
     assert list(zip(doc.tolist(), start.tolist(), length.tolist())) == [(1, 0, 250), (2, 5, 100), (2, 300, 100)]
+
+
+def all_occurrences(rows, groups):
+    """Each group lists every place of its string, and each window that the corpus
+    holds twice is part of a group of as many places. Returns the groups."""
+    texts = {i: (t or "").encode() for i, t in rows}
+    at = {}
+    for i, b in texts.items():
+        for k in range(len(b) - 99):
+            at.setdefault(b[k:k + 100], []).append((i, k))
+    by_repeat = {}
+    for r in groups:
+        by_repeat.setdefault((r["repeat"], r["length"]), []).append((r["doc_id"], r["start"]))
+    covered = set()
+    for (_, n), places in by_repeat.items():
+        i, k = places[0]
+        s = texts[i][k:k + n]
+        assert len(s) == n >= 100
+        assert sorted(places) == sorted((i, k) for i, k in at[s[:100]] if texts[i][k:k + n] == s) and len(places) > 1
+        covered |= {s[o:o + 100] for o in range(n - 99) if len(at[s[o:o + 100]]) == len(places)}
+    assert covered == {w for w, x in at.items() if len(x) > 1}
+    return by_repeat
+
+
+@pytest.mark.parametrize("seed,most,share", [(1, 2048, 0.01), (2, 3, 0.01), (3, 1, 0.01)])
+def test_repeats_list_every_repeated_window(documents, monkeypatch, seed, most, share):
+    """Copies, overflowing buckets (low MOST) and, at 1, nothing but windows."""
+    monkeypatch.setattr(R, "MOST", most)
+    monkeypatch.setattr(R, "HOT_SHARE", share)
+    rows = corpus(seed)
+    assert all_occurrences(rows, R.repeats(documents(rows)).collect())
+
+
+def test_repeats_of_copies_and_hot_anchors(documents, monkeypatch):
+    text = " ".join("c%d" % k for k in range(70))
+    copies = [(i, text) for i in range(1, 5)]
+    assert {len(x) for x in all_occurrences(copies, R.repeats(documents(copies + copies[:2])).collect()).values()} == {4}
+    line = " ".join("p%d" % k for k in range(60))
+    rows = [(i, f"{'a' * (i % 9)} {i} {line} {i * 7} {'b' * i}") for i in range(1, 41)] + copies
+    rows = [(i + 100 * (t == text), t) for i, t in rows]
+    hot = {}
+    for most in (2048, 4):
+        monkeypatch.setattr(R, "MOST", most)
+        hot[most] = all_occurrences(rows, R.repeats(documents(rows)).collect())
+        assert {tuple(range(1, 41)), (101, 102, 103, 104)} <= {tuple(sorted({i for i, _ in x})) for x in hot[most].values()}
+    assert R.repeats(documents([])).count() == 0 and R.repeats(documents([(1, None), (None, text), (2, text)])).count() == 0
