@@ -63,3 +63,20 @@ def test_rules_equal_brute_force(spark):
         assert (r["items_id"] in got) == bool(hits)
         if hits:
             assert got[r["items_id"]] in {y for p, y in hits if abs(p - max(hits)[0]) < 1e-9}
+
+
+def test_rules_of_every_length(spark):
+    """Five tokens together are sure, any four of them are not."""
+    full = [f"path{k}:{x}" for k, x in enumerate("abcde")]
+    urls = [("http://h.org/a/b/c/d/e", "block")] * 40
+    urls += [("http://h.org/" + "/".join("abcde"[:k] + "x" + "abcde"[k + 1:]), "allow") for k in range(5)] * 20
+    labelled = spark.createDataFrame(urls, "url string, label string")
+    sets = [(frozenset(r["t"]), r["label"]) for r in labelled.select(U.tokens(labelled["url"]).alias("t"), "label").collect()]
+    sure = {}
+    for c in {c for s, _ in set(sets) for n in range(1, len(s) + 1) for c in combinations(sorted(s), n)}:
+        held = [y for s, y in sets if s.issuperset(c)]
+        sure |= {(c, y): held.count(y) / len(held) for y in set(held) if held.count(y) >= 0.1 * len(sets) and held.count(y) / len(held) >= 0.7}
+    kept = {(c, y): p for (c, y), p in sure.items() if not any(sure.get((tuple(x for x in c if x != out), y), -1) >= p for out in c if len(c) > 1)}
+    mined = U.mine(labelled, 0.1, 0.7)
+    assert {(tuple(r["items"]), r["label"]): round(r["confidence"], 9) for r in mined.collect()} == {k: round(p, 9) for k, p in kept.items()}
+    assert (tuple(full), "block") in kept
