@@ -124,10 +124,11 @@ def top_k(embeddings: DataFrame, is_query, k: int = 5) -> DataFrame:
     (``is_query``: a condition on vec_id), all if there are fewer.
 
     Ties go to the smaller vec_id. Only vectors of equal length are compared;
-    rows repeating a vec_id are taken once (one of them, by their components).
+    rows equal in vec_id and integer components are taken once. A vec_id with
+    several vectors takes part with each: all its queries share one ranking.
     An empty table gives an empty result; scores beyond a long are left out.
     """
-    rows = materialise(usable(embeddings).groupBy("vec_id").agg(F.min(F.struct("dim", "ints")).alias("x")).select("vec_id", "x.dim", "x.ints"), "vectors")
+    rows = materialise(usable(embeddings).distinct(), "vectors")
     n = rows.count()
     n_blocks, n_queries = -(-n // BLOCK) or 1, -(-rows.filter(is_query).count() // BLOCK) or 1
     block = lambda m: F.expr(f"pmod(xxhash64(vec_id), {m})").cast("int")

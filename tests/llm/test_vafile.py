@@ -40,3 +40,10 @@ def test_large_components_stay_exact():
     v = np.array([[2.0 ** 40, 1.0], [2.0 ** 40, 3.0], [-(2.0 ** 40), 5.0]])
     got = V.search(np.array([1, 2, 3]), v, np.array([9]), np.array([[2.0 ** 21, 1.0]]), 2)
     assert got == [(9, 2, 2 ** 61 + 3), (9, 1, 2 ** 61 + 1)]
+
+
+def test_an_id_with_several_vectors_keeps_all(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [3.0, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0])]
+    got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0)
+    scores = sorted((-int(65536 * (a[0] * b[0] + a[1] * b[1])), i) for a in ([1, 0], [0, 1]) for i, b in ((1, (3, 0)), (1, (0, 2)), (2, (1, 1))))
+    assert sorted(tuple(r) for r in got.collect()) == [(0, n + 1, i, -s) for n, (s, i) in enumerate(scores[:5])]
