@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cxpulse.llm import exact_dedup, html_text, licenses, minhash, mixing, packing, repeats, toxicity, url_rules, vafile
+from cxpulse.llm import exact_dedup, fingerprints, html_text, infill, licenses, minhash, mixing, packing, repeats, toxicity, url_rules, vafile, whitening
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_vafile_topk": vafile.op8_vafile_topk,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_whiten_embeddings": whitening.op11_whiten_embeddings,
+    "op12_infill": infill.op12_infill,
+    "op13_fingerprints": fingerprints.op13_fingerprints,
 }
 
 ORACLES = {
@@ -24,4 +27,5 @@ ORACLES = {
     "op6_near_duplicates": minhash.SQL,
     "op8_vafile_topk": vafile.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op12_infill": infill.SQL,
 }

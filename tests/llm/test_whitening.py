@@ -1,0 +1,105 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cxpulse.llm import whitening as W
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, k):
+    """Rows by numpy's eigenvectors of the covariance of the distinct x."""
+    ok = [(i, [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v]) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    fit = np.array(sorted({tuple(x) for _, x in ok}), object)
+    n, sums = len(fit), fit.sum(0)
+    centred = (fit * n - sums).astype(float) / n
+    cov = centred.T @ centred / n
+    e, vectors = np.linalg.eigh(cov)
+    e, vectors = e[::-1][:k], vectors[:, ::-1][:, :k]
+    out = {}
+    for i, x in ok:
+        d = [n * a - s for a, s in zip(x, sums)]
+        out.setdefault(i, []).append((sum(a * a for a in d), (np.array(d, float) / n) @ vectors / np.sqrt(e)))
+    return n, out, e / np.trace(cov)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = np.random.default_rng(5)
+    mixed = rng.normal(size=(400, 12)) @ rng.normal(size=(12, 12)) * 0.2
+    rows = [(i, v.tolist()) for i, v in enumerate(mixed)]
+    rows += [(1000 + i, rows[3][1]) for i in range(200)]  # a third of all rows is one vector
+    return rows + [(2000, None), (2001, [None] * 12), (2002, [float("nan")] + [0.0] * 11), (2003, [float("inf")] + [0.0] * 11), (7, rows[8][1]), (None, rows[9][1])]
+
+
+def test_equals_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5).selectExpr("*", "1 AS n", "2 AS dim", "3 AS x", "4 AS deviation")
+    n, want, explained = brute(rows, 8)
+    got = W.whiten(df, 8).collect()
+    assert sorted(str(r["vec_id"]) for r in got) == sorted(str(i) for i, v in want.items() for _ in v)
+    signs = None
+    for r in got:
+        assert r["n"] == n and r["identity_error"] < 1e-9
+        assert np.allclose(r["explained"], explained, rtol=1e-10)
+        match = [w for d, w in want[r["vec_id"]] if d == int(r["deviation"])]
+        assert match
+        if signs is None:
+            signs = np.sign(np.array(r["whitened"]) * match[0])
+        assert any(np.allclose(np.array(r["whitened"]) * signs, w, atol=1e-8) for w in match)
+
+
+def test_the_order_of_rows_does_not_matter(spark, rows):
+    one = W.fit(W.usable(spark.createDataFrame(rows, SCHEMA).coalesce(1)))
+    many = W.fit(W.usable(spark.createDataFrame(rows[::-1], SCHEMA).repartition(7)))
+    assert np.array_equal(one[12].vectors, many[12].vectors) and one[12].sums == many[12].sums
+
+
+def test_lengths_degenerate_and_empty(spark):
+    def whiten(rows):
+        return W.whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert whiten([]) == [] and whiten([(1, None)]) == []
+    assert [list(r["whitened"]) for r in whiten([(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [])])] == [[], [], []]
+    got = {r["vec_id"]: r for r in whiten([(1, [0.0, 1.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0, 5.0]), (4, [0.0, 1.0, 5.0]), (5, [1.0, 0.0, 5.0])])}
+    assert len(got[1]["whitened"]) == 1 and abs(abs(got[1]["whitened"][0]) - 1) < 1e-12  # one direction has variance
+    assert len(got[3]["whitened"]) == 2 and got[3]["n"] == 3
+    assert all(r["identity_error"] < 1e-12 for r in got.values())
+
+
+def test_very_large_entries_stay_exact(spark):
+    rows = [(1, [3e38, 0.0]), (2, [-3e38, 1.0]), (3, [0.0, 1e17])]
+    got = {r["vec_id"]: r for r in W.whiten(spark.createDataFrame(rows, SCHEMA)).collect()}
+    top = (1 << 63) - 1
+    xs = {1: [top, 10 ** 6], 2: [-(1 << 63) + 10 ** 6, 64 + 10 ** 6], 3: [10 ** 6, 64 * int(np.float32(1e17)) + 10 ** 6]}
+    sums = [sum(x[k] for x in xs.values()) for k in (0, 1)]
+    for i, x in xs.items():
+        exact = sum((3 * a - s) ** 2 for a, s in zip(x, sums))
+        assert got[i]["deviation"] is None if exact >= 10 ** 38 else int(got[i]["deviation"]) == exact
+    assert all(r["identity_error"] < 1e-6 for r in got.values())
+
+
+def test_products_beyond_doubles():
+    y = np.array([[1 << 40, 3], [-(1 << 40), 5]], np.int64)
+    assert W.products(y).tolist() == [[2 << 80, -(2 << 40)], [-(2 << 40), 34]]
+
+
+def test_factor_and_rotations():
+    rng = np.random.default_rng(1)
+    for rank in (1, 3, 7):
+        a = rng.normal(size=(7, rank)) * np.logspace(0, -3, rank)
+        v = a @ a.T
+        factor = W.pivoted_cholesky(v)
+        assert np.allclose(factor @ factor.T, v, atol=1e-13) and factor.shape[1] == rank
+        e, vectors = W.one_sided_jacobi(factor)
+        assert np.allclose(vectors.T @ vectors, np.eye(rank), atol=1e-13)
+        assert np.allclose(v @ vectors, vectors * e, atol=1e-13) and (np.diff(e) <= 0).all()
+        assert np.allclose(e, np.linalg.eigvalsh(v)[::-1][:rank], rtol=1e-9)
+    assert W.pivoted_cholesky(np.zeros((3, 3))).shape == (3, 0) and W.one_sided_jacobi(np.zeros((3, 0)))[1].shape == (3, 0)
+
+
+def test_query(spark):
+    got = W.op11_whiten_embeddings(spark, "/root/testdata/sf0.001").toPandas()
+    assert got.groupby("component").size().nunique() == 1 and set(got["component"]) == set(range(1, 17))
+    assert got["identity_error"].max() < 1e-9 and str(got["deviation"].dtype) == "int64"
+    assert (got.groupby("component")["explained"].first().diff().dropna() <= 0).all()
