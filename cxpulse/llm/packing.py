@@ -44,6 +44,16 @@ _PUNCT = T.lut([(0x00, 0x08), (0x0E, 0x1F), (0x21, 0x2F), (0x3A, 0x40), (0x5B, 0
 _LATIN = T.lut([(0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF)])
 
 
+def _distinct(data: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a span of each distinct word, number of each span's word), by two
+    independent 64-bit hashes."""
+    one, two = T.word_hashes(data, first, past), T.word_hashes(data, first, past, seed=1)
+    _, sample, inverse = np.unique(one, return_index=True, return_inverse=True)
+    if (two != two[sample][inverse]).any():
+        _, sample, inverse = np.unique(np.stack([one, two], axis=1), axis=0, return_index=True, return_inverse=True)
+    return sample, inverse
+
+
 class WordTokenizer:
     """Token ids of texts through a cache of parts between which no token and no
     normalisation of the vocabulary can reach: white space, around ASCII digits,
@@ -59,19 +69,19 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
         self.lengths, self.ids, self.used = np.zeros(1024, np.int32), np.zeros(4096, np.uint32), 0
         self.starts = np.zeros(1024, np.int64)
 
-    def _add(self, hashes: list[int], words: list[bytes]) -> None:
-        found = [enc.ids for enc in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+    def _add(self, words: list[bytes], skip: int) -> None:
+        found = [enc.ids for enc in self.tokenizer.encode_batch_fast([w[skip:].decode("utf-8", "replace") for w in words], add_special_tokens=False)]
         n = np.fromiter(map(len, found), np.int64, len(found))
         old, total = len(self.known), int(n.sum())
         while old + len(found) > len(self.lengths):
             self.lengths, self.starts = np.resize(self.lengths, 2 * len(self.lengths)), np.resize(self.starts, 2 * len(self.starts))
         while self.used + total > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.known.update(zip(hashes, range(old, old + len(found))))
+        self.known.update(zip(words, range(old, old + len(found))))
         self.lengths[old:old + len(found)] = n
         self.starts[old:old + len(found)] = self.used + np.cumsum(n) - n
         self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
@@ -93,22 +103,20 @@ class WordTokenizer:
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of the adjoining texts data[at[k]:at[k + 1]]."""
-        if b"<|" in data.tobytes():  # may hold a special token: neither lower-cased nor cut within words
-            first, past = T.word_spans(data, at[:-1], at[1:], T.NOT_SPACE)
-            hashes = ~T.span_hashes(data, first, past)
-        else:
-            data = T.ASCII_LOWER[data]
-            first, past = self._parts(data, at[:-1], at[1:])
-            hashes = T.span_hashes(data, first, past)
-        distinct, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        # a text that may hold a special token is neither lower-cased nor cut within words
+        special = b"<|" in data.tobytes()
+        data = data if special else T.ASCII_LOWER[data]
+        first, past = T.word_spans(data, at[:-1], at[1:], T.NOT_SPACE) if special else self._parts(data, at[:-1], at[1:])
+        sample, inverse = _distinct(data, first, past)
         if len(self.known) > CACHE_WORDS:
             self.clear()
-        keys = distinct.tolist()
+        raw, mark = data.tobytes(), b"<|" if special else b""
+        keys = [mark + raw[a:b] for a, b in zip(first[sample].tolist(), past[sample].tolist())]
         slot = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
         new = np.flatnonzero(slot < 0)
         if len(new):
-            raw, old = data.tobytes(), len(self.known)
-            self._add(distinct[new].tolist(), [raw[a:b] for a, b in zip(first[sample[new]].tolist(), past[sample[new]].tolist())])
+            old = len(self.known)
+            self._add([keys[k] for k in new.tolist()], len(mark))
             slot[new] = np.arange(old, old + len(new))
         slot = slot[inverse]
         n = self.lengths[slot].astype(np.int64)

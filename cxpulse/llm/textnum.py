@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
+LONG = 128
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -90,13 +92,40 @@ def word_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, is_word:
 
 
 def span_hashes(data: np.ndarray, first: np.ndarray, past: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span."""
+    """64-bit hash of each byte span, spans may overlap at will: a sum over the
+    span's bytes, so two long words made for it can agree (``word_hashes``)."""
     up, down = powers(len(data) + 1)
     prefix = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + U(1)) * up[:len(data)], out=prefix[1:])
     return mix64((prefix[past] - prefix[first]) * down[first] + (past - first).astype(np.uint64))
 
 
+def word_hashes(data: np.ndarray, first: np.ndarray, past: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each byte span, for spans that hardly overlap (words).
+
+    Every 8 bytes are mixed into the hash before the next 8 are read, so that,
+    unlike the sums of ``span_hashes``, no structure of a long word cancels out.
+    Spans of more than ``LONG`` bytes are hashed one by one."""
+    size = past - first
+    h = mix64(size.astype(np.uint64) ^ U((seed * _BASE) & _MASK))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    at, live = first, np.flatnonzero(size > 0)
+    live = live[size[live] <= LONG]
+    for k in range(0, LONG, 8):
+        live = live[size[live] > k]
+        if not len(live):
+            break
+        block = eights[at[live] + k]
+        short = np.minimum(size[live] - k, 8).astype(np.uint64)
+        block &= U(_MASK) >> (U(64) - U(8) * short)
+        h[live] = mix64((h[live] ^ block) * U(_BASE) + U(k + 1))
+    for k in np.flatnonzero(size > LONG).tolist():
+        digest = blake2b(data[first[k]:past[k]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        h[k] = U(int.from_bytes(digest, "little"))
+    return h
+
+
 def words_of(column: pa.Array, is_word: np.ndarray, lower: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For each chunk of rows: (lo, hi, word hashes, bounds); the words of row
     lo + k are hashes[bounds[k]:bounds[k + 1]]."""
@@ -107,7 +136,7 @@ def words_of(column: pa.Array, is_word: np.ndarray, lower: bool = True) -> Itera
             part = ASCII_LOWER[part]
         at = offsets[lo:hi + 1] - offsets[lo]
         first, past = word_spans(part, at[:-1], at[1:], is_word)
-        yield lo, hi, span_hashes(part, first, past), np.searchsorted(first, at)
+        yield lo, hi, word_hashes(part, first, past), np.searchsorted(first, at)
 
 
 _SHINGLE_KEYS = [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,

@@ -81,3 +81,14 @@ def test_components(spark, seed):
                 todo += near[x]
     got = C.components(materialise(spark.createDataFrame(pairs, "u long, v long"), "test"))
     assert {r["node"]: r["root"] for r in got.collect()} == want
+
+
+def test_long_words_made_to_collide_are_no_copies(documents):
+    rows = []
+    for n in (1024, 2048):
+        word = "a"
+        while len(word) < n:
+            word += word.translate(str.maketrans("ab", "ba"))
+        rows += [(n, word), (n + 1, word.translate(str.maketrans("ab", "ba")))]
+    got = M.near_duplicates(documents(rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i) for i, _ in rows}

@@ -68,3 +68,34 @@ def test_rotation_keeps_proportions_and_carries_deficits():
 
 def test_empty_table(documents):
     assert P.pack(documents([]), P.default_tokenizer()).count() == 0
+
+
+def alternating(n):
+    """A word of ``n`` letters and its letter-swapped twin, whose sums of powers
+    agree modulo 2 ** 64."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_made_to_collide_keep_their_own_ids():
+    from tokenizers import Tokenizer
+
+    tokenizer, cached = Tokenizer.from_file(P.default_tokenizer()), P.WordTokenizer(P.default_tokenizer())
+    one, two = alternating(1024)
+    for text in (f"{one} {two}", one, two, *alternating(2048)):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        assert cached.encode(raw, np.array([0, len(raw)]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_equal_hash_stay_apart(monkeypatch):
+    real = P.T.word_hashes
+    monkeypatch.setattr(P.T, "word_hashes", lambda d, a, b, seed=0: real(d, a, b, seed) if seed else (b - a).astype(np.uint64))
+    cached, raw = P.WordTokenizer(P.default_tokenizer()), b"cat dog cat sun dog"
+    ids, bounds = cached.encode(np.frombuffer(raw, np.uint8), np.array([0, 7, len(raw)]))
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(P.default_tokenizer())
+    assert ids[:bounds[1]].tolist() == plain.encode("cat dog", add_special_tokens=False).ids
+    assert len(set(ids[bounds[1]:].tolist())) >= 2
