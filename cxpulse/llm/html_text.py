@@ -25,6 +25,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -49,6 +50,8 @@ CLOSED_BY = {
 }
 #: form lists hold no blocks of text: without their end tags such a block closes them
 CLOSED_BY |= {tag: CLOSED_BY["p"] | CLOSED_BY.get(tag, set()) for tag in ("select", "datalist", "optgroup", "option")}
+#: tag -> the open tags that it closes
+_CLOSES = {tag: tuple(other for other, by in CLOSED_BY.items() if tag in by) for tag in set().union(*CLOSED_BY.values())}
 SCOPES = {"table", "ul", "ol", "dl", "div", "article", "section", "td", "blockquote", "object", "svg", "math"}
 LANDMARKS = {"article", "main"}
 ASIDE_TAGS = {"nav", "aside", "footer", "header", "form", "button", "menu", "dialog", "address", "fieldset", "select", "datalist", "optgroup", "option"}
@@ -58,6 +61,7 @@ ASIDE_WORDS = {
     "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "complementary", "contentinfo", "alert", "discussion",
 }
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>|<[!?/a-zA-Z][^>]*+>""", re.S)
+_COMMENT = re.compile(r"<!--.*\Z()()()", re.S)  # all that can still match after the last ">"
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -72,16 +76,77 @@ class Node:
         self.tag, self.parent, self.names, self.text, self.linked = tag, parent, names, text, linked
 
 
+class _Open:
+    """The open elements of a page, innermost last, as (tag, block node that holds
+    it). Besides the stack it keeps the places of each open tag, of blocks and of
+    scopes, and the number of open links, so that no question walks the stack.
+    The place of an inline element that was closed out of turn stays, without tag."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = [("#root", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = [0]
+        self.scopes: list[int] = [0]
+        self.links = 0
+
+    def push(self, tag: str, node: int) -> None:
+        place = len(self.stack)
+        self.places.setdefault(tag, []).append(place)
+        if tag == "a":
+            self.links += 1
+        if tag not in INLINE:
+            self.blocks.append(place)
+            if tag in SCOPES:
+                self.scopes.append(place)
+        self.stack.append((tag, node))
+
+    def close(self, place: int) -> None:
+        """Close the element at ``place`` and all inside it."""
+        while len(self.stack) > place:
+            tag, _ = self.stack.pop()
+            if not tag:
+                continue
+            self.places[tag].pop()
+            if tag == "a":
+                self.links -= 1
+            if tag not in INLINE:
+                self.blocks.pop()
+                if tag in SCOPES:
+                    self.scopes.pop()
+
+    def close_inline(self, place: int) -> None:
+        """Close the innermost element of its tag at ``place`` alone."""
+        tag, node = self.stack[place]
+        self.places[tag].pop()
+        if tag == "a":
+            self.links -= 1
+        self.stack[place] = ("", node)
+        while not self.stack[-1][0]:
+            self.stack.pop()
+
+    def closed_by(self, tag: str) -> int | None:
+        """The outermost element within the last scope that ``tag`` closes."""
+        found = None
+        for other in _CLOSES.get(tag, ()):
+            places = self.places.get(other)
+            if places and places[-1] > self.scopes[-1]:
+                place = places[bisect_right(places, self.scopes[-1])]
+                found = place if found is None else min(found, place)
+        return found
+
+
 def parse(page: str) -> list[Node]:
     """Nodes in page order, parents first; node 0 is the root. Tags may be
     missing, crossed or unclosed: an end tag closes up to its element if that is
-    open, else it is ignored."""
+    open, else it is ignored. Takes time in proportion to the page, however deep
+    its elements are nested."""
     nodes = [Node("#root", -1)]
-    stack: list[tuple[str, int]] = [("#root", 0)]  # (tag, block node that holds it)
+    opened = _Open()
+    stack = opened.stack
     buffer: list[str] = []
     linked = 0
-    links = 0
     unclosed: set[str] = set()  # raw tags that have no end tag any more
+    last = page.rfind(">")
 
     def flush() -> None:
         nonlocal linked
@@ -96,18 +161,20 @@ def parse(page: str) -> list[Node]:
         nonlocal linked
         text = html.unescape(raw) if "&" in raw else raw
         buffer.append(text)
-        if links:
+        if opened.links:
             linked += len(text)
 
     at = 0
     while True:
-        m = _TAG.search(page, at)
+        m = (_TAG if at <= last else _COMMENT).search(page, at)
         if not m:
             add(page[at:])
             break
         if m.start() > at:
             add(page[at:m.start()])
         at = m.end()
+        if at > last and not m[0].endswith(">"):
+            continue
         tag = m[2].lower() if m[2] else None
         if tag is None:
             continue
@@ -131,32 +198,25 @@ def parse(page: str) -> list[Node]:
                 continue
             if tag in INLINE:
                 if not m[3].endswith("/"):
-                    links += tag == "a"
-                    stack.append((tag, stack[-1][1]))
+                    opened.push(tag, stack[-1][1])
                 continue
             flush()
-            closes = [k for k, (open_tag, _) in enumerate(stack) if tag in CLOSED_BY.get(open_tag, ())]
-            scope = max((k for k, (open_tag, _) in enumerate(stack) if open_tag in SCOPES), default=0)
-            closes = [k for k in closes if k > scope]
-            if closes:
-                del stack[closes[0]:]
-                links = sum(t == "a" for t, _ in stack)
+            place = opened.closed_by(tag)
+            if place is not None:
+                opened.close(place)
             names = tuple(w for g in _NAMES.findall(m[3]) for w in _WORDS.findall((g[0] or g[1] or g[2]).lower())) if m[3] else ()
             nodes.append(Node(tag, stack[-1][1], names))
             if not m[3].endswith("/"):
-                stack.append((tag, len(nodes) - 1))
+                opened.push(tag, len(nodes) - 1)
             continue
-        k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), None)
-        if k is None:
+        places = opened.places.get(tag)
+        if not places:
             continue
         if tag not in INLINE:
             flush()
-            del stack[k:]
-        else:  # a crossed inline end tag leaves the blocks open
-            if any(t not in INLINE for t, _ in stack[k:]):
-                continue
-            del stack[k]
-        links = sum(t == "a" for t, _ in stack)
+            opened.close(places[-1])
+        elif opened.blocks[-1] < places[-1]:  # a crossed inline end tag leaves the blocks open
+            opened.close_inline(places[-1])
     flush()
     return nodes
 

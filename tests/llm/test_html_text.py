@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import pytest
 
@@ -80,3 +81,13 @@ def test_only_raw_text_elements_are_skipped(pages):
     assert got[len(KEPT)] == "One."
     nodes = H.parse("<article>" + "<textarea><p>w</p>" * 20_000)  # the missing end tag is looked for once
     assert [n.text for n in nodes if n.text is not None] == ["w"] * 20_000
+
+
+def test_deep_and_crossed_nesting_takes_linear_time():
+    start = time.process_time()
+    for page in ("<div>" * 200_000, "<div><p>" * 100_000, "<b>" * 200_000 + "</b>" * 200_000, "<select>" * 200_000, "<a " * 200_000, "<a><b></a>" * 100_000):
+        nodes = H.parse(page + "x")
+        assert all(n.parent < k for k, n in enumerate(nodes))
+    assert time.process_time() - start < 30
+    nodes = H.parse("<div>a<b><a>x<ul><li>1<p>2<li>3</a></ul></b>y</a>z</div>w")
+    assert [(n.tag, n.parent, n.text) for n in nodes if n.text] == [("#text", 1, "ax"), ("#text", 4, "1"), ("#text", 6, "2"), ("#text", 8, "3"), ("#text", 1, "yz"), ("#text", 0, "w")]
