@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..params import DATE_FORMAT, ZONE_OFFSET_HOURS
+
 
 def as_date(col: Column) -> Column:
     """``DATE(x)`` for DATE, TIMESTAMP or TIMESTAMP_NTZ sources."""
@@ -35,7 +37,13 @@ def week_label(col: Column) -> Column:
     return F.date_format(week_start(col), "yyyy-MM-dd")
 
 
-def stamp(ts: dt.datetime, offset_hours: float = -5.0, fmt: str = "dd/MM/yyyy") -> Column:
+def zone_date(ts: Column, offset_hours: float = ZONE_OFFSET_HOURS) -> Column:
+    """The date at a fixed UTC offset of a TIMESTAMP_NTZ that holds UTC (for a
+    whole column what ``params.today_in_zone`` is for the current moment)."""
+    return F.to_date(ts + F.make_dt_interval(mins=F.lit(int(offset_hours * 60))))
+
+
+def stamp(ts: dt.datetime, offset_hours: float = ZONE_OFFSET_HOURS, fmt: str = DATE_FORMAT) -> Column:
     """Refresh stamp text: the wall time of ``ts`` at a fixed UTC offset,
     formatted by Spark. A naive ``ts`` is taken as UTC; the literal is a
     TIMESTAMP_NTZ, so the session time zone plays no part."""

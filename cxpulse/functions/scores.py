@@ -12,7 +12,7 @@ import functools
 import operator
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXACT = "decimal(28,10)"
@@ -75,9 +75,8 @@ def target_pct(digits: int = 1) -> Column:
     return F.round(mean("target_sum", "target_n") * _hundred(), digits)
 
 
-def share_of(count: Column, partition: Sequence[str], digits: int = 1) -> Column:
-    """``count * 100 / SUM(count) OVER (PARTITION BY ...)`` on aggregated rows."""
-    total = F.sum(count).over(Window.partitionBy(*partition))
+def share_of(count: Column, total: Column, digits: int = 1) -> Column:
+    """``count * 100 / total``, rounded (for totals see ``operators.totals``)."""
     return F.round(count * _hundred() / total, digits)
 
 

@@ -7,7 +7,8 @@ when there is no block). Pages without an injection point stay unchanged
 and report the payload as missing.
 
 Slots are handled one after the other, and each looks at the text that the one
-before it left: a slot that an earlier one has overwritten is missing. Payload
+before it left. ``injected`` and ``missing`` hold for the final text: a slot that
+another one has overwritten, before or after its own turn, is missing. Payload
 texts are one row, broadcast under a size rule (``MAX_PAYLOAD_BYTES`` per slot; a
 longer one fails the job, it is never cut); pages are not shuffled. Every step
 is a ``transform`` over the text, so it refers to the previous text once and
@@ -92,8 +93,10 @@ def inject(pages: DataFrame, payloads: DataFrame, slots: Sequence[Slot]) -> Data
         state = _then(state, _slot_step(s, F.col(f"_js{i}")))
     out = out.withColumn("_state", state)
     names = F.array(*[F.lit(s.marker) for s in slots])
-    out = out.withColumns({"html": F.col("_state.html"), "injected": F.col("_state.injected"),
-                           "missing": F.array_except(names, F.col("_state.injected"))})
+    # a later slot may have overwritten an earlier one: what counts is the final text
+    there = [F.when(F.array_contains("_state.injected", s.marker) & F.col("_state.html").contains(F.col(f"_js{i}")), F.lit(s.marker)) for i, s in enumerate(slots)]
+    out = out.withColumn("_there", F.array_compact(F.array(*there)))
+    out = out.withColumns({"html": F.col("_state.html"), "injected": F.col("_there"), "missing": F.array_except(names, F.col("_there"))}).drop("_there")
     return out.drop("_state", *[f"_js{i}" for i in range(len(slots))])
 
 

@@ -14,6 +14,9 @@ from dataclasses import dataclass, field
 # Fixed value: the default net-score target used when a process or driver has
 # no usable target.
 DEFAULT_TARGET = 69.5
+# The zone in which a day begins and the form of a printed date.
+ZONE_OFFSET_HOURS = -5.0
+DATE_FORMAT = "dd/MM/yyyy"
 
 
 def month_start(as_of: dt.date) -> dt.date:
@@ -26,7 +29,7 @@ def next_month_start(as_of: dt.date) -> dt.date:
             else first.replace(month=first.month + 1))
 
 
-def today_in_zone(offset_hours: float = -5.0, now: dt.datetime | None = None) -> dt.date:
+def today_in_zone(offset_hours: float = ZONE_OFFSET_HOURS, now: dt.datetime | None = None) -> dt.date:
     """Default ``as_of``: today's date at a fixed UTC offset, taken once per run."""
     now = now or dt.datetime.now(dt.timezone.utc)
     return now.astimezone(dt.timezone(dt.timedelta(hours=offset_hours))).date()
@@ -95,6 +98,9 @@ class AgentTimeOptions:
     excluded_status: str
     # several status rows of one agent-day count once instead of once each
     dedupe_status: bool = False
+    # drop agent time of agents outside the segment where it is read (a filter made
+    # from the survey's agents), not only in the join
+    prefilter_agents: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "buckets", tuple(self.buckets))

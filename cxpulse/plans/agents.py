@@ -15,6 +15,7 @@ from ..functions.dates import as_date
 from ..functions.folding import fold
 from ..operators.filters import in_list, month_rows, null_or_not
 from ..operators.keyed import keyed_map
+from ..operators.keyfilter import filtered
 from ..params import DEFAULT_TARGET, AgentTimeOptions, Scope
 from .survey import measured
 
@@ -31,23 +32,48 @@ def _training(opts: AgentTimeOptions) -> Column:
     return F.sum(f"{opts.training_bucket}_s")
 
 
+def _of_agents(agent_time: DataFrame, scope: Scope, opts: AgentTimeOptions) -> DataFrame:
+    return agent_time.where((F.col("role") == F.lit(opts.role)) & in_list(F.col("team"), scope.teams))
+
+
 def _agent_month(agent_time: DataFrame, scope: Scope, opts: AgentTimeOptions) -> DataFrame:
-    rows = month_rows(agent_time, "work_date", scope)
-    return rows.where((F.col("role") == F.lit(opts.role)) & in_list(F.col("team"), scope.teams))
+    return _of_agents(month_rows(agent_time, "work_date", scope), scope, opts)
+
+
+def time_days(agent_time: DataFrame, scope: Scope, opts: AgentTimeOptions) -> DataFrame:
+    """Seconds per team, agent, day and bucket (of all days given)."""
+    return (_of_agents(agent_time, scope, opts).groupBy("team", "agent", as_date(F.col("work_date")).alias("day"))
+            .agg(*[F.sum(c).alias(c) for c in _bucket_cols(opts)]))
+
+
+def status_days(training_status: DataFrame, opts: AgentTimeOptions) -> DataFrame:
+    """Per agent and day the status rows, and how many of them are kept."""
+    return (training_status.where(F.col("agent").isNotNull()).groupBy("agent", as_date(F.col("work_date")).alias("day"))
+            .agg(F.count_if(null_or_not(F.col("status"), opts.excluded_status)).alias("kept"), F.count(F.lit(1)).alias("n")))
 
 
 def segment_agents(survey: DataFrame, scope: Scope) -> DataFrame:
     """Distinct agents of the scope's segment and office in the survey, any
     date or channel: the right side of a semi-join (partial DISTINCT before
     the shuffle)."""
+    return _of_segment(survey, scope).select("agent").distinct()
+
+
+def segment_agent_days(survey: DataFrame, scope: Scope) -> DataFrame:
+    """The same by day (``plans.state`` keeps it)."""
+    return _of_segment(survey, scope).select(as_date(F.col("response_date")).alias("day"), "agent").distinct()
+
+
+def _of_segment(survey: DataFrame, scope: Scope) -> DataFrame:
     return survey.where(
         in_list(F.col("team"), scope.teams)
         & (F.col("segment") == F.lit(scope.segment))
-        & (F.col("office") == F.lit(scope.office))).select("agent").distinct()
+        & (F.col("office") == F.lit(scope.office)))
 
 
-def training_share(agent_time: DataFrame, training_status: DataFrame, survey: DataFrame,
-                   scope: Scope, opts: AgentTimeOptions) -> DataFrame:
+def training_share(agent_time: DataFrame | None, training_status: DataFrame | None, survey: DataFrame | None,
+                   scope: Scope, opts: AgentTimeOptions, time_rows: DataFrame | None = None,
+                   status_rows: DataFrame | None = None, agents: DataFrame | None = None) -> DataFrame:
     """Per team, distinct agents, training share of logged time (2 dp),
     training hours and logged hours (2 dp).
 
@@ -56,17 +82,22 @@ def training_share(agent_time: DataFrame, training_status: DataFrame, survey: Da
     ``opts.dedupe_status`` once if any status row is kept. So status is reduced to
     one row per agent and day holding that factor, time to one row per team,
     agent and day, and the join multiplies. Only agents of the survey's segment
-    count. A bucket that is NULL throughout a team makes its logged time NULL.
+    count: with ``opts.prefilter_agents`` a runtime filter of theirs is applied
+    where agent time is read. A bucket that is NULL throughout a team makes its
+    logged time NULL.
+
+    ``time_rows`` (``time_days``), ``status_rows`` (``status_days``) and ``agents``
+    (distinct agent), all of the month, take the place of the facts if given.
     """
     cols = _bucket_cols(opts)
-    day = as_date(F.col("work_date"))
-    time = (_agent_month(agent_time, scope, opts).groupBy("team", "agent", day.alias("day"))
-            .agg(*[F.sum(c).alias(c) for c in cols]))
-    time = time.join(segment_agents(survey, scope), "agent", "left_semi")
-    kept = F.count_if(null_or_not(F.col("status"), opts.excluded_status))
-    factor = F.least(kept, F.lit(1)) if opts.dedupe_status else kept
-    status = (month_rows(training_status, "work_date", scope).where(F.col("agent").isNotNull())
-              .groupBy("agent", day.alias("day")).agg(factor.alias("factor")))
+    agents = segment_agents(survey, scope) if agents is None else agents
+    if time_rows is None:
+        month = month_rows(agent_time, "work_date", scope)
+        time_rows = time_days(filtered(month, "agent", agents, "agent") if opts.prefilter_agents else month, scope, opts)
+    time = time_rows.join(agents, "agent", "left_semi")
+    status = status_days(month_rows(training_status, "work_date", scope), opts) if status_rows is None else status_rows
+    factor = F.least("kept", F.lit(1)) if opts.dedupe_status else F.col("kept")
+    status = status.select("agent", "day", factor.alias("factor"))
     joined = time.join(status, ["agent", "day"], "left").withColumn("factor", F.coalesce("factor", F.lit(1))).where("factor > 0")
     logged, training = scores.sum_of_sums([F.col(c) * F.col("factor") for c in cols]), F.sum(F.col(f"{opts.training_bucket}_s") * F.col("factor"))
     return (joined.groupBy("team")

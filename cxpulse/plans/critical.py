@@ -32,6 +32,7 @@ from ..functions.text import render
 from ..operators.keyed import sorted_array
 from ..operators.lookup import pick_clamped
 from ..operators.topk import first_per_key, top_k
+from ..operators.totals import with_totals
 from ..params import DEFAULT_TARGET
 from ..sources.catalog import conform_catalog
 
@@ -96,9 +97,9 @@ def ranked_drivers(drivers: DataFrame, texts: CoachingTexts, default_target: flo
                    k: int = 3, min_n: int = 3) -> DataFrame:
     """Top ``k`` drivers of *every* (team, process), with display columns.
 
-    Ranking per (team, process) reuses the partitioning of the driver
-    report's share window (no new shuffle); restricting to the critical
-    process afterwards gives the same rows as filtering first."""
+    Only ``k`` rows per (team, process) and task are shuffled for the ranking;
+    restricting to the critical process afterwards gives the same rows as
+    filtering first."""
     d = drivers.withColumn("eff_target", F.coalesce(F.col("target"), F.lit(float(default_target))))
     below = (F.col("nps_score") < F.col("eff_target")) & (F.col("enc") >= min_n)
     gap_size = F.when(below, F.col("eff_target") - F.col("nps_score"))
@@ -143,9 +144,10 @@ def top_behaviours(behaviours: DataFrame, catalog: DataFrame, texts: CoachingTex
 
     ``max_cases`` is the largest case count over *all* the team's rows
     (taken before the low-count filter). The catalogue join is left to the
-    optimizer (a small dimension: broadcast by measured size)."""
+    optimizer (a small dimension: broadcast by measured size). The windows by team
+    below the ranking see at most ``k`` rows of a team."""
     team = Window.partitionBy("team")
-    b = behaviours.withColumn("max_cases", F.max("total_cases").over(team))
+    b = with_totals(behaviours, ["team"], {"max_cases": (F.max, "total_cases")})
     b = b.where(F.col("low_count") > 0)
     order = [F.col("low_count").desc(), F.col("sentence").asc(), F.col("moment").asc_nulls_first()]
     ranked = top_k(b, ["team"], order, k, rank_col="rank")

@@ -3,22 +3,27 @@
 ``as_payload`` turns one aggregated report into one payload row. The
 report must already be small (its size is bounded by its dimension keys,
 e.g. teams x processes): the payload is a single JSON document, which is
-what a page embeds. For large outputs use ``report_rows`` (one JSON line
-per row, written in parallel) instead.
+what a page embeds. For large outputs use ``write_report_rows`` (one JSON text
+per row, written in parallel, one partition per report) instead.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import stamp as stamp_text
 from ..operators import pages as pg
 from ..operators import payload as pl
+from ..operators.guard import within_bytes
+from ..params import DATE_FORMAT, ZONE_OFFSET_HOURS
 
 
 @dataclass(frozen=True)
@@ -38,8 +43,11 @@ class PayloadSpec:
 
 def as_payload(df: DataFrame, spec: PayloadSpec, max_bytes: int = pg.MAX_PAYLOAD_BYTES // 2) -> DataFrame:
     """One row: name, var, n (rows or keys), json, b64, js. A JSON text of more
-    than ``max_bytes`` fails the job (a page cannot carry it); use ``report_rows``."""
+    than ``max_bytes`` fails the job (a page cannot carry it); use
+    ``write_report_rows``. The bytes of the rows' JSON texts are added up first, so
+    an oversized report fails before any task holds it whole."""
     rows = pl.jsonable(df)
+    rows = within_bytes(rows, F.octet_length(pl.to_json(F.struct(*rows.columns))), max_bytes, f"payload {spec.name}")
     if spec.key is None:
         doc = pl.row_objects(rows, spec.order)
     else:
@@ -54,13 +62,40 @@ def as_payload(df: DataFrame, spec: PayloadSpec, max_bytes: int = pg.MAX_PAYLOAD
 
 
 def report_rows(df: DataFrame, name: str) -> DataFrame:
-    """Distributed sink form: (report, json) per row, for ``df.write.text``
-    or ``.json`` partitioned by report."""
+    """Distributed sink form: (report, json) per row (see ``write_report_rows``)."""
     rows = pl.jsonable(df)
     return rows.select(F.lit(name).alias("report"),
                        pl.to_json(F.struct(*[F.col(c) for c in rows.columns])).alias("json"))
 
 
+SINK_SCHEMA = "report string, kind string, json string"
+
+
+def write_report_rows(reports: Mapping[str, DataFrame], folder: str) -> None:
+    """Write all rows of the given reports as JSON texts, in parallel, into one
+    table partitioned by report. Each report given replaces what the table held of
+    it (also one without rows), other reports stay. A row of kind ``schema``
+    carries the report's columns and types."""
+    parts = []
+    for name, df in reports.items():
+        spark = df.sparkSession
+        header = spark.createDataFrame([(name, "schema", pl.jsonable(df).schema.json())], SINK_SCHEMA)
+        parts += [header, report_rows(df, name).select("report", F.lit("row").alias("kind"), "json")]
+    if parts:
+        table = reduce(DataFrame.unionByName, parts)
+        table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report").parquet(folder)
+
+
+def read_report_rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A report of the table, with the columns and types it was written with."""
+    texts = spark.read.schema("kind string, json string, report string").parquet(folder).where(F.col("report") == name)
+    header = texts.where("kind = 'schema'").first()
+    if header is None:
+        raise KeyError(f"no report {name} in {folder}")
+    schema = T.StructType.fromJson(json.loads(header["json"]))
+    return texts.where("kind = 'row'").select(F.from_json("json", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
 def payloads(reports: dict[str, DataFrame], specs: Sequence[PayloadSpec]) -> DataFrame:
     """Union of the payload rows of the given reports (one row each)."""
     out = None
@@ -76,8 +111,8 @@ class StampSpec:
 
     element_ids: tuple[str, ...] = ()
     style_id: str | None = None
-    offset_hours: float = -5.0
-    date_format: str = "dd/MM/yyyy"
+    offset_hours: float = ZONE_OFFSET_HOURS
+    date_format: str = DATE_FORMAT
     suffix: str = ""
 
 

@@ -3,21 +3,25 @@
 Every fact table is scanned once: the survey and the evaluations are grouped
 once into summaries (``survey.summary``, ``qa.summary``), which are written to a
 shared folder, and the reports roll up from those. Only the training share reads
-the survey once more, for its agents of all dates. ``run_refresh`` writes each
-report in presentation order, builds the critical-process report and the payloads
-from the written tables, and publishes the pages. Row counts are observed
-metrics, not extra jobs.
+the survey once more, for its agents of all dates. With a state folder only the
+days named are read at all (``plans.state``). ``run_refresh`` writes each report in
+presentation order, builds the critical-process report and the payloads from the
+written tables, writes all rows as JSON texts partitioned by report, and publishes
+the pages. Row counts are observed metrics, not extra jobs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import on_or_after
+from ..operators.filters import month_rows
 from ..params import DEFAULT_TARGET, AgentTimeOptions, FlagOptions, QaOptions, Scope
 from ..session import checkpoint_dir, written
 from ..sources import schemas
@@ -27,7 +31,9 @@ from . import critical as cr
 from . import qa
 from . import survey as sv
 from .order import ORDER, presented
-from .publish import PayloadSpec, StampSpec, payloads, publish_pages
+from .publish import PayloadSpec, StampSpec, payloads, publish_pages, write_report_rows
+from .quality import StopRule, Watch, qa_checks, status_checks, survey_checks
+from .state import State
 
 # The six payloads a page embeds, in the order they are injected.
 DEFAULT_PAYLOADS = (
@@ -77,16 +83,33 @@ class Options:
     texts: cr.CoachingTexts
     default_target: float = DEFAULT_TARGET
     include_agent_detail: bool = False
+    # keep distinct cohorts as sketches of 2 ** sketch_k cells instead of exactly
+    sketch_k: int | None = None
 
 
-def summaries(inp: Inputs, opt: Options) -> tuple[DataFrame, DataFrame]:
-    """The survey and evaluation summaries, written once."""
-    return written(sv.summary(inp.survey, opt.scope), "survey-summary"), written(qa.summary(inp.qa_eval, opt.scope, opt.qa), "qa-summary")
+def summaries(inp: Inputs, opt: Options, watch: Watch | None = None) -> tuple[DataFrame, DataFrame]:
+    """The survey and evaluation summaries, written once. ``watch`` observes the
+    rows of their periods in the same pass."""
+    survey, qa_eval = inp.survey, inp.qa_eval
+    if watch:
+        survey = watch.over(survey.where(on_or_after(F.col("response_date"), sv.weekly_since(opt.scope, 4))), "survey", survey_checks())
+        qa_eval = watch.over(qa_eval.where(on_or_after(F.col("assigned_date"), opt.scope.month_start)), "qa_eval", qa_checks())
+    return (written(sv.summary(survey, opt.scope, sketch_k=opt.sketch_k), "survey-summary"),
+            written(qa.summary(qa_eval, opt.scope, opt.qa), "qa-summary"))
 
 
-def build_reports(inp: Inputs, opt: Options, survey_rows: DataFrame | None = None, qa_rows: DataFrame | None = None) -> dict[str, DataFrame]:
+def month_status(inp: Inputs, opt: Options, watch: Watch | None = None) -> DataFrame:
+    """Status rows of the month by agent and day, observed by ``watch``."""
+    status = ag.status_days(month_rows(inp.training_status, "work_date", opt.scope), opt.agent_time)
+    return watch.over(status, "training_status", status_checks()) if watch else status
+
+
+def build_reports(inp: Inputs, opt: Options, survey_rows: DataFrame | None = None, qa_rows: DataFrame | None = None,
+                  flag_rows: DataFrame | None = None, time_rows: DataFrame | None = None, status_rows: DataFrame | None = None,
+                  agents: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every report as a lazy DataFrame; R1, R2, R3, R8 roll up from
-    ``survey_rows``, R4 and R6 from ``qa_rows`` (see ``summaries``) if given."""
+    ``survey_rows``, R4 and R6 from ``qa_rows`` (see ``summaries``) if given, R7 and
+    R5 from the others (see ``State.report_rows``)."""
     sc = opt.scope
     inp = inp.conformed(opt.agent_time.buckets)
     reports = {
@@ -95,10 +118,10 @@ def build_reports(inp: Inputs, opt: Options, survey_rows: DataFrame | None = Non
         "score_by_process": sv.score_by_process(inp.survey, sc, rows=survey_rows),
         "qa_by_channel": qa.qa_by_channel(inp.qa_eval, sc, opt.qa, rows=qa_rows),
         "training_share": ag.training_share(inp.agent_time, inp.training_status, inp.survey,
-                                            sc, opt.agent_time),
+                                            sc, opt.agent_time, time_rows, status_rows, agents),
         "driver_detail": sv.driver_detail(inp.survey, sc, rows=survey_rows),
         "behaviour_counts": qa.behaviour_counts(inp.qa_eval, sc, opt.qa, rows=qa_rows),
-        "flag_matrix": qa.flag_matrix(inp.qa_flags, sc, opt.flags),
+        "flag_matrix": qa.flag_matrix(inp.qa_flags, sc, opt.flags, rows=flag_rows),
     }
     if opt.include_agent_detail:
         reports["agent_detail"] = ag.agent_detail(inp.survey, inp.agent_time, sc, opt.agent_time,
@@ -120,9 +143,17 @@ def payload_reports(reports: dict[str, DataFrame],
 
 def run_refresh(spark: SparkSession, inp: Inputs, opt: Options, pages: DataFrame,
                 out_dir: str | None, refreshed_at: dt.datetime, stamp: StampSpec = StampSpec(),
-                specs=DEFAULT_PAYLOADS) -> dict[str, int]:
+                specs=DEFAULT_PAYLOADS, state_dir: str | None = None, days: Iterable[dt.date] | None = None,
+                rule: StopRule | None = None) -> dict[str, int]:
     """Materialise reports, payloads and pages under ``out_dir``; return
-    row counts per output (from observed metrics).
+    row counts per output (from observed metrics) and, with a ``rule``, the quality
+    counts (``quality/<source>.<metric>``).
+
+    ``state_dir``: keep day measures there (``plans.state``); ``days``, the new or
+    corrected ones, are read and replaced, all else comes from what was kept. Without
+    it every input is read from the start of its period. ``rule``: quality metrics
+    are observed and checked before payloads are made (inputs that are read only
+    for some days are not observed: a rule needs a run without state).
 
     ``out_dir=None`` writes under the shared folder the cluster names in
     ``spark.checkpoint.dir`` (one sub-folder per refresh time)."""
@@ -138,10 +169,27 @@ def run_refresh(spark: SparkSession, inp: Inputs, opt: Options, pages: DataFrame
         counts[name] = int(obs.get["rows"])
         return spark.read.format(fmt).load(path)
 
-    lazy = build_reports(inp, opt, *summaries(inp.conformed(opt.agent_time.buckets), opt))
+    checked = inp.conformed(opt.agent_time.buckets)
+    watch = None
+    if state_dir:
+        if rule:
+            raise ValueError("a stop rule needs a run without state")
+        state = State(spark, state_dir, opt.scope, opt.qa, opt.flags, opt.agent_time, opt.sketch_k)
+        state.replace(checked, days or ())
+        rows = state.report_rows()
+    else:
+        watch = Watch() if rule else None
+        rows = dict(zip(("survey_rows", "qa_rows"), summaries(checked, opt, watch)))
+        rows["status_rows"] = month_status(checked, opt, watch)
+    lazy = build_reports(inp, opt, **rows)
     done = {name: write(presented(df, name), f"reports/{name}")
             for name, df in lazy.items() if name != "critical_process_report"}
+    if watch:
+        found = watch.counts()
+        rule.check(found)
+        counts.update({f"quality/{source}.{k}": v for source, c in found.items() for k, v in c.items()})
     done["critical_process_report"] = write(critical_from(done, inp.catalog, opt), "reports/critical_process_report")
+    write_report_rows(done, os.path.join(out_dir, "rows"))
     pay = write(payloads(payload_reports(done, specs), specs), "payloads")
     write(publish_pages(pages, pay, specs, refreshed_at, stamp), "pages")
     return counts

@@ -79,14 +79,17 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: cuts the
-    lineage and survives lost executors. Only a local master may go without
-    ``spark.checkpoint.dir`` (it then gets a temporary folder)."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Only a local master may go without
+    it (it then gets a temporary folder)."""
     local = spark.sparkContext.master.startswith("local")
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    folder = checkpoint_dir(spark, fallback=None if known or not local else tempfile.mkdtemp(prefix="cxpulse-"))
-    path = os.path.join(folder, f"cxpulse-{name}-{uuid.uuid4().hex}")
+    return checkpoint_dir(spark, fallback=None if known or not local else tempfile.mkdtemp(prefix="cxpulse-"))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: cuts the
+    lineage and survives lost executors."""
+    path = os.path.join(shared_folder(df.sparkSession), f"cxpulse-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

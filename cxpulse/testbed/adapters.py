@@ -202,16 +202,18 @@ def stamps(badge: str, header: str, style: str) -> str:
 
 
 def page_slots(slots) -> tuple[str, ...]:
-    """What is appended to a page, by ``page_id % 4``: marker blocks, older
-    declarations for half of the slots, nothing, or one block inside another."""
+    """What is appended to a page, by ``page_id % 5``: marker blocks, older
+    declarations for half of the slots, nothing, or one block inside another, the
+    outer one's slot first or last."""
     blocks = "".join(f"<script>\n{block(s, f'const {s.var} = [];')}\n</script>" for s in slots)
     decls = "".join(f'<script>const {s.var} = JSON.parse(atob("b2xk"));</script>' for s in slots[: len(slots) // 2])
     nested = block(slots[0], block(slots[1], "old"))
+    overwritten = block(slots[1], block(slots[0], "old"))
     old = stamps("never", "-", "old")
-    return blocks + old, decls + old, "", nested
+    return blocks + old, decls + old, "", nested, overwritten
 
 
 def pages_with_slots(spark: SparkSession, sf_dir: str, slots) -> DataFrame:
     p = _table(spark, sf_dir, "pages")
-    added = F.element_at(F.array(*[F.lit(x) for x in page_slots(slots)]), (F.col("page_id") % 4 + 1).cast("int"))
+    added = F.element_at(F.array(*[F.lit(x) for x in page_slots(slots)]), (F.col("page_id") % 5 + 1).cast("int"))
     return p.select("page_id", "url", F.concat(F.col("html"), added).alias("html"))

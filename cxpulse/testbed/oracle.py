@@ -408,7 +408,7 @@ def _expected_tails() -> list[str]:
     stamp = tb.stamps(_STAMP, _STAMP, _STAMP)
     blocks = "".join(f"<script>\n{_block(m, f'<{v}>')}\n</script>" for m, v in _SLOTS)
     decls = "".join(f"<script><{v}></script>" for _, v in _SLOTS[:3])
-    return [blocks + stamp, decls + stamp, "", _block(_SLOTS[0][0], f"<{_SLOTS[0][1]}>")]
+    return [blocks + stamp, decls + stamp, "", _block(_SLOTS[0][0], f"<{_SLOTS[0][1]}>"), _block(_SLOTS[1][0], f"<{_SLOTS[1][1]}>")]
 
 
 def _names(done: list[str]) -> str:
@@ -416,25 +416,75 @@ def _names(done: list[str]) -> str:
 
 
 _MARKERS = [m for m, _ in _SLOTS]
-_INJECTED = [_MARKERS, _MARKERS[:3], [], _MARKERS[:1]]
+_INJECTED = [_MARKERS, _MARKERS[:3], [], _MARKERS[:1], _MARKERS[1:2]]
 _sql = lambda text: "'" + text.replace("'", "''") + "'"
-_by_kind = lambda texts: "case page_id % 4 " + " ".join(f"when {k} then {_sql(t)}" for k, t in enumerate(texts)) + " end"
+_by_kind = lambda texts: "case page_id % 5 " + " ".join(f"when {k} then {_sql(t)}" for k, t in enumerate(texts)) + " end"
 _SIZES = ["r1", "r2", "r3", "r4", "r5", "crit"]
 
 PUBLISH_PAGES = _with(_ALL_INPUTS, _ALL_REPORTS + f""",
 s as (select {', '.join(f'(select count(*)::integer from {r}) as s{k}' for k, r in enumerate(_SIZES))})
 select page_id, {_by_kind([_names(d) for d in _INJECTED])} as injected,
   {_by_kind([_names([m for m in _MARKERS if m not in d]) for d in _INJECTED])} as missing, '{_STAMP}' as refreshed_at,
-  {', '.join(f"case when page_id % 4 in ({', '.join(str(i) for i, d in enumerate(_INJECTED) if m in d)}) then s{k} else 0 end as n_{v}" for k, (m, v) in enumerate(_SLOTS))},
+  {', '.join(f"case when page_id % 5 in ({', '.join(str(i) for i, d in enumerate(_INJECTED) if m in d)}) then s{k} else 0 end as n_{v}" for k, (m, v) in enumerate(_SLOTS))},
   md5(concat(html, {_by_kind(_expected_tails())})) as rest
 from pages, s""", aligned=True)
 
 _twice = f"{_STAMP}|{_STAMP}"
 PAGE_STAMPS = f"""
-select page_id, {_by_kind([f'{_STAMP}|crossed', f'{_STAMP}|crossed', '', ''])} as badge, {_by_kind([_STAMP, _STAMP, '', ''])} as header,
-  {_by_kind([f'{_STAMP}|x', f'{_STAMP}|x', '', ''])} as styles, {_by_kind([_twice, _twice, '', ''])} as second
+select page_id, {_by_kind([f'{_STAMP}|crossed', f'{_STAMP}|crossed', '', '', ''])} as badge, {_by_kind([_STAMP, _STAMP, '', '', ''])} as header,
+  {_by_kind([f'{_STAMP}|x', f'{_STAMP}|x', '', '', ''])} as styles, {_by_kind([_twice, _twice, '', '', ''])} as second
 from pages"""
 
+# --- rows as lines, kept and stored measures, quality ------------------------
+
+
+def _lines(name: str, source: str, fields: list[str], place: str = "") -> str:
+    cells = ", ".join(f"coalesce(cast({f} as varchar), '~')" for f in fields)
+    return f"select '{name}' as report, {place}concat_ws('|', {cells}) as line from {source}"
+
+
+_FIELDS = {
+    "net_score_monthly": ("r1", ["team", "enc", "pro", "neu", "det", "nps_score"]),
+    "score_weekly": ("r2", ["week", "team", "enc", "avg_score"]),
+    "score_by_process": ("r3", ["team", "process", "enc", "nps", "target", "pct"]),
+    "driver_detail": ("r8", ["team", "process", "driver", "enc", "nps_score", "target", "cohorts", "pct_in_proc"]),
+    "qa_by_channel": ("r4", ["team", "channel", "total", "pct", "grade"]),
+    "behaviour_counts": ("r6", ["team", "sentence", "moment", "total_cases", "low_count"]),
+}
+_all_lines = lambda *names: " union all ".join(_lines(n, *_FIELDS[n]) for n in names)
+
+KEPT_SURVEY_REPORTS = _with(["survey"], ",".join([R1, _r2(tb.AS_OF), R3, R8]) + "\n" + _all_lines("net_score_monthly", "score_weekly", "score_by_process", "driver_detail"))
+
+REPORT_ROWS = _with(["survey", "qa_eval"], ",".join([R1, _r2(tb.AS_OF), R3, R8, _r4(tb.QA_AS_OF), _r6(tb.QA_AS_OF)]) + "\n" + _all_lines(*_FIELDS))
+
+PRESENTED_ORDER = _with(["survey", "qa_eval"], ",".join([R3, R8, _r6(tb.QA_AS_OF)]) + "\n" + " union all ".join(
+    _lines(name, f"(select *, row_number() over (order by {order}) - 1 as i from {_FIELDS[name][0]})", _FIELDS[name][1], "cast(i as integer) as place, ")
+    for name, order in (("score_by_process", "team nulls first, enc desc, process nulls first"),
+                        ("driver_detail", "team nulls first, process nulls first, enc desc, driver nulls first"),
+                        ("behaviour_counts", "team nulls first, low_count desc, sentence nulls first, moment nulls first"))))
+
+
+def _metric(source: str, metric: str, cond: str, rows: str) -> str:
+    return f"select '{source}' as source, '{metric}' as metric, cast(count(*) filter (where {cond}) as bigint) as n from {rows}"
+
+
+_PERIOD = f"survey where response_date >= date '{(tb.AS_OF.replace(day=1) - dt.timedelta(weeks=4)).isoformat()}'"
+_QA_PERIOD = f"qa_eval where assigned_date >= date '{MONTH}'"
+_STATUS_DAYS = (f"(select count(*) as n from training_status where agent is not null and work_date >= date '{MONTH}' "
+                f"and work_date < date '{_after(tb.AS_OF)}' group by agent, work_date)")
+QUALITY_METRICS = _with(["survey", "qa_eval", "training_status"], f"""
+t as (select *, {_TNUM} as tnum from {_PERIOD})
+""" + " union all ".join([
+    _metric("survey", "rows", "true", "t"), _metric("survey", "null_teams", "team is null", "t"), _metric("survey", "null_scores", "score is null", "t"),
+    _metric("survey", "null_processes", "process is null", "t"), _metric("survey", "unreadable_targets", "target_text is not null and tnum is null", "t"),
+    _metric("survey", "blank_drivers", f"driver is null or not {_FILLED}", "t"),
+    _metric("qa_eval", "rows", "true", _QA_PERIOD), _metric("qa_eval", "null_teams", "team is null", _QA_PERIOD),
+    _metric("qa_eval", "null_totals", "qa_total is null", _QA_PERIOD), _metric("qa_eval", "null_sentences", "sentence is null", _QA_PERIOD),
+    _metric("training_status", "rows", "true", _STATUS_DAYS), _metric("training_status", "duplicate_days", "n > 1", _STATUS_DAYS)]), aligned=True)
+
+LOCAL_DAYS = """
+select cast(ts - interval 5 hour as date) as day, event_type as team, count(*) as n from events group by 1, 2"""
+
 PAYLOAD_TYPES = """
 select o_orderstatus as status, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total,
   strftime(max(cast(o_orderdate as date)), '%Y-%m-%d') as last
@@ -445,10 +495,10 @@ s as (
   select (select count(*) from r1)::integer as m_rows, (select cast(sum(enc) as bigint) from r1) as m_enc,
          (select count(*) from r3)::integer as p_rows, (select cast(sum(enc) as bigint) from r3) as p_enc)
 select page_id,
-  case when page_id % 4 <> 2 then m_rows else 0 end as monthly_rows,
-  case when page_id % 4 <> 2 then m_enc else 0 end as monthly_enc,
-  case when page_id % 4 < 2 then p_rows else 0 end as process_rows,
-  case when page_id % 4 < 2 then p_enc else 0 end as process_enc
+  case when page_id % 5 in (0, 1, 3) then m_rows else 0 end as monthly_rows,
+  case when page_id % 5 in (0, 1, 3) then m_enc else 0 end as monthly_enc,
+  case when page_id % 5 < 2 then p_rows else 0 end as process_rows,
+  case when page_id % 5 < 2 then p_enc else 0 end as process_enc
 from pages, s""")
 
 
@@ -476,4 +526,14 @@ def all_sql() -> dict[str, str]:
         "payload_monthly_rows": _with(["survey"], R1 + "\nselect * from r1"),
         "payload_types": PAYLOAD_TYPES,
         "published_pages_check": PUBLISHED_PAGES_CHECK,
+        "driver_detail_sketched": _with(["survey"], R8 + "\nselect * from r8"),
+        "kept_survey_reports": KEPT_SURVEY_REPORTS,
+        "kept_training_share": TRAINING_SHARE,
+        "score_weekly_stream": _with(["survey"], _r2(tb.WEEKLY_AS_OF) + "\nselect * from r2"),
+        "report_rows": REPORT_ROWS,
+        "presented_order": PRESENTED_ORDER,
+        "quality_metrics": QUALITY_METRICS,
+        "training_share_bucketed": TRAINING_SHARE,
+        "agent_detail_bucketed": AGENT_DETAIL,
+        "local_days": LOCAL_DAYS,
     }

@@ -4,17 +4,26 @@ outputs are flattened to rows, so that every value has an oracle."""
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import zone_date
 from ..plans import agents as ag
 from ..plans import critical as cr
-from ..plans import qa
+from ..plans import layout, qa, stream
 from ..plans import refresh as rf
 from ..plans import survey as sv
-from ..plans.publish import PayloadSpec, StampSpec, as_payload, payloads, publish_pages
+from ..plans.order import presented
+from ..plans.publish import PayloadSpec, StampSpec, as_payload, payloads, publish_pages, read_report_rows, write_report_rows
+from ..plans.quality import Watch
+from ..plans.state import State
+from ..session import shared_folder, written
 from . import adapters as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,10 +148,32 @@ def options() -> rf.Options:
 
 
 def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The six page payloads (name, var, n, json, b64, js)."""
+    """The six page payloads (name, var, n, json, b64, js), written once."""
     inp, opt = inputs(spark, sf_dir), options()
     reports = rf.build_reports(inp, opt, *rf.summaries(inp, opt))
-    return payloads(rf.payload_reports(reports), rf.DEFAULT_PAYLOADS)
+    done = written(payloads(rf.payload_reports(reports), rf.DEFAULT_PAYLOADS), "payloads")
+    _PAYLOADS[_version(spark, sf_dir)] = done
+    return done
+
+
+# payload tables written by this session, by the version of their input files
+_PAYLOADS: dict[tuple, DataFrame] = {}
+
+
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """The session, and name, size and time of every input file."""
+    found = [spark.sparkContext.applicationId]
+    for name in ("events", "orders", "lineitem"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{name}.parquet"))
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(found)
+
+
+def shared_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payload table of these inputs: pages are published from the one that
+    was written last, it is made only if there is none."""
+    return _PAYLOADS.get(_version(spark, sf_dir)) or payload_rows(spark, sf_dir)
 
 
 _ROWS = "array<map<string,string>>"
@@ -181,7 +212,7 @@ STAMP = StampSpec(element_ids=tb.STAMP_IDS, style_id=tb.STAMP_STYLE_ID, suffix="
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's pages with payloads injected and the stamp written."""
     slots = [s.slot for s in rf.DEFAULT_PAYLOADS]
-    return publish_pages(tb.pages_with_slots(spark, sf_dir, slots), payload_rows(spark, sf_dir),
+    return publish_pages(tb.pages_with_slots(spark, sf_dir, slots), shared_payloads(spark, sf_dir),
                          rf.DEFAULT_PAYLOADS, tb.REFRESHED_AT, STAMP)
 
 
@@ -244,6 +275,130 @@ def published_pages_check(spark: SparkSession, sf_dir: str) -> DataFrame:
                         rows(by_process).alias("process_rows"), enc(by_process).alias("process_enc"))
 
 
+def _lines(df: DataFrame, name: str, *more: str) -> DataFrame:
+    """(report, line): a row's values as one text, ``~`` for NULL."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns if c not in more]
+    return df.select(F.lit(name).alias("report"), *more, F.concat_ws("|", *cells).alias("line"))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return os.path.join(shared_folder(spark), f"cxpulse-{name}-{uuid.uuid4().hex}")
+
+
+def driver_detail_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R8 from a summary without cohorts: their distinct counts are merged sketches."""
+    rows = written(sv.summary(tb.survey(spark, sf_dir), tb.scope(), sketch_k=12), "sketched-summary")
+    return sv.driver_detail(None, tb.scope(), rows=rows)
+
+
+def _state(spark: SparkSession, as_of) -> State:
+    return State(spark, _folder(spark, "state"), tb.scope(as_of), tb.QA, tb.FLAGS, tb.AGENT_TIME)
+
+
+def _all_days(df: DataFrame, column: str) -> list[dt.date]:
+    first, last = df.agg(F.min(F.to_date(column)), F.max(F.to_date(column))).first()
+    return [first + dt.timedelta(days=k) for k in range((last - first).days + 1)] if first else []
+
+
+def kept_survey_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1, R2, R3 and R8 from day measures kept between refreshes: the first
+    refresh takes all days but the last, the second one only that."""
+    inp, sc = rf.Inputs(tb.survey(spark, sf_dir), None, None, None, None, None), tb.scope()
+    state, days = _state(spark, tb.AS_OF), _all_days(inp.survey, "response_date")
+    state.replace(inp, days[:-1], ["survey"])
+    state.replace(inp, days[-1:], ["survey"])
+    rows = sv.of_days(state.rows("survey"), sc)
+    return _union([_lines(report(None, sc, rows=rows), report.__name__) for report in (sv.net_score_monthly, sv.score_weekly, sv.score_by_process, sv.driver_detail)])
+
+
+def kept_training_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 from kept days of agent time, status and the survey's agents."""
+    sc = tb.scope(tb.TIME_AS_OF)
+    inp = rf.Inputs(tb.survey(spark, sf_dir), None, None, tb.agent_time(spark, sf_dir), tb.training_status(spark, sf_dir), None)
+    state, month = _state(spark, tb.TIME_AS_OF), [sc.month_start + dt.timedelta(days=k) for k in range((sc.next_month_start - sc.month_start).days)]
+    state.replace(inp, _all_days(inp.survey, "response_date"), ["agents"])
+    state.replace(inp, month[:-1], ["time", "status"])
+    state.replace(inp, month[-1:], ["time", "status"])
+    whole = (sc.month_start, sc.next_month_start)
+    return ag.training_share(None, None, None, sc, tb.AGENT_TIME, state.rows("time", *whole), state.rows("status", *whole), state.rows("agents").select("agent").distinct())
+
+
+def score_weekly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 from the stream: files arrive in two parts, in the order of time; each
+    run takes in what is new."""
+    survey, sc, folder = tb.survey(spark, sf_dir), tb.scope(tb.WEEKLY_AS_OF), _folder(spark, "stream")
+    days = _all_days(survey, "response_date")
+    bound = F.lit(days[len(days) // 2] if days else None).cast("date")
+    arrived = os.path.join(folder, "arrived")
+    for part in (F.to_date("response_date") < bound, F.to_date("response_date") >= bound):
+        survey.where(part).write.mode("append").parquet(arrived)
+        stream.start(spark.readStream.schema(survey.schema).parquet(arrived), sc, folder, "2 days").awaitTermination()
+    return sv.score_weekly(None, sc, rows=stream.rows(spark, folder, spark.read.schema(survey.schema).parquet(arrived), sc))
+
+
+def _flat_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    sc, survey, qa_eval = tb.scope(), tb.survey(spark, sf_dir), tb.qa_eval(spark, sf_dir)
+    rows, qa_sc = written(sv.summary(survey, sc), "survey-summary"), tb.scope(tb.QA_AS_OF)
+    out = {report.__name__: report(None, sc, rows=rows) for report in (sv.net_score_monthly, sv.score_weekly, sv.score_by_process, sv.driver_detail)}
+    return out | {report.__name__: report(qa_eval, qa_sc, tb.QA) for report in (qa.qa_by_channel, qa.behaviour_counts)}
+
+
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six reports written as JSON texts into one table by report (one of them
+    twice, the second time alone), read back row by row."""
+    reports, folder = _flat_reports(spark, sf_dir), _folder(spark, "rows")
+    write_report_rows(reports | {"score_weekly": reports["score_weekly"].limit(0)}, folder)
+    write_report_rows({"score_weekly": reports["score_weekly"]}, folder)
+    return _union([_lines(read_report_rows(spark, folder, name), name) for name in reports])
+
+
+def presented_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: each row of three reports with its place in presentation order. The
+    places are counted after the sort's partitions were put together in their order."""
+    reports = _flat_reports(spark, sf_dir)
+    placed = [(name, presented(reports[name], name).coalesce(1).withColumn("place", F.monotonically_increasing_id().cast("int")))
+              for name in ("score_by_process", "driver_detail", "behaviour_counts")]
+    return _union([_lines(df, name, "place") for name, df in placed])
+
+
+def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics observed while the summaries and R5 are made."""
+    inp, opt, watch = inputs(spark, sf_dir), options(), Watch()
+    rf.summaries(inp, opt, watch)
+    written(ag.training_share(inp.agent_time, None, inp.survey, opt.scope, opt.agent_time, status_rows=rf.month_status(inp, opt, watch)), "training-share")
+    found = [(source, metric, n) for source, c in watch.counts().items() for metric, n in c.items()]
+    return spark.createDataFrame(found, "source string, metric string, n long")
+
+
+def _by_agent(spark: SparkSession, sf_dir: str, *sources: str) -> list[DataFrame]:
+    folder, buckets = _folder(spark, "by-agent"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return [layout.save(getattr(tb, s)(spark, sf_dir), s, folder, buckets) for s in sources]
+
+
+def training_share_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 from tables stored by agent."""
+    tables = _by_agent(spark, sf_dir, "agent_time", "training_status", "survey")
+    with layout.co_located(spark):
+        return written(ag.training_share(*tables, tb.scope(tb.TIME_AS_OF), tb.AGENT_TIME), "training-share")
+
+
+def agent_detail_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R9 from tables stored by agent."""
+    survey, time = _by_agent(spark, sf_dir, "survey", "agent_time")
+    with layout.co_located(spark):
+        return written(ag.agent_detail(survey, time, tb.scope(), tb.AGENT_TIME, tb.AGENT_CHANNEL_MAP, time_scope=tb.scope(tb.TIME_AS_OF)), "agent-detail")
+
+
+def local_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-d4 over a column: events per date in the reports' zone."""
+    events = tb._table(spark, sf_dir, "events")
+    return events.groupBy(zone_date(F.col("ts")).alias("day"), F.col("event_type").alias("team")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "net_score_monthly": net_score_monthly,
@@ -268,4 +423,14 @@ def all_queries() -> dict[str, Query]:
         "payload_monthly_rows": payload_monthly_rows,
         "payload_types": payload_types,
         "published_pages_check": published_pages_check,
+        "driver_detail_sketched": driver_detail_sketched,
+        "kept_survey_reports": kept_survey_reports,
+        "kept_training_share": kept_training_share,
+        "score_weekly_stream": score_weekly_stream,
+        "report_rows": report_rows,
+        "presented_order": presented_order,
+        "quality_metrics": quality_metrics,
+        "training_share_bucketed": training_share_bucketed,
+        "agent_detail_bucketed": agent_detail_bucketed,
+        "local_days": local_days,
     }

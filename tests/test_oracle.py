@@ -18,6 +18,7 @@ ROWS_SF01 = {
     "net_score_monthly": 4, "score_weekly": 20, "qa_by_channel": 16, "training_share": 4,
     "training_share_by_key": 4, "flag_matrix": 84, "critical_process": 4, "publish_pages": 250,
     "page_stamps": 250, "payload_monthly_rows": 4, "payload_types": 3, "published_pages_check": 250,
+    "score_weekly_stream": 20, "kept_training_share": 4, "training_share_bucketed": 4, "quality_metrics": 12,
 }
 
 

@@ -96,7 +96,7 @@ def test_only_combined_rows_are_shuffled(spark, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # a projection, filter, sort, window or join of combined rows is combined itself
-    through = ("Project", "Filter", "Sort ", "Window ", "SortMergeJoin", "AQEShuffleRead")
+    through = ("Project", "Filter", "Sort ", "Window ", "SortMergeJoin", "AQEShuffleRead", "Generate")
     combined = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "WindowGroupLimit", "Exchange", "LocalTableScan", "Scan ExistingRDD")
     operators = [line.lstrip(" :+-*") for line in lines]
     for i, op in enumerate(operators):

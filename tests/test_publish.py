@@ -125,8 +125,8 @@ def test_a_block_inside_another_is_missing(spark):
     inner = "// __B_START__ old // __B_END__"
     r = publish_one(spark, f"// __A_START__ {inner} // __A_END__")
     assert r.injected == ["A"] and r.missing == ["B"] and "__B_" not in r.html
-    r = publish_one(spark, f"// __A_START__ {inner} // __A_END__", ("B", "A"))    # B comes first, then A takes it in
-    assert r.injected == ["B", "A"] and "__B_" not in r.html
+    r = publish_one(spark, f"// __A_START__ {inner} // __A_END__", ("B", "A"))    # B comes first, then A takes it away
+    assert r.injected == ["A"] and r.missing == ["B"] and "__B_" not in r.html
 
 
 def test_every_style_block_and_only_matching_tags_are_stamped(spark):
