@@ -1,15 +1,22 @@
 """Exact top-k by inner product with a vector-approximation file.
 
 Each component x becomes floor(256 * x); the score of two vectors is their
-integer inner product. Vectors are dealt into blocks; a block stores, besides
-its exact vectors, an approximation: every component quantised to one of
-``CELLS`` cells of its dimension (cell bounds are quantiles of the block, exact
-integers). A query scans the cells for an upper and a lower bound of every
-score, then reads exact vectors in descending order of the upper bound until
-the k-th best exact score is above every bound left: nothing is approximate in
-the result. Query blocks meet vector blocks by an equi-join on the block
-number (a stated query set against all rows), and per-block top-k lists
-are merged per query.
+integer inner product. The file holds, per block of vectors and dimension, the
+smallest value and a cell width, and per component one byte: the number of its
+cell. A query times the cells' middles bounds every score from below and above
+(half a cell per component, the same for all vectors of a block), at the price of
+one matrix product over bytes. The file is written once; only it meets the
+queries, block by block (an equi-join on the block number: a stated query set
+against all rows).
+
+A vector is a candidate while its upper bound reaches the k-th largest lower
+bound, within its block first, then over all blocks. Exact vectors are fetched for
+the candidates left, by one join, and read in descending order of their bounds
+until the k-th result is certain. So nothing is approximate in the result.
+
+Equal vectors are one entry of the file; the ``k`` + 1 smallest ids that carry it
+stand behind it (no more can be among the k best of a query, which leaves out its
+own id), with how often each comes. So many copies of one vector cost one entry.
 """
 
 from __future__ import annotations
@@ -17,100 +24,158 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cxpulse.llm.common import materialise, table
+from cxpulse.llm.common import importable, materialise, table
 
 SCALE = 256
-CELLS = 16
-BLOCK = 4096  # vectors in a block; also queries in a query block
-READ = 32  # exact vectors read at a time
-_EXACT = 2 ** 52
+CELLS = 256
+BLOCK = 8192  # vectors in a block of the file
+QUERIES = 1024  # queries in a block
+_EXACT = 2 ** 53
+_KEY = 24  # bytes of a score as a sortable key
+_TOP = (1 << 63) - 1
 
 
 def approximate(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes, low, high): the cell of each component and the smallest and
-    largest value in each cell of each dimension."""
-    edges = np.quantile(v, np.linspace(0, 1, CELLS + 1)[1:-1], axis=0)
-    codes = np.empty(v.shape, np.uint8)
-    low, high = np.zeros((CELLS, v.shape[1])), np.zeros((CELLS, v.shape[1]))
-    for d in range(v.shape[1]):
-        codes[:, d] = np.searchsorted(edges[:, d], v[:, d], "right")
-        for c in np.unique(codes[:, d]):
-            inside = v[codes[:, d] == c, d]
-            low[c, d], high[c, d] = inside.min(), inside.max()
-    return codes, low, high
-
-
-def search(ids: np.ndarray, v: np.ndarray, q_ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query_id, vec_id, score) of the best k of one block for each query,
-    ties to the smaller vec_id; the query's own row takes no part."""
-    exact = np.abs(v).max(initial=0) * np.abs(q).max(initial=0) * v.shape[1] < _EXACT
-    codes, low, high = approximate(v)
-    dims = np.arange(v.shape[1])
-    lo, hi = low[codes, dims], high[codes, dims]
-    found = []
-    for a in range(0, len(q), 256):
-        part = q[a:a + 256]
-        up, down = np.maximum(part, 0), np.minimum(part, 0)
-        upper, lower = up @ hi.T + down @ lo.T, up @ lo.T + down @ hi.T
-        for r in range(len(part)):
-            own = ids != q_ids[a + r]
-            n = min(k, int(own.sum()))
-            if not n:
-                continue
-            sure = np.partition(lower[r][own], -n)[-n]
-            # bounds are floats: beyond 2 ** 52 leave room for their rounding
-            slack = 0 if exact else np.abs(sure) * 1e-9 + 1
-            left = np.flatnonzero(own & (upper[r] >= sure - slack))
-            left = left[np.argsort(-upper[r][left], kind="stable")]
-            best: list[tuple[int, int]] = []
-            for b in range(0, len(left), READ):
-                if len(best) == n and upper[r][left[b]] < best[-1][0] * -1 - slack:
-                    break
-                rows = left[b:b + READ]
-                if exact:
-                    scores = (v[rows] @ part[r]).astype(np.int64).tolist()
-                else:  # whole numbers of any size
-                    scores = [sum(int(x) * int(y) for x, y in zip(v[i], part[r])) for i in rows]
-                best = sorted(best + [(-s, int(ids[i])) for s, i in zip(scores, rows)])[:n]
-            found += [(int(q_ids[a + r]), i, -s) for s, i in best]
-    return found
-
-
-def _blocks(k: int):
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for r in part.itertuples():
-                ids, q_ids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.q_ids, np.int64)
-                v = np.frombuffer(r.vectors, np.float64).reshape(len(ids), r.dim)
-                q = np.frombuffer(r.q_vectors, np.float64).reshape(len(q_ids), r.dim)
-                found = search(ids, v, q_ids, q, k)
-                found = [x for x in found if -(1 << 63) <= x[2] < 1 << 63]
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+    """(codes, low, width): component = low + width * (code + 0.5), half a width
+    off at most."""
+    low = v.min(axis=0, initial=np.inf)
+    width = (v.max(axis=0, initial=-np.inf) - low) / CELLS
+    codes = np.divide(v - low, width, out=np.zeros_like(v), where=width > 0)
+    return np.clip(np.floor(codes), 0, CELLS - 1).astype(np.uint8), low, width
+
+
+def bounds(codes: np.ndarray, low: np.ndarray, width: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(middle, reach): the score of query r and vector c lies within
+    middle[r, c] +- reach[r]."""
+    middle = (q * width) @ codes.T.astype(np.float64) + (q @ (low + 0.5 * width))[:, None]
+    size = np.abs(q)
+    # half a cell, and what the rounding of the sums above can amount to
+    largest = size @ (np.abs(low) + CELLS * width)
+    return middle, 0.5 * (size @ width) * (1 + 1e-9) + largest * q.shape[1] * 1e-15
+
+
+def candidates(middle: np.ndarray, reach: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, vector) numbers whose upper bound reaches the k-th largest lower
+    bound of the allowed vectors (all allowed ones, if there are at most k)."""
+    held = np.where(allowed, middle, -np.inf)
+    least = np.full(len(held), -np.inf)
+    if held.shape[1] > k:
+        least = -np.partition(-held, k - 1, axis=1)[:, k - 1]
+    return np.nonzero(allowed & (held >= (least - 2 * reach)[:, None]))
+
+
+def _pack(kind: str):
+    """Rows (block, dim, id, ints, only) sorted by (block, dim) as one row per
+    block: for ``file`` the approximation, for ``queries`` the exact vectors."""
+    size = BLOCK if kind == "file" else QUERIES
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        block, dim = held[0][:2]
+        v = np.array([h[3] for h in held], np.float64).reshape(len(held), dim)
+        ids, only = np.array([h[2] for h in held], np.int64), np.array([h[4] is not None for h in held])
+        own = np.array([h[4] or 0 for h in held], np.int64)
+        if kind == "file":
+            codes, low, width = approximate(v)
+            parts = [codes.tobytes(), low.tobytes(), width.tobytes()]
+        else:
+            parts = [v.tobytes(), b"", b""]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int32()), pa.array([dim], pa.int32()), *(pa.array([x], pa.binary()) for x in (ids.tobytes(), only.tobytes(), own.tobytes(), *parts))],
+            names=["block", "dim", "ids", "only", "own", "a", "b", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("block", "dim", "id", "ints", "only"))):
+                if held and (held[0][:2] != row[:2] or len(held) == 2 * size):
+                    yield packed(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield packed(held)
     return run
 
 
-def _pack(ids: str, vectors: str):
-    """A block's rows as two byte strings, in the order of the ids."""
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
+_PACKED = "block int, dim int, ids binary, only binary, own binary, a binary, b binary, c binary"
+
+
+def _scan(k: int):
+    """Candidates (query, vector, lower, upper) of each pair of a query block and
+    a block of the file."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                dim, ids, q_ids = r["dim"], np.frombuffer(r["ids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
+                codes = np.frombuffer(r["a"], np.uint8).reshape(len(ids), dim)
+                low, width = np.frombuffer(r["b"], np.float64), np.frombuffer(r["c"], np.float64)
+                q, only, own = np.frombuffer(r["q"], np.float64).reshape(len(q_ids), dim), np.frombuffer(r["only"], bool), np.frombuffer(r["own"], np.int64)
+                q_vec = np.frombuffer(r["q_own"], np.int64)
+                for a in range(0, len(q), 256):
+                    middle, reach = bounds(codes, low, width, q[a:a + 256])
+                    # a vector that only the query's own id carries takes no part
+                    allowed = ~(only[None, :] & (own[None, :] == q_vec[a:a + 256, None]))
+                    rows, cols = candidates(middle, reach, allowed, k)
+                    m = middle[rows, cols]
+                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[a:a + 256][rows]), pa.array(ids[cols]), pa.array(m - reach[rows]), pa.array(m + reach[rows])],
+                                                     names=["query", "vector", "lower", "upper"])
+    return run
 
-        def packed() -> pd.DataFrame:
-            return pd.DataFrame({"block": [held[0][0]], "dim": [held[0][1]], ids: [np.array([h[2] for h in held], np.int64).tobytes()],
-                                 vectors: [np.stack([h[3] for h in held]).astype(np.float64).tobytes()]})
-        for part in parts:
-            for r in zip(part["block"], part["dim"], part["vec_id"], part["ints"]):
-                if held and (held[0][:2] != r[:2] or len(held) == 2 * BLOCK):
-                    yield packed()
-                    held = []
-                held.append(r)
-        if held:
-            yield packed()
+
+def _score(a: np.ndarray, b: np.ndarray) -> int:
+    if (np.abs(a).max(initial=0) * np.abs(b).max(initial=0)) * max(1, len(a)) < _EXACT:
+        return int(a @ b)
+    return sum(int(x) * int(y) for x, y in zip(a, b))  # whole numbers of any size
+
+
+def _read(k: int):
+    """The k best of each query vector, from rows sorted by (query, upper
+    descending): (query_id, vec_id, score, place, times)."""
+    def best(held: list[tuple], query_id: int, copies: int) -> Iterator[tuple]:
+        left = k
+        for score, vec_id, n in held:
+            if left <= 0:
+                return
+            yield query_id, vec_id, max(-_TOP - 1, min(_TOP, -score)), (-score + (1 << 8 * _KEY - 1)).to_bytes(_KEY, "big"), min(k, n * copies)
+            left -= n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query, held, done, state = None, [], False, None
+        for batch in batches:
+            out: list[tuple] = []
+            for number, query_id, copies, q, upper, v, ids in zip(*(batch.column(c).to_pylist() for c in ("query", "query_id", "copies", "q", "upper", "ints", "ids"))):
+                if number != query:
+                    if state:
+                        out += best(held, *state)
+                    query, held, done, state, own = number, [], False, (query_id, copies), np.array(q, np.float64)
+                if done:
+                    continue
+                if sum(n for _, _, n in held) >= k and upper < -held[-1][0]:
+                    done = True  # no bound left reaches the k-th score
+                    continue
+                score = _score(np.array(v, np.float64), own)
+                held = sorted(held + [(-score, i["vec_id"], i["n"]) for i in ids if i["vec_id"] != query_id])
+                total, keep = 0, 0
+                while keep < len(held) and total < k:
+                    total += held[keep][2]
+                    keep += 1
+                held = held[:keep]
+            if out:
+                yield _rows(out)
+        if state:
+            out = list(best(held, *state))
+            if out:
+                yield _rows(out)
     return run
 
 
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
+                                      names=["query_id", "vec_id", "score", "place", "times"])
+
+
 def usable(embeddings: DataFrame) -> DataFrame:
     """vec_id, dim, ints (floor(256 * x)) of the vectors that take part: not
     null, no null or non-finite component. An empty vector has dim 0: score 0."""
@@ -119,31 +184,55 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return embeddings.filter(F.coalesce(ok, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), ints.alias("ints"))
 
 
+def vector_file(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
+    """(vectors: id, dim, ints, ids; the file; its blocks) of ``usable`` rows, both
+    tables written."""
+    counted = rows.groupBy("dim", "ints", "vec_id").agg(F.count(F.lit(1)).alias("n"))
+    smallest = Window.partitionBy("dim", "ints").orderBy("vec_id")
+    few = counted.withColumn("r", F.row_number().over(smallest)).filter(F.col("r") <= k + 1)
+    vectors = few.groupBy("dim", "ints").agg(F.array_sort(F.collect_list(F.struct("vec_id", "n"))).alias("ids"))  # at most k + 1
+    vectors = materialise(vectors.withColumn("id", F.monotonically_increasing_id()), "vectors")
+    n_blocks = -(-vectors.count() // BLOCK) or 1
+    only = F.when(F.size("ids") == 1, F.col("ids")[0]["vec_id"])
+    placed = vectors.select(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("block"), "dim", "id", "ints", only.alias("only"))
+    dealt = placed.repartition(n_blocks, "block").sortWithinPartitions("block", "dim", "id")
+    return vectors, materialise(dealt.mapInArrow(_pack("file"), _PACKED), "vector-file"), n_blocks
+
+
 def top_k(embeddings: DataFrame, is_query, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best rows of each query row
     (``is_query``: a condition on vec_id), all if there are fewer.
 
-    Ties go to the smaller vec_id. Only vectors of equal length are compared;
-    rows equal in vec_id and integer components are taken once. A vec_id with
-    several vectors takes part with each: all its queries share one ranking.
-    An empty table gives an empty result; scores beyond a long are left out.
+    Ties go to the smaller vec_id. Only vectors of equal length are compared.
+    Repeated rows count as often as they come, as candidates and as queries; a
+    vec_id with several vectors takes part with each: all its queries share one
+    ranking. Whole numbers stay within a long; a score beyond a long is ranked by
+    its true value and shown as the end of the range. An empty table gives an empty
+    result; further columns are ignored.
     """
-    rows = materialise(usable(embeddings).distinct(), "vectors")
-    n = rows.count()
-    n_blocks, n_queries = -(-n // BLOCK) or 1, -(-rows.filter(is_query).count() // BLOCK) or 1
-    block = lambda m: F.expr(f"pmod(xxhash64(vec_id), {m})").cast("int")
-
-    def blocks(df: DataFrame, m: int, ids: str, vectors: str) -> DataFrame:
-        grouped = df.withColumn("block", block(m)).repartition(m, "block").sortWithinPartitions("block", "dim", "vec_id")
-        return grouped.mapInPandas(_pack(ids, vectors), f"block int, dim int, {ids} binary, {vectors} binary")
-
-    vectors = blocks(rows, n_blocks, "ids", "vectors")
-    queries = blocks(rows.filter(is_query), n_queries, "q_ids", "q_vectors").withColumnRenamed("block", "q_block")
-    meets = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    joined = meets.join(vectors, ["block", "dim"]).repartition("block", "q_block")
-    part = joined.select("dim", "ids", "vectors", "q_ids", "q_vectors").mapInPandas(_blocks(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return part.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    importable(embeddings.sparkSession)
+    rows = usable(embeddings)
+    vectors, file, n_blocks = vector_file(rows, k)
+    asked = rows.filter(is_query).groupBy("vec_id", "dim", "ints").agg(F.count(F.lit(1)).alias("copies"))
+    asked = materialise(asked.withColumn("query", F.monotonically_increasing_id()), "queries")
+    n_queries = -(-asked.count() // QUERIES) or 1
+    placed = asked.select(F.pmod(F.xxhash64("query"), F.lit(n_queries)).cast("int").alias("block"), "dim", F.col("query").alias("id"), "ints", F.col("vec_id").alias("only"))
+    packed = placed.repartition(n_queries, "block").sortWithinPartitions("block", "dim", "id").mapInArrow(_pack("queries"), _PACKED)
+    blocks = packed.select(F.col("block").alias("q_block"), "dim", F.col("ids").alias("q_ids"), F.col("own").alias("q_own"), F.col("a").alias("q"))
+    meets = blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    met = meets.join(file, ["block", "dim"]).repartition("block", "q_block")
+    found = met.select("dim", "ids", "only", "own", "a", "b", "c", "q_ids", "q_own", "q").mapInArrow(_scan(k), "query long, vector long, lower double, upper double")
+    # the k-th largest lower bound over all blocks
+    ranked = Window.partitionBy("query").orderBy(F.desc("lower"))
+    known = found.withColumn("r", F.row_number().over(ranked)).withColumn("least", F.max(F.when(F.col("r") == k, F.col("lower"))).over(Window.partitionBy("query")))
+    left = known.filter(F.col("least").isNull() | (F.col("upper") >= F.col("least"))).select("query", "vector", "upper")
+    exact = left.join(vectors.select(F.col("id").alias("vector"), "ints", "ids"), "vector")
+    exact = exact.join(asked.select("query", F.col("vec_id").alias("query_id"), "copies", F.col("ints").alias("q")), "query")
+    ordered = exact.repartition("query").sortWithinPartitions("query", F.desc("upper"), "vector")
+    read = ordered.mapInArrow(_read(k), "query_id long, vec_id long, score long, place binary, times long")
+    each = read.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+    order = Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id")
+    return each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op8_vafile_topk(spark, sf_dir: str) -> DataFrame:

@@ -8,12 +8,12 @@ from cxpulse.llm import vafile as V
 
 
 def brute(rows, k):
-    ok = {i: [math.floor(256 * x) for x in v] for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    """As the SQL: every row is a candidate, and a query as often as it comes."""
+    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in ok.items():
-        if q % 50 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok.items() if i != q and len(a) == len(b))
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    for q in {i for i, _ in ok if i % 50 == 0}:
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), j) for i, a in ok if i == q for j, b in ok if j != q and len(a) == len(b))
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
 
@@ -36,14 +36,50 @@ def test_few_rows_and_empty(spark):
     assert [tuple(r) for r in got.collect()] == [(0, 1, 1, -65536)]
 
 
-def test_large_components_stay_exact():
-    v = np.array([[2.0 ** 40, 1.0], [2.0 ** 40, 3.0], [-(2.0 ** 40), 5.0]])
-    got = V.search(np.array([1, 2, 3]), v, np.array([9]), np.array([[2.0 ** 21, 1.0]]), 2)
-    assert got == [(9, 2, 2 ** 61 + 3), (9, 1, 2 ** 61 + 1)]
+def test_large_components_stay_exact(spark):
+    rows = [(1, [2.0 ** 32, 1.0]), (2, [2.0 ** 32, 3.0]), (3, [-(2.0 ** 32), 5.0]), (50, [2.0 ** 13, 1.0])]
+    got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, 3)
+    assert [tuple(r)[2:] for r in got.orderBy("rank").collect()] == [(i, 65536 * (2 ** 45 * s + x)) for i, s, x in ((2, 1, 3), (1, 1, 1), (3, -1, 5))]
+
+
+def test_scores_beyond_a_long_are_ranked_and_kept(spark):
+    rows = [(0, [2.0 ** 50, 1.0]), (1, [2.0 ** 50, 0.0]), (2, [2.0 ** 50, 1.0]), (3, [-(2.0 ** 50), 0.0]), (4, [0.0, 2.0])]
+    got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
+    top = (1 << 63) - 1
+    assert [tuple(r)[1:] for r in got.orderBy("rank").collect()] == [(1, 2, top), (2, 1, top), (3, 4, 2 * 65536), (4, 3, -top - 1)]
+
+
+def test_bounds_hold_and_prune():
+    rng = np.random.default_rng(2)
+    v, q = np.floor(rng.normal(size=(3000, 32)) * 256), np.floor(rng.normal(size=(20, 32)) * 256)
+    codes, low, width = V.approximate(v)
+    middle, reach = V.bounds(codes, low, width, q)
+    exact = q @ v.T
+    assert codes.dtype == np.uint8 and (np.abs(exact - middle) <= reach[:, None]).all()
+    rows, cols = V.candidates(middle, reach, np.ones(middle.shape, bool), 5)
+    assert all(set(np.argsort(-exact[r])[:5]) <= set(cols[rows == r]) for r in range(20)) and len(rows) < 20 * 40
+    flat = np.zeros((4, 3))
+    assert V.approximate(flat)[0].tolist() == [[0] * 3] * 4 and V.approximate(np.zeros((2, 0)))[0].shape == (2, 0)
 
 
 def test_an_id_with_several_vectors_keeps_all(spark):
-    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [3.0, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0])]
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [3.0, 0.0]), (1, [0.0, 2.0]), (2, [1.0, 1.0])]
     got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0)
     scores = sorted((-int(65536 * (a[0] * b[0] + a[1] * b[1])), i) for a in ([1, 0], [0, 1]) for i, b in ((1, (3, 0)), (1, (0, 2)), (2, (1, 1))))
     assert sorted(tuple(r) for r in got.collect()) == [(0, n + 1, i, -s) for n, (s, i) in enumerate(scores[:5])]
+
+
+def test_repeated_rows_count_as_often_as_they_come(spark):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [3.0, 1.0]), (3, [0.0, 1.0]), (100, [2.0, -1.0]), (4, [3.0, 1.0])]
+    got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0)
+    want = []
+    for q in (0, 100):
+        pairs = sorted((-int(65536 * sum(x * y for x, y in zip(a, b))), j) for i, a in rows if i == q for j, b in rows if j != q)
+        want += [(q, n + 1, j, -s) for n, (s, j) in enumerate(pairs[:5])]
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_one_vector_carried_by_many_ids(spark):
+    rows = [(k, [1.0, 1.0]) for k in range(400)] + [(1000, [2.0, 0.0]), (1001, [0.0, 3.0])]
+    got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5)
