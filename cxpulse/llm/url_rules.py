@@ -4,9 +4,10 @@ Fixed rules (``RULES``) fit a host and all its subdomains when the url's path
 starts with the rule's; the longest wins. Urls that no fixed rule fits get the
 verdict of mined rules: token combinations of labelled urls, mined by Spark's
 FP-growth, of which those implying a label with enough confidence and support
-stay. A rule is dropped when a part of it implies the same label at least as
-surely. Rules match by an inverted index: a rule is posted under its rarest
-token only, and a posting counts when the url holds the rule's other tokens.
+stay. Tokens of the same urls are mined as one item. A rule is dropped when it
+without one of its items implies the same label at least as surely. Rules match by
+an inverted index: a rule is posted under its rarest item only, and a posting
+counts when the url holds the rule's other items.
 The matched rule of highest confidence decides (ties: support, more tokens,
 block before allow, text); a url that no rule fits gets the majority label.
 
@@ -32,7 +33,6 @@ RULES = [
 ]
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.6
-MAX_TOKENS = 4  # up to which tests/llm/test_url_rules.py counts all token sets; bounds no rule
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,44 +73,73 @@ def tokens(url: Column) -> Column:
     ))
 
 
+def merged_tokens(rows: DataFrame, least: float) -> DataFrame:
+    """(item, members) of the tokens that at least ``least`` rows (id, tokens)
+    hold: tokens of exactly the same rows are one item, named after the smallest
+    of them. Same rows: the same number and two equal 64-bit sums of row hashes.
+
+    There are at most (tokens of all rows) / ``least`` such tokens: their number
+    depends on the support asked for, not on the number of urls."""
+    spread = rows.select("id", F.explode("tokens").alias("token"))
+    held = spread.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(F.lit("a"), "id")).alias("x"), F.bit_xor(F.xxhash64(F.lit("b"), "id")).alias("y"))
+    same = held.filter(F.col("n") >= least).groupBy("n", "x", "y").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    return same.select(F.col("members")[0].alias("item"), "members")
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (rule_id, items, label, confidence, support, n) from rows (url, label).
+    """Rules (rule_id, items, groups, label, confidence, support, n) from rows (url, label).
 
-    Transactions are a url's tokens and its label as one more item. Support and
-    confidence bound the rules, not their length. No labels, no rules.
+    Transactions are a url's tokens and its label as one more item. Tokens that
+    always occur together are mined as one item (a path of thirty segments is
+    one item, not 2 ** 30 sets); ``groups`` has the tokens of each item of a rule,
+    any one of which may stand for it. Support and confidence bound the rules, not
+    their length. No labels, no rules.
     """
     if labelled.isEmpty():
-        none = "items array<string>, label string, confidence double, support double, n int, rule_id long"
+        none = "items array<string>, label string, confidence double, support double, n int, rule_id long, groups array<array<string>>"
         return labelled.sparkSession.createDataFrame([], none)
-    baskets = labelled.filter("label IS NOT NULL").select(F.concat(tokens(F.col("url")), F.array(F.concat(F.lit("label="), F.col("label")))).alias("items"))
+    rows = labelled.filter("label IS NOT NULL").select(F.monotonically_increasing_id().alias("id"), tokens(F.col("url")).alias("tokens"), "label")
+    rows = materialise(rows, "labelled-urls")
+    merged = materialise(merged_tokens(rows, min_support * rows.count() - 1e-9), "url-items")
+    names = merged.select(F.explode("members").alias("token"), "item")
+    spread = rows.select("id", "label", F.explode("tokens").alias("token"))
+    # every url has a scheme, slash and fragment token, so none is lost here
+    baskets = spread.join(names, "token", "left").groupBy("id", "label").agg(F.collect_set("item").alias("held"))
+    baskets = materialise(baskets.select(F.concat("held", F.array(F.concat(F.lit("label="), F.col("label")))).alias("items")), "baskets")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.filter((F.size("consequent") == 1) & F.col("consequent")[0].startswith("label="))
     rules = rules.filter("NOT exists(antecedent, x -> x LIKE 'label=%')")
     rules = materialise(rules.select(
         F.array_sort("antecedent").alias("items"), F.expr("substring(consequent[0], 7)").alias("label"),
         "confidence", "support", F.size("antecedent").alias("n")).withColumn("rule_id", F.xxhash64("items", "label")), "rules")
-    # a rule is redundant if it without one of its tokens is as sure
+    # a rule is redundant if it without one of its items is as sure
     parts = rules.filter("n > 1").select("rule_id", "label", "confidence", F.explode("items").alias("out"), "items").select(
         "rule_id", "label", "confidence", F.array_except("items", F.array("out")).alias("part"))
     short = rules.select(F.col("items").alias("part"), F.col("label"), F.col("confidence").alias("c"))
     redundant = parts.join(short, ["part", "label"]).filter("c >= confidence").select("rule_id").distinct()
-    return materialise(rules.join(redundant, "rule_id", "left_anti"), "pruned-rules")
+    kept = rules.join(redundant, "rule_id", "left_anti")
+    groups = kept.select("rule_id", F.explode("items").alias("item")).join(merged, "item")
+    groups = groups.groupBy("rule_id").agg(F.array_sort(F.collect_list("members")).alias("groups"))
+    return materialise(kept.join(groups, "rule_id"), "pruned-rules")
 
 
 def index(rules: DataFrame) -> DataFrame:
-    """Postings (token, rule_id, items, label, confidence, support, n): each rule
-    once, under its rarest token (the one that the fewest rules hold; ties by text)."""
-    spread = rules.select("rule_id", F.explode("items").alias("token"))
-    held = spread.groupBy("token").agg(F.count("*").alias("rules"))
-    rarest = spread.join(held, "token").groupBy("rule_id").agg(F.min(F.struct("rules", "token"))["token"].alias("token"))
-    return rules.join(rarest, "rule_id")
+    """Postings (token, rule_id, items, groups, label, confidence, support, n): each
+    rule under the tokens of its rarest group (the one that the fewest rules hold;
+    ties by text)."""
+    spread = rules.select("rule_id", F.explode("groups").alias("group"))
+    held = spread.groupBy("group").agg(F.count("*").alias("rules"))
+    rarest = spread.join(held, "group").groupBy("rule_id").agg(F.min(F.struct("rules", "group"))["group"].alias("group"))
+    return rules.join(rarest.select("rule_id", F.explode("group").alias("token")), "rule_id")
 
 
 def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(items_id, label) of the deciding rule for rows (items_id, tokens)."""
+    """(items_id, label) of the deciding rule for rows (items_id, tokens): a rule
+    fits if the url holds a token of each of its groups."""
     postings = materialise(index(rules), "rule-index")
-    spread = sets.select("items_id", "tokens", F.explode("tokens").alias("token"))
-    hits = spread.join(postings, "token").filter(F.size(F.array_except("items", "tokens")) == 0)
+    spread = sets.select("items_id", F.explode("tokens").alias("token"))
+    hits = spread.join(postings, "token").drop("token", "items")
+    hits = hits.join(sets, "items_id").filter(F.forall("groups", lambda g: F.arrays_overlap(g, F.col("tokens"))))
     order = F.struct(F.col("confidence"), F.col("support"), F.col("n"), (F.col("label") == "block").cast("int"), F.col("rule_id"))
     return hits.groupBy("items_id").agg(F.max_by("label", order).alias("label"))
 

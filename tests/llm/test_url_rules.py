@@ -1,4 +1,5 @@
-from itertools import combinations
+import time
+from itertools import combinations, product
 
 from cxpulse.llm import url_rules as U
 
@@ -6,6 +7,14 @@ URLS = [(1, None), (2, ""), (3, "no scheme/net/"), (4, "http://A.B.NET/x?y#z"),
         (9, "http://x.org/fr/a"), (10, "http://x.org/FR/a"), (11, "ftp://net/"), (12, "http://net"), (13, "http://?q=1"), (14, "x://a://b/c"), (4, "http://A.B.NET/x?y#z"), (15, "http://long.org/" + "a/" * 20_000)]
 
 
+MAX_TOKENS = 4  # up to which all token sets are counted
+
+
+def mined_sets(rules):
+    """(tokens, label) -> confidence: an item of a rule stands for any of its tokens."""
+    return {(tuple(sorted(c)), r["label"]): round(r["confidence"], 9) for r in rules.collect() for c in product(*r["groups"])}
+
+
 def parse(url):
     if not url or "://" not in url:
         return "", ""
@@ -48,14 +57,14 @@ def test_rules_equal_brute_force(spark):
     support, sure = 0.1, 0.7
     counted = {}
     for s, label in zip(sets, labels):
-        for n in range(1, U.MAX_TOKENS + 1):
+        for n in range(1, MAX_TOKENS + 1):
             for c in combinations(sorted(s), n):
                 both = counted.setdefault(c, {"block": 0, "allow": 0})
                 both[label] += 1
     rules = {(c, y): n[y] / sum(n.values()) for c, n in counted.items() for y in n if n[y] >= support * len(sets) - 1e-9 and n[y] / sum(n.values()) >= sure}
     kept = {(c, y): p for (c, y), p in rules.items() if not any(rules.get((tuple(x for x in c if x != out), y), -1) >= p for out in c if len(c) > 1)}
     mined = U.mine(df, support, sure)
-    assert {(tuple(r["items"]), r["label"]): round(r["confidence"], 9) for r in mined.collect()} == {k: round(p, 9) for k, p in kept.items()}
+    assert mined_sets(mined) == {k: round(p, 9) for k, p in kept.items()}
     queries = spark.createDataFrame([(k, sorted(s)) for k, s in enumerate(set(sets))], "items_id long, tokens array<string>")
     got = {r["items_id"]: r["label"] for r in U.match(queries, mined).collect()}
     for r in queries.collect():
@@ -78,5 +87,18 @@ def test_rules_of_every_length(spark):
         sure |= {(c, y): held.count(y) / len(held) for y in set(held) if held.count(y) >= 0.1 * len(sets) and held.count(y) / len(held) >= 0.7}
     kept = {(c, y): p for (c, y), p in sure.items() if not any(sure.get((tuple(x for x in c if x != out), y), -1) >= p for out in c if len(c) > 1)}
     mined = U.mine(labelled, 0.1, 0.7)
-    assert {(tuple(r["items"]), r["label"]): round(r["confidence"], 9) for r in mined.collect()} == {k: round(p, 9) for k, p in kept.items()}
+    assert mined_sets(mined) == {k: round(p, 9) for k, p in kept.items()}
     assert (tuple(full), "block") in kept
+
+
+def test_deep_paths_are_mined_in_seconds(spark):
+    """Half of the urls on one path of thirty segments: thirty tokens of the same
+    urls, one item."""
+    deep = "/".join(f"s{chr(97 + k % 26)}{'x' * (k // 26)}" for k in range(30))
+    urls = [(f"http://h.org/{deep}", "block")] * 50 + [("http://h.org/a/b", "allow")] * 50
+    start = time.time()
+    rules = U.mine(spark.createDataFrame(urls, "url string, label string"), 0.1, 0.7).collect()
+    assert time.time() - start < 60
+    (blocked,) = [r for r in rules if r["label"] == "block"]
+    assert blocked["n"] == 1 and len(blocked["groups"][0]) == 30 and blocked["confidence"] == 1.0
+    assert all(r["confidence"] == 1.0 and r["n"] == 1 for r in rules)
