@@ -29,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cxpulse.llm import textnum as T
-from cxpulse.llm.common import materialise, table
+from cxpulse.llm.common import importable, materialise, table
 from cxpulse.llm.components import components
 
 SHINGLE = 4
 BANDS, ROWS = 28, 4
 PERCENT = 80
 PRUNE = 0.61
-BLOCK = 500
+BLOCK = 500  # documents in a block; one more for every SHINGLES of a long one
+SHINGLES = 1000
+SIGNATURES = 4096  # signatures in a block
 _HASHES = BANDS * ROWS
 _rng = np.random.default_rng(20240117)
 _A = _rng.integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -165,6 +167,50 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(held)
 
 
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, doc_id) of the documents whose signature agrees with one of another
+    component across the blocks, from rows as for ``_apart``. A row per document
+    comes out, never pairs."""
+    def found(rows: list[tuple]) -> pa.RecordBatch:
+        sides = [[r for r in rows if r[3] == side] for side in (0, 1)]
+        ids: list[int] = []
+        if all(sides):
+            left = np.frombuffer(b"".join(r[6] for r in sides[0]), np.uint32).reshape(-1, _HASHES)
+            comps, hit = np.array([r[5] for r in sides[0]]), np.zeros(len(left), bool)
+            for r in sides[1]:
+                near = ((left == np.frombuffer(r[6], np.uint32)).sum(axis=1) >= PRUNE * _HASHES) & (comps != r[5])
+                hit |= near
+                if near.any():
+                    ids.append(r[4])
+            ids += [r[4] for r, h in zip(sides[0], hit) if h]
+        return pa.RecordBatch.from_arrays([pa.array([rows[0][0]] * len(ids), pa.int64()), pa.array(ids, pa.int64())], names=["key", "doc_id"])
+
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "doc_id", "comp", "sig"))):
+            if held and held[0][:3] != row[:3]:
+                yield found(held)
+                held = []
+            held.append(row)
+    if held:
+        yield found(held)
+
+
+def _dealt(rows: DataFrame, block: int) -> DataFrame:
+    """Rows (key, main, comp, doc_id, weight, ...) of groups as pairs of blocks
+    (key, i, j): side 0 has block i of a group, side 1 block j of its documents
+    outside ``main``. A block weighs about ``block``."""
+    outer = F.col("comp") != F.col("main")
+    per = rows.groupBy("key").agg(F.ceil(F.sum("weight") / block).cast("int").alias("ni"), F.ceil(F.sum(F.when(outer, F.col("weight"))) / block).cast("int").alias("nj"))
+    rows = rows.join(per.filter("nj > 0"), "key")
+    own = lambda n: F.expr(f"pmod(xxhash64(doc_id), {n})").cast("int")
+    spread = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
+    kept = [c for c in rows.columns if c not in ("key", "main", "weight", "ni", "nj")]
+    every = rows.select("key", own("ni").alias("i"), spread("nj").alias("j"), F.lit(0).alias("side"), *kept)
+    outside = rows.filter(outer).select("key", spread("ni").alias("i"), own("nj").alias("j"), F.lit(1).alias("side"), *kept)
+    return every.union(outside)
+
+
 def _links_across(docs: DataFrame, shared: DataFrame, sigs: DataFrame, comps: DataFrame) -> DataFrame:
     """Links between documents that share a bucket and are in different
     components after the centres were verified.
@@ -172,23 +218,23 @@ def _links_across(docs: DataFrame, shared: DataFrame, sigs: DataFrame, comps: Da
     Buckets whose centres are in one component make one group, so that a document
     comes once, not once per band. Only documents outside a group's largest
     component are compared with the group; both sides are dealt out in blocks.
+    Signatures go first; texts are sent only for documents whose signature agrees
+    with one across, in blocks bounded by their shingles.
     """
     named = lambda node: (F.coalesce(F.col(f"{node}_root"), F.col(node)))
     root = lambda node: comps.select(F.col("node").alias(f"{node}_node"), F.col("root").alias(f"{node}_root"))
     rows = shared.join(root("u"), F.col("u") == F.col("u_node"), "left").join(root("doc_id"), F.col("doc_id") == F.col("doc_id_node"), "left")
     rows = materialise(rows.select(named("u").alias("key"), "doc_id", named("doc_id").alias("comp")).distinct(), "groups")
     per = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    mixed = per.groupBy("key").agg(F.max_by("comp", "n").alias("main"), F.sum("n").alias("n"), F.max("n").alias("top"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = materialise(mixed.select("key", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("ni"), F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("nj")), "mixed-groups")
-    rows = rows.join(mixed, "key")
-    own = lambda n: F.expr(f"pmod(xxhash64(doc_id), {n})").cast("int")
-    spread = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
-    every = rows.select("key", own("ni").alias("i"), spread("nj").alias("j"), F.lit(0).alias("side"), "doc_id", "comp")
-    outside = rows.filter("comp != main").select("key", spread("ni").alias("i"), own("nj").alias("j"), F.lit(1).alias("side"), "doc_id", "comp")
-    wanted = every.union(outside).join(sigs.select(F.col("doc_id").alias("want"), "sig"), F.col("doc_id") == F.col("want")).drop("doc_id")
+    mixed = per.groupBy("key").agg(F.max_by("comp", "n").alias("main"), F.count("*").alias("comps")).filter("comps > 1").select("key", "main")
+    signed = materialise(rows.join(mixed, "key").join(sigs.select("doc_id", "n_shingles", "sig"), "doc_id"), "mixed-groups")
+    grouped = lambda df: df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    near = grouped(_dealt(signed.withColumn("weight", F.lit(1)), SIGNATURES)).mapInArrow(_alike, "key long, doc_id long")
+    near = materialise(near.distinct(), "alike")
+    sized = signed.join(near, ["key", "doc_id"]).withColumn("weight", 1 + F.col("n_shingles") / F.lit(SHINGLES))
+    wanted = _dealt(sized, BLOCK).withColumnRenamed("doc_id", "want")
     found = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"] == wanted["want"]).select("key", "i", "j", "side", "doc_id", "comp", "sig", "text")
-    grouped = found.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return grouped.mapInArrow(_apart, "u long, v long").distinct()
+    return grouped(found).mapInArrow(_apart, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -200,12 +246,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     get the same component. Rows without doc_id are kept, component_id null.
     An empty table gives an empty result; further columns are ignored.
     """
+    importable(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sigs = materialise(docs.mapInArrow(_signatures, "doc_id long, n_shingles long, k1 long, k2 long, sig binary"), "signatures")
     filled = sigs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     keys = ["n_shingles", "k1", "k2"]
     classes = materialise(filled.groupBy(*keys).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sigs.join(classes, [*keys, ]).filter("doc_id = rep").select("doc_id", "sig").dropDuplicates(["doc_id"])
+    reps = sigs.join(classes, [*keys, ]).filter("doc_id = rep").select("doc_id", "n_shingles", "sig").dropDuplicates(["doc_id"])
     reps = materialise(reps, "class-signatures")
     bands = reps.mapInArrow(_bands, "key long, doc_id long")
     centres = bands.groupBy("key").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).filter("u != last").select("key", "u")

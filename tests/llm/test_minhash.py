@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from cxpulse.llm import components as C, minhash as M
 from cxpulse.llm.common import materialise
@@ -92,3 +93,19 @@ def test_long_words_made_to_collide_are_no_copies(documents):
         rows += [(n, word), (n + 1, word.translate(str.maketrans("ab", "ba")))]
     got = M.near_duplicates(documents(rows)).collect()
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i) for i, _ in rows}
+
+
+def test_many_unlike_documents_of_one_bucket_send_no_texts(spark, documents, monkeypatch):
+    """5,000 documents without a common shingle, put into one group: their
+    signatures are compared, none is alike, so no text is sent."""
+    rng = random.Random(7)
+    rows = [(k, " ".join("w%d" % rng.randrange(10 ** 9) for _ in range(8))) for k in range(5000)]
+    docs = documents(rows, extra=False)
+    sigs = materialise(docs.select("doc_id", "text").mapInArrow(M._signatures, "doc_id long, n_shingles long, k1 long, k2 long, sig binary"), "test-signatures")
+    shared = docs.select(F.lit(0).cast("long").alias("u"), "doc_id")
+    dealt = M._dealt
+    sent = []
+    monkeypatch.setattr(M, "_dealt", lambda df, block: sent.append((block, df.count())) or dealt(df, block))
+    comps = spark.createDataFrame([], "node long, root long")
+    assert M._links_across(docs, shared, sigs, comps).count() == 0
+    assert sent == [(M.SIGNATURES, 5000), (M.BLOCK, 0)]
