@@ -30,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cxpulse.llm import textnum as T
-from cxpulse.llm.common import materialise, table
+from cxpulse.llm.common import importable, materialise, table
 
 LENGTH = 2048
 QUANTUM = 512
 PART_TOKENS = 32_000_000
+PART_ROWS = 400_000  # a part is bounded in documents too: a task holds their places in memory
 END_ID = 1
 CACHE_WORDS = 1_000_000  # about 150 MB
 _SPACE = ~T.NOT_SPACE
@@ -221,8 +222,8 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
 
 def rotation_plan(lengths: DataFrame) -> DataFrame:
     """(row, start, length, position) of all pieces, from rows (row, source, n)."""
-    total = lengths.agg(F.sum("n")).first()[0] or 0
-    parts = -(-total // PART_TOKENS) or 1
+    total, rows = lengths.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    parts = max(1, -(-total // PART_TOKENS), -(-rows // PART_ROWS))
     named = lengths.select(F.expr(f"pmod(xxhash64(row), {parts})").cast("int").alias("part"), F.coalesce("source", F.lit("")).alias("source"),
                            F.col("source").isNull().alias("no_source"), "row", "n")
     # a null source is a queue of its own
@@ -259,6 +260,7 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     besides doc_id, source and text are ignored. ``tokenizer_path``
     must be readable on the executors (a file of an installed package).
     """
+    importable(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
     tokens = rows.mapInArrow(_tokenise(tokenizer_path), "doc_id long, source string, n long, ids binary")
     tokens = materialise(tokens.withColumn("row", F.monotonically_increasing_id()), "token-ids")

@@ -66,6 +66,12 @@ def test_rotation_keeps_proportions_and_carries_deficits():
     assert at == 105_000
 
 
+def test_parts_are_bounded_in_documents(documents, monkeypatch):
+    monkeypatch.setattr(P, "PART_ROWS", 50)
+    got = P.pack(documents([(k, "") for k in range(400)]), P.default_tokenizer()).collect()
+    assert sorted(r["sequence_id"] * P.LENGTH + r["offset"] for r in got) == list(range(400)) and {r["length"] for r in got} == {1}
+
+
 def test_empty_table(documents):
     assert P.pack(documents([]), P.default_tokenizer()).count() == 0
 
