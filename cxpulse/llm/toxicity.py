@@ -126,11 +126,13 @@ def remainder(doc_id) -> F.Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> FactorizationMachine:
     """Fit on the training fold (``remainder`` not 0) of ``labels`` (doc_id,
-    toxic); null labels are left out, a repeated doc_id is toxic if any row says so."""
+    toxic); null labels are left out, a repeated doc_id is toxic if any row says so
+    and learned from its smallest text. ``sample`` bounds the rows learned from."""
     fold = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 0))
     rows = fold.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     picked = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")  # at most ``sample`` rows
+    texts = texts.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))  # one row per id, so no more than ``sample``
     found = texts.select("doc_id", "toxic", "text").mapInArrow(_sample_terms, "doc_id long, toxic int, slots array<int>").toArrow()
     found = found.sort_by("doc_id").combine_chunks()
     slots = [np.asarray(s.values.to_numpy(), np.int64) for s in found.column("slots").combine_chunks()] if len(found) else []
