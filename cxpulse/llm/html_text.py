@@ -37,7 +37,7 @@ from cxpulse.llm.common import table
 SAMPLE = 4000
 SMOOTH = 0.5
 PRIOR = 50.0
-MAX_WORDS = 2000  # attribute words with counts of their own
+MAX_WORDS = 2000  # attribute words, and tags, with counts of their own
 
 RAW = {"script", "style", "template", "noscript", "iframe", "head", "textarea"}
 CODE = {"script", "style"}
@@ -355,11 +355,16 @@ class TreeModel:
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> TreeModel:
     """Counts over the landmark pages among ``sample`` pages; without any the
-    priors decide. Of attribute words the ``MAX_WORDS`` most frequent are kept."""
+    priors decide. Of attribute words the ``MAX_WORDS`` most frequent are kept, and
+    of tag names as many."""
     ids = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
     rows = pages.select("page_id", "html").join(F.broadcast(ids), "page_id").select("html")  # at most ``sample`` ids
     counts = rows.mapInArrow(_count, "key string, parent int, label int, n long").groupBy("key", "parent", "label").agg(F.sum("n").alias("n"))
-    counts = counts.orderBy(F.col("key").startswith("word:"), F.desc("n"), "key", "parent", "label").limit(MAX_WORDS).collect()
+    kind = F.substring_index("key", ":", 1)
+    ranked = counts.groupBy("key").agg(F.sum("n").alias("n")).withColumn("kind", kind)
+    most = lambda k: ranked.filter(F.col("kind") == k).orderBy(F.desc("n"), "key").limit(MAX_WORDS).select("key")
+    picked = most("tag").union(most("word")).union(ranked.filter(~F.col("kind").isin("tag", "word")).select("key"))
+    counts = counts.join(F.broadcast(picked), "key").collect()  # 2 * MAX_WORDS names and some 20 text features, at most 4 rows each
     return TreeModel({(r["key"], r["parent"], r["label"]): r["n"] for r in counts})
 
 
