@@ -23,8 +23,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cxpulse.llm.common import materialise
+from cxpulse.llm.common import importable, materialise
 
+PART_ROWS = 2_000_000  # rows behind one part of the index
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 GROUP_SCHEMA = "digest long, sha binary, n_bytes long, keep_id long, n_rows long, n_keep long"
 GROUP_COLS = ["digest", "sha", "n_bytes", "keep_id", "n_rows", "n_keep"]
@@ -166,7 +167,12 @@ def build_index(rows: DataFrame) -> DataFrame:
     and to hand to ``update_index`` later."""
     entries = rows.selectExpr("digest", "sha", "n_bytes", "doc_id AS keep_id", "1L AS n_rows", "1L AS n_keep")
     local = entries.mapInArrow(_index_part, GROUP_SCHEMA)
-    return local.repartition("digest").mapInArrow(_index_part, GROUP_SCHEMA)
+    return local.repartition(_parts(rows), "digest").mapInArrow(_index_part, GROUP_SCHEMA)
+
+
+def _parts(rows: DataFrame) -> int:
+    """Parts of an index over ``rows``: a task holds the contents of one."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // PART_ROWS))
 
 
 def update_index(index: DataFrame, inserts: DataFrame, deletes: DataFrame) -> DataFrame:
@@ -188,6 +194,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stays ahead of a known one; keep_id is null where a group has no id at all.
     An empty table gives an empty result; other columns are ignored.
     """
+    importable(docs.sparkSession)
     rows = materialise(digest_rows(docs, id_col, text_col), "digests")
     groups = build_index(rows).select("digest", "sha", "n_bytes", "keep_id", "n_rows", "n_keep")
     return rows.join(groups, ["digest", "sha", "n_bytes"]).select(
@@ -198,21 +205,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` (all columns) without exact copies; a repeated row stays once."""
+    """``docs`` (all columns, whatever their names) without exact copies; a
+    repeated row stays once."""
+    importable(docs.sparkSession)
     rows = materialise(digest_rows(docs), "digests")
-    keep = materialise(build_index(rows), "keep").select("digest", "sha", F.col("keep_id").alias("_keep_id"), "n_keep")
+    keep = materialise(build_index(rows), "keep").select("digest", "keep_id", "n_keep")
     norm = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), WHITE_SPACE, " ")
-    on = ["_keep_id", "_digest"]
-    keep = keep.withColumnRenamed("digest", "_digest")
-    tagged = docs.withColumns({"_keep_id": F.col("doc_id"), "_digest": F.xxhash64(norm)})
+    tagged = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(norm).alias("own_digest"))
 
     def members(k: DataFrame) -> DataFrame:
-        k = k.select(*[F.col(c).alias(f"k{c}") for c in on]).distinct()
-        return tagged.join(k, (tagged["_keep_id"].eqNullSafe(k["k_keep_id"])) & (tagged["_digest"] == k["k_digest"]), "left_semi")
+        k = k.select("keep_id", "digest").distinct()
+        return tagged.join(k, F.col("own_id").eqNullSafe(F.col("keep_id")) & (F.col("own_digest") == F.col("digest")), "left_semi")
 
-    once = members(keep.filter("n_keep = 1")).select(*docs.columns)
-    again = members(keep.filter("n_keep > 1")).dropDuplicates(on).select(*docs.columns)
-    return once.unionByName(again)
+    once = members(keep.filter("n_keep = 1"))
+    again = members(keep.filter("n_keep > 1")).dropDuplicates(["own_id", "own_digest"])
+    return once.select("row.*").unionByName(again.select("row.*"))
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -104,13 +104,14 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as it is taken, with the
-    columns of ``docs``."""
+    columns of ``docs``, whatever their names."""
     sizes = materialise(sized(docs), "mix-sizes")
-    named = materialise(plan(sizes), "mix-plan").select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"), F.col("draw").alias("_mix_draw"))
-    joined = docs.join(named, F.col("source").cast("string").eqNullSafe(F.col("_mix_source")))
-    n = copies(F.col("_mix_rate"), F.element_at(draws(F.col("doc_id").cast("long")), (F.col("_mix_draw") + 1).cast("int")))
-    emitted = joined.withColumn("_mix_copies", n).filter("_mix_copies > 0")
-    return emitted.withColumn("_mix_copy", F.explode(F.expr("sequence(1L, _mix_copies)"))).select(*docs.columns)
+    named = materialise(plan(sizes), "mix-plan").select(F.col("source").alias("t_source"), "rate", "draw")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("own_id"), F.col("source").cast("string").alias("own_source"))
+    joined = rows.join(named, F.col("own_source").eqNullSafe(F.col("t_source")))
+    n = copies(F.col("rate"), F.element_at(draws(F.col("own_id")), (F.col("draw") + 1).cast("int")))
+    emitted = joined.select("row", n.alias("copies")).filter("copies > 0")
+    return emitted.select("row", F.explode(F.expr("sequence(1L, copies)"))).select("row.*")
 
 
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:

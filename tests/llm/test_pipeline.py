@@ -3,14 +3,32 @@ stage before it left."""
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
-from cxpulse.llm import mixing
+from cxpulse.llm import exact_dedup, minhash, mixing, toxicity
 from cxpulse.llm.common import materialise
 
 from .test_minhash import brute, near_copies
 from .test_toxicity import corpus
 
 
+def test_stages_keep_columns_of_any_name(spark, documents):
+    """Columns named like what the operators add themselves come through unchanged."""
+    names = ["_digest", "_keep_id", "digest", "keep_id", "own_id", "own_digest", "row", "n_keep", "_mix_source", "_mix_rate", "_mix_draw", "_mix_copies", "_mix_copy",
+             "rate", "draw", "copies", "t_source", "own_source", "_gone", "component_id", "kept", "score", "n_shingles", "held_out", "toxic"]
+    docs = documents([(1, "one text of some words", "a"), (2, "one text  of some words", "a"), (3, "another text altogether different", "b"), (4, None, None)], extra=False)
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")))
+    labels = spark.createDataFrame([(1, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    stages = {"toxicity": toxicity.accepted(docs, labels), "exact": exact_dedup.keep_one(docs), "near": minhash.keep_one(docs), "mix": mixing.mix(docs)}
+    for name, out in stages.items():
+        assert out.columns == docs.columns, name
+        found = out.collect()
+        assert found and all(r[c] == f"{c} of {r['doc_id']}" for r in found for c in names), name
+    assert sorted(r["doc_id"] for r in stages["exact"].collect()) == [1, 3, 4]
+
+
 def test_stages_and_run(spark, documents, tmp_path):
     rows, labels = corpus(200)
     clean = [(1000 + i, t, "ab"[i % 2]) for i, t in enumerate(near_copies(12, 4, 3))]
