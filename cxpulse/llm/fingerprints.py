@@ -24,7 +24,7 @@ doc_id (a null counts as the smallest; rows of one id in the order of a hash of
 their text): documents are dealt to buckets by bounds on (id, hash), and the
 first document of a bucket also goes to the bucket before as the last one's next.
 So texts are shuffled once, and a task sees its rows as a sorted stream. Rows
-repeating an id and text in more than ``BUCKET_ROWS`` copies are counted before
+repeating an id and text in more copies than a bucket's rows are counted before
 the shuffle. A null text is an empty one; after the last document comes the first
 (a single document follows itself); an empty table gives an empty result; columns
 besides doc_id and text are ignored.
@@ -47,7 +47,8 @@ SHINGLE = 5
 ONE_IN = 32
 THRESHOLD = np.uint64((1 << 64) // ONE_IN)
 LEAST = 64
-BUCKET_ROWS = 16_384
+BUCKET_ROWS = 8192
+MAX_BUCKETS = 100_000  # beyond, buckets get longer
 REPEAT_ROWS = 10_000
 _NO_ID = -(1 << 63)
 
@@ -126,7 +127,7 @@ def _deal(ids: np.ndarray, hashes: np.ndarray):
             place = np.concatenate([bucket, (bucket[firsts] - 1) % len(ids)])
             tail = np.arange(len(rows)) >= len(key)
             full = batch.take(pa.array(rows)) if len(firsts) else batch
-            yield pa.RecordBatch.from_arrays([*full.columns, pa.array(place, pa.int64()), pa.array(tail)], names=[*full.schema.names, "bucket", "tail"])
+            yield pa.RecordBatch.from_arrays([*full.columns, pa.array(place, pa.int32()), pa.array(tail)], names=[*full.schema.names, "bucket", "tail"])
     return run
 
 
@@ -176,13 +177,13 @@ def edited_documents(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key"), F.xxhash64(text).alias("h"), text.alias("text"))
     keys = materialise(rows.groupBy("key", "h").agg(F.count(F.lit(1)).alias("n")), "fingerprint-keys")
     total = keys.agg(F.sum("n")).first()[0] or 0
-    least = 4 * spark.sparkContext.defaultParallelism
-    n_buckets = max(1, -(-total // BUCKET_ROWS), min(least, -(-total // 1024)))
+    n_buckets = max(1, min(-(-total // BUCKET_ROWS), MAX_BUCKETS))
+    long = max(BUCKET_ROWS, -(-total // n_buckets))
     heads = (keys.repartitionByRange(n_buckets, "key", "h").groupBy(F.spark_partition_id().alias("p"))
              .agg(F.min(F.struct("key", "h")).alias("head")).select("head.key", "head.h").orderBy("key", "h").toArrow())
     ids, hashes = (np.asarray(heads.column(c).combine_chunks(), np.int64) for c in ("key", "h"))
     common = rows.withColumn("copies", F.lit(1).cast("long"))
-    crowded = [(r["key"], r["h"]) for r in keys.filter(F.col("n") > BUCKET_ROWS).select("key", "h").collect()]  # at most total / BUCKET_ROWS
+    crowded = [(r["key"], r["h"]) for r in keys.filter(F.col("n") > long).select("key", "h").collect()]  # at most MAX_BUCKETS
     if crowded:
         hot = F.broadcast(spark.createDataFrame(crowded, "key long, h long"))
         counted = rows.join(hot, ["key", "h"], "left_semi").groupBy("doc_id", "key", "h", "text").agg(F.count(F.lit(1)).alias("copies"))
@@ -190,8 +191,8 @@ def edited_documents(docs: DataFrame) -> DataFrame:
     if not total:
         ids, hashes = np.zeros(1, np.int64), np.zeros(1, np.int64)
     order = ["bucket", "tail", "key", "h", "text"]
-    dealt = common.mapInArrow(_deal(ids, hashes), "doc_id long, key long, h long, text string, copies long, bucket long, tail boolean")
-    met = dealt.repartition(n_buckets, "bucket").sortWithinPartitions(*order).mapInArrow(
+    dealt = common.mapInArrow(_deal(ids, hashes), "doc_id long, key long, h long, text string, copies long, bucket int, tail boolean")
+    met = dealt.repartitionById(n_buckets, "bucket").sortWithinPartitions(*order).mapInArrow(
         _meet, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, times long")
     if crowded:  # copies that were counted come back as rows, some at a time
         met = met.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"(times - 1) div {REPEAT_ROWS}")))).repartition(n_buckets)
