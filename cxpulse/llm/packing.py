@@ -45,21 +45,13 @@ _PUNCT = T.lut([(0x00, 0x08), (0x0E, 0x1F), (0x21, 0x2F), (0x3A, 0x40), (0x5B, 0
 _LATIN = T.lut([(0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF)])
 
 
-def _distinct(data: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(a span of each distinct word, number of each span's word), by two
-    independent 64-bit hashes."""
-    one, two = T.word_hashes(data, first, past), T.word_hashes(data, first, past, seed=1)
-    _, sample, inverse = np.unique(one, return_index=True, return_inverse=True)
-    if (two != two[sample][inverse]).any():
-        _, sample, inverse = np.unique(np.stack([one, two], axis=1), axis=0, return_index=True, return_inverse=True)
-    return sample, inverse
-
-
 class WordTokenizer:
     """Token ids of texts through a cache of parts between which no token and no
     normalisation of the vocabulary can reach: white space, around ASCII digits,
     and between a Latin letter and ASCII punctuation after it. Parts not yet
-    seen go to the tokenizer; ids equal those of whole texts.
+    seen go to the tokenizer; ids equal those of whole texts. Parts are known by
+    two independent 64-bit hashes; should two parts share the first, their texts are
+    tokenised without the cache.
     """
 
     def __init__(self, path: str):
@@ -70,19 +62,21 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[int, int] = {}
+        self.second = np.zeros(1024, np.uint64)
         self.lengths, self.ids, self.used = np.zeros(1024, np.int32), np.zeros(4096, np.uint32), 0
         self.starts = np.zeros(1024, np.int64)
 
-    def _add(self, words: list[bytes], skip: int) -> None:
-        found = [enc.ids for enc in self.tokenizer.encode_batch_fast([w[skip:].decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+    def _add(self, hashes: np.ndarray, second: np.ndarray, words: list[bytes]) -> None:
+        found = [enc.ids for enc in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
         n = np.fromiter(map(len, found), np.int64, len(found))
         old, total = len(self.known), int(n.sum())
         while old + len(found) > len(self.lengths):
-            self.lengths, self.starts = np.resize(self.lengths, 2 * len(self.lengths)), np.resize(self.starts, 2 * len(self.starts))
+            self.lengths, self.starts, self.second = (np.resize(x, 2 * len(x)) for x in (self.lengths, self.starts, self.second))
         while self.used + total > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.known.update(zip(words, range(old, old + len(found))))
+        self.known.update(zip(hashes.tolist(), range(old, old + len(found))))
+        self.second[old:old + len(found)] = second
         self.lengths[old:old + len(found)] = n
         self.starts[old:old + len(found)] = self.used + np.cumsum(n) - n
         self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
@@ -96,11 +90,21 @@ class WordTokenizer:
         digit, alpha = _DIGIT[data], _ALPHA[data]
         alpha[1:] |= _LATIN[data[1:]] & (data[:-1] == 0xC3)
         cut = digit[1:] | digit[:-1] | (alpha[:-1] & _PUNCT[data[1:]])
-        inside = np.flatnonzero(cut) + 1
         inner = T.NOT_SPACE[data]
-        inside = inside[inner[inside] & inner[inside - 1]]
-        inside = np.setdiff1d(inside, first, assume_unique=True)  # a text's own start is no cut
-        return np.sort(np.concatenate([first, inside])), np.sort(np.concatenate([past, inside]))
+        cut &= inner[1:] & inner[:-1]
+        begins, ends = np.zeros(len(data), bool), np.zeros(len(data) + 1, bool)
+        begins[first], ends[past] = True, True
+        begins[1:] |= cut
+        ends[1:-1] |= cut
+        return np.flatnonzero(begins), np.flatnonzero(ends)
+
+    def _uncached(self, data: np.ndarray, first: np.ndarray, past: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of words one by one, without the cache."""
+        raw = data.tobytes()
+        words = [raw[a:b].decode("utf-8", "replace") for a, b in zip(first.tolist(), past.tolist())]
+        found = [enc.ids for enc in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        upto = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(ids) for ids in found], dtype=np.int64)])
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(upto[-1])), upto[np.searchsorted(first, at)]
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of the adjoining texts data[at[k]:at[k + 1]]."""
@@ -108,17 +112,19 @@ class WordTokenizer:
         special = b"<|" in data.tobytes()
         data = data if special else T.ASCII_LOWER[data]
         first, past = T.word_spans(data, at[:-1], at[1:], T.NOT_SPACE) if special else self._parts(data, at[:-1], at[1:])
-        sample, inverse = _distinct(data, first, past)
+        one, two = T.word_hashes(data, first, past, seed=2 * special), T.word_hashes(data, first, past, seed=2 * special + 1)
+        hashes, sample, inverse = np.unique(one, return_index=True, return_inverse=True)
         if len(self.known) > CACHE_WORDS:
             self.clear()
-        raw, mark = data.tobytes(), b"<|" if special else b""
-        keys = [mark + raw[a:b] for a, b in zip(first[sample].tolist(), past[sample].tolist())]
+        keys = hashes.tolist()
         slot = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
         new = np.flatnonzero(slot < 0)
         if len(new):
-            old = len(self.known)
-            self._add([keys[k] for k in new.tolist()], len(mark))
+            raw, old = data.tobytes(), len(self.known)
+            self._add(hashes[new], two[sample[new]], [raw[a:b] for a, b in zip(first[sample[new]].tolist(), past[sample[new]].tolist())])
             slot[new] = np.arange(old, old + len(new))
+        if (self.second[slot[inverse]] != two).any():  # two words of one hash
+            return self._uncached(data, first, past, at)
         slot = slot[inverse]
         n = self.lengths[slot].astype(np.int64)
         upto = np.zeros(len(n) + 1, np.int64)

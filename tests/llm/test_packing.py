@@ -97,11 +97,11 @@ def test_long_words_made_to_collide_keep_their_own_ids():
 
 def test_words_of_equal_hash_stay_apart(monkeypatch):
     real = P.T.word_hashes
-    monkeypatch.setattr(P.T, "word_hashes", lambda d, a, b, seed=0: real(d, a, b, seed) if seed else (b - a).astype(np.uint64))
+    monkeypatch.setattr(P.T, "word_hashes", lambda d, a, b, seed=0: real(d, a, b, seed) if seed % 2 else (b - a).astype(np.uint64))
     cached, raw = P.WordTokenizer(P.default_tokenizer()), b"cat dog cat sun dog"
-    ids, bounds = cached.encode(np.frombuffer(raw, np.uint8), np.array([0, 7, len(raw)]))
+    ids, bounds = cached.encode(np.frombuffer(raw, np.uint8), np.array([0, 8, len(raw)]))
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(P.default_tokenizer())
     assert ids[:bounds[1]].tolist() == plain.encode("cat dog", add_special_tokens=False).ids
-    assert len(set(ids[bounds[1]:].tolist())) >= 2
+    assert ids[bounds[1]:].tolist() == plain.encode("cat sun dog", add_special_tokens=False).ids
