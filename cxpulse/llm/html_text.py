@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cxpulse.llm.common import table
+from cxpulse.llm.common import materialise, table
 
 SAMPLE = 4000
 SMOOTH = 0.5
@@ -360,6 +360,7 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> TreeModel:
     ids = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
     rows = pages.select("page_id", "html").join(F.broadcast(ids), "page_id").select("html")  # at most ``sample`` ids
     counts = rows.mapInArrow(_count, "key string, parent int, label int, n long").groupBy("key", "parent", "label").agg(F.sum("n").alias("n"))
+    counts = materialise(counts, "html-counts")
     kind = F.substring_index("key", ":", 1)
     ranked = counts.groupBy("key").agg(F.sum("n").alias("n")).withColumn("kind", kind)
     most = lambda k: ranked.filter(F.col("kind") == k).orderBy(F.desc("n"), "key").limit(MAX_WORDS).select("key")
