@@ -3,11 +3,12 @@
 A text's words are runs of characters other than ASCII ones that are no digit
 or letter, A-Z lower-cased. Base labels: places where a phrase's words stand
 consecutively. The method adds labels of its own: every text block whose
-word set contains at least ``THRESHOLD`` of a template's word set gets the
-template's label. Blocks are the lines and, as notices are usually wrapped, for
-each template all runs of as many words as it has, whatever line breaks they
-span. Tokens have one global order, rarest first, by the number of lines of the
-whole corpus that hold them. With it the join is exact but looks at few pairs:
+word set contains at least ``THRESHOLD`` t of a template's word set gets the
+template's label. A template of n words is compared with all runs of ``ceil(n / t)``
+consecutive words (or the whole text, if shorter), whatever line breaks they span,
+as notices are usually wrapped; words further apart than that are no notice. Tokens
+have one global order, rarest first, by the number of lines of the whole corpus
+that hold them. With it the join is exact but looks at few pairs:
 
 * prefix filter: a block that meets the threshold holds one of the template's
   ``|T| - ceil(t |T|) + 1`` rarest tokens; only those are indexed;
@@ -15,9 +16,10 @@ whole corpus that hold them. With it the join is exact but looks at few pairs:
 * positional filter: after the first shared prefix token, what both have left
   must still reach ``ceil(t |T|)``.
 
-Survivors are verified on the full sets. A text's word set holds that of each of
-its runs, so runs are looked at only for the templates that the text as one
-block meets. ``SQL`` has the lines only. The templates are a parameter (a few
+A text's word set holds that of each of its runs, so the filters look at texts
+first, and the runs of a text only for the templates that it meets as one block;
+runs are verified on their full sets. Runs that meet a template and share a template
+word make one block (``license_blocks``). The templates are a parameter (a few
 dozen), so their index travels with the function; the corpus is read map-only,
 once for the order and once for the join.
 """
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cxpulse.llm import textnum as T
-from cxpulse.llm.common import table
+from cxpulse.llm.common import importable, table
 
 #: (phrase, label), as given
 PHRASES = [
@@ -65,6 +67,11 @@ def needed(size: int, threshold: float) -> int:
     return math.ceil(threshold * size - 1e-9)
 
 
+def run_words(size: int, threshold: float) -> int:
+    """Words of the runs that a template of ``size`` words is compared with."""
+    return math.ceil(size / threshold - 1e-9)
+
+
 class TemplateIndex:
     """Templates with their tokens in the global order and the prefix index."""
 
@@ -72,7 +79,7 @@ class TemplateIndex:
         self.threshold = threshold
         order = lambda w: (frequency.get(w, 0), w)  # noqa: E731  rarest first, ties by text
         self.sets = [sorted(set(text.encode().split()), key=order) for text, _ in templates]
-        self.sizes = [len(text.split()) for text, _ in templates]
+        self.sizes = [run_words(len(text.split()), threshold) for text, _ in templates]
         self.labels = [label for _, label in templates]
         self.rank = {w: k for k, w in enumerate(sorted({w for s in self.sets for w in s}, key=order))}
         self.index: dict[bytes, list[tuple[int, int]]] = {}
@@ -101,16 +108,19 @@ class TemplateIndex:
                     found[t] = both / len(tokens)
         return found
 
-    def run_matches(self, words: list[bytes]) -> dict[int, float]:
-        """template -> best containment, for all templates that some run of as many
-        consecutive words as the template has meets."""
-        found: dict[int, float] = {}
+    def run_matches(self, words: list[bytes]) -> dict[int, list[tuple[int, int, float]]]:
+        """template -> its blocks in a text of these words: (first, last, best containment)
+        of runs that meet the template, one for all that share a template word; first
+        and last are template words."""
+        found: dict[int, list[tuple[int, int, float]]] = {}
         for t in self.matches(set(words)):
             tokens = set(self.sets[t])
+            least = needed(len(tokens), self.threshold)
             held: dict[bytes, int] = {}
             own = [k for k, w in enumerate(words) if w in tokens]
-            first = most = 0
-            for k in own:
+            blocks: list[tuple[int, int, float]] = []
+            first = 0
+            for k in own:  # a run holds no more of the template than the one that ends at its last template word
                 held[words[k]] = held.get(words[k], 0) + 1
                 while own[first] <= k - self.sizes[t]:
                     w = words[own[first]]
@@ -118,11 +128,22 @@ class TemplateIndex:
                     if not held[w]:
                         del held[w]
                     first += 1
-                most = max(most, len(held))
-            if most >= needed(len(tokens), self.threshold):
-                found[t] = most / len(tokens)
+                if len(held) >= least:
+                    start, c = own[first], len(held) / len(tokens)
+                    if blocks and start <= blocks[-1][1]:
+                        begin, _, best = blocks.pop()
+                        start, c = begin, max(best, c)
+                    blocks.append((start, k, c))
+            if blocks:
+                found[t] = blocks
         return found
 
+    def blocks(self, text: bytes) -> dict[int, list[tuple[int, int, float]]]:
+        """``run_matches`` of a lower-cased text."""
+        if self.any_prefix is None or not self.any_prefix.search(text):
+            return {}
+        return self.run_matches(_WORD_RE.findall(text))
+
 
 def _lower(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For each chunk of rows: (lo, hi, lower-cased bytes, bounds of the texts)."""
@@ -169,8 +190,8 @@ def token_frequency(docs: DataFrame, templates: list[tuple[str, str]]) -> dict[b
 def _scan(index: TemplateIndex, phrases: list[tuple[str, str]]):
     patterns = [(re.compile(rb"(?<![0-9a-z\x80-\xff])" + _GAP.join(map(re.escape, p.encode().split())) + rb"(?![0-9a-z\x80-\xff])"), p.encode().split(), label) for p, label in phrases]
 
-    def scan(text: bytes) -> tuple[list[tuple[int, str]], dict[int, float]]:
-        """((byte place, label) of all base phrases, best containment by template)."""
+    def scan(text: bytes) -> list[tuple[int, str]]:
+        """(byte place, label) of all base phrases."""
         places = []
         for pattern, words, label in patterns:
             if all(w in text for w in words):
@@ -178,16 +199,7 @@ def _scan(index: TemplateIndex, phrases: list[tuple[str, str]]):
                 while m:
                     places.append((m.start(), label))
                     m = pattern.search(text, m.start() + 1)
-        best: dict[int, float] = {}
-        if index.any_prefix is not None and index.any_prefix.search(text):
-            for line in text.split(b"\n"):
-                if index.any_prefix.search(line):
-                    for t, c in index.matches(set(_WORD_RE.findall(line))).items():
-                        best[t] = max(c, best.get(t, 0.0))
-            if b"\n" in text:
-                for t, c in index.run_matches(_WORD_RE.findall(text)).items():
-                    best[t] = max(c, best.get(t, 0.0))
-        return places, best
+        return places
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,30 +210,61 @@ def _scan(index: TemplateIndex, phrases: list[tuple[str, str]]):
                 raw = part.tobytes()
                 out = []
                 for k in range(hi - lo):
-                    places, best = scan(raw[at[k]:at[k + 1]])
+                    text = raw[at[k]:at[k + 1]]
+                    places, met = scan(text), index.blocks(text)
                     own = np.searchsorted(first[bounds[k]:bounds[k + 1]], [at[k] + p for p, _ in places])
                     base = sorted({label for _, label in places})
-                    every = sorted({*base, *(index.labels[t] for t in best)})
-                    score = 1.0 if places else max(best.values(), default=0.0)
-                    out.append((len(places), int(own.min()) if places else None, int(own.max()) if places else None, ",".join(base), ",".join(every), score))
-                cols = list(zip(*out)) or [[]] * 6
+                    every = sorted({*base, *(index.labels[t] for t in met)})
+                    score = 1.0 if places else max((c for found in met.values() for _, _, c in found), default=0.0)
+                    out.append((len(places), int(own.min()) if places else None, int(own.max()) if places else None, ",".join(base), ",".join(every), score,
+                                sum(map(len, met.values()))))
+                cols = list(zip(*out)) or [[]] * 7
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), pa.array(np.diff(bounds).astype(np.int64)), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())))],
-                    names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
+                    [ids.slice(lo, hi - lo), pa.array(np.diff(bounds).astype(np.int64)),
+                     *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64())))],
+                    names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "n_blocks"])
     return run
 
 
+def _blocks(index: TemplateIndex):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            for lo, hi, part, at in _lower(batch.column("text")):
+                raw = part.tobytes()
+                out = [(ids[lo + k], index.labels[t], first, last, c) for k in range(hi - lo)
+                       for t, found in index.blocks(raw[at[k]:at[k + 1]]).items() for first, last, c in found]
+                cols = list(zip(*out)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()))],
+                                                 names=["doc_id", "label", "first_word", "last_word", "containment"])
+    return run
+
+
+def license_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """Every text block that meets a template: doc_id, label, first_word, last_word
+    (words from 0), containment.
+
+    Null or empty texts have no blocks; repeated rows repeat theirs; an empty table
+    gives an empty result; columns besides doc_id and text are ignored.
+    """
+    importable(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    index = TemplateIndex(templates, threshold, token_frequency(rows, templates))
+    return rows.mapInArrow(_blocks(index), "doc_id long, label string, first_word long, last_word long, containment double")
+
+
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: list[tuple[str, str]] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word,
-    last_word, base_labels, labels, score.
+    last_word, base_labels, labels, score, n_blocks (of all templates).
 
     ``score`` is 1 with a base phrase, else the best containment of a matching
     template, else 0. Null or empty texts have no words, empty labels and score
     0; repeated rows give repeated results; an empty table an empty result.
     """
+    importable(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     index = TemplateIndex(templates, threshold, token_frequency(rows, templates))
-    return rows.mapInArrow(_scan(index, phrases), "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return rows.mapInArrow(_scan(index, phrases), "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, n_blocks long")
 
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
@@ -230,7 +273,7 @@ def op1_license_scan(spark, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     phrases = " UNION ALL ".join(f"SELECT string_split('{p}', ' ') AS p, '{label}' AS label" for p, label in PHRASES)
-    templates = " UNION ALL ".join(f"SELECT list_distinct(string_split('{t}', ' ')) AS t, '{label}' AS label" for t, label in TEMPLATES)
+    templates = " UNION ALL ".join(f"SELECT list_distinct(string_split('{t}', ' ')) AS t, {run_words(len(t.split()), THRESHOLD)} AS run, '{label}' AS label" for t, label in TEMPLATES)
     return rf"""
 WITH lowered AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
@@ -242,16 +285,21 @@ places AS (
   FROM d JOIN phrases ON list_contains(w, p[1])),
 base AS (
   SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list_distinct(list(label)) AS labels FROM places GROUP BY doc_id),
-lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM lowered),
-blocks AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS b FROM lines),
-met AS (
-  SELECT doc_id, label, max(len(list_intersect(b, t))::DOUBLE / len(t)) AS c FROM blocks JOIN templates
-  ON len(list_intersect(b, t)) >= ceil({THRESHOLD} * len(t) - 1e-9) GROUP BY doc_id, label),
-own AS (SELECT doc_id, list(label) AS labels, max(c) AS c FROM met GROUP BY doc_id)
+texts AS (
+  SELECT doc_id, w, m.t, run, label FROM d JOIN templates m ON len(list_intersect(list_distinct(w), m.t)) >= ceil({THRESHOLD} * len(m.t) - 1e-9)),
+ends AS (SELECT *, unnest(list_filter(range(1, len(w) + 1), lambda i: list_contains(t, w[i]))) AS k FROM texts),
+runs AS (
+  SELECT doc_id, label, k, len(t) AS n, len(list_intersect(list_distinct(w[greatest(1, k - run + 1):k]), t)) AS held,
+    min(k) OVER (PARTITION BY doc_id, label ORDER BY k RANGE BETWEEN run - 1 PRECEDING AND CURRENT ROW) AS start FROM ends),
+hits AS (
+  SELECT doc_id, label, held::DOUBLE / n AS c, CASE WHEN start <= lag(k) OVER (PARTITION BY doc_id, label ORDER BY k) THEN 0 ELSE 1 END AS opens
+  FROM runs WHERE held >= ceil({THRESHOLD} * n - 1e-9)),
+met AS (SELECT doc_id, label, max(c) AS c, sum(opens) AS n_blocks FROM hits GROUP BY doc_id, label),
+own AS (SELECT doc_id, list(label) AS labels, max(c) AS c, sum(n_blocks) AS n_blocks FROM met GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
   coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(own.labels, [])))), ','), '') AS labels,
-  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score, coalesce(n_blocks, 0)::BIGINT AS n_blocks
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)
 """
 

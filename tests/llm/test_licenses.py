@@ -1,5 +1,6 @@
 import re
 
+import duckdb
 import numpy as np
 
 from cxpulse.llm import licenses as L
@@ -16,16 +17,30 @@ def words(text):
 def brute(i, text):
     w = words(text)
     places = [(k, label) for p, label in L.PHRASES for k in range(len(w)) if w[k:k + len(p.split())] == p.split()]
-    best = {}
-    for line in (text or "").split("\n"):
-        b = set(words(line))
-        for t, label in L.TEMPLATES:
-            t = set(t.split())
-            if len(b & t) >= L.needed(len(t), L.THRESHOLD):
-                best[label] = max(best.get(label, 0), len(b & t) / len(t))
+    met = blocks(w)
     base = sorted({x for _, x in places})
     return (i, len(w), len(places), min((k for k, _ in places), default=None), max((k for k, _ in places), default=None), ",".join(base),
-            ",".join(sorted({*base, *best})), 1.0 if places else max(best.values(), default=0.0))
+            ",".join(sorted({*base, *(b[0] for b in met)})), 1.0 if places else max((b[3] for b in met), default=0.0), len(met))
+
+
+def blocks(w, templates=L.TEMPLATES, threshold=L.THRESHOLD):
+    """(label, first, last, containment): of all runs that meet a template, those that
+    share one of its words taken together."""
+    out = []
+    for text, label in templates:
+        t, n = set(text.split()), L.run_words(len(text.split()), threshold)
+        own = []
+        for k in range(len(w)):
+            run = range(k, min(k + n, len(w)))
+            if len(t & {w[x] for x in run}) >= L.needed(len(t), threshold):
+                held = {x for x in run if w[x] in t}
+                c = len({w[x] for x in held}) / len(t)
+                if own and own[-1][0] & held:
+                    own[-1] = (own[-1][0] | held, max(own[-1][1], c))
+                else:
+                    own.append((held, c))
+        out += [(label, min(held), max(held), c) for held, c in own]
+    return out
 
 
 def test_equals_brute_force(documents):
@@ -52,27 +67,15 @@ BSD = """Redistribution and use in source and binary forms, with or without
 modification, are permitted provided that the following conditions are met:"""
 
 
-def brute_with_runs(i, text):
-    """``brute``, and per template all runs of as many words as it has."""
-    *row, base, labels, score = brute(i, text)
-    w, best = words(text), {}
-    for template, label in L.TEMPLATES:
-        n, t = len(template.split()), set(template.split())
-        most = max((len(t & set(w[k:k + n])) for k in range(len(w))), default=0)
-        if most >= L.needed(len(t), L.THRESHOLD):
-            best[label] = most / len(t)
-    return (*row, base, ",".join(sorted({x for x in labels.split(",") if x} | set(best))), max(score, *best.values(), 0.0) if best else score)
-
-
 def test_wrapped_notices(documents):
     comment = lambda text, lead: "\n".join(lead + line for line in text.split("\n"))
     rows = [(1, MIT), (2, BSD), (3, comment(MIT, "# ") + "\r\n\r\n" + comment(BSD, " * ")), (4, MIT.replace(" ", "\n")), (5, "x\n" * 3000 + BSD + "\ny" * 3000),
             (6, BSD.replace(" ", " far away from the next one\n")), (7, "released\nunder the\nmit"), (8, "released\nunder the\n\nmit \nmit a b c released"),
             (9, "released under the mit\nlicence released under the a\nmit license"), (10, "no notice\nat all"), (11, "\n"), (12, MIT.replace("hereby ", "").replace("free ", ""))]
     got = {r["doc_id"]: tuple(r) for r in L.scan_licenses(documents(rows)).collect()}
-    assert got == {i: brute_with_runs(i, text) for i, text in rows}
-    assert [got[k][6:] for k in (1, 2, 3, 4, 5)] == [("mit-notice", 1.0), ("bsd-notice", 1.0), ("bsd-notice,mit-notice", 1.0), ("mit-notice", 1.0), ("bsd-notice", 1.0)]
-    assert got[6][6:] == ("", 0.0)
+    assert got == {i: brute(i, text) for i, text in rows}
+    assert [got[k][6:8] for k in (1, 2, 3, 4, 5)] == [("mit-notice", 1.0), ("bsd-notice", 1.0), ("bsd-notice,mit-notice", 1.0), ("mit-notice", 1.0), ("bsd-notice", 1.0)]
+    assert got[6][6:] == ("", 0.0, 0)
 
 
 def test_runs_lose_nothing():
@@ -81,11 +84,35 @@ def test_runs_lose_nothing():
     templates = [(b" ".join(rng.choice(vocabulary, rng.integers(1, 9))).decode(), str(k)) for k in range(12)]
     index = L.TemplateIndex(templates, 0.7, {w: int(rng.integers(100)) for w in vocabulary})
     for _ in range(300):
-        text = rng.choice([*vocabulary, b"x", b"y", b"z"], rng.integers(1, 40)).tolist()
-        want = {}
-        for t, (template, _) in enumerate(templates):
-            n, tokens = len(template.split()), set(template.encode().split())
-            most = max(len(tokens & set(text[k:k + n])) for k in range(len(text)))
-            if most >= L.needed(len(tokens), 0.7):
-                want[t] = most / len(tokens)
-        assert index.run_matches(text) == want
+        text = rng.choice([*vocabulary, b"x", b"y", b"z"], rng.integers(1, 60)).tolist()
+        got = [(index.labels[t], *b) for t, found in index.run_matches(text).items() for b in found]
+        assert sorted(got) == sorted(blocks([w.decode() for w in text], templates, 0.7))
+
+
+def test_blocks_with_places(documents):
+    notice = "Released under\nthe MIT License"
+    rows = [(1, f"a b {notice} c d e f g h {notice}"), (2, None), (3, ""), (4, "no notice"), (5, notice), (5, notice)]
+    got = sorted(tuple(r) for r in L.license_blocks(documents(rows)).collect())
+    assert got == sorted((i, *b) for i, text in rows for b in blocks(words(text)))
+    assert [r[2:4] for r in got if r[0] == 1] == [(2, 6), (13, 17)] and len(got) == 4
+    assert L.license_blocks(documents([])).count() == 0
+
+
+def test_scattered_words_are_no_notice(documents):
+    gap = " w" * 2000 + " "
+    scattered = gap.join(["released", "under", "the", "mit", "license"])
+    near = "released (as of today) under the mit license"  # 8 words, runs have 7: 0.8 of the template
+    rows = [(1, scattered), (2, near), (3, "released under our mit license")]
+    got = {r["doc_id"]: tuple(r) for r in L.scan_licenses(documents(rows)).collect()}
+    assert got == {i: brute(i, text) for i, text in rows}
+    assert got[1][6:] == ("", 0.0, 0) and got[3][6] == "mit,mit-release"
+
+
+def test_sql_has_the_same_blocks():
+    texts = [MIT, BSD, MIT.replace(" ", "\n"), "x\n" * 300 + BSD + "\ny" * 300, BSD.replace(" ", " far away from the next one\n"), "released\nunder the\nmit",
+             "released under the mit\nlicence released under the a\nmit license", (MIT + " ") * 3, "released under the mit license " * 4, "released" + " w" * 50 + " under the mit license", None, ""]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    got = con.execute(L.SQL).fetchall()
+    assert sorted(got) == sorted(brute(i, t) for i, t in enumerate(texts))
