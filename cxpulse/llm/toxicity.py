@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cxpulse.llm import textnum as T
-from cxpulse.llm.common import table
+from cxpulse.llm.common import importable, table
 
 SLOTS = 1 << 20
 TERMS = 4096
@@ -28,6 +28,8 @@ FACTORS = 8
 PREFIX = 6
 EPOCHS = 25
 BATCH = 256
+L2_W = 1e-4
+L2_V = 1e-3
 _WORD = T.lut([(0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF)])
 
 
@@ -87,6 +89,18 @@ def choose_terms(slots: list[np.ndarray], toxic: np.ndarray, most: int) -> np.nd
     return np.sort(best[z[best] > 2])
 
 
+def gradient(theta: np.ndarray, x: np.ndarray, toxic: np.ndarray, weight: float) -> np.ndarray:
+    """Of the mean log loss (toxic rows weigh ``weight``) plus ``L2_W`` / 2 |w|^2 and
+    ``L2_V`` / 2 |v|^2, by theta = (w0, w, v); ``x``: which text holds which term."""
+    m = x.shape[1]
+    w, v = theta[1:m + 1], theta[m + 1:].reshape(m, FACTORS).astype(x.dtype)
+    s = x @ v
+    y = theta[0] + x @ w + 0.5 * ((s * s).sum(1) - x @ (v * v).sum(1))
+    e = (1 / (1 + np.exp(-np.clip(y, -30, 30))) - toxic).astype(x.dtype) / len(x)
+    e = np.where(toxic > 0, e * weight, e).astype(x.dtype)
+    return np.concatenate([[e.sum()], e @ x + L2_W * w, (x.T @ (e[:, None] * s) - v * (e @ x)[:, None] + L2_V * v).ravel()])
+
+
 def fit(slots: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> FactorizationMachine:
     """Minibatch Adam on the log loss with L2; deterministic for given rows.
     Without labelled rows every text scores near 0."""
@@ -107,12 +121,7 @@ def fit(slots: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> Factorizat
             x = np.zeros((len(pick), m), np.float32)
             for r, i in enumerate(pick):
                 x[r, held[i]] = 1
-            w, v = theta[1:m + 1], theta[m + 1:].reshape(m, FACTORS).astype(np.float32)
-            s = x @ v
-            y = theta[0] + x @ w + 0.5 * ((s * s).sum(1) - x @ (v * v).sum(1))
-            e = (1 / (1 + np.exp(-np.clip(y, -30, 30))) - toxic[pick]).astype(np.float32) / len(pick)
-            e = np.where(toxic[pick] > 0, e * weight, e).astype(np.float32)
-            grad = np.concatenate([[e.sum()], e @ x + 1e-4 * w, (x.T @ (e[:, None] * s) - v * (e @ x)[:, None] + 1e-3 * v).ravel()])
+            grad = gradient(theta, x, toxic[pick], weight)
             step += 1
             g1 = 0.9 * g1 + 0.1 * grad
             g2 = 0.99 * g2 + 0.01 * grad * grad
@@ -166,6 +175,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     score alike; an empty table gives an empty result; scores depend on nothing
     but the text. A null doc_id counts as empty text for ``held_out``.
     """
+    importable(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id")) == 0).alias("held_out"), "text")
     return rows.mapInArrow(scorer(model, _result), "doc_id long, held_out boolean, score double, predicted int")
@@ -173,6 +183,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` (all columns) without the documents predicted toxic."""
+    importable(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
     return docs.mapInArrow(scorer(model, _accepted), docs.schema)
 
