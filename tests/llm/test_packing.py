@@ -66,6 +66,44 @@ def test_rotation_keeps_proportions_and_carries_deficits():
     assert at == 105_000
 
 
+def test_windows_keep_proportions_across_parts(spark, monkeypatch):
+    """At the end of every window of the whole stream each source has had its share,
+    but for quanta under way and what the part at hand began or ends with."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(P, "PART_TOKENS", 20_000)
+    rng = random.Random(9)
+    rows = [(k, rng.choices(["a", "b", "c", None], [60, 25, 10, 5])[0], rng.randrange(1, 400)) for k in range(1000)]
+    lengths = spark.createDataFrame(rows, "row long, source string, n long").repartition(4)
+    total = sum(n for _, _, n in rows)
+    parts = max(1, -(-total // P.PART_TOKENS))
+    part = dict(lengths.select("row", F.expr(f"pmod(xxhash64(row), {parts})")).collect())
+    source = {k: s for k, s, _ in rows}
+    share, ends = defaultdict(float), [defaultdict(int) for _ in range(parts)]
+    for k, s, n in rows:
+        share[s] += n / total
+        ends[part[k]][s] += n
+    plan = sorted(P.rotation_plan(lengths).collect(), key=lambda r: r["position"])
+    assert parts > 5 and sum(r["length"] for r in plan) == total
+    assert [part[r["row"]] for r in plan] == sorted(part[r["row"]] for r in plan)
+
+    had, before, at_bounds = defaultdict(int), 0, []
+    for own in ends:  # what each source is ahead by where a part begins and ends
+        first = {s: had[s] - share[s] * before for s in share}
+        before += sum(own.values())
+        for s in share:
+            had[s] += own[s]
+        at_bounds.append({s: max(abs(first[s]), abs(had[s] - share[s] * before)) for s in share})
+    had, at = defaultdict(int), 0
+    for r in plan:
+        assert r["position"] == at
+        at += r["length"]
+        had[source[r["row"]]] += r["length"]
+        if at % P.LENGTH == 0:
+            for s in share:
+                assert abs(had[s] - share[s] * at) <= at_bounds[part[r["row"]]][s] + 2.5 * P.QUANTUM
+
+
 def test_parts_are_bounded_in_documents(documents, monkeypatch):
     monkeypatch.setattr(P, "PART_ROWS", 50)
     got = P.pack(documents([(k, "") for k in range(400)]), P.default_tokenizer()).collect()
