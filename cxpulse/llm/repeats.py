@@ -23,6 +23,9 @@ earlier (smaller doc_id, or same document and earlier start).
   them are compared one by one instead: hashed to 128 bits, settled within a batch
   of documents first, then the first start per window by a partial aggregate,
   joined back. The result is the same; nothing is dropped.
+* ``repeats`` lists the maximal repeats of such buckets by aggregates over the
+  prefixes of their suffixes: the nodes of the same interval tree, found without
+  a task that holds the bucket.
 
 Texts travel compressed. Contexts of one class are equal by 128 bits of hash,
 everything else is compared byte by byte.
@@ -99,6 +102,16 @@ def _windows_of(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.concatenate(found)
 
 
+def _window_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hash of the ``LENGTH`` bytes from each start. Every 8 bytes are mixed in
+    before the next are read, so it has nothing in common with ``span_hashes``."""
+    words = np.ndarray((max(0, len(data) - 7),), "<u8", np.ascontiguousarray(data), strides=(1,))
+    h = np.full(len(starts), LENGTH, np.uint64)
+    for k in [*range(0, LENGTH - 7, 8), LENGTH - 8]:
+        h = T.mix64((h ^ words[starts + k]) * _C[0] + _C[1])
+    return h
+
+
 def _anchor_rows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each chunk: (row in batch, start in text, hash, context hash) of its anchors."""
     data, offsets = T.text_buffers(column)
@@ -266,7 +279,7 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(hot):
                 data = np.frombuffer(text, np.uint8)
                 s = _windows_of(data, hot)
-                held.append((T.span_hashes(data, s, s + LENGTH), T.span_hashes(data ^ np.uint8(0x5A), s, s + LENGTH), np.full(len(s), doc_id), s))
+                held.append((T.span_hashes(data, s, s + LENGTH), _window_hashes(data, s), np.full(len(s), doc_id), s))
                 size += len(s)
                 if size >= _HELD:
                     yield from _settle(held)
@@ -357,7 +370,11 @@ class SuffixArray:
         suffix = np.empty((len(self.owner), 4 + width), np.uint8)
         suffix[:, :4] = np.asarray(buckets, ">u4")[self.owner].view(np.uint8).reshape(-1, 4)
         suffix[:, 4:] = np.lib.stride_tricks.as_strided(padded[:, 4:], (len(contexts), width + 1, width), (padded.strides[0], 1, 1))[self.owner, self.offset]
-        self.array = np.argsort(suffix.view(f"S{4 + width}").ravel(), kind="stable")
+        if any(b"\0" in c for c in contexts):  # what ends comes before what goes on with a zero byte
+            by_size = np.argsort(size[self.owner] - self.offset, kind="stable")
+            self.array = by_size[np.argsort(suffix[by_size].view(f"S{4 + width}").ravel(), kind="stable")]
+        else:
+            self.array = np.argsort(suffix.view(f"S{4 + width}").ravel(), kind="stable")
         left = (size[self.owner] - self.offset)[self.array]
         ordered = suffix[self.array]
         differ = ordered[1:] != ordered[:-1]
@@ -450,15 +467,24 @@ def _first_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["kind", "key", "c", "n", "doc_id", "start", "before", "context"])
 
 
-_GROUPS = "repeat long, length int, key long, c long, shift int"
+_GROUPS = "repeat string, length int, key long, c long, shift int"
+_WINDOWS = "repeat string, key long, c long, at int"
+_PREFIXES = f"{_GROUPS}, following int, preceding int"
+
+
+def _name(repeat: bytes) -> str:
+    return hashlib.blake2b(repeat, digest_size=16).hexdigest()
+
+
+_TYPES = {"repeat": pa.string(), "key": pa.int64(), "c": pa.int64()}  # the other columns are ints
 
 
-def _name(repeat: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(repeat, digest_size=8).digest(), "little", signed=True)
+def _named(rows: list[tuple], *names: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, _TYPES.get(n, pa.int32())) for c, n in zip(zip(*rows), names)], names=list(names))
 
 
 def _group_rows(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()))], names=["repeat", "length", "key", "c", "shift"])
+    return _named(rows, "repeat", "length", "key", "c", "shift")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,25 +507,73 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _group_rows(out)
 
 
-def _own(windows: bool):
-    """What classes hold by themselves, as in ``_shared``: all from the first window
-    that selects the anchor on; or, for ``windows``, each window that selects it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, len(batch), 2000):
-                rows = list(zip(*(batch.column(c).slice(at, 2000).to_pylist() for c in ("key", "c", "before", "context"))))
-                size = np.array([len(r[3]) for r in rows])
-                width = int(size.max())
-                padded = np.frombuffer(b"".join(r[3].ljust(2 * width, b"\0") for r in rows), np.uint8).reshape(len(rows), 2 * width)
-                lowest, highest = _selecting(padded, size, np.array([r[2] for r in rows]))
-                out: list[tuple] = []
-                for (key, c, before, context), lo, hi in zip(rows, lowest.tolist(), highest.tolist()):
-                    for o in range(lo, hi + 1 if windows else lo + 1):
-                        repeat = context[o:o + LENGTH] if windows else context[o:]
-                        out.append((_name(repeat), len(repeat), key, c, o - before))
-                if out:
-                    yield _group_rows(out)
-    return run
+def _selecting_rows(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[list[tuple]]:
+    """Lists of (key, c, before, context, further columns, first and last window
+    start that selects the anchor) of the classes at hand."""
+    for batch in batches:
+        for at in range(0, len(batch), 500):
+            rows = list(zip(*(batch.column(c).slice(at, 500).to_pylist() for c in ("key", "c", "before", "context", *more))))
+            size = np.array([len(r[3]) for r in rows])
+            width = int(size.max())
+            padded = np.frombuffer(b"".join(r[3].ljust(2 * width, b"\0") for r in rows), np.uint8).reshape(len(rows), 2 * width)
+            lowest, highest = _selecting(padded, size, np.array([r[2] for r in rows]))
+            yield [(*r, lo, hi) for r, lo, hi in zip(rows, lowest.tolist(), highest.tolist())]
+
+
+def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each class holds by itself, as in ``_shared``: all from the first window
+    that selects the anchor on."""
+    for rows in _selecting_rows(batches):
+        out = [(_name(context[lo:]), len(context) - lo, key, c, lo - before) for key, c, before, context, lo, hi in rows if lo <= hi]
+        if out:
+            yield _group_rows(out)
+
+
+def _class_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(repeat, key, c, at) of each window that selects the class's anchor."""
+    for rows in _selecting_rows(batches):
+        out = [(_name(context[o:o + LENGTH]), key, c, o) for key, c, _, context, lo, hi in rows for o in range(lo, hi + 1)]
+        if out:
+            yield _named(out, "repeat", "key", "c", "at")
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_shared`` for every string of ``LENGTH`` bytes or more from the places
+    ``at`` of a class on, with the byte that follows it (-1: the context ends) and
+    the one that precedes it (-1: that window is in another anchor's context)."""
+    for rows in _selecting_rows(batches, "at"):
+        out: list[tuple] = []
+        for key, c, before, context, places, lo, _ in rows:
+            for o in places:
+                preceding = context[o - 1] if o > lo else -1
+                for end in range(o + LENGTH, len(context) + 1):
+                    following = context[end] if end < len(context) else -1
+                    out.append((_name(context[o:end]), end - o, key, c, o - before, following, preceding))
+            if len(out) >= 20_000:
+                yield _named(out, "repeat", "length", "key", "c", "shift", "following", "preceding")
+                out = []
+        if out:
+            yield _named(out, "repeat", "length", "key", "c", "shift", "following", "preceding")
+
+
+def _wide(firsts: DataFrame) -> DataFrame:
+    """``_shared`` for buckets of any number of classes, none of them held whole.
+
+    A string is an interval of the common-prefix tree if two suffixes go on from
+    it with different bytes or one ends; it is maximal if they are preceded by
+    different bytes. Both are minima and maxima per string, added up task by task.
+    Only places whose window occurs twice are looked at: at most 77 places of a
+    class and, for each, 77 lengths."""
+    windows = firsts.select("key", "c", "before", "context").mapInArrow(_class_windows, _WINDOWS)
+    several = windows.groupBy("repeat").agg(F.count("*").alias("n")).filter("n > 1").select("repeat")
+    places = windows.join(several, "repeat", "left_semi").groupBy("key", "c").agg(F.collect_list("at").alias("at"))
+    held = materialise(firsts.select("key", "c", "before", "context").join(places, ["key", "c"]), "repeat-wide")
+    prefixes = held.mapInArrow(_prefixes, _PREFIXES)
+    ends = prefixes.groupBy("repeat", "length").agg(
+        F.count("*").alias("n"), *(f(c).alias(f"{f.__name__}_{c}") for c in ("following", "preceding") for f in (F.min, F.max)))
+    apart = " AND ".join(f"(min_{c} = -1 OR min_{c} < max_{c})" for c in ("following", "preceding"))
+    maximal = ends.filter(f"n > 1 AND {apart}").select("repeat", "length")
+    return prefixes.drop("following", "preceding").join(maximal, ["repeat", "length"], "left_semi")
 
 
 def _later_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -539,8 +613,8 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     Repeats are found among the classes of equal contexts and then carried over to
     all occurrences of each class; what a class of several occurrences repeats by
-    itself is a group too. In buckets of over ``MOST`` classes the repeated windows
-    stand for the longer repeats that they make up. A doc_id names one document,
+    itself is a group too. ``MOST`` only decides which buckets one task sorts and
+    which ones are aggregated; the result is the same. A doc_id names one document,
     of which a place occurs once; rows without one take no part.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
@@ -554,10 +628,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     firsts = materialise(found.mapInArrow(_first_contexts, _FIRSTS).dropDuplicates(["key", "c"]), "repeat-firsts")
 
     contexts = firsts.filter(F.col("kind") == CONTEXT).repartition("key").sortWithinPartitions("key")
-    windows = firsts.filter(F.col("kind") == WINDOW).select("key", "c", "before", "context").mapInArrow(_own(True), _GROUPS)
-    several = windows.join(firsts.select("key", "c", "n"), ["key", "c"]).groupBy("repeat").agg(F.sum("n").alias("places")).filter("places > 1").select("repeat")
-    alone = firsts.filter((F.col("kind") != WINDOW) & (F.col("n") > 1)).select("key", "c", "before", "context").mapInArrow(_own(False), _GROUPS)
-    groups = contexts.mapInArrow(_shared, _GROUPS).union(alone).distinct().union(windows.join(several, "repeat", "left_semi"))
+    alone = firsts.filter("n > 1").select("key", "c", "before", "context").mapInArrow(_own, _GROUPS)
+    groups = contexts.mapInArrow(_shared, _GROUPS).union(alone).union(_wide(firsts.filter(F.col("kind") == WINDOW))).distinct()
     return groups.join(places, ["key", "c"]).select("repeat", "length", "doc_id", (F.col("start") + F.col("shift")).alias("start"))
 
 

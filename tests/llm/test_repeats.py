@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from cxpulse.llm import repeats as R
@@ -116,13 +117,46 @@ def all_occurrences(rows, groups):
 
 @pytest.mark.parametrize("seed,most,share", [(1, 2048, 0.01), (2, 3, 0.01), (3, 1, 0.01)])
 def test_repeats_list_every_repeated_window(documents, monkeypatch, seed, most, share):
-    """Copies, overflowing buckets (low MOST) and, at 1, nothing but windows."""
+    """Copies, overflowing buckets (low MOST) and, at 1, nothing but aggregates."""
     monkeypatch.setattr(R, "MOST", most)
     monkeypatch.setattr(R, "HOT_SHARE", share)
     rows = corpus(seed)
     assert all_occurrences(rows, R.repeats(documents(rows)).collect())
 
 
+def test_repeats_are_the_same_in_buckets_of_any_size(documents, monkeypatch):
+    """One definition: whether a task sorts a bucket or aggregates settle it."""
+    rng = random.Random(9)
+    line = " ".join("q%d" % k for k in range(50)) + "\0\0" * 40 + "end of it"
+    rows = corpus(4)[:70] + [(200 + i, "".join(rng.choices("xyz\0", k=i % 5)) + line[rng.randrange(30):len(line) - rng.randrange(90)] + rng.choice(["", "\0", "!", "?a"])) for i in range(60)]
+    found = []
+    for most in (2048, 5, 1):
+        monkeypatch.setattr(R, "MOST", most)
+        found.append(sorted(tuple(r) for r in R.repeats(documents(rows)).collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(set(found[0])) > 1000
+
+
+def test_maximal_repeats_with_zero_bytes():
+    """What ends in zero bytes is told from what goes on with them."""
+    core = bytes(range(65, 91)) * 4
+    got = found([b"1" + core + b"\0", b"2" + core, b"3" + core + b"\0\0x"], [0, 0, 0])
+    assert {(n, tuple(c for c, _ in m)) for n, m, _ in got if all(o == 1 for _, o in m)} == {(104, (0, 1, 2)), (105, (0, 2))}
+
+
+def test_window_hashes():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 4, 5000).astype(np.uint8)
+    data[3000:3300] = data[100:400]
+    starts = np.arange(len(data) - R.LENGTH + 1)
+    texts = [data[k:k + R.LENGTH].tobytes() for k in starts]
+    h = R._window_hashes(data, starts)
+    assert len(set(h.tolist())) == len(set(texts)) == len(set(zip(h.tolist(), texts)))
+    for k in range(R.LENGTH):  # every byte counts
+        other = data.copy()
+        other[700 + k] ^= 1
+        assert R._window_hashes(other, starts[700:701]) != h[700]
+
+
 def test_repeats_of_copies_and_hot_anchors(documents, monkeypatch):
     text = " ".join("c%d" % k for k in range(70))
     copies = [(i, text) for i in range(1, 5)]
