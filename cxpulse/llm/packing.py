@@ -3,13 +3,16 @@
 Every document becomes its tokens plus an end id; pieces of documents fill
 sequences of ``LENGTH`` tokens without gaps, so that only the very last sequence
 is short. Which source fills next is decided by its deficit: the tokens it is
-owed (its target proportion of all tokens so far) less those it has had. The
+owed (its target proportion of all tokens so far; by default its share of the
+corpus) less those it has had. The
 source that is longest owed a quantum of ``QUANTUM`` tokens is served next, from
 the document at the head of its queue; a deficit that a window does not
 settle is carried to the next window.
 
 Documents are dealt over parts of about ``PART_TOKENS`` tokens by a hash of
-their row, so each part has every source in about its proportion. A part starts
+their row, so each part has every source in about its proportion: its target
+until a source is used up, from there on what the others' targets are to each
+other. A part starts
 where the ones before it end (prefix sums of their token counts), in the middle
 of a sequence as a rule, and with the deficits they leave. Within a source the
 queue has the order of the row hash. Only (row, source, length) is planned; the
@@ -27,7 +30,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cxpulse.llm import textnum as T
 from cxpulse.llm.common import importable, materialise, table
@@ -226,19 +229,50 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["row", "start", "length", "position"])
 
 
-def rotation_plan(lengths: DataFrame) -> DataFrame:
-    """(row, start, length, position) of all pieces, from rows (row, source, n)."""
+def _queue(source: str | None) -> str:
+    return "null" if source is None else f"={source}"
+
+
+def _part_by_targets(named: DataFrame, total: int, parts: int, weights: dict[str, float]) -> Column:
+    """The part in which a row is due. Served at their weights, all sources together
+    have had T(v) = sum of min(v * weight, n) tokens at time v, and a source's
+    queue lasts till n / weight. A row that a hash places at the fraction u of its
+    queue is due at v = u * n / weight, in the part that T(v) falls into. Sources
+    without a weight of their own weigh their share, so they all last till ``total``."""
+    of_named = named.filter(F.col("source").isin(list(weights))).groupBy("source").agg(F.sum("n").alias("n"))
+    sizes = {r["source"]: int(r["n"]) for r in of_named.collect()}  # one row per weight given
+    rest = total - sum(sizes.values())
+    flows = [(rest / max(1, total), float(rest)), *((weights[s], float(n)) for s, n in sizes.items())]
+    lasts = F.lit(float(total))
+    if sizes:
+        known = F.create_map(*[F.lit(x) for s, n in sizes.items() for x in (s, n / weights[s])])
+        lasts = F.coalesce(F.try_element_at(known, F.col("source")), lasts)
+    due = F.expr("pmod(xxhash64('due', row), 9007199254740992L) / 9007199254740992D") * lasts
+    had = F.aggregate(F.array(*[F.struct(F.lit(w).alias("w"), F.lit(n).alias("n")) for w, n in flows]), F.lit(0.0), lambda sum_, x: sum_ + F.least(due * x["w"], x["n"]))
+    return F.least(F.floor(had * (parts / max(1, total))), F.lit(parts - 1)).cast("int")
+
+
+def rotation_plan(lengths: DataFrame, targets: dict[str | None, float] | None = None) -> DataFrame:
+    """(row, start, length, position) of all pieces, from rows (row, source, n).
+    ``targets`` as in ``pack``."""
     total, rows = lengths.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     parts = max(1, -(-total // PART_TOKENS), -(-rows // PART_ROWS))
-    named = lengths.select(F.expr(f"pmod(xxhash64(row), {parts})").cast("int").alias("part"), F.coalesce("source", F.lit("")).alias("source"),
-                           F.col("source").isNull().alias("no_source"), "row", "n")
+    if any(not 0 < w < float("inf") for w in (targets or {}).values()):
+        raise ValueError("a target is a positive proportion")
+    weights = {_queue(s): float(w) for s, w in (targets or {}).items()}
     # a null source is a queue of its own
-    named = named.withColumn("source", F.when(F.col("no_source"), F.lit("null")).otherwise(F.concat(F.lit("="), F.col("source")))).drop("no_source")
+    named = lengths.select(F.when(F.col("source").isNull(), F.lit(_queue(None))).otherwise(F.concat(F.lit(_queue("")), F.col("source"))).alias("source"), "row", "n")
+    part = _part_by_targets(named, total, parts, weights) if weights else F.expr(f"pmod(xxhash64(row), {parts})").cast("int")
+    named = named.select(part.alias("part"), "source", "row", "n")
     sums = materialise(named.groupBy("part", "source").agg(F.sum("n").alias("n")), "pack-sums")
     earlier = lambda by: (Window.partitionBy(*by) if by else Window).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("source")
     starts = sums.groupBy("part").agg(F.sum("n").alias("t")).select("part", F.coalesce(F.sum("t").over(earlier([])), F.lit(0)).alias("before"))
-    carried = sums.select("part", "source", F.coalesce(F.sum("n").over(earlier(["source"])), F.lit(0)).alias("served"), (F.sum("n").over(whole) / F.lit(float(total or 1))).alias("share"))
+    share = F.sum("n").over(whole) / F.lit(float(total or 1))
+    if weights:
+        known = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
+        share = F.coalesce(F.try_element_at(known, F.col("source")), share)
+    carried = sums.select("part", "source", F.coalesce(F.sum("n").over(earlier(["source"])), F.lit(0)).alias("served"), share.alias("share"))
     heads = carried.join(starts, "part").select("part", F.lit(0).alias("kind"), "source", F.lit(0).cast("long").alias("row"), F.col("served").alias("n"), "before", "share", F.lit(0).cast("long").alias("turn"))
     docs = named.select("part", F.lit(1).alias("kind"), "source", "row", "n", F.lit(None).cast("long").alias("before"), F.lit(None).cast("double").alias("share"), F.xxhash64(F.lit("queue"), "row").alias("turn"))
     dealt = heads.union(docs).repartition("part").sortWithinPartitions("part", "kind", "turn", "row", "source")
@@ -257,10 +291,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, targets: dict[str | None, float] | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset.
 
+    ``targets``: the proportion of each window's tokens that a source (None: the null
+    source) shall have; sources not named have their share of all tokens, and
+    only what the numbers are to each other counts. Everything is packed: once a
+    source is used up the others go on by theirs. A target of a source that no
+    document has changes nothing; one that is not positive is an error.
+
     A null or empty text is the end id alone. Rows repeating a doc_id are packed
     each; a null doc_id stays null; an empty table gives no pieces; columns
     besides doc_id, source and text are ignored. ``tokenizer_path``
@@ -270,7 +310,7 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
     tokens = rows.mapInArrow(_tokenise(tokenizer_path), "doc_id long, source string, n long, ids binary")
     tokens = materialise(tokens.withColumn("row", F.monotonically_increasing_id()), "token-ids")
-    plan = rotation_plan(tokens.select("row", "source", "n"))
+    plan = rotation_plan(tokens.select("row", "source", "n"), targets)
     per_row = plan.groupBy("row").agg(F.collect_list(F.struct("start", "length", "position")).alias("pieces"))
     joined = tokens.select("row", "doc_id", "n", "ids").join(per_row.hint("shuffle_hash"), "row").select("doc_id", "n", "ids", "pieces")
     return joined.mapInArrow(_cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

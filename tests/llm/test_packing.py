@@ -104,6 +104,62 @@ def test_windows_keep_proportions_across_parts(spark, monkeypatch):
                 assert abs(had[s] - share[s] * at) <= at_bounds[part[r["row"]]][s] + 2.5 * P.QUANTUM
 
 
+def test_windows_have_target_proportions(spark, monkeypatch):
+    """Against the flow T(v): each source has had min(v * target, n) when all have had
+    T(v), but for what hashing gives a part more or less of it and quanta under way."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(P, "PART_TOKENS", 40_000)
+    rng = random.Random(11)
+    rows = [(k, rng.choices(["a", "b", "c", "d", None], [55, 20, 10, 10, 5])[0], rng.randrange(1, 200)) for k in range(6000)]
+    lengths = spark.createDataFrame(rows, "row long, source string, n long").repartition(4)
+    targets = {"a": 0.2, "b": 0.3, None: 0.25, "nowhere": 0.4}
+    size = defaultdict(int)
+    for _, s, n in rows:
+        size[s] += n
+    total, source = sum(size.values()), {k: s for k, s, _ in rows}
+    weight = {s: targets.get(s, n / total) for s, n in size.items()}
+
+    def flow(at):
+        low, high = 0.0, max(size[s] / weight[s] for s in size)
+        for _ in range(60):
+            v = (low + high) / 2
+            low, high = (v, high) if sum(min(v * weight[s], size[s]) for s in size) < at else (low, v)
+        return {s: min(high * weight[s], size[s]) for s in size}
+
+    plan = sorted(P.rotation_plan(lengths, targets).collect(), key=lambda r: r["position"])
+    had, at, worst, first = defaultdict(int), 0, 0.0, min(size[s] / weight[s] for s in size) * sum(weight.values())
+    for r in plan:
+        assert r["position"] == at
+        at += r["length"]
+        had[source[r["row"]]] += r["length"]
+        if at % P.LENGTH == 0:
+            want = flow(at)
+            worst = max(worst, *(abs(had[s] - want[s]) for s in size))
+    assert at == total and dict(had) == dict(size)
+    assert total > 14 * P.PART_TOKENS and first > 3 * P.PART_TOKENS  # all sources last for some parts, then one after the other ends
+    assert worst < 0.15 * P.PART_TOKENS  # a part holds some 400 documents
+    own = sorted(P.rotation_plan(lengths).collect(), key=lambda r: r["position"])
+    half = lambda p, s: sum(r["length"] for r in p if r["position"] < first / 2 and source[r["row"]] == s) / (first / 2)
+    for s in size:
+        assert half(plan, s) == pytest.approx(weight[s] / sum(weight.values()), abs=0.03) and half(own, s) == pytest.approx(size[s] / total, abs=0.03)
+    for wrong in (0.0, -1.0, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            P.rotation_plan(lengths, {"a": wrong})
+
+
+def test_targets_pack_everything_once(documents, corpus):
+    count = lambda got: sorted((str(r["doc_id"]), r["doc_tokens"]) for r in got if r["start"] == 0)
+    path = P.default_tokenizer()
+    got = P.pack(documents(corpus), path, {"c": 0.6, None: 0.1}).collect()
+    assert count(got) == count(P.pack(documents(corpus), path).collect())
+    assert P.pack(documents([]), path, {"c": 1.0}).count() == 0
+    at = 0
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["sequence_id"] * P.LENGTH + r["offset"] == at
+        at += r["length"]
+
+
 def test_parts_are_bounded_in_documents(documents, monkeypatch):
     monkeypatch.setattr(P, "PART_ROWS", 50)
     got = P.pack(documents([(k, "") for k in range(400)]), P.default_tokenizer()).collect()
