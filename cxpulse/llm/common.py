@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,11 +40,40 @@ def shared_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it again: cuts the
-    lineage, survives lost executors, and gives the next plan true sizes."""
+#: where ``materialise`` writes within ``step_tables``
+_step: ContextVar[str | None] = ContextVar("step", default=None)
+
+
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+@contextmanager
+def step_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialise`` writes within are deleted at the end: for steps
+    whose result is written elsewhere before that."""
+    folder = own_folder(spark, "step")
+    token = _step.set(folder)
+    try:
+        yield
+    finally:
+        _step.reset(token)
+        delete(spark, folder)
+
+
+def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder (or ``path``) and read it again:
+    cuts the lineage, survives lost executors, and gives the next plan true sizes."""
     spark = df.sparkSession
     importable(spark)
-    path = f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{_step.get()}/{name}-{uuid.uuid4().hex}" if _step.get() else own_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,13 +1,15 @@
 """The pipeline on a small corpus, each stage against brute force on what the
 stage before it left."""
 
+import os
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from cxpulse.llm import exact_dedup, minhash, mixing, toxicity
-from cxpulse.llm.common import materialise
+from cxpulse.llm.common import materialise, shared_dir, step_tables
 
 from .test_minhash import brute, near_copies
 from .test_toxicity import corpus
@@ -57,4 +59,20 @@ def test_stages_and_run(spark, documents, tmp_path):
     tokens = {r["doc_id"]: r["doc_tokens"] for r in kept["pack"]}
     assert set(tokens) == set(taken) and sum(r["length"] for r in kept["pack"]) == sum(tokens[i] for i in taken)
     key = lambda r: tuple(r)
-    assert sorted(map(key, P.run(spark, sf).select("doc_id", "doc_tokens").distinct().collect())) == sorted(tokens.items())
+    shared = lambda: {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before}
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    result = P.run(spark, sf)
+    assert {"llm-stage-mix_sources"} <= shared() <= {"llm-stage-mix_sources", "llm-token-ids", "llm-pack-sums"}  # what the last stage reads
+    assert sorted(map(key, result.select("doc_id", "doc_tokens").distinct().collect())) == sorted(tokens.items())
+
+
+def test_tables_of_a_step_are_deleted(spark):
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with pytest.raises(ZeroDivisionError), step_tables(spark):
+        assert materialise(spark.range(5), "inner").count() == 5 and len(set(os.listdir(folder)) - before) == 1
+        1 / 0
+    assert set(os.listdir(folder)) == before
+    kept = materialise(spark.range(3), "outer")
+    assert kept.count() == 3 and len(set(os.listdir(folder)) - before) == 1
