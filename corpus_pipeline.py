@@ -2,7 +2,9 @@
 
 Each stage is (name, function (spark, docs, sf_dir) -> DataFrame); all but the
 last return the columns of documents. ``run`` writes each stage's result as
-Parquet to the shared folder and hands the reread table to the next.
+Parquet to the shared folder and hands the reread table to the next. What a
+stage wrote on the way is deleted once its result is written, and so is the result
+before it; the last stage's input and tables stay, for its rows are read later.
 
 Repeated rows, nulls, empty tables: as the operators' docstrings say. A document
 that mixing takes more than once arrives at packing as that many rows.
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cxpulse.llm import exact_dedup, minhash, mixing, packing, toxicity
-from cxpulse.llm.common import materialise, table
+from cxpulse.llm.common import delete, materialise, own_folder, step_tables, table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +53,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = own_folder(spark, f"stage-{name}")
+        with step_tables(spark):
+            docs = materialise(stage(spark, docs, sf_dir), name, path)
+        if before:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
