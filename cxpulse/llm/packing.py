@@ -26,7 +26,7 @@ import os
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,49 @@ _PUNCT = T.lut([(0x00, 0x08), (0x0E, 0x1F), (0x21, 0x2F), (0x3A, 0x40), (0x5B, 0
 _LATIN = T.lut([(0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF)])
 
 
+class HashNumbers:
+    """Hashes numbered 0, 1, 2, ... in the order they are added, looked up many at
+    a time: open addressing in arrays at most half full."""
+
+    def __init__(self):
+        self.count = 0
+        self.key, self.slot = np.zeros(1 << 12, np.uint64), np.full(1 << 12, -1, np.int32)
+
+    def _place(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.slot) - 1)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash; -1 if it has none."""
+        at = self._place(hashes)
+        slot = self.slot[at]
+        wrong = np.flatnonzero((slot >= 0) & (self.key[at] != hashes))
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) & (len(self.slot) - 1)
+            slot[wrong] = found = self.slot[at[wrong]]
+            wrong = wrong[(found >= 0) & (self.key[at[wrong]] != hashes[wrong])]
+        return slot
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number distinct hashes that have none yet."""
+        numbers = np.arange(self.count, self.count + len(hashes), dtype=np.int32)
+        self.count += len(hashes)
+        if 2 * self.count > len(self.slot):
+            used = self.slot >= 0
+            hashes, numbers = np.concatenate([self.key[used], hashes]), np.concatenate([self.slot[used], numbers])
+            size = len(self.slot)
+            while 2 * self.count > size:
+                size *= 2
+            self.key, self.slot = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        at, todo = self._place(hashes), np.arange(len(hashes))
+        while len(todo):
+            free = todo[self.slot[at[todo]] < 0]
+            self.slot[at[free]] = numbers[free]  # one of those that want a place gets it
+            got = self.slot[at[todo]] == numbers[todo]
+            self.key[at[todo[got]]] = hashes[todo[got]]
+            todo = todo[~got]
+            at[todo] = (at[todo] + 1) & (len(self.slot) - 1)
+
+
 class WordTokenizer:
     """Token ids of texts through a cache of parts between which no token and no
     normalisation of the vocabulary can reach: white space, around ASCII digits,
@@ -65,7 +108,7 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = HashNumbers()
         self.second = np.zeros(1024, np.uint64)
         self.lengths, self.ids, self.used = np.zeros(1024, np.int32), np.zeros(4096, np.uint32), 0
         self.starts = np.zeros(1024, np.int64)
@@ -73,12 +116,12 @@ class WordTokenizer:
     def _add(self, hashes: np.ndarray, second: np.ndarray, words: list[bytes]) -> None:
         found = [enc.ids for enc in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
         n = np.fromiter(map(len, found), np.int64, len(found))
-        old, total = len(self.known), int(n.sum())
+        old, total = self.known.count, int(n.sum())
         while old + len(found) > len(self.lengths):
             self.lengths, self.starts, self.second = (np.resize(x, 2 * len(x)) for x in (self.lengths, self.starts, self.second))
         while self.used + total > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.known.update(zip(hashes.tolist(), range(old, old + len(found))))
+        self.known.add(hashes)
         self.second[old:old + len(found)] = second
         self.lengths[old:old + len(found)] = n
         self.starts[old:old + len(found)] = self.used + np.cumsum(n) - n
@@ -116,19 +159,17 @@ class WordTokenizer:
         data = data if special else T.ASCII_LOWER[data]
         first, past = T.word_spans(data, at[:-1], at[1:], T.NOT_SPACE) if special else self._parts(data, at[:-1], at[1:])
         one, two = T.word_hashes(data, first, past, seed=2 * special), T.word_hashes(data, first, past, seed=2 * special + 1)
-        hashes, sample, inverse = np.unique(one, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE_WORDS:
+        if self.known.count > CACHE_WORDS:
             self.clear()
-        keys = hashes.tolist()
-        slot = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
-        new = np.flatnonzero(slot < 0)
-        if len(new):
-            raw, old = data.tobytes(), len(self.known)
-            self._add(hashes[new], two[sample[new]], [raw[a:b] for a, b in zip(first[sample[new]].tolist(), past[sample[new]].tolist())])
-            slot[new] = np.arange(old, old + len(new))
-        if (self.second[slot[inverse]] != two).any():  # two words of one hash
+        slot = self.known.find(one)
+        missing = np.flatnonzero(slot < 0)
+        if len(missing):
+            hashes, sample = np.unique(one[missing], return_index=True)
+            sample, raw = missing[sample], data.tobytes()
+            self._add(hashes, two[sample], [raw[a:b] for a, b in zip(first[sample].tolist(), past[sample].tolist())])
+            slot[missing] = self.known.find(one[missing])
+        if (self.second[slot] != two).any():  # two words of one hash
             return self._uncached(data, first, past, at)
-        slot = slot[inverse]
         n = self.lengths[slot].astype(np.int64)
         upto = np.zeros(len(n) + 1, np.int64)
         np.cumsum(n, out=upto[1:])

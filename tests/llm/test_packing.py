@@ -189,6 +189,17 @@ def test_long_words_made_to_collide_keep_their_own_ids():
         assert cached.encode(raw, np.array([0, len(raw)]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_hash_numbers():
+    rng, table, known = np.random.default_rng(5), P.HashNumbers(), {}
+    for size in (0, 1, 3000, 2000, 40_000):
+        new = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64) >> np.uint64(rng.integers(0, 30)) << np.uint64(11))  # many that want one place
+        new = np.array([h for h in new.tolist() if h not in known], np.uint64)
+        known |= {h: len(known) + k for k, h in enumerate(new.tolist())}
+        table.add(new)
+        asked = np.concatenate([np.array(list(known), np.uint64), rng.integers(0, 1 << 63, 1000).astype(np.uint64)])
+        assert table.find(asked).tolist() == [known.get(h, -1) for h in asked.tolist()] and table.count == len(known)
+
+
 def test_words_of_equal_hash_stay_apart(monkeypatch):
     real = P.T.word_hashes
     monkeypatch.setattr(P.T, "word_hashes", lambda d, a, b, seed=0: real(d, a, b, seed) if seed % 2 else (b - a).astype(np.uint64))
