@@ -41,11 +41,31 @@ PART_TOKENS = 32_000_000
 PART_ROWS = 400_000  # a part is bounded in documents too: a task holds their places in memory
 END_ID = 1
 CACHE_WORDS = 1_000_000  # about 150 MB
-_SPACE = ~T.NOT_SPACE
-_DIGIT = T.lut([(0x30, 0x39)])
-_ALPHA = T.lut([(0x41, 0x5A), (0x61, 0x7A)])
-_PUNCT = T.lut([(0x00, 0x08), (0x0E, 0x1F), (0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
-_LATIN = T.lut([(0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF)])
+CHUNK = 2 << 20  # bytes of text whose words are told apart at once
+#: what a byte is, for the places where texts are cut into parts
+_SPACE, _DIGIT, _ALPHA, _PUNCT, _LATIN, _OTHER = range(6)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[~T.NOT_SPACE] = _SPACE
+_KIND[T.lut([(0x30, 0x39)])] = _DIGIT
+_KIND[T.lut([(0x41, 0x5A), (0x61, 0x7A)])] = _ALPHA
+_KIND[T.lut([(0x00, 0x08), (0x0E, 0x1F), (0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])] = _PUNCT
+_KIND[T.lut([(0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF)])] = _LATIN  # a letter if 0xC3 is before it
+_LETTERS = (_KIND == _LATIN) | T.lut([(0x61, 0x7A), (0xC3, 0xC3)])  # the bytes of a-z and the letters of U+00C0 to U+00FF
+_BEGIN, _END, _IF_LETTER = 1, 2, 4
+
+
+def _between(cuts: bool) -> bytes:
+    """What lies between two bytes, at 8 * the first one's kind + the second's."""
+    out = np.zeros(256, np.uint8)
+    for a in range(6):
+        for b in range(6):
+            out[8 * a + b] = _BEGIN * (a == _SPACE != b) | _END * (a != _SPACE == b)
+            if cuts and a != _SPACE != b:
+                out[8 * a + b] = (_BEGIN | _END) * (_DIGIT in (a, b) or (a, b) == (_ALPHA, _PUNCT)) | _IF_LETTER * ((a, b) == (_LATIN, _PUNCT))
+    return out.tobytes()
+
+
+_KIND_TABLE, _LOWER_TABLE, _PARTS_TABLE, _WORDS_TABLE = _KIND.tobytes(), T.ASCII_LOWER.tobytes(), _between(True), _between(False)
 
 
 class HashNumbers:
@@ -94,17 +114,28 @@ class HashNumbers:
 class WordTokenizer:
     """Token ids of texts through a cache of parts between which no token and no
     normalisation of the vocabulary can reach: white space, around ASCII digits,
-    and between a Latin letter and ASCII punctuation after it. Parts not yet
-    seen go to the tokenizer; ids equal those of whole texts. Parts are known by
-    two independent 64-bit hashes; should two parts share the first, their texts are
-    tokenised without the cache.
+    and between a Latin letter and ASCII punctuation after it. Each distinct part of
+    a call is looked up once; parts not yet seen go to the tokenizer; ids equal
+    those of whole texts. Parts are known by two independent 64-bit hashes; should
+    two parts share the first, the call's parts are tokenised without the cache.
+
+    A new part of only ASCII and U+00C0 to U+00FF letters is one word to the
+    tokenizer, and composition leaves it alone. Many of them go to the tokenizer
+    as one text, without its regular expressions; their ids are told apart by the
+    vocabulary's end-of-word tokens.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Lowercase()
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix, vocabulary = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.is_end[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -113,51 +144,63 @@ class WordTokenizer:
         self.lengths, self.ids, self.used = np.zeros(1024, np.int32), np.zeros(4096, np.uint32), 0
         self.starts = np.zeros(1024, np.int64)
 
-    def _add(self, hashes: np.ndarray, second: np.ndarray, words: list[bytes]) -> None:
+    def _tokens(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of them each part has)."""
         found = [enc.ids for enc in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
         n = np.fromiter(map(len, found), np.int64, len(found))
-        old, total = self.known.count, int(n.sum())
-        while old + len(found) > len(self.lengths):
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(n.sum())), n
+
+    def _letter_tokens(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``_tokens`` of parts that have no bytes but ``_LETTERS``."""
+        text = b" ".join(words).decode("utf-8", "replace")
+        if "\ufffd" not in text:
+            ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) == len(words) and ends[-1] == len(ids):
+                return ids, np.diff(ends, prepend=0)
+        return self._tokens(words)
+
+    def _add(self, hashes: np.ndarray, second: np.ndarray, words: list[bytes], letters: np.ndarray) -> None:
+        groups = []
+        of_letters = np.flatnonzero(letters)
+        for k in range(0, len(of_letters), 1000):
+            groups.append((own := of_letters[k:k + 1000], *self._letter_tokens([words[i] for i in own.tolist()])))
+        others = np.flatnonzero(~letters)
+        if len(others):
+            groups.append((others, *self._tokens([words[i] for i in others.tolist()])))
+        old, total = self.known.count, sum(len(ids) for _, ids, _ in groups)
+        while old + len(words) > len(self.lengths):
             self.lengths, self.starts, self.second = (np.resize(x, 2 * len(x)) for x in (self.lengths, self.starts, self.second))
         while self.used + total > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         self.known.add(hashes)
-        self.second[old:old + len(found)] = second
-        self.lengths[old:old + len(found)] = n
-        self.starts[old:old + len(found)] = self.used + np.cumsum(n) - n
-        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
-        self.used += total
+        self.second[old:old + len(words)] = second
+        for own, ids, n in groups:
+            self.lengths[old + own] = n
+            self.starts[old + own] = self.used + np.cumsum(n) - n
+            self.ids[self.used:self.used + len(ids)] = ids
+            self.used += len(ids)
 
     @staticmethod
-    def _parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first, past = T.word_spans(data, starts, ends, T.NOT_SPACE)
-        if not len(data):
-            return first, past
-        digit, alpha = _DIGIT[data], _ALPHA[data]
-        alpha[1:] |= _LATIN[data[1:]] & (data[:-1] == 0xC3)
-        cut = digit[1:] | digit[:-1] | (alpha[:-1] & _PUNCT[data[1:]])
-        inner = T.NOT_SPACE[data]
-        cut &= inner[1:] & inner[:-1]
-        begins, ends = np.zeros(len(data), bool), np.zeros(len(data) + 1, bool)
-        begins[first], ends[past] = True, True
-        begins[1:] |= cut
-        ends[1:-1] |= cut
-        return np.flatnonzero(begins), np.flatnonzero(ends)
-
-    def _uncached(self, data: np.ndarray, first: np.ndarray, past: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``encode`` of words one by one, without the cache."""
-        raw = data.tobytes()
-        words = [raw[a:b].decode("utf-8", "replace") for a, b in zip(first.tolist(), past.tolist())]
-        found = [enc.ids for enc in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        upto = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(ids) for ids in found], dtype=np.int64)])
-        return np.fromiter(chain.from_iterable(found), np.uint32, int(upto[-1])), upto[np.searchsorted(first, at)]
-
-    def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds) of the adjoining texts data[at[k]:at[k + 1]]."""
-        # a text that may hold a special token is neither lower-cased nor cut within words
-        special = b"<|" in data.tobytes()
-        data = data if special else T.ASCII_LOWER[data]
-        first, past = T.word_spans(data, at[:-1], at[1:], T.NOT_SPACE) if special else self._parts(data, at[:-1], at[1:])
+    def _parts(raw: bytes, at: np.ndarray, between: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first, past, the parts' bytes one after the other)."""
+        data, kind = np.frombuffer(raw, np.uint8), np.frombuffer(raw.translate(_KIND_TABLE), np.uint8)
+        pairs = np.zeros(len(raw) + 1, np.uint8)  # before each byte and after the last: white space
+        pairs[:-1] = kind
+        pairs[1:] |= kind << 3
+        bound = at[(at > 0) & (at < len(raw))]
+        edges = np.frombuffer(bytearray(pairs.tobytes().translate(between)), np.uint8)
+        after_latin = np.flatnonzero((edges & _IF_LETTER).astype(bool))
+        if len(after_latin):
+            edges[after_latin[(data[after_latin - 2] == 0xC3) & (after_latin > 1)]] |= _BEGIN | _END
+        # a text's first byte begins a part and its last one ends it
+        edges[bound] = _BEGIN * (kind[bound] != _SPACE) | _END * (kind[bound - 1] != _SPACE)
+        return np.flatnonzero((edges & _BEGIN).astype(bool)), np.flatnonzero((edges & _END).astype(bool)), data[kind != _SPACE]
+
+    def _distinct(self, raw: bytes, upto: np.ndarray, special: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, lengths): the ids of part k, raw[upto[k]:upto[k + 1]], are
+        ids[starts[k]:starts[k] + lengths[k]]; no two parts are equal."""
+        data, first, past = np.frombuffer(raw, np.uint8), upto[:-1], upto[1:]
         one, two = T.word_hashes(data, first, past, seed=2 * special), T.word_hashes(data, first, past, seed=2 * special + 1)
         if self.known.count > CACHE_WORDS:
             self.clear()
@@ -165,16 +208,32 @@ class WordTokenizer:
         missing = np.flatnonzero(slot < 0)
         if len(missing):
             hashes, sample = np.unique(one[missing], return_index=True)
-            sample, raw = missing[sample], data.tobytes()
-            self._add(hashes, two[sample], [raw[a:b] for a, b in zip(first[sample].tolist(), past[sample].tolist())])
+            sample = missing[sample]
+            strange = np.concatenate([np.zeros(1, np.int64), np.cumsum(~_LETTERS[data])])
+            letters = strange[past[sample]] == strange[first[sample]] if not special else np.zeros(len(sample), bool)
+            self._add(hashes, two[sample], [raw[a:b] for a, b in zip(first[sample].tolist(), past[sample].tolist())], letters)
             slot[missing] = self.known.find(one[missing])
         if (self.second[slot] != two).any():  # two words of one hash
-            return self._uncached(data, first, past, at)
-        n = self.lengths[slot].astype(np.int64)
-        upto = np.zeros(len(n) + 1, np.int64)
+            ids, n = self._tokens([raw[a:b] for a, b in zip(first.tolist(), past.tolist())])
+            return ids, np.cumsum(n) - n, n
+        return self.ids, self.starts[slot], self.lengths[slot]
+
+    def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds) of the adjoining texts data[at[k]:at[k + 1]]."""
+        raw = data.tobytes()
+        # a text that may hold a special token is neither lower-cased nor cut within words
+        special = b"<|" in raw
+        first, past, data = self._parts(raw, at, _WORDS_TABLE) if special else self._parts(raw.translate(_LOWER_TABLE), at, _PARTS_TABLE)
+        if not len(first):
+            return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
+        upto = np.zeros(len(first) + 1, np.int64)
+        np.cumsum(past - first, out=upto[1:])
+        parts = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(upto), pa.py_buffer(data)]).dictionary_encode()
+        which, (_, offsets, words) = parts.indices.to_numpy(), parts.dictionary.buffers()
+        ids, starts, n = self._distinct(words.to_pybytes(), np.frombuffer(offsets, np.int64)[:len(parts.dictionary) + 1], special)
+        n = n[which]
         np.cumsum(n, out=upto[1:])
-        ids = self.ids[np.arange(upto[-1]) + np.repeat(self.starts[slot] - upto[:-1], n)] if len(n) else np.zeros(0, np.uint32)
-        return ids, upto[np.searchsorted(first, at)]
+        return ids[np.arange(upto[-1]) + np.repeat(starts[which] - upto[:-1], n)], upto[np.searchsorted(first, at)]
 
 
 _loaded: dict[str, WordTokenizer] = {}
@@ -183,22 +242,21 @@ _loaded: dict[str, WordTokenizer] = {}
 def _tokenise(path: str):
     """Rows (doc_id, source, text) -> (doc_id, source, n, ids): ``ids`` holds
     the document's ids, the end id last, as little-endian unsigned 32-bit numbers
-    (16-bit if all are below 65536, told by the length)."""
+    (16-bit if all of its chunk are below 65536, told by the length)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _loaded:
             _loaded[path] = WordTokenizer(path)
         tokenizer = _loaded[path]
         for batch in batches:
             data, offsets = T.text_buffers(batch.column("text"))
-            for lo, hi in T.chunks(offsets):
+            for lo, hi in T.chunks(offsets, CHUNK):
                 ids, bounds = tokenizer.encode(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                n, packed = [], []
-                for k in range(hi - lo):
-                    own = np.append(ids[bounds[k]:bounds[k + 1]], np.uint32(END_ID))
-                    n.append(len(own))
-                    packed.append(own.astype("<u2" if own.max() < 65536 else "<u4").tobytes())
+                ids = np.insert(ids, bounds[1:], END_ID).astype("<u2" if not len(ids) or ids.max() < 65536 else "<u4")
+                n = np.diff(bounds) + 1
+                ends = (bounds + np.arange(hi - lo + 1)) * ids.itemsize
+                packed = pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(ends), pa.py_buffer(ids)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("source").slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(packed, pa.binary())],
+                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("source").slice(lo, hi - lo), pa.array(n, pa.int64()), packed],
                     names=["doc_id", "source", "n", "ids"])
     return run
 

@@ -210,3 +210,36 @@ def test_words_of_equal_hash_stay_apart(monkeypatch):
     plain = Tokenizer.from_file(P.default_tokenizer())
     assert ids[:bounds[1]].tolist() == plain.encode("cat dog", add_special_tokens=False).ids
     assert ids[bounds[1]:].tolist() == plain.encode("cat sun dog", add_special_tokens=False).ids
+
+
+def test_letters_edges_and_accents_have_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    plain, cached, rng = Tokenizer.from_file(P.default_tokenizer()), P.WordTokenizer(P.default_tokenizer()), random.Random(3)
+    kinds = ["abcxyzéßÀÖñ×÷ÿ ", "abAB.,!?'-12 \n\t\x1c\x85 ̀́éªº", "aЁз中，\U0001F600�١1é' "]
+    for _ in range(150):
+        texts = ["".join(rng.choices(rng.choice(kinds), k=rng.randrange(40))) for _ in range(rng.randrange(1, 20))]
+        raw = [t.encode() for t in texts]
+        ids, bounds = cached.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        for k, t in enumerate(texts):
+            assert ids[bounds[k]:bounds[k + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def test_a_part_is_hashed_once_a_call_and_new_letters_go_together(monkeypatch):
+    real, hashed, alone = P.T.word_hashes, [], []
+    monkeypatch.setattr(P.T, "word_hashes", lambda d, a, b, seed=0: hashed.append(len(a)) or real(d, a, b, seed))
+    cached = P.WordTokenizer(P.default_tokenizer())
+    plain = cached.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, words, **options):
+            alone.extend(words)
+            return plain.encode_batch_fast(words, **options)
+
+    cached.tokenizer = Counted()
+    text = "The cat, the élan of the façade; 12 cats. " * 300
+    for _ in range(2):
+        ids = cached.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0]
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert max(hashed) == 11  # the cat , élan of façade ; 1 2 cats .
+    assert sorted(alone) == [",", ".", "1", "2", ";"]
