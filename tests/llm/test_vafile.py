@@ -83,3 +83,60 @@ def test_one_vector_carried_by_many_ids(spark):
     rows = [(k, [1.0, 1.0]) for k in range(400)] + [(1000, [2.0, 0.0]), (1001, [0.0, 3.0])]
     got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5)
+
+
+def test_no_side_is_gathered_in_the_driver(spark, monkeypatch):
+    # the blocks of the queries meet 60 blocks of the file: far more than the estimate a broadcast would go by
+    monkeypatch.setattr(V, "BLOCK", 20)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(1200)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0)
+        assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 24 * 5
+        assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("work", [(1, 1 << 39), (1 << 30, 300)])
+def test_cells_of_any_shape_equal_brute_force(spark, monkeypatch, work):
+    for name, value in {"BLOCK": 30, "QUERIES": 3, "CHUNK": 2, "STRIP": 7, "CELL_WORK": work, "CELL_ASKED": 40}.items():
+        monkeypatch.setattr(V, name, value)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(500)] + [(600 + i, rng.normal(size=3).tolist()) for i in range(80)]
+    rows += [(1000 + i, rows[7][1]) for i in range(20)] + [(50, rows[50][1]), (100, rows[7][1])]
+    rows += [(i, [(2.0 ** 24 + i) / 256, 1.0]) for i in (2000, 2001, 2003, 2050)]  # no 4-byte numbers
+    got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5)
+
+
+@pytest.mark.parametrize("held", [0, 1, 64])
+def test_a_cell_lets_go_of_no_candidate(monkeypatch, held):
+    monkeypatch.setattr(V, "HELD", held)
+    rng, k = np.random.default_rng(7), 5
+    v, q = np.floor(rng.normal(size=(600, 4)) * 256), np.floor(rng.normal(size=(9, 4)) * 256)
+    v[200:300] = v[0]  # equal vectors
+    own = np.where(np.arange(600) % 7 < 5, np.arange(600) % 9, 100)  # what a query's own id carries
+    asked, given = V._Asked(np.arange(9), np.arange(9), q, k), []
+    for a in range(0, 600, 50):
+        asked.meet(np.arange(a, a + 50), np.arange(a, a + 50) % 2 == 0, own[a:a + 50], *V.approximate(v[a:a + 50]))
+        given += asked.give(False)
+    given += asked.give(True)
+    pairs = {(r["query"], r["vector"]): (r["lower"], r["upper"]) for b in given for r in b.to_pylist()}
+    exact = q @ v.T
+    exact[(np.arange(600) % 2 == 0)[None, :] & (own[None, :] == np.arange(9)[:, None])] = -np.inf
+    least = -np.sort(-exact, axis=1)[:, k - 1]
+    assert {(r, c) for r, c in zip(*np.nonzero(exact >= least[:, None]))} <= set(pairs)
+    assert all(low <= exact[r, c] <= high for (r, c), (low, high) in pairs.items())
+
+
+def test_grid():
+    assert V.grid(0, 0, 0, 200, (1, 1)) == (1, 1)
+    across, down = V.grid(600_000, 12_000, 12_000 * 64, 25, (12, 74))
+    assert across <= 12 and down <= 74 and across * down >= 25
+    for n in (600_000, 15_000_000):
+        across, down = V.grid(n, n // 50, n // 50 * 64, 25, (-(-n // 50 // V.QUERIES), -(-n // V.BLOCK)))
+        assert n * (n // 50 * 64) / (across * down) <= V.CELL_WORK[1] and n // 50 * 64 / across <= V.CELL_ASKED
